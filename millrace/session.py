@@ -27,6 +27,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "16g")))
     if shuffle_partitions:

@@ -261,5 +261,5 @@ def with_ctes(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     if not order:
-        return body
+        return body.lstrip().lstrip(",").lstrip()
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n]})" for n in order) + "\n" + body
