@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["q_scoring", "q_lookup", "q_kpi", "q_quality", "q_retrieval"]
+_QUERY_MODULES = ["q_scoring", "q_lookup", "q_kpi", "q_quality", "q_retrieval", "q_routing"]
 
 
 def all_queries():
