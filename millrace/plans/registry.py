@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_QUERY_MODULES = ["q_scoring", "q_lookup", "q_kpi", "q_quality", "q_retrieval", "q_routing", "q_layout"]
+_QUERY_MODULES = ["q_scoring", "q_lookup", "q_kpi", "q_quality", "q_retrieval", "q_routing", "q_layout", "q_streams"]
 
 
 def all_queries():
