@@ -10,8 +10,8 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
 def tokens(text: Column) -> Column:
-    """Whole-text word tokens (array<string>, empty strings removed)."""
-    return F.filter(F.split(F.lower(text), TOKEN_SPLIT), lambda x: F.length(x) > 0)
+    """Whole-text word tokens (array<string>, empty strings removed; native, code-generated)."""
+    return F.array_remove(F.split(F.lower(text), TOKEN_SPLIT), "")
 
 
 def top_k(df: DataFrame, group_cols: list, order_cols: list, k: int, rank_col: str = "rank") -> DataFrame:

@@ -32,65 +32,115 @@ RRF_K = 60
 
 # ---------------------------------------------------------------- text index -----------------
 def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, term, tf) over whole texts; partial aggregation before the shuffle on (id, term)."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.explode(tokens(F.col(text_col))).alias("term")) \
+    """(doc_id, term, tf) over whole texts.
+
+    Documents are hash-partitioned by doc_id first (one shuffle of the raw text),
+    so tokenising runs in parallel and every later per-document step
+    (term counts, document length, doc-side weights) needs no further shuffle.
+    """
+    d = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")) \
+        .repartition("doc_id")
+    return d.select("doc_id", F.explode(tokens(F.col("_text"))).alias("term")) \
         .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def text_index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Inverted index (doc_id, term, tf, dl), doc-partitioned, materialised once with a reliable
+    ``checkpoint()`` in the shared checkpoint folder (lineage cut; several consumers read it)."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(docs.sparkSession)
+    post = postings(docs, id_col, text_col)
+    dl = post.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
+    return post.join(dl, "doc_id").checkpoint(eager=True)
+
+
+def doc_lengths(idx: DataFrame) -> DataFrame:
+    return idx.groupBy("doc_id").agg(F.first("dl").alias("dl"))
+
+
+def doc_freq(idx: DataFrame) -> DataFrame:
+    return idx.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
     return queries.select(F.col(qid_col).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
 
 
-def bm25_weights(post: DataFrame) -> DataFrame:
-    """Per (doc, term) BM25 weight; N and avgdl are scalar subqueries, df a groupBy on term."""
-    dl = post.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
-    n_docs = dl.select(F.count(F.lit(1))).scalar()
-    avgdl = dl.select(F.avg("dl")).scalar()
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / avgdl)
-    return post.join(dl, "doc_id").join(df, "term").select(
-        "doc_id", "term", (idf * (F.col("tf") * (BM25_K1 + 1)) / norm).alias("w"))
+def bm25_doc_side(idx: DataFrame) -> DataFrame:
+    """Doc half of BM25: tf saturation and length normalisation (idf lives on the query side)."""
+    stats = doc_lengths(idx).select(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
+    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / stats["avgdl"])
+    return idx.select("doc_id", "term", ((F.col("tf") * (BM25_K1 + 1)) / norm).alias("w")), stats
+
+
+def bm25_query_side(idx: DataFrame, q_terms: DataFrame, stats) -> DataFrame:
+    """Query half of BM25: idf = ln(1 + (N - df + 0.5) / (df + 0.5)) per query term present in the corpus."""
+    df = doc_freq(idx)
+    idf = F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return q_terms.join(df, "term").select("query_id", "term", idf.alias("qw"))
 
 
 def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
                    q_text: str, k: int = 10, doc_filter: DataFrame | None = None) -> DataFrame:
     """BM25 top-k documents per query. ``doc_filter`` (query_id, doc_id) pairs restrict
     candidates before ranking (I04)."""
-    w = bm25_weights(postings(docs, id_col, text_col))
-    s = query_terms(queries, qid_col, q_text).join(w, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("s"))
+    idx = text_index(docs, id_col, text_col)
+    dw, stats = bm25_doc_side(idx)
+    qw = bm25_query_side(idx, query_terms(queries, qid_col, q_text), stats)
+    s = score_by_term(dw, "w", qw)
     if doc_filter is not None:
         s = s.join(doc_filter, ["query_id", "doc_id"], "left_semi")
     s = s.select("query_id", "doc_id", F.round("s", 6).alias("score"))
     return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
 
 
-def tfidf_vectors(post: DataFrame) -> DataFrame:
+MAX_BROADCAST_QUERY_TERMS = 2_000_000
+
+
+def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitioned: bool = True) -> DataFrame:
+    """sum over shared terms of q_weight x doc_weight per (query, doc).
+
+    When the query-term side is below ``MAX_BROADCAST_QUERY_TERMS`` rows
+    (counted, not guessed) it is broadcast: the join runs map-side on the
+    doc-partitioned weights and the (query, doc) aggregate needs no shuffle,
+    because doc_id partitioning already clusters every (query, doc) pair.
+    Beyond the bound both sides are shuffled on the term (AQE splits hot terms).
+    """
+    qt = q_terms.select("query_id", "term", "qw")
+    dw = doc_w.select("doc_id", "term", F.col(w_col).alias("_w"))
+    if qt.count() <= MAX_BROADCAST_QUERY_TERMS:
+        qt = F.broadcast(qt)
+        if not doc_partitioned:
+            dw = dw.repartition("doc_id")
+    return dw.join(qt, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
+
+
+def tfidf_vectors(idx: DataFrame) -> DataFrame:
     """L2-normalised TF-IDF sparse vectors as (doc_id, term, weight) rows.
 
     idf = ln((1 + N) / (1 + df)) + 1 (smooth idf); the per-document norm is an
     aggregate joined back, so no document has to be held whole in one place.
     """
-    n_docs = post.select(F.countDistinct("doc_id")).scalar()
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    wt = post.join(df, "term").select("doc_id", "term",
-                                      (F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)).alias("w"))
+    n_docs = doc_lengths(idx).select(F.count(F.lit(1))).scalar()
+    df = doc_freq(idx)
+    wt = idx.join(df, "term").select("doc_id", "term",
+                                     (F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)).alias("w"))
     nrm = wt.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return wt.join(nrm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
 
 
 def embed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """D01 embed_text: text column -> sparse TF-IDF vector rows."""
-    return tfidf_vectors(postings(docs, id_col, text_col))
+    return tfidf_vectors(text_index(docs, id_col, text_col))
 
 
 def semantic_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
                     q_text: str, k: int = 10) -> DataFrame:
     """Cosine over TF-IDF vectors (queries embedded with the corpus idf), top-k per query."""
-    post = postings(docs, id_col, text_col)
-    n_docs = post.select(F.countDistinct("doc_id")).scalar()
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dv = tfidf_vectors(post)
+    idx = text_index(docs, id_col, text_col)
+    n_docs = doc_lengths(idx).select(F.count(F.lit(1))).scalar()
+    df = doc_freq(idx)
+    dv = tfidf_vectors(idx)
     qp = queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(F.col(q_text))).alias("term")) \
         .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     qw = qp.join(df, "term", "left").select(
@@ -98,7 +148,7 @@ def semantic_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFr
         (F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0)).alias("w"))
     qn = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
     qv = qw.join(qn, "query_id").select("query_id", "term", (F.col("w") / F.col("qnorm")).alias("qw"))
-    s = qv.join(dv, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("weight")).alias("s"))
+    s = score_by_term(dv, "weight", qv, doc_partitioned=False)
     s = s.select("query_id", "doc_id", F.round("s", 6).alias("score"))
     return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
 

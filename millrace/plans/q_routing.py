@@ -181,8 +181,8 @@ def relevant_docs(c: Ctx):
     ``contains`` on the whole text then decides.
     """
     b = c.benchmark.select(F.col("item_id").alias("query_id"), "text", tokens(F.col("text")).alias("tk"))
-    post = D.postings(c.documents, "doc_id", "text")
-    df = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    post = D.text_index(c.documents, "doc_id", "text")
+    df = D.doc_freq(post)
     interior = F.slice("tk", 2, F.size("tk") - 2)
     bt = b.where(F.size("tk") >= 3).select("query_id", F.explode(F.array_distinct(interior)).alias("term"))
     rare = bt.join(df, "term").groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")) \

@@ -72,8 +72,8 @@ def postings(p, docs, id_col, text_col):
 
 def bm25(p, docs, id_col, text_col, k, queries=USER_Q, doc_filter=None):
     c = postings(p, docs, id_col, text_col)
-    c[f"{p}w"] = (f"SELECT doc_id, term, ln({DB(1.0)} + (n - df + {DB(0.5)}) / (df + {DB(0.5)})) * (tf * {DB(2.2)})"
-                  f" / (tf + {DB(1.2)} * ({DB(0.25)} + {DB(0.75)} * dl / avgdl)) AS w "
+    c[f"{p}w"] = (f"SELECT doc_id, term, ln({DB(1.0)} + (n - df + {DB(0.5)}) / (df + {DB(0.5)})) * ((tf * {DB(2.2)})"
+                  f" / (tf + {DB(1.2)} * ({DB(0.25)} + {DB(0.75)} * dl / avgdl))) AS w "
                   f"FROM {p}post JOIN {p}dl USING (doc_id) JOIN {p}df USING (term), {p}stats")
     c[f"{p}q"] = f"SELECT query_id, unnest(list_distinct({TOK('text')})) AS term FROM ({queries})"
     filt = f" WHERE (query_id, doc_id) IN (SELECT query_id, doc_id FROM {doc_filter})" if doc_filter else ""
