@@ -32,26 +32,28 @@ RRF_K = 60
 
 # ---------------------------------------------------------------- text index -----------------
 def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, term, tf) over whole texts.
+    """(doc_id, term, tf, dl) over whole texts.
 
     Documents are hash-partitioned by doc_id first (one shuffle of the raw text),
-    so tokenising runs in parallel and every later per-document step
-    (term counts, document length, doc-side weights) needs no further shuffle.
+    so tokenising runs in parallel and every later per-document step needs no
+    further shuffle. The document length is the token count, taken before the
+    explode, so it needs no aggregate-and-join.
     """
     d = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")) \
-        .repartition("doc_id")
-    return d.select("doc_id", F.explode(tokens(F.col("_text"))).alias("term")) \
-        .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        .repartition("doc_id").select("doc_id", tokens(F.col("_text")).alias("_tk"))
+    return d.select("doc_id", F.size("_tk").cast("bigint").alias("dl"), F.explode("_tk").alias("term")) \
+        .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def text_index(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Inverted index (doc_id, term, tf, dl), doc-partitioned, materialised once with a reliable
-    ``checkpoint()`` in the shared checkpoint folder (lineage cut; several consumers read it)."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(docs.sparkSession)
-    post = postings(docs, id_col, text_col)
-    dl = post.groupBy("doc_id").agg(F.sum("tf").alias("dl"))
-    return post.join(dl, "doc_id").checkpoint(eager=True)
+def text_index(docs: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
+    """Inverted index (doc_id, term, tf, dl), written once as a Parquet table in the shared
+    checkpoint folder (lineage cut: executor loss re-reads files instead of re-tokenising)
+    and read back hash-partitioned by doc_id for the doc-side steps."""
+    from ..session import scratch_path
+    spark = docs.sparkSession
+    path = path or scratch_path(spark, "text_index")
+    postings(docs, id_col, text_col).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path).repartition("doc_id")
 
 
 def doc_lengths(idx: DataFrame) -> DataFrame:
@@ -81,10 +83,10 @@ def bm25_query_side(idx: DataFrame, q_terms: DataFrame, stats) -> DataFrame:
 
 
 def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                   q_text: str, k: int = 10, doc_filter: DataFrame | None = None) -> DataFrame:
+                   q_text: str, k: int = 10, doc_filter: DataFrame | None = None, idx: DataFrame | None = None) -> DataFrame:
     """BM25 top-k documents per query. ``doc_filter`` (query_id, doc_id) pairs restrict
-    candidates before ranking (I04)."""
-    idx = text_index(docs, id_col, text_col)
+    candidates before ranking (I04). ``idx`` reuses an index built by ``text_index``."""
+    idx = text_index(docs, id_col, text_col) if idx is None else idx
     dw, stats = bm25_doc_side(idx)
     qw = bm25_query_side(idx, query_terms(queries, qid_col, q_text), stats)
     s = score_by_term(dw, "w", qw)
@@ -135,9 +137,9 @@ def embed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def semantic_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                    q_text: str, k: int = 10) -> DataFrame:
+                    q_text: str, k: int = 10, idx: DataFrame | None = None) -> DataFrame:
     """Cosine over TF-IDF vectors (queries embedded with the corpus idf), top-k per query."""
-    idx = text_index(docs, id_col, text_col)
+    idx = text_index(docs, id_col, text_col) if idx is None else idx
     n_docs = doc_lengths(idx).select(F.count(F.lit(1))).scalar()
     df = doc_freq(idx)
     dv = tfidf_vectors(idx)
