@@ -33,7 +33,7 @@ SELECT origin_location, destination_location, carrier, count(*) AS shipments, CA
 FROM shipments GROUP BY origin_location, destination_location, carrier""", "shipments")
 
 LATE = f"""SELECT shipment_id, part_id, supplier_id, status, expected_delivery,
-  {d(C.AS_OF_SHIPPING)} - expected_delivery AS days_late
+  CAST({d(C.AS_OF_SHIPPING)} - expected_delivery AS INTEGER) AS days_late
 FROM shipments WHERE status IN {OPEN_SHIP} AND expected_delivery < {d(C.AS_OF_SHIPPING)}"""
 CTES["late"] = LATE
 DEPS["late"] = ["shipments"]
@@ -43,7 +43,7 @@ _net = "CAST(total_amount AS DECIMAL(18,2)) - CAST(discount_amount AS DECIMAL(18
 ORACLE["sales_kpis"] = with_ctes(f"""
 SELECT region, sales_rep_id, strftime(transaction_date, '%Y-%m') AS month, count(*) AS lines,
   CAST(sum({_net}) AS DOUBLE) AS revenue, {MONEY('discount_amount')} AS discount, {MONEY('tax_amount')} AS tax,
-  CAST(GROUPING(region, sales_rep_id, strftime(transaction_date, '%Y-%m')) AS INTEGER) AS grouping_level
+  CAST(GROUPING(region, sales_rep_id, strftime(transaction_date, '%Y-%m')) AS BIGINT) AS grouping_level
 FROM transactions GROUP BY ROLLUP (region, sales_rep_id, strftime(transaction_date, '%Y-%m'))""", "transactions")
 
 ORACLE["kpi_trends"] = with_ctes(f"""
@@ -172,5 +172,5 @@ ORACLE["asof_stock_at_order"] = with_ctes("""
 , sd AS (SELECT part_id, shipment_date, max(shipment_id) AS shipment_id FROM shipments GROUP BY part_id, shipment_date),
 tx AS (SELECT transaction_id, product_id, transaction_date, CAST(transaction_date AS DATE) AS day FROM transactions)
 SELECT tx.transaction_id, tx.product_id, tx.transaction_date, sd.shipment_id AS last_shipment_id,
-  sd.shipment_date AS last_shipment_date, tx.day - sd.shipment_date AS days_since_shipment
+  sd.shipment_date AS last_shipment_date, CAST(tx.day - sd.shipment_date AS INTEGER) AS days_since_shipment
 FROM tx ASOF LEFT JOIN sd ON tx.product_id = sd.part_id AND tx.day >= sd.shipment_date""", "transactions", "shipments")

@@ -50,7 +50,7 @@ WHERE p.id IS NULL OR c.id IS NULL OR p.content_hash <> c.content_hash""", "vix"
 def knn(extra=""):
     return with_ctes(f"""
 SELECT q.id AS query_id, i.id, round(list_inner_product(q.vector, i.vector), 9) AS score,
-  row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS rank
+  CAST(row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS INTEGER) AS rank
 FROM vix q JOIN vix i ON q.id <> i.id {extra}
 QUALIFY rank <= 10""", "vix")
 
@@ -79,7 +79,7 @@ def bm25(p, docs, id_col, text_col, k, queries=USER_Q, doc_filter=None):
     filt = f" WHERE (query_id, doc_id) IN (SELECT query_id, doc_id FROM {doc_filter})" if doc_filter else ""
     c[f"{p}s"] = (f"SELECT query_id, doc_id, round(sum(w), 6) AS score FROM {p}q JOIN {p}w USING (term)"
                   f"{filt} GROUP BY query_id, doc_id")
-    c[f"{p}top"] = (f"SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank "
+    c[f"{p}top"] = (f"SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank "
                     f"FROM {p}s QUALIFY rank <= {k}")
     return c
 
@@ -122,7 +122,7 @@ _sem["sqw"] = (f"SELECT query_id, term, tf * (ln(({DB(1.0)} + n) / (coalesce(df,
 _sem["sqv"] = ("SELECT query_id, term, w / qnorm AS qw FROM sqw JOIN "
                "(SELECT query_id, sqrt(sum(w * w)) AS qnorm FROM sqw GROUP BY query_id) USING (query_id)")
 _sem["sems"] = "SELECT query_id, doc_id, round(sum(qw * weight), 6) AS score FROM sqv JOIN tfv USING (term) GROUP BY ALL"
-_sem["semtop"] = ("SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank "
+_sem["semtop"] = ("SELECT query_id, doc_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank "
                   "FROM sems QUALIFY rank <= 10")
 _sem.update(bm25("kw", "documents", "doc_id", "text", 10))
 ORACLE["hybrid_search"] = "WITH " + ctes(_sem) + """,
@@ -130,7 +130,7 @@ fused AS (SELECT coalesce(a.query_id, b.query_id) AS query_id, coalesce(a.doc_id
             a.rank AS r_sem, b.rank AS r_kw,
             round(coalesce(CAST(1.0 AS DOUBLE) / (60 + a.rank), 0.0) + coalesce(CAST(1.0 AS DOUBLE) / (60 + b.rank), 0.0), 9) AS rrf_score
           FROM semtop a FULL OUTER JOIN kwtop b ON a.query_id = b.query_id AND a.doc_id = b.doc_id)
-SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, doc_id) AS rank FROM fused QUALIFY rank <= 10"""
+SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, doc_id) AS INTEGER) AS rank FROM fused QUALIFY rank <= 10"""
 
 PRESETS = [("sop", "standard_operating_procedures", "id", "procedure_text", 5),
            ("incidents", "incident_reports", "id", "incident_description", 3),
@@ -152,5 +152,5 @@ _m, _u, _t = presets()
 ORACLE["retriever_presets"] = query_sql(_u, _m, *_t)
 _m, _u, _t = presets(["sop", "incidents"])
 ORACLE["search_domain"] = query_sql(f"""
-SELECT retriever, query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, retriever, id) AS rank
+SELECT retriever, query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, retriever, id) AS INTEGER) AS rank
 FROM (SELECT retriever, query_id, id, score FROM ({_u})) QUALIFY rank <= 5""", _m, *_t)

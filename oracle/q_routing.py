@@ -155,7 +155,7 @@ FROM q LEFT JOIN nrel ON q.query_id = nrel.query_id LEFT JOIN hits ON q.query_id
 ORACLE["peak_concurrency"] = with_ctes("""
 , pts AS (SELECT epoch_us(start) AS t, 1 AS d FROM spans UNION ALL SELECT epoch_us(start) + duration_ms * 1000, -1 FROM spans),
 lv AS (SELECT t, sum(d) OVER (ORDER BY t, d ROWS UNBOUNDED PRECEDING) AS level FROM pts)
-SELECT max(level) AS peak_concurrency, make_timestamp(min(t) FILTER (WHERE level = (SELECT max(level) FROM lv))) AS first_peak_at,
+SELECT CAST(max(level) AS BIGINT) AS peak_concurrency, make_timestamp(min(t) FILTER (WHERE level = (SELECT max(level) FROM lv))) AS first_peak_at,
   max(level) >= 100 AS meets_target FROM lv""", "spans")
 ORACLE["request_log_stats"] = """
 SELECT CAST(ts AS DATE) AS day, event_type AS endpoint, count(*) AS requests, count_if(event_type = 'error') AS errors,

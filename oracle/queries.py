@@ -59,7 +59,7 @@ CTES["shortage"] = SHORTAGE_SQL
 DEPS["shortage"] = ["inventory", "usage"]
 oracle("predict_shortage", "shortage")("SELECT * FROM shortage")
 
-_cd = f"({d(C.AS_OF_SALES)} - last_purchase_date)"
+_cd = f"CAST({d(C.AS_OF_SALES)} - last_purchase_date AS INTEGER)"
 _avg = "CASE WHEN total_orders > 0 THEN total_spent / total_orders ELSE CAST(0.0 AS DOUBLE) END"
 _p = (f"(least(CAST(1.0 AS DOUBLE), {_cd} / CAST(90.0 AS DOUBLE)) * CAST(0.5 AS DOUBLE)"
       f" + greatest(CAST(0.0 AS DOUBLE), CAST(1.0 AS DOUBLE) - total_orders / CAST(20.0 AS DOUBLE)) * CAST(0.3 AS DOUBLE)"
