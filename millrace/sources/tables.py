@@ -23,12 +23,31 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Fact tables whose scan is spread when it yields too few splits (see ``rebalance_small_scan``).
+FACT_TABLES = {"lineitem", "orders", "events", "documents"}
+
+
+def rebalance_small_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer input splits than the session's parallelism.
+
+    Parquet splits at row-group boundaries, so a file with one row group is read
+    by one task however large it is. Such a scan is spread once with a
+    round-robin shuffle. On a cluster reading many files the scan already has
+    at least one split per core and this is a no-op.
+    """
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     casts = [F.col(f.name).cast("timestamp").alias(f.name)
              if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
              for f in df.schema.fields]
-    return df.select(*casts)
+    out = df.select(*casts)
+    return rebalance_small_scan(out) if name in FACT_TABLES else out
 
 
 class Tables:
