@@ -24,7 +24,7 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 # Fact tables whose scan is spread when it yields too few splits (see ``rebalance_small_scan``).
-FACT_TABLES = {"lineitem", "orders", "events", "documents"}
+FACT_TABLES = {"lineitem", "orders"}
 
 
 def rebalance_small_scan(df: DataFrame) -> DataFrame:
