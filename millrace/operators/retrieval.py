@@ -155,6 +155,50 @@ def semantic_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFr
     return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
 
 
+def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
+                       q_text: str, k: int = 10, idx: DataFrame | None = None) -> DataFrame:
+    """D07 over text: BM25 and TF-IDF cosine from ONE term join, fused by reciprocal rank.
+
+    Both scores are sums over the same shared terms, so one join of query-term
+    rows (idf for BM25, normalised TF-IDF weight for cosine) with the doc-side
+    rows produces both per (query, doc). The pair scores are written once to the
+    shared checkpoint folder; the two top-k lists are read from there.
+    """
+    from ..session import scratch_path
+    spark = docs.sparkSession
+    idx = text_index(docs, id_col, text_col) if idx is None else idx
+    stats = doc_lengths(idx).select(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
+    df = doc_freq(idx)
+    smooth_idf = F.log((F.lit(1.0) + stats["n"]) / (F.col("df") + 1.0)) + 1.0
+    bm_norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / stats["avgdl"])
+    d = idx.join(df, "term").select("doc_id", "term", ((F.col("tf") * (BM25_K1 + 1)) / bm_norm).alias("w_bm"),
+                                    (F.col("tf") * smooth_idf).alias("w_raw"))
+    nrm = d.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w_raw") * F.col("w_raw"))).alias("norm"))
+    dside = d.join(nrm, "doc_id").select("doc_id", "term", "w_bm", (F.col("w_raw") / F.col("norm")).alias("w_cos"))
+    qp = queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(F.col(q_text))).alias("term")) \
+        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+    qw = qp.join(df, "term", "left").select(
+        "query_id", "term", "df",
+        (F.col("tf") * (F.log((F.lit(1.0) + stats["n"]) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0)).alias("w"))
+    qn = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
+    qside = qw.where(F.col("df").isNotNull()).join(qn, "query_id").select(
+        "query_id", "term", (F.col("w") / F.col("qnorm")).alias("q_cos"),
+        F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("q_bm"))
+    if qside.count() <= MAX_BROADCAST_QUERY_TERMS:
+        qside = F.broadcast(qside)
+    pairs = dside.repartition("doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
+        F.round(F.sum(F.col("q_cos") * F.col("w_cos")), 6).alias("s_cos"),
+        F.round(F.sum(F.col("q_bm") * F.col("w_bm")), 6).alias("s_bm"))
+    path = scratch_path(spark, "hybrid_pairs")
+    pairs.write.mode("overwrite").parquet(path)
+    pairs = spark.read.parquet(path)
+    sem = top_k(pairs.select("query_id", "doc_id", F.col("s_cos").alias("score")), ["query_id"],
+                [F.col("score").desc(), F.col("doc_id")], k)
+    key = top_k(pairs.select("query_id", "doc_id", F.col("s_bm").alias("score")), ["query_id"],
+                [F.col("score").desc(), F.col("doc_id")], k)
+    return hybrid_search(sem, key, k)
+
+
 def hybrid_search(semantic: DataFrame, keyword: DataFrame, k: int = 10) -> DataFrame:
     """Reciprocal-rank fusion 1/(60 + r) over the two ranked lists (full outer on query, doc)."""
     a = semantic.select("query_id", "doc_id", F.col("rank").alias("r_sem"))

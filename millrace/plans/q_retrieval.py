@@ -101,10 +101,7 @@ def q_keyword_search(spark, sf):
 @query("hybrid_search")
 def q_hybrid_search(spark, sf):
     c = Ctx(spark, sf)
-    idx = D.text_index(c.documents, "doc_id", "text")
-    sem = D.semantic_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K, idx=idx)
-    key = D.keyword_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K, idx=idx)
-    return D.hybrid_search(sem, key, K)
+    return D.hybrid_text_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K)
 
 
 @query("project_results")
