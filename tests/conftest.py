@@ -19,7 +19,7 @@ def spark():
 
     b = (SparkSession.builder.master("local[*]").appName("millrace-tests")
          .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "8g"))
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
