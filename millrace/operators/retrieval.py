@@ -53,7 +53,14 @@ def text_index(docs: DataFrame, id_col: str, text_col: str, path: str | None = N
     spark = docs.sparkSession
     path = path or scratch_path(spark, "text_index")
     postings(docs, id_col, text_col).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).repartition("doc_id")
+    return spark.read.parquet(path).repartition(scoring_partitions(spark), "doc_id")
+
+
+def scoring_partitions(spark) -> int:
+    """Partitions for the doc side of scoring. The index is small in bytes but every row fans
+    out to all queries sharing its term, so AQE's byte-based coalescing would put that work on
+    a few tasks; an explicit count (not coalesced) keeps it spread over the cluster."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
 def doc_lengths(idx: DataFrame) -> DataFrame:
@@ -113,7 +120,7 @@ def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitio
     if qt.count() <= MAX_BROADCAST_QUERY_TERMS:
         qt = F.broadcast(qt)
         if not doc_partitioned:
-            dw = dw.repartition("doc_id")
+            dw = dw.repartition(scoring_partitions(dw.sparkSession), "doc_id")
     return dw.join(qt, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
 
 
@@ -186,7 +193,7 @@ def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: Dat
         F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("q_bm"))
     if qside.count() <= MAX_BROADCAST_QUERY_TERMS:
         qside = F.broadcast(qside)
-    pairs = dside.repartition("doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
+    pairs = dside.repartition(scoring_partitions(spark), "doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
         F.round(F.sum(F.col("q_cos") * F.col("w_cos")), 6).alias("s_cos"),
         F.round(F.sum(F.col("q_bm") * F.col("w_bm")), 6).alias("s_bm"))
     path = scratch_path(spark, "hybrid_pairs")
