@@ -1,0 +1,117 @@
+"""Secret scan with corpus-wide ownership frequency.
+
+Patterns propose spans. Every proposed value is hashed, and the hashes are aggregated over the whole
+corpus by distinct repository and owner. A value that many owners hold is a widely copied example;
+a value that one owner holds looks live. The base kinds (assign, access, hex) always stay in
+the result; opaque tokens (mixed letters and digits) are added where they look live.
+
+Defined cases: NULL text counts as empty; a NULL owner is an owner of its own; spans are code
+points, end exclusive; repeated rows and equal ids each give a row; an empty table gives an empty
+result; further columns of the input do not matter.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .common import regex_spans, sha256_hex, text_or_empty, written
+
+# The stated patterns; possessive where a match cannot depend on giving characters back.
+ASSIGN = (r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9+/_.=-]++")
+ASSIGN_VALUE = r"^[A-Za-z_]+[\"']?\x20*+[:=]\x20*+[\"']?([A-Za-z0-9+/_.=-]++)$"
+# A maximal run below the least length is never a match, so the length can be part of the pattern.
+ACCESS = r"AKIA[A-Z0-9]{16,}+"
+HEX = r"(?<![0-9a-f])[0-9a-f]{24,}+"
+OPAQUE = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+"
+
+BASE = ("assign", "access", "hex")
+MIN_ASSIGN_CHARS = 6
+#: A value held by this many owners or more is a widely copied example.
+EXAMPLE_OWNERS = 3
+
+
+def propose(text: Column) -> Column:
+    """array<struct<start,kind,end,value>> of base spans and opaque candidates, by start, then kind."""
+    def of(kind: str, spans: Column, value) -> Column:
+        return F.transform(spans, lambda s: F.struct(
+            s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), value(s["value"]).alias("value")))
+
+    assign = F.filter(of("0assign", regex_spans(text, ASSIGN), lambda v: F.regexp_extract(v, ASSIGN_VALUE, 1)),
+                      lambda s: F.length(s["value"]) >= MIN_ASSIGN_CHARS)
+    access = of("1access", regex_spans(text, ACCESS), lambda v: v)
+    hexes = of("2hex", regex_spans(text, HEX), lambda v: v)
+    opaque = F.filter(of("3opaque", regex_spans(text, OPAQUE), lambda v: v),
+                      lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Z]") & s["value"].rlike("[a-z]"))
+    # The digit before the kind makes the listed order the sort order; it is cut off on output.
+    return F.array_sort(F.concat(assign, access, hexes, opaque))
+
+
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
+                 repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per input row: doc_id, ``spans`` array<struct<start,kind,end,live>> (base spans and the
+    opaque ones that look live, not overlapping a base span), and the ``carry`` columns.
+
+    The scan is written once (spans only, no texts); ownership and the join back read that table.
+    All shuffles carry candidate hashes, not documents; groups are counted by partial sums, and a
+    value that a third of the rows hold shrinks to one row per owner before it meets other rows.
+    """
+    proposed = written(docs.select(
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), F.col(owner_col).alias("_owner"),
+        F.col(repo_col).cast("string").alias("_repo"), propose(text_or_empty(text_col)).alias("_spans"),
+        *[F.col(c).alias(f"_carry_{c}") for c in carry]), "secrets")
+    each = (proposed.where(F.size("_spans") > 0)
+            .select("_row", "_owner", "_repo", F.explode("_spans").alias("s"))
+            .select("_row", "_owner", "_repo", "s.start", "s.kind", "s.end", F.sha2(F.col("s.value").cast("binary"), 256).alias("_hash")))
+    ownership = (each.groupBy("_hash", "_owner", "_repo").agg(F.count(F.lit(1)).alias("_n"))
+                 .groupBy("_hash", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
+                 .groupBy("_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("_repos").alias("n_repos")))
+    widely = ownership.where(F.col("n_owners") >= example_owners).select("_hash", F.lit(True).alias("_example"))
+    rated = each.join(widely, "_hash", "left").withColumn("live", F.col("_example").isNull())
+    per_row = rated.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
+        "start", F.substring("kind", 2, 20).alias("kind"), "end", "live", F.substring("kind", 1, 1).alias("order")))).alias("all"))
+
+    base = F.filter("all", lambda s: s["kind"].isin(*BASE))
+
+    def free(s: Column) -> Column:
+        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    kept = F.filter("all", lambda s: s["kind"].isin(*BASE) | (s["live"] & free(s)))
+    ordered = F.transform(F.array_sort(F.transform(kept, lambda s: F.struct(
+        s["start"].alias("start"), s["order"].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))),
+        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))
+    none = F.array().cast("array<struct<start:bigint,kind:string,end:bigint,live:boolean>>")
+    return (proposed.join(per_row.select("_row", ordered.alias("spans")), "_row", "left")
+            .select("doc_id", F.coalesce("spans", none).alias("spans"), *[F.col(f"_carry_{c}").alias(c) for c in carry]))
+
+
+def _labels(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _count(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+
+def secret_digest(found: DataFrame) -> DataFrame:
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE))
+    return found.select(
+        "doc_id", *[_count("spans", k).alias(f"n_{k}") for k in BASE],
+        sha256_hex(_labels(base)).alias("base_sha256"), _labels(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
+        F.size(F.filter("spans", lambda s: ~s["live"])).cast("bigint").alias("n_example"))
+
+
+def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
+    """``text`` with the union of the spans replaced by ``mask``. Cuts are made from the left, on
+    spans merged where they overlap."""
+    spans = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def step(acc: Column, s: Column) -> Column:
+        inside = (s["start"] < acc["at"]) | ((s["start"] == acc["at"]) & (acc["at"] > 0))
+        gap = F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        out = F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit(mask)))
+        return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
+
+    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda acc: F.concat(
+        acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))))
