@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, quality, secrets
+from . import bpe, mixing, pii, quality, secrets
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +40,11 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op8_bpe")
+def op8_bpe(spark, sf_dir):
+    return bpe.digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op9_pii")
 def op9_pii(spark, sf_dir):
     return pii.pii_digest(pii.find_pii(documents(spark, sf_dir)))
