@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, pii, quality, secrets
+from . import bpe, fingerprint, mixing, pii, quality, secrets, tokencount
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,11 @@ def op6_mix_sources(spark, sf_dir):
     return mixing.mix(documents(spark, sf_dir))
 
 
+@query("op7_token_counts")
+def op7_token_counts(spark, sf_dir):
+    return tokencount.document_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op8_bpe")
 def op8_bpe(spark, sf_dir):
     return bpe.digest(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
@@ -50,6 +55,11 @@ def op9_pii(spark, sf_dir):
     return pii.pii_digest(pii.find_pii(documents(spark, sf_dir)))
 
 
+@query("op10_fingerprints")
+def op10_fingerprints(spark, sf_dir):
+    return fingerprint.fingerprints(documents(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
