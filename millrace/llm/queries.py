@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, mixing, pii, quality, secrets, tokencount
+from . import bpe, fingerprint, minhash, mixing, pii, quality, secrets, tokencount
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_near_dedup")
+def op1_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
     return secrets.secret_digest(secrets.find_secrets(documents(spark, sf_dir)))
