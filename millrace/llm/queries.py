@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, minhash, mixing, pii, quality, secrets, tokencount
+from . import bpe, fingerprint, minhash, mixing, pii, quality, secrets, substring, tokencount
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op1_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op2_substring_dedup")
+def op2_substring_dedup(spark, sf_dir):
+    return substring.remove_repeats(documents(spark, sf_dir))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
     return secrets.secret_digest(secrets.find_secrets(documents(spark, sf_dir)))
