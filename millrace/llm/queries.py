@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, minhash, mixing, pii, quality, secrets, substring, tokencount
+from . import bpe, fingerprint, htmltree, minhash, mixing, pii, quality, secrets, substring, tokencount
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op2_substring_dedup(spark, sf_dir):
     return substring.remove_repeats(documents(spark, sf_dir))
 
 
+@query("op3_html_text")
+def op3_html_text(spark, sf_dir):
+    return htmltree.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
     return secrets.secret_digest(secrets.find_secrets(documents(spark, sf_dir)))
