@@ -210,37 +210,48 @@ class Encoder:
                     yield p, None
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for piece, special in self.parts(text):
-            if special is not None:
-                out.append(special)
-            else:
-                words = self.tokenizer.split(piece)
-                table = self.ids_of(words)
-                for w in words:
-                    out.extend(table[w])
-        return out
+        return next(self.encode_many([text])).tolist()
+
+    def blocks(self, texts: list[str]) -> Iterator[list[list[tuple[list[str] | None, int | None]]]]:
+        """Consecutive texts of about ``PIECE_CHARS`` in all, each as its parts: (words, None) or (None, special id)."""
+        block, held = [], 0
+        for text in texts:
+            if block and held + len(text) > PIECE_CHARS:
+                yield block
+                block, held = [], 0
+            block.append([(None, sp) if sp is not None else (self.tokenizer.split(p), None) for p, sp in self.parts(text)])
+            held += len(text)
+        if block:
+            yield block
+
+    def encode_many(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text."""
+        for block in self.blocks(texts):
+            table = self.ids_of([w for parts in block for ws, _ in parts if ws for w in ws])
+            for parts in block:
+                ids = [i for ws, sp in parts for part in ([[sp]] if sp is not None else map(table.__getitem__, ws)) for i in part]
+                yield np.array(ids, dtype=np.int32)
 
     def decode(self, ids) -> str:
         """The vocabulary's tokens, joined by blanks (the format has no decoder)."""
         return " ".join(map(self.tokenizer.tokens.__getitem__, ids))
 
     def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
-        """(number of ids, sha256 of the ids, sha256 of the decoded text) per text, in blocks."""
-        block: list[list[tuple[list[str] | None, int | None]]] = []
-        held = 0
+        """(number of ids, sha256 of the ids, sha256 of the decoded text) per text. Texts above a block go
+        through the hashes piece by piece."""
+        short: list[str] = []
         for text in texts:
             if len(text) > PIECE_CHARS:
-                yield from self._digest_block(block)
-                block, held = [], 0
+                yield from self._digest_short(short)
+                short = []
                 yield self._digest_long(text)
-                continue
-            block.append([(None, sp) if sp is not None else (self.tokenizer.split(p), None) for p, sp in self.parts(text)])
-            held += len(text)
-            if held > PIECE_CHARS:
-                yield from self._digest_block(block)
-                block, held = [], 0
-        yield from self._digest_block(block)
+            else:
+                short.append(text)
+        yield from self._digest_short(short)
+
+    def _digest_short(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+        for block in self.blocks(texts):
+            yield from self._digest_block(block)
 
     def _strings(self, words: list[str]) -> dict[str, tuple[int, str, str]]:
         """Per distinct word that has ids: their number, and both strings."""
@@ -332,17 +343,21 @@ def shared_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     return docs.sparkSession.sparkContext.broadcast((spec, compile_lexicon(entries)))
 
 
-def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids array<int>."""
+def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
+           carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the ``carry`` columns, ids array<int>."""
     shared = shared_lexicon(docs, tokenizer_path, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [encoder.encode(t) for t in b["text"]]})
+            for at in range(0, len(b), 500):  # bounds the ids held at once
+                part = b.iloc[at:at + 500]
+                yield part[["doc_id", *carry]].assign(ids=list(encoder.encode_many(part["text"].tolist())))
 
-    d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    return d.mapInPandas(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    d = docs.select(F.col(id_col).alias("doc_id"), *carry, text_or_empty(text_col).alias("text"))
+    types = ", ".join(f"`{c}` {d.schema[c].dataType.simpleString()}" for c in ("doc_id", *carry))
+    return d.mapInPandas(run, f"{types}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, htmltree, minhash, mixing, pii, quality, secrets, substring, tokencount
+from . import bpe, fingerprint, htmltree, minhash, mixing, pii, quality, secretscan, substring, tokencount
 from .oracles import ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,7 +42,7 @@ def op3_html_text(spark, sf_dir):
 
 @query("op4_secret_scan")
 def op4_secret_scan(spark, sf_dir):
-    return secrets.secret_digest(secrets.find_secrets(documents(spark, sf_dir)))
+    return secretscan.secret_digest(secretscan.find_secrets(documents(spark, sf_dir)))
 
 
 @query("op5_quality_rules")
@@ -75,6 +76,11 @@ def op10_fingerprints(spark, sf_dir):
     return fingerprint.fingerprints(documents(spark, sf_dir))
 
 
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
