@@ -23,8 +23,8 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b"
-SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
+IBAN = r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])"
+SSN = r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])"
 
 ACCEPT = 60
 #: Score of a confirmed span by kind, and what a context word adds.
@@ -88,7 +88,7 @@ def confirmed(kind: str, value: Column) -> Column:
 
 def score(kind: str, span: Column) -> Column:
     near = F.concat_ws(" ", span["before"], span["after"])
-    return F.lit(SCORES[kind]) + F.when(near.rlike(rf"(?i)\b(?:{CONTEXT_WORDS[kind]})"), CONTEXT_BONUS).otherwise(0)
+    return F.lit(SCORES[kind]) + F.when(near.rlike(rf"(?i)(?<![A-Za-z0-9_])(?:{CONTEXT_WORDS[kind]})"), CONTEXT_BONUS).otherwise(0)
 
 
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
