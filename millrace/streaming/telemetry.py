@@ -13,6 +13,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,18 @@ from ..sources.tables import table_path
 WATERMARK = "10 minutes"
 
 
+#: Files that one micro-batch takes at most, so a backlog is worked off in bounded steps.
+MAX_FILES_PER_TRIGGER = 200
+
+
 def event_stream(spark: SparkSession, folder: str, name: str = "events") -> DataFrame:
-    """Stream the Parquet files of table ``name`` in ``folder`` (schema from the file footer,
-    never inferred from data); ``timestamp_ntz`` is cast to ``timestamp`` for watermarks."""
-    schema = spark.read.parquet(table_path(folder, name)).schema
-    s = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+    """Stream the Parquet files of table ``name`` in ``folder``, be it one file or a folder to which files are
+    added (schema from the footers, never inferred from data); ``timestamp_ntz`` is cast to
+    ``timestamp`` for watermarks."""
+    path = table_path(folder, name)
+    schema = spark.read.parquet(path).schema
+    # As a glob, a path may name a single file, which a stream's plain path may not.
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER).parquet(path[:-1] + f"[{path[-1]}]")
     return s.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
                       else F.col(f.name) for f in schema.fields])
 
@@ -67,8 +75,13 @@ def sliding(tel: DataFrame, size: str = "1 hour", slide: str = "15 minutes") ->
 
 
 def error_sessions(tel: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Runs of ERROR readings per device separated by at least ``gap``."""
-    w = tel.withWatermark("timestamp", WATERMARK).where(F.col("operational_status") == "ERROR")
+    """Runs of ERROR readings per device separated by at least ``gap``.
+
+    The watermark follows all readings, so sessions of a fleet without new errors close as well: the
+    filter reads the event time, which keeps it above the watermark.
+    """
+    is_error = F.when(F.col("timestamp").isNull(), False).otherwise(F.col("operational_status") == "ERROR")
+    w = tel.withWatermark("timestamp", WATERMARK).where(is_error)
     return w.groupBy(F.session_window("timestamp", gap), "device_id").agg(F.count(F.lit(1)).alias("errors")).select(
         "device_id", F.col("session_window.start").alias("session_start"),
         F.col("session_window.end").alias("session_end"), "errors")
@@ -104,21 +117,29 @@ def _status_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
     class StatusChange(StatefulProcessor):
-        """Keeps the last status per device; emits a row only when it changes."""
+        """Keeps the last reading per device; emits a row only when the status changes. A reading older than
+        the last one seen tells nothing about the present and is passed over."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.last = handle.getValueState("last", "status string")
+            self.last = handle.getValueState("last", "timestamp timestamp, reading_id string, status string")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            # A device's rows of one micro-batch, which the source's file limit bounds.
             pdf = pd.concat(list(rows)).sort_values(["timestamp", "reading_id"])
-            prev = self.last.get()[0] if self.last.exists() else None
-            out = []
-            for ts, rid, st in zip(pdf["timestamp"], pdf["reading_id"], pdf["operational_status"]):
-                if prev is not None and st != prev:
-                    out.append((key[0], ts, rid, prev, st))
-                prev = st
-            self.last.update((prev,))
-            yield pd.DataFrame(out, columns=[f.name for f in STATUS_OUT.fields])
+            before = None
+            if self.last.exists():
+                ts, rid, before = self.last.get()
+                ts = pd.Timestamp(ts)
+                pdf = pdf[(pdf["timestamp"] > ts) | (pdf["timestamp"] == ts) & (pdf["reading_id"] > rid)]
+            previous = pdf["operational_status"].shift(1)
+            if len(pdf):
+                previous.iloc[0] = before
+                end = pdf.iloc[-1]
+                self.last.update((end["timestamp"].to_pydatetime(), end["reading_id"], end["operational_status"]))
+            changed = previous.notna() & (previous != pdf["operational_status"])
+            out = pdf[changed]
+            yield pd.DataFrame({"device_id": key[0], "timestamp": out["timestamp"], "reading_id": out["reading_id"],
+                                "previous_status": previous[changed], "new_status": out["operational_status"]})
 
         def close(self) -> None:
             pass
@@ -141,7 +162,7 @@ def status_change_alerts(tel: DataFrame) -> DataFrame:
 
 
 def index_sync_batch(index_root: str, id_col: str, vec_col: str, meta_cols: list):
-    """foreachBatch upsert of changed vectors into a versioned index folder.
+    """foreachBatch upsert of changed vectors (and deletes, by an ``op`` column) into a versioned index folder.
 
     Batch ``n`` reads version ``n-1`` and writes version ``n`` (overwrite is
     idempotent per batch id, so a replayed batch rewrites the same version).
@@ -150,16 +171,14 @@ def index_sync_batch(index_root: str, id_col: str, vec_col: str, meta_cols: list
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.select(F.col(id_col).alias("id"), F.lit(batch_id + 1).alias("version"), F.lit("upsert").alias("op"),
+        op = F.col("op") if "op" in batch.columns else F.lit("upsert")
+        new = batch.select(F.col(id_col).alias("id"), F.lit(batch_id + 1).alias("version"), op.alias("op"),
                            *meta_cols, D.l2_normalize(F.col(vec_col)).alias("vector"))
-        try:
-            prev = spark.read.parquet(f"{index_root}/v{batch_id - 1}") if batch_id > 0 else None
-        except Exception:  # no earlier version
-            prev = None
-        if prev is None:
-            merged = D.upsert_vectors(new.where(F.lit(False)).drop("op"), new)
-        else:
-            merged = D.upsert_vectors(prev.select("id", "version", *meta_cols, "vector"), new)
+        new = new.where((F.col("op") == "delete") | F.col("vector").isNotNull())
+        # Every batch writes a version, so only the first has none before it; a failing read must fail the batch.
+        prev = spark.read.parquet(f"{index_root}/v{batch_id - 1}").select("id", "version", *meta_cols, "vector") if batch_id \
+            else new.where(F.lit(False)).drop("op")
+        merged = D.upsert_vectors(prev, new)
         merged.write.mode("overwrite").parquet(f"{index_root}/v{batch_id}")
     return run
 
@@ -169,11 +188,11 @@ def run_index_sync(stream: DataFrame, index_root: str, checkpoint: str, id_col:
     q = (stream.writeStream.foreachBatch(index_sync_batch(index_root, id_col, vec_col, meta_cols))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    last = q.lastProgress["batchId"] if q.lastProgress else 0
     spark = stream.sparkSession
-    for b in range(last, -1, -1):
+    for b in range(q.lastProgress["batchId"] if q.lastProgress else 0, -1, -1):
         try:
             return spark.read.parquet(f"{index_root}/v{b}")
-        except Exception:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise RuntimeError("index sync produced no version")

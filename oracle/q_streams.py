@@ -4,9 +4,6 @@ watermark has closed (window end <= max(event time) - 10 minutes)."""
 from .queries import ORACLE, with_ctes
 
 WM = "((SELECT max(ts) FROM events) - INTERVAL 10 MINUTE)"
-# Spark pushes the ERROR filter below the watermark operator (the filter does not touch the
-# event-time column), so the session stream's watermark follows the error readings only.
-WM_ERR = "((SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 10 MINUTE)"
 
 ORACLE["telemetry_tumbling"] = with_ctes(f"""
 SELECT device_id, date_trunc('hour', "timestamp") AS window_start, date_trunc('hour', "timestamp") + INTERVAL 1 HOUR AS window_end,
@@ -27,7 +24,7 @@ g AS (SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY device_id ORDER BY ts) IS N
                       OR ts - lag(ts) OVER (PARTITION BY device_id ORDER BY ts) >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS brk FROM e),
 s AS (SELECT *, sum(brk) OVER (PARTITION BY device_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT device_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS errors
-FROM s GROUP BY device_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {WM_ERR}""", "telemetry")
+FROM s GROUP BY device_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {WM}""", "telemetry")
 
 ORACLE["dedup_readings"] = with_ctes("SELECT * FROM telemetry", "telemetry")
 

@@ -30,3 +30,39 @@ def test_stream_equals_batch_on_closed_windows(spark):
     batch = tel.groupBy(F.window("timestamp", "1 hour", "15 minutes"), "location_id").agg(F.count(F.lit(1)).alias("n")) \
         .where(F.col("window.end") <= F.lit(wm - dt.timedelta(minutes=10)))
     assert out.count() == batch.count()
+
+
+def test_folder_source_takes_several_files_in_bounded_steps(spark, monkeypatch):
+    """The table as a folder: all files are read, a file limit makes several batches, new files arrive later."""
+    base = scratch_path(spark, "t-folder")
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.repartition(6).write.parquet(f"{base}/events.parquet")
+    monkeypatch.setattr(H, "MAX_FILES_PER_TRIGGER", 2)
+    scored = lambda: H.sample_and_score(H.event_stream(spark, base), per_mille=1000)
+    assert H.run_available_now(scored(), f"{base}/out", f"{base}/ck").count() == events.count()
+    events.limit(5).write.mode("append").parquet(f"{base}/events.parquet")
+    assert H.run_available_now(scored(), f"{base}/out", f"{base}/ck").count() == events.count() + 5
+
+
+def test_status_changes_pass_over_late_readings(spark, monkeypatch):
+    import datetime as dt
+    base = scratch_path(spark, "t-status")
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    schema = "device_id string, timestamp timestamp, reading_id string, operational_status string"
+    spark.createDataFrame([], schema).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    for rows in ([("d", at(1), "r1", "NORMAL"), ("d", at(5), "r5", "ERROR")], [("d", at(3), "r3", "NORMAL"), ("d", at(7), "r7", "ERROR"), ("d", at(9), "r9", "NORMAL")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        out = H.run_available_now(H.status_change_alerts(stream), f"{base}/out", f"{base}/ck")
+    assert sorted((r.reading_id, r.previous_status, r.new_status) for r in out.collect()) == [("r5", "NORMAL", "ERROR"), ("r9", "ERROR", "NORMAL")]
+
+
+def test_index_sync_merges_batches_and_deletes(spark):
+    base = scratch_path(spark, "t-index")
+    schema = "vec_id long, embedding array<double>, label string, op string"
+    spark.createDataFrame([], schema).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+    for rows in ([(1, [1.0, 0.0], "a", "upsert"), (2, [0.0, 2.0], "b", "upsert"), (3, [0.0, 0.0], "z", "upsert")], [(2, None, None, "delete"), (4, [3.0, 4.0], "c", "upsert")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        ix = H.run_index_sync(stream, f"{base}/index", f"{base}/ck", "vec_id", "embedding", ["label"])
+    assert {r.id: list(r.vector) for r in ix.collect()} == {1: [1.0, 0.0], 4: [0.6, 0.8]}
