@@ -4,11 +4,8 @@
   BM25 and TF-IDF cosine scores are sums over a join on ``term`` between query
   terms and postings, so only documents sharing a term with a query are ever
   paired with it (no query x corpus product).
-* Vectors: exact k-NN scans the index once per query chunk with ``mapInPandas``;
-  the query chunk is broadcast only after its row count is checked against
-  ``max_broadcast_rows`` (larger query sets are split into chunks by hash).
-  Each task keeps a running top-k per query across its batches, so at most
-  k x tasks candidates per query reach the final ``row_number`` merge.
+* Vectors: exact k-NN deals index and queries into blocks; every pair of blocks meets
+  in one task and gives k candidates a query to the final ``row_number`` merge.
 * ANN: ``BucketedRandomProjectionLSH`` from pyspark.ml (hash-table equi-join),
   then exact re-rank of the candidates.
 """
@@ -103,24 +100,17 @@ def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFra
     return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
 
 
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
-
-
 def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitioned: bool = True) -> DataFrame:
     """sum over shared terms of q_weight x doc_weight per (query, doc).
 
-    When the query-term side is below ``MAX_BROADCAST_QUERY_TERMS`` rows
-    (counted, not guessed) it is broadcast: the join runs map-side on the
-    doc-partitioned weights and the (query, doc) aggregate needs no shuffle,
-    because doc_id partitioning already clusters every (query, doc) pair.
-    Beyond the bound both sides are shuffled on the term (AQE splits hot terms).
+    One plan for all sizes: the planner broadcasts the query terms when their measured bytes are
+    below its threshold (the doc side then keeps its doc_id partitioning and the aggregate needs no
+    shuffle), and joins on the term otherwise.
     """
     qt = q_terms.select("query_id", "term", "qw")
     dw = doc_w.select("doc_id", "term", F.col(w_col).alias("_w"))
-    if qt.count() <= MAX_BROADCAST_QUERY_TERMS:
-        qt = F.broadcast(qt)
-        if not doc_partitioned:
-            dw = dw.repartition(scoring_partitions(dw.sparkSession), "doc_id")
+    if not doc_partitioned:
+        dw = dw.repartition(scoring_partitions(dw.sparkSession), "doc_id")
     return dw.join(qt, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
 
 
@@ -143,25 +133,6 @@ def embed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return tfidf_vectors(text_index(docs, id_col, text_col))
 
 
-def semantic_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                    q_text: str, k: int = 10, idx: DataFrame | None = None) -> DataFrame:
-    """Cosine over TF-IDF vectors (queries embedded with the corpus idf), top-k per query."""
-    idx = text_index(docs, id_col, text_col) if idx is None else idx
-    n_docs = doc_lengths(idx).select(F.count(F.lit(1))).scalar()
-    df = doc_freq(idx)
-    dv = tfidf_vectors(idx)
-    qp = queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(F.col(q_text))).alias("term")) \
-        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    qw = qp.join(df, "term", "left").select(
-        "query_id", "term",
-        (F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0)).alias("w"))
-    qn = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
-    qv = qw.join(qn, "query_id").select("query_id", "term", (F.col("w") / F.col("qnorm")).alias("qw"))
-    s = score_by_term(dv, "weight", qv, doc_partitioned=False)
-    s = s.select("query_id", "doc_id", F.round("s", 6).alias("score"))
-    return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
-
-
 def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
                        q_text: str, k: int = 10, idx: DataFrame | None = None) -> DataFrame:
     """D07 over text: BM25 and TF-IDF cosine from ONE term join, fused by reciprocal rank.
@@ -191,8 +162,6 @@ def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: Dat
     qside = qw.where(F.col("df").isNotNull()).join(qn, "query_id").select(
         "query_id", "term", (F.col("w") / F.col("qnorm")).alias("q_cos"),
         F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("q_bm"))
-    if qside.count() <= MAX_BROADCAST_QUERY_TERMS:
-        qside = F.broadcast(qside)
     pairs = dside.repartition(scoring_partitions(spark), "doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
         F.round(F.sum(F.col("q_cos") * F.col("w_cos")), 6).alias("s_cos"),
         F.round(F.sum(F.col("q_bm") * F.col("w_bm")), 6).alias("s_bm"))
@@ -231,9 +200,10 @@ def no_result_queries(queries: DataFrame, qid_col: str, results: DataFrame) -> D
 
 # ---------------------------------------------------------------- vector index ---------------
 def l2_normalize(v: Column) -> Column:
+    """The unit vector; NULL for a zero or NULL vector, which has no direction."""
     vd = F.transform(v, lambda x: x.cast("double"))
     norm = F.sqrt(F.aggregate(vd, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(vd, lambda x: x / norm)
+    return F.when(norm > 0, F.transform(vd, lambda x: F.try_divide(x, norm)))
 
 
 def hyperplanes(n_bits: int, dim: int, seed: int = 7) -> list:
@@ -260,11 +230,12 @@ def content_hash(v: Column, *meta: Column) -> Column:
 
 def build_vector_index(vectors: DataFrame, id_col: str, vec_col: str, meta_cols: list, n_bits: int = 4,
                        dim: int = 64, path: str | None = None) -> DataFrame:
-    """Normalised vectors with a sign-random-projection bucket and content hash; when
+    """Normalised vectors with a sign-random-projection bucket and content hash (zero and NULL
+    vectors have no direction and are left out); when
     ``path`` is given the index is written as Parquet partitioned by bucket and read back."""
     planes = hyperplanes(n_bits, dim)
     v = l2_normalize(F.col(vec_col))
-    idx = vectors.select(F.col(id_col).alias("id"), *meta_cols, v.alias("vector")) \
+    idx = vectors.select(F.col(id_col).alias("id"), *meta_cols, v.alias("vector")).where(F.col("vector").isNotNull()) \
         .withColumn("bucket", srp_bucket(F.col("vector"), planes)) \
         .withColumn("content_hash", content_hash(F.col("vector"), *[F.col(m) for m in meta_cols]))
     if path is None:
@@ -296,66 +267,56 @@ def sync_index(previous: DataFrame, current: DataFrame) -> DataFrame:
     return j.select("id", change.alias("change_type")).where(F.col("change_type").isNotNull())
 
 
-def _partial_topk_fn(bq, k: int, exclude_self: bool, has_match: bool):
-    """Per task: running top-k per broadcast query over all of the task's Arrow batches."""
-    def run(batches):
-        q_ids, Q, q_match = bq.value
-        best_s = np.full((len(q_ids), k), -np.inf)
-        best_i = np.full((len(q_ids), k), -1, dtype=np.int64)
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            X = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-            ids = pdf["id"].to_numpy(dtype=np.int64)
-            m = pdf["match"].to_numpy() if has_match else None
-            for lo in range(0, len(q_ids), 1024):
-                hi = min(lo + 1024, len(q_ids))
-                S = Q[lo:hi] @ X.T
-                if exclude_self:
-                    S[q_ids[lo:hi, None] == ids[None, :]] = -np.inf
-                if has_match:
-                    S[q_match[lo:hi, None] != m[None, :]] = -np.inf
-                allS = np.concatenate([best_s[lo:hi], S], axis=1)
-                allI = np.concatenate([best_i[lo:hi], np.broadcast_to(ids, S.shape)], axis=1)
-                sel = np.argpartition(-allS, k - 1, axis=1)[:, :k] if allS.shape[1] > k else \
-                    np.argsort(-allS, axis=1)[:, :k]
-                best_s[lo:hi] = np.take_along_axis(allS, sel, axis=1)
-                best_i[lo:hi] = np.take_along_axis(allI, sel, axis=1)
-        keep = np.isfinite(best_s)
-        qi, _ = np.nonzero(keep)
-        yield pd.DataFrame({"query_id": q_ids[qi].astype(np.int64), "id": best_i[keep], "s": best_s[keep]})
+#: Rows of a block of the exact search: a task holds one block of the index and one of the queries.
+KNN_BLOCK = 5000
+
+
+def _block_topk(k: int, exclude_self: bool):
+    """Top-k of one index block for one query block, by (rounded score, smaller id)."""
+    def run(index: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64", "score": "float64"})
+        if index.empty or queries.empty:
+            return empty
+        x = np.stack(index["vector"].to_numpy()).astype(np.float64)
+        q = np.stack(queries["vector"].to_numpy()).astype(np.float64)
+        ids, q_ids = index["id"].to_numpy(dtype=np.int64), queries["query_id"].to_numpy(dtype=np.int64)
+        parts = [empty]
+        for lo in range(0, len(q_ids), 512):
+            s = np.round(q[lo:lo + 512] @ x.T, 9)
+            if exclude_self:
+                s[q_ids[lo:lo + 512, None] == ids[None, :]] = -np.inf
+            take = min(k, s.shape[1])
+            least = -np.partition(-s, take - 1, axis=1)[:, take - 1]
+            row, col = np.nonzero((s >= least[:, None]) & np.isfinite(s))  # ties of the k-th score included
+            order = np.lexsort((ids[col], -s[row, col], row))
+            row, col = row[order], col[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            row, col = row[place < k], col[place < k]
+            parts.append(pd.DataFrame({"query_id": q_ids[lo:lo + 512][row], "id": ids[col], "score": s[row, col]}))
+        return pd.concat(parts, ignore_index=True)
     return run
 
 
 def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = False,
-              match_col: str | None = None, max_broadcast_rows: int = 20000) -> DataFrame:
+              match_col: str | None = None) -> DataFrame:
     """D04 (and D08 with ``match_col``): exact top-k by dot product of unit vectors (= cosine).
 
     ``index``: id BIGINT, vector ARRAY<DOUBLE>[, match]; ``queries``: query_id BIGINT, vector[, match].
+    Index and queries are dealt into blocks and every pair of blocks meets in one task; nothing
+    passes the driver. With ``match_col`` the blocks are cut within its values, so pairs of
+    other values are never scored (a NULL matches a NULL). The work is index x queries by nature.
     """
     spark = index.sparkSession
-    n_q = queries.count()
-    n_chunks = max(1, math.ceil(n_q / max_broadcast_rows))
-    idx_cols = ["id", "vector"] + (["match"] if match_col else [])
-    ix = index.select("id", "vector", *([F.col(match_col).alias("match")] if match_col else []))
-    qx = queries.select("query_id", "vector", *([F.col(match_col).alias("match")] if match_col else []))
-    parts = []
-    for c in range(n_chunks):
-        chunk = qx if n_chunks == 1 else qx.where(F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)) == c)
-        pdf = chunk.toPandas()  # at most max_broadcast_rows rows (checked above)
-        if len(pdf) == 0:
-            continue
-        q_ids = pdf["query_id"].to_numpy()
-        Q = np.stack(pdf["vector"].to_numpy()).astype(np.float64)
-        q_match = pdf["match"].to_numpy() if match_col else None
-        bq = spark.sparkContext.broadcast((q_ids, Q, q_match))
-        parts.append(ix.select(*idx_cols).mapInPandas(
-            _partial_topk_fn(bq, k, exclude_self, match_col is not None),
-            "query_id long, id long, s double"))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    cand = cand.select("query_id", "id", F.round("s", 9).alias("score"))
+    n_q = max(1, math.ceil(queries.count() / KNN_BLOCK))
+    n_i = max(math.ceil(index.count() / KNN_BLOCK), math.ceil(spark.sparkContext.defaultParallelism / n_q), 1)
+    match = [F.col(match_col).alias("match")] if match_col else []
+    key = ["_i", "_q"] + (["match"] if match_col else [])
+    ix = index.select("id", "vector", *match, F.pmod(F.xxhash64("id"), F.lit(n_i)).alias("_i"),
+                      F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("_q"))
+    qx = queries.select("query_id", "vector", *match, F.pmod(F.xxhash64("query_id"), F.lit(n_q)).cast("int").alias("_q"),
+                        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_i - 1).cast("bigint"))).alias("_i"))
+    cand = ix.groupBy(*key).cogroup(qx.groupBy(*key)).applyInPandas(
+        _block_topk(k, exclude_self), "query_id long, id long, score double")
     return top_k(cand, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 

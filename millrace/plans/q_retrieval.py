@@ -28,7 +28,7 @@ def vqueries(ix):
 def user_queries(c: Ctx):
     """Every user message of every conversation is a query (whole text)."""
     return c.conversations.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("query_id"), "conv_id", "text")
+        F.concat_ws("-", "conv_id", "turn").alias("query_id"), "conv_id", "text")
 
 
 @query("embed_text")

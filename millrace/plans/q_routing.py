@@ -96,7 +96,7 @@ def response_pairs(c: Ctx):
     a = m.where(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"),
                                                      F.col("text").alias("response"))
     return u.join(a, ["conv_id", "turn"]).select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("case_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("case_id"),
         F.when(F.pmod("conv_id", F.lit(2)) == 0, "v1").otherwise("v2").alias("version"),
         "expected_response", "response")
 

@@ -58,7 +58,7 @@ QUALIFY rank <= 10""", "vix")
 ORACLE["knn_exact"] = knn()
 ORACLE["filtered_search"] = knn("AND q.label = i.label")
 
-USER_Q = "SELECT conv_id * 100 + turn AS query_id, conv_id, text FROM conversations WHERE role = 'user'"
+USER_Q = "SELECT conv_id || '-' || turn AS query_id, conv_id, text FROM conversations WHERE role = 'user'"
 
 
 def postings(p, docs, id_col, text_col):

@@ -82,7 +82,7 @@ FROM cases""", "spans")
 TOK = "list_distinct(list_filter(regexp_split_to_array(lower({}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0))".format
 NORM = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))".format
 CTES["pairs"] = """
-SELECT u.conv_id * 100 + u.turn AS case_id, CASE WHEN u.conv_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS version,
+SELECT u.conv_id || '-' || u.turn AS case_id, CASE WHEN u.conv_id % 2 = 0 THEN 'v1' ELSE 'v2' END AS version,
   u.text AS expected_response, a.text AS response
 FROM conversations u JOIN conversations a ON u.conv_id = a.conv_id AND a.turn - 1 = u.turn
 WHERE u.role = 'user' AND a.role = 'assistant'"""

@@ -42,7 +42,7 @@ def test_change_feed_applied_to_v1_gives_v2(spark, v1, v2):
 def test_layout_jobs_preserve_the_bag(spark):
     rows = [(i, i % 7, (i * 13) % 11) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, a int, b int")
-    z = A.cluster_by_keys(df, ["a", "b"], scratch_path(spark, "t-z"), n_files=4)
+    z = A.cluster_by_keys(df, ["a", "b"], scratch_path(spark, "t-z"))
     assert sorted(z.select("id", "a", "b").collect()) == sorted(df.collect())
     from millrace.sources.sinks import compact_files
     c = compact_files(df.repartition(20), scratch_path(spark, "t-compact"), target_bytes=1 << 20)
@@ -72,13 +72,26 @@ def test_tenant_rows_and_complement_cover_everything(spark):
     assert I.tenant_leaks(vis, ent, "tenant").count() == 0
 
 
-def test_knn_exact_equals_numpy(spark):
+def test_knn_ties_go_to_the_smaller_id_and_zero_vectors_are_left_out(spark):
+    rows = [(i, [1.0, 0.0], "a") for i in range(50)] + [(60, [0.0, 0.0], "a"), (61, None, "b"), (62, [0.0, 1.0], None), (63, [0.0, 2.0], None)]
+    ix = D.build_vector_index(spark.createDataFrame(rows, "vid long, v array<double>, label string"), "vid", "v", ["label"], dim=2)
+    q = ix.select(F.col("id").alias("query_id"), "vector", "label")
+    got = {}
+    for r in D.knn_exact(ix, q, k=3).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.id))
+    assert 60 not in got and 61 not in got and [i for _, i in sorted(got[49])] == [0, 1, 2]
+    same = {(r.query_id, r.id) for r in D.knn_exact(ix, q, k=3, match_col="label").collect()}
+    assert {(62, 62), (62, 63), (63, 62), (63, 63)} <= same and not any(i >= 60 for qid, i in same if qid < 50)
+
+
+def test_knn_exact_equals_numpy(spark, monkeypatch):
     rng = np.random.default_rng(3)
     X = rng.standard_normal((120, 16))
     X /= np.linalg.norm(X, axis=1, keepdims=True)
     df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(120)], "id long, vector array<double>")
     q = df.select(F.col("id").alias("query_id"), "vector")
-    got = D.knn_exact(df, q, k=5, exclude_self=True, max_broadcast_rows=50)  # 3 query chunks
+    monkeypatch.setattr(D, "KNN_BLOCK", 50)  # several blocks on both sides
+    got = D.knn_exact(df, q, k=5, exclude_self=True)
     S = X @ X.T
     np.fill_diagonal(S, -np.inf)
     want = {(i, int(j)) for i in range(120) for j in np.argsort(-S[i])[:5]}
