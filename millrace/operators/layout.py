@@ -32,31 +32,28 @@ def conform_to_schema(df: DataFrame, target: T.StructType, lenient: bool = True)
     return df.select(*cols)
 
 
-def z_value(df: DataFrame, cols: list, bits: int = 10) -> Column:
-    """Interleave the ``bits``-bit min-max scaled values of integer columns (Morton code).
-    Column bounds are scalar subqueries (one aggregate each), not a join."""
-    scaled = []
-    for c in cols:
-        mn = df.select(F.min(c)).scalar()
-        mx = df.select(F.max(c)).scalar()
-        s = F.when(mx == mn, F.lit(0)).otherwise(F.floor((F.col(c) - mn) * ((1 << bits) - 1) / (mx - mn)))
-        scaled.append(s.cast("bigint"))
+def z_value(df: DataFrame, cols: list) -> Column:
+    """Interleave the min-max scaled values of integer columns (Morton code), with as many bits a column
+    as fit 62. All bounds come from one aggregate."""
+    bits = 62 // len(cols)
+    bounds = df.agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("min", F.min), ("max", F.max))]).first()
     z = F.lit(0).cast("bigint")
-    for b in range(bits):
-        for i, s in enumerate(scaled):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(s, b).bitwiseAND(F.lit(1)), b * len(cols) + i))
+    for i, c in enumerate(cols):
+        mn, mx = bounds[f"min_{c}"], bounds[f"max_{c}"]
+        s = F.lit(0) if mn == mx else F.floor((F.col(c).cast("bigint") - F.lit(mn)) * F.lit((1 << bits) - 1) / F.lit(mx - mn))
+        for b in range(bits):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(s.cast("bigint"), b).bitwiseAND(F.lit(1).cast("bigint")), b * len(cols) + i))
     return z
 
 
-def cluster_by_keys(df: DataFrame, cols: list, path: str, n_files: int = 8, bits: int = 10) -> DataFrame:
-    """Z-order clustering: range-partition and sort by the Z-value of ``cols``.
+def cluster_by_keys(df: DataFrame, cols: list, path: str) -> DataFrame:
+    """Z-order clustering: globally sorted by the Z-value of ``cols``.
 
-    The range partitioner samples the Z-values to pick ``n_files`` boundaries;
-    files then cover compact Z ranges, so Parquet min/max statistics skip
+    The sort deals rows into ranges of Z and AQE merges ranges up to its advisory size, so the number of
+    files follows the bytes; a file covers a compact Z range, and Parquet min/max statistics skip
     files for point and box lookups on any of the columns.
     """
-    z = df.withColumn("z_value", z_value(df, cols, bits))
-    z.repartitionByRange(n_files, "z_value").sortWithinPartitions("z_value").write.mode("overwrite").parquet(path)
+    df.withColumn("z_value", z_value(df, cols)).sort("z_value").write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -11,7 +11,7 @@ from ..session import scratch_path
 from ..sources import sinks as W
 from ..sources.schemas import TABLES
 from ..sources.tables import scan_table
-from .q_lookup import order_requests, part_terms
+from .q_lookup import delivery_columns, order_requests, part_terms
 from .q_quality import ALL_TABLES, tables
 from .queries import Ctx, query
 
@@ -57,14 +57,15 @@ def q_a05(spark, sf):
     c = Ctx(spark, sf)
     t = _declared(spark, "telemetry")
     W.overwrite_table(c.telemetry, t)
-    return W.insert_overwrite_partitions(c.telemetry, t)
+    even_days = c.telemetry.where(F.dayofmonth("reading_date") % 2 == 0).withColumn("maintenance_required", F.lit(True))
+    return W.insert_overwrite_partitions(even_days, t)
 
 
 @query("evolving_write")
 def q_a06(spark, sf):
     c = Ctx(spark, sf)
     s = c.suppliers
-    batch = s.where(F.col("status") == "INACTIVE").join(L.on_time_rate(c.shipments), "supplier_id", "left")
+    batch = s.where(F.col("status") == "INACTIVE").join(L.on_time_rate(delivery_columns(c)), "supplier_id", "left")
     return W.evolving_write(s.where(F.col("status") == "ACTIVE"), batch, scratch_path(spark, "suppliers_v2"))
 
 
@@ -82,8 +83,8 @@ def q_a08(spark, sf):
 @query("cluster_by_keys")
 def q_a09(spark, sf):
     inv = Ctx(spark, sf).inventory
-    keyed = inv.withColumn("part_no", F.substring("part_id", 5, 9).cast("int")) \
-        .withColumn("warehouse_no", F.substring("warehouse_id", 3, 9).cast("int"))
+    keyed = inv.withColumn("part_no", F.expr("substring(part_id, 5)").cast("bigint")) \
+        .withColumn("warehouse_no", F.expr("substring(warehouse_id, 3)").cast("bigint"))
     return A.cluster_by_keys(keyed, ["part_no", "warehouse_no"], scratch_path(spark, "inventory_z")) \
         .drop("part_no", "warehouse_no")
 
@@ -95,7 +96,7 @@ def q_a10(spark, sf):
 
 def inventory_v2(c: Ctx):
     """Inventory after receiving the valid purchase orders, without rows of inactive suppliers."""
-    po = L.create_purchase_orders(order_requests(c), c.suppliers, part_terms(c), L.on_time_rate(c.shipments)) \
+    po = L.create_purchase_orders(order_requests(c), c.suppliers, part_terms(c), L.on_time_rate(delivery_columns(c))) \
         .where(F.col("status") == "PENDING").select(F.col("request_id").alias("inventory_id"),
                                                      F.col("quantity").alias("received"))
     inactive = c.suppliers.where(F.col("status") == "INACTIVE").select("supplier_id")

@@ -76,10 +76,11 @@ def evolving_write(existing: DataFrame, batch: DataFrame, path: str) -> DataFram
 
 
 def partitioned_write(df: DataFrame, path: str, date_col: str, ts_col: str | None = None) -> DataFrame:
-    """Write partitioned by a DATE (derived from a timestamp when ``ts_col`` is given)."""
+    """Write partitioned by a DATE (derived from a timestamp when ``ts_col`` is given). Rows are brought
+    together by date; AQE splits a hot date by its advisory size and merges small ones."""
     if ts_col is not None:
         df = df.withColumn(date_col, F.to_date(ts_col))
-    df.repartition(date_col).write.mode("overwrite").partitionBy(date_col).parquet(path)
+    df.hint("rebalance", date_col).write.mode("overwrite").partitionBy(date_col).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
