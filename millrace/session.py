@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,32 +40,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+    """The shared checkpoint folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a fresh scratch folder is
-    created and registered. Never a machine-local folder on a cluster: there the
-    setting is expected to be present.
+    There is no fallback: a machine-local folder would be a different one on every executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="millrace-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir() or d
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{next(_counter)}"
-
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+    """A new sub-folder of the shared checkpoint folder for a written intermediate table."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
