@@ -87,18 +87,19 @@ def monthly_revenue(transactions: DataFrame) -> DataFrame:
 
 
 def kpi_trends(transactions: DataFrame) -> DataFrame:
-    """Month-over-month change and 3-month moving average per region.
+    """Change against the month before and 3-month moving average per region, by calendar month: a
+    month without sales is a gap (no change is given after it, and it is not averaged in).
 
     The window runs over the monthly aggregate (one row per region and month),
     so its partitions are bounded by the calendar, not by the data volume.
     """
-    m = monthly_revenue(transactions)
-    w = Window.partitionBy("region").orderBy("month")
-    prev = F.lag("revenue_dec").over(w)
-    mov = w.rowsBetween(-2, 0)
+    m = monthly_revenue(transactions).withColumn("_i", F.substring("month", 1, 4).cast("int") * 12 + F.substring("month", 6, 2).cast("int"))
+    w = Window.partitionBy("region").orderBy("_i")
+    prev = F.max("revenue_dec").over(w.rangeBetween(-1, -1)).cast("double")
+    mov = w.rangeBetween(-2, 0)
     rev = F.col("revenue_dec").cast("double")
     return m.select("region", "month", rev.alias("revenue"),
-                    F.try_divide((rev - prev.cast("double")) * 100.0, prev.cast("double")).alias("mom_change_pct"),
+                    F.try_divide((rev - prev) * 100.0, prev).alias("mom_change_pct"),
                     (F.sum("revenue_dec").over(mov).cast("double") / F.count(F.lit(1)).over(mov)).alias("moving_avg_3m"))
 
 
@@ -123,22 +124,38 @@ def customer_360(customers: DataFrame, transactions: DataFrame, tickets: DataFra
                     F.coalesce("open_proposal_value", F.lit(0.0)).alias("open_proposal_value"))
 
 
-INDUSTRIES = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+def churn_heatmap(churn: DataFrame) -> DataFrame:
+    """Mean churn probability by segment and industry, one row a cell, for every industry in the data."""
+    milli = (F.col("churn_probability") * 1000).cast("decimal(10,0)").cast("bigint")
+    return churn.groupBy("segment", "industry").agg((F.sum(milli) / F.count(F.lit(1)) / 1000.0).alias("mean_churn_probability"))
 
 
-def churn_heatmap(churn: DataFrame, industries=INDUSTRIES) -> DataFrame:
-    """Mean churn probability by segment x industry (pivot with explicit values: no extra job)."""
-    milli = (F.col("churn_probability") * 1000).cast("decimal(10,0)").cast("bigint")
-    p = churn.groupBy("segment").pivot("industry", list(industries)).agg(
-        (F.sum(milli) / F.count(F.lit(1)) / 1000.0))
-    return p
+VALUE_BUCKET = 1000.0
+
+
+def percent_ranks(df: DataFrame, value: str) -> DataFrame:
+    """(value, percent rank) of the distinct values: (rank - 1) / (rows - 1), 0 for a single row.
+
+    Values are counted first; the running count is taken within buckets of the value and over the
+    bucket totals, so no window holds more than a bucket's distinct values or the buckets.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n")) \
+        .withColumn("_b", F.floor(F.col(value) / VALUE_BUCKET))
+    totals = counts.groupBy("_b").agg(F.sum("n").alias("t"))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_b", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("o"))
+    inside = Window.partitionBy("_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    rows = totals.select(F.sum("t")).scalar()
+    lower = F.col("o") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    return counts.join(offsets, "_b").select(value, F.when(rows > 1, lower / (rows - 1)).otherwise(0.0).alias("value_rank"))
 
 
 def proposal_pipeline(proposals: DataFrame) -> DataFrame:
-    """Win rate and weighted pipeline per rep; lead score = win probability x value / max value."""
-    maxv = proposals.select(F.max("proposal_value")).scalar()
+    """Win rate and weighted pipeline per rep; lead score = win probability x percent rank of the value."""
+    proposals = proposals.select("created_by", "status", "proposal_value", "win_probability").join(
+        percent_ranks(proposals, "proposal_value"), "proposal_value", "left")
     open_ = F.col("status").isin(*OPEN_PROPOSAL)
-    lead = F.col("win_probability") * F.col("proposal_value") / maxv
+    lead = F.round(F.col("win_probability") * F.col("value_rank"), 9)
     weighted = F.col("proposal_value").cast("decimal(18,2)") * F.col("win_probability").cast("decimal(4,2)")
     return proposals.groupBy("created_by").agg(
         F.count(F.lit(1)).alias("proposals"),
@@ -265,10 +282,10 @@ def expedite_orders(shipments: DataFrame, inventory: DataFrame, as_of: _dt.date
 
 
 def maintenance_tickets(telemetry: DataFrame, existing: DataFrame) -> DataFrame:
-    """One new maintenance ticket per device with a fault flag, unless one is already open.
+    """One new maintenance ticket per device with a fault flag, unless one is open for that device.
 
-    ``existing`` holds open ticket ids; new ids are ``MT-<device_id>``, so a
-    re-run over the same faults creates nothing new (idempotent).
+    ``existing``: device_id, status. A device with an open ticket gets no second one; a closed
+    ticket does not hold a new fault back.
     """
     f = telemetry.where(F.col("maintenance_required")).groupBy("device_id").agg(
         F.max(F.struct("timestamp", "reading_id", "error_code", "location_id")).alias("r"))
@@ -276,7 +293,8 @@ def maintenance_tickets(telemetry: DataFrame, existing: DataFrame) -> DataFrame:
                  F.col("r.reading_id").alias("reading_id"), F.col("r.error_code").alias("error_code"),
                  F.col("r.timestamp").alias("fault_ts"), F.col("r.location_id").alias("location_id"),
                  F.lit("HIGH").alias("priority"))
-    return t.join(existing.select("ticket_id"), "ticket_id", "left_anti")
+    return t.join(existing.where(F.col("status").isin(*OPEN_TICKET)).select("device_id"), "device_id", "left_anti") \
+        .select(*t.columns)
 
 
 def next_best_action(c360: DataFrame, churn: DataFrame) -> DataFrame:

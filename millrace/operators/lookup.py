@@ -49,7 +49,7 @@ def create_purchase_orders(requests: DataFrame, suppliers: DataFrame, parts: Dat
     days = F.greatest(F.lit(1), F.col("lead_time_days") + adj)
     return j.select(
         "request_id",
-        F.when(ok, F.concat(F.lit("PO-"), F.upper(F.substring(F.sha2(F.col("request_id"), 256), 1, 8)))).alias("order_id"),
+        F.when(ok, F.concat(F.lit("PO-"), F.upper(F.sha2(F.col("request_id"), 256)))).alias("order_id"),
         F.when(ok, "PENDING").otherwise("FAILED").alias("status"),
         error.alias("error"),
         "supplier_id", "part_id", q.alias("quantity"), prio.alias("priority"),

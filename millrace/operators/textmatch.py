@@ -27,7 +27,9 @@ def grams(s: Column, n: int) -> Column:
 def contains_join(queries: DataFrame, q_text: str, targets: DataFrame, t_text: str) -> DataFrame:
     """All (query row, target row) pairs with ``contains(target, query)``; query text non-empty."""
     tq = F.col(t_text)
-    t_idx = targets.select("*", F.explode(F.concat(*[grams(tq, n) for n in range(1, MAX_GRAM + 1)])).alias("_g"))
+    # The index holds a hash of the text and its grams; rows come back by the hash and are checked on the text.
+    t_idx = targets.select(tq, F.xxhash64(tq).alias("_id")).distinct().select(
+        "_id", F.explode(F.concat(*[grams(tq, n) for n in range(1, MAX_GRAM + 1)])).alias("_g"))
     df = t_idx.groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
     q = queries.where(F.length(q_text) > 0)
     qn = F.least(F.length(q_text), F.lit(MAX_GRAM))
@@ -39,5 +41,6 @@ def contains_join(queries: DataFrame, q_text: str, targets: DataFrame, t_text: s
                   .groupBy("_q").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("n"), F.col("_g").alias("g"))).alias("k"))
                   .select("_q", F.col("k.g").alias("_g"), F.col("k.n").alias("_n"))
                   .where(F.col("_n") > 0))
-    cand = key.join(t_idx, "_g").where(F.col(t_text).contains(F.col("_q"))).drop("_g", "_n")
-    return q.join(cand, q[q_text] == cand["_q"]).drop("_q")
+    cand = key.join(t_idx, "_g").select("_q", "_id")
+    rows = targets.withColumn("_id", F.xxhash64(tq)).join(cand, "_id").where(tq.contains(F.col("_q"))).drop("_id")
+    return q.join(rows, q[q_text] == rows["_q"]).drop("_q")

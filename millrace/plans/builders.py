@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..sources.schemas import TABLES
 from ..sources.tables import Tables
 
 
@@ -35,6 +36,23 @@ def nat(t: Tables) -> DataFrame:
     return F.broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
 
 
+def _wants(want: set | None, *columns: str) -> bool:
+    """Is any of these columns asked for? ``want`` None asks for all of them."""
+    return want is None or not want.isdisjoint(columns)
+
+
+def _select(df: DataFrame, want: set | None, table: str, columns: list[Column]) -> DataFrame:
+    """The wanted ones of a table's columns, given in the order of its schema; those left out may refer
+    to tables that were not joined."""
+    names = TABLES[table].schema.names
+    return df.select(*[c for n, c in zip(names, columns, strict=True) if _wants(want, n)])
+
+
+def _id(pattern: str, key: Column) -> Column:
+    """A prefixed id; NULL for a NULL key."""
+    return F.when(key.isNotNull(), F.format_string(pattern, key))
+
+
 def suppliers(t: Tables) -> DataFrame:
     """B01 build_suppliers."""
     k = F.col("s_suppkey")
@@ -88,23 +106,28 @@ def inventory(t: Tables) -> DataFrame:
         (F.lit(C.AS_OF_SHIPPING).cast("timestamp")
          - F.make_dt_interval(hours=F.pmod(k * 7 + r * 3, F.lit(72)).cast("int"))).alias("last_updated"),
         pick(C.PART_CATEGORIES, k).alias("category"),
-        F.format_string("SUP%04d", F.pmod(k * 31 + r, n_sup) + 1).alias("supplier_id"),
+        F.when(n_sup > 0, F.format_string("SUP%04d", F.try_mod(k * 31 + r, n_sup) + 1)).otherwise(C.DEFAULT_SUPPLIER).alias("supplier_id"),
     )
 
 
-def shipments(t: Tables) -> DataFrame:
-    """B03 build_shipments: one shipment per line item."""
+def shipments(t: Tables, want: set | None = None) -> DataFrame:
+    """B03 build_shipments: one shipment per line item, also where part or supplier are missing."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
-    p = t.part.select("p_partkey", "p_name")
-    s = t.supplier.select("s_suppkey", "s_name", "s_nationkey").join(
-        nat(t), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    j = li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+    j = li
+    if _wants(want, "part_name"):
+        p = t.part.select("p_partkey", "p_name")
+        j = j.join(p, j.l_partkey == p.p_partkey, "left")
+    if _wants(want, "supplier_name", "origin_location"):
+        s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
+        if _wants(want, "origin_location"):
+            s = s.join(nat(t), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+        j = j.join(s, j.l_suppkey == s.s_suppkey, "left")
     o, ln = F.col("l_orderkey"), F.col("l_linenumber")
     ship = F.to_date("l_shipdate")
     expected = F.date_add(ship, (F.pmod(o * 7 + ln, F.lit(14)) + 1).cast("int"))
     status = pick(C.SHIPMENT_STATUSES, o * 3 + ln)
     wh = F.pmod(o + ln, F.lit(len(C.WAREHOUSES)))
-    return j.select(
+    return _select(j, want, "shipments", [
         F.format_string("SHP%d-%d", o, ln).alias("shipment_id"),
         F.format_string("ORD%06d", o).alias("order_id"),
         F.format_string("PART%05d", F.col("l_partkey") + 1).alias("part_id"),
@@ -122,7 +145,7 @@ def shipments(t: Tables) -> DataFrame:
         pick(C.CARRIERS, o + F.col("l_suppkey")).alias("carrier"),
         F.format_string("TRK%010d", o * 10 + ln).alias("tracking_number"),
         (F.col("l_quantity") * 10 + 50).cast("double").alias("cost"),
-    )
+    ])
 
 
 def customer_orders(t: Tables) -> DataFrame:
@@ -133,14 +156,17 @@ def customer_orders(t: Tables) -> DataFrame:
         F.max(F.to_date("o_orderdate")).alias("last_purchase"))
 
 
-def customers(t: Tables) -> DataFrame:
+def customers(t: Tables, want: set | None = None) -> DataFrame:
     """B04 build_customers."""
     k = F.col("c_custkey")
-    c = t.customer.join(customer_orders(t), F.col("c_custkey") == F.col("o_custkey"), "left") \
-        .join(nat(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t.customer
+    if _wants(want, "status", "total_orders", "total_spent", "last_purchase_date"):
+        c = c.join(customer_orders(t), F.col("c_custkey") == F.col("o_custkey"), "left")
+    if _wants(want, "city", "country"):
+        c = c.join(nat(t), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     days = F.datediff(F.lit(C.AS_OF_SALES), F.col("last_purchase"))
     lapsed = days.isNull() | (days > 180)
-    return c.select(
+    return _select(c, want, "customers", [
         F.format_string("CUST%05d", k + 1).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.concat(F.lit("Buyer "), (k + 1).cast("string")).alias("contact_name"),
@@ -159,31 +185,35 @@ def customers(t: Tables) -> DataFrame:
         F.col("last_purchase").alias("last_purchase_date"),
         (F.pmod(k * 997, F.lit(490000)) + 10000).cast("double").alias("credit_limit"),
         pick(C.CUSTOMER_PAYMENT_TERMS, F.floor(k / 3)).alias("payment_terms"),
-    )
-
-
-def transactions(t: Tables) -> DataFrame:
-    """B05 build_transactions: one sale per line item, priced in exact cents."""
-    li = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                           "l_extendedprice", "l_discount")
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    c = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    p = t.part.select("p_partkey", "p_name", "p_retailprice")
-    geo = nat(t).join(F.broadcast(t.region.select("r_regionkey", "r_name")),
-                      F.col("n_regionkey") == F.col("r_regionkey"))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == F.col("c_custkey"))
-           .join(p, F.col("l_partkey") == F.col("p_partkey"))
-           .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
+    ])
+
+
+def transactions(t: Tables, want: set | None = None) -> DataFrame:
+    """B05 build_transactions: one sale per line item, priced in exact cents, also where order, customer or
+    part are missing."""
+    j = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount")
+    if _wants(want, "customer_id", "customer_name", "transaction_date", "region"):
+        o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+        j = j.join(o, j.l_orderkey == o.o_orderkey, "left")
+    if _wants(want, "customer_name", "region"):
+        c = t.customer.select("c_custkey", "c_name", "c_nationkey")
+        j = j.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+    if _wants(want, "product_name", "unit_price"):
+        p = t.part.select("p_partkey", "p_name", "p_retailprice")
+        j = j.join(p, F.col("l_partkey") == F.col("p_partkey"), "left")
+    if _wants(want, "region"):
+        geo = nat(t).join(F.broadcast(t.region.select("r_regionkey", "r_name")),
+                          F.col("n_regionkey") == F.col("r_regionkey"))
+        j = j.join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     ok = F.col("l_orderkey")
     total = money(F.col("l_extendedprice"))
     discount = (total * F.col("l_discount").cast("decimal(6,4)")).cast("decimal(18,2)")
     tax = ((total - discount) * F.lit(Decimal("0.08"))).cast("decimal(18,2)")
     rep = F.pmod(ok, F.lit(20)) + 1
-    return j.select(
+    return _select(j, want, "transactions", [
         F.format_string("TXN%d-%d", ok, F.col("l_linenumber")).alias("transaction_id"),
         F.format_string("ORD%06d", ok).alias("order_id"),
-        F.format_string("CUST%05d", F.col("c_custkey") + 1).alias("customer_id"),
+        _id("CUST%05d", F.col("o_custkey") + 1).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("o_orderdate").alias("transaction_date"),
         F.format_string("PART%05d", F.col("l_partkey") + 1).alias("product_id"),
@@ -198,7 +228,7 @@ def transactions(t: Tables) -> DataFrame:
         F.concat(F.lit("Rep "), rep.cast("string")).alias("sales_rep_name"),
         F.col("r_name").alias("region"),
         F.when(F.pmod(ok, F.lit(10)) == 9, "PENDING").otherwise("COMPLETED").alias("status"),
-    )
+    ])
 
 
 def telemetry(t: Tables) -> DataFrame:
@@ -206,7 +236,7 @@ def telemetry(t: Tables) -> DataFrame:
     e = t.events
     u, eid = F.col("user_id"), F.col("event_id")
     kind = F.pmod(u, F.lit(len(C.DEVICE_TYPES)))
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     err = F.col("event_type") == "error"
     return e.select(
         F.concat(F.lit("R"), eid.cast("string")).alias("reading_id"),
@@ -219,7 +249,7 @@ def telemetry(t: Tables) -> DataFrame:
         F.when(kind != 0, (F.pmod(eid * 13, F.lit(400)) + 800) / 10.0).alias("pressure"),
         F.when(kind >= 2, F.pmod(eid * 3, F.lit(100)) / 10.0).alias("vibration"),
         F.col("value").alias("power_consumption"),
-        F.when(err, "ERROR").otherwise("NORMAL").alias("operational_status"),
+        F.when(err, F.when(F.pmod(eid, F.lit(4)) == 0, "WARNING").otherwise("ERROR")).otherwise("NORMAL").alias("operational_status"),
         F.when(err, F.concat(F.lit("E"), (k + 100).cast("string"))).alias("error_code"),
         (err & (F.pmod(k, F.lit(2)) == 0)).alias("maintenance_required"),
         F.to_date("ts").alias("reading_date"),
@@ -237,11 +267,12 @@ def _ticket_description(o: Column) -> Column:
     return expr
 
 
-def tickets(t: Tables) -> DataFrame:
+def tickets(t: Tables, want: set | None = None) -> DataFrame:
     """B07 build_tickets: one support ticket per order; resolution fields by age."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    c = t.customer.select("c_custkey", "c_name")
-    j = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    j = t.orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    if _wants(want, "customer_name"):
+        c = t.customer.select("c_custkey", "c_name")
+        j = j.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
     ok = F.col("o_orderkey")
     age = F.datediff(F.lit(C.AS_OF_SALES), F.to_date("o_orderdate"))
     old = age > 7
@@ -253,9 +284,9 @@ def tickets(t: Tables) -> DataFrame:
     n_tags = F.pmod(ok, F.lit(4)).cast("int")
     tags = F.slice(F.array(*[F.lit(x) for x in C.TICKET_TAGS]),
                    (F.pmod(ok, F.lit(3)) + 1).cast("int"), n_tags)
-    return j.select(
+    return _select(j, want, "tickets", [
         F.format_string("TKT%08d", ok).alias("ticket_id"),
-        F.format_string("CUST%05d", F.col("c_custkey") + 1).alias("customer_id"),
+        _id("CUST%05d", F.col("o_custkey") + 1).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         F.col("o_orderdate").alias("created_date"),
         pick(C.TICKET_CATEGORIES, ok).alias("category"),
@@ -269,7 +300,7 @@ def tickets(t: Tables) -> DataFrame:
         F.when(old, hours.cast("double")).alias("resolution_time_hours"),
         F.when(old, pick(C.SATISFACTION_SCORES, ok)).cast("int").alias("satisfaction_score"),
         tags.alias("tags"),
-    )
+    ])
 
 
 def support_tickets(t: Tables, tk: DataFrame | None = None) -> DataFrame:
@@ -306,8 +337,10 @@ def sops(t: Tables) -> DataFrame:
     prereq = F.transform(F.slice("lines", 2, 2), lambda x: F.concat(F.lit("- "), x))
     steps = F.transform(F.slice("lines", 4, 1 << 30),
                         lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x))
+    safety = F.transform(F.slice("lines", F.greatest(F.size("lines") - 1, F.lit(1)), 2), lambda x: F.concat(F.lit("- "), x))
     text = F.concat(_line(1), F.lit("\n\nPrerequisites:\n"), F.array_join(prereq, "\n"),
-                    F.lit("\n\nProcedure Steps:\n"), F.array_join(steps, "\n"))
+                    F.lit("\n\nProcedure Steps:\n"), F.array_join(steps, "\n"),
+                    F.lit("\n\nSafety Considerations:\n"), F.array_join(safety, "\n"))
     eff = F.date_add(F.lit(C.AS_OF_SHIPPING), -(F.pmod(k * 13, F.lit(540)) + 200).cast("int"))
     return d.select(
         F.concat(F.lit("SOP-"), k.cast("string")).alias("id"),
@@ -331,9 +364,14 @@ def incidents(t: Tables) -> DataFrame:
     k = F.col("doc_id")
     sev = F.pmod(F.floor(k / 3), F.lit(10))
     severity = F.when(sev < 4, "LOW").when(sev < 7, "MEDIUM").when(sev < 9, "HIGH").otherwise("CRITICAL")
+    # Every line after the third is an action taken; those after the fourth are the immediate response.
+    def listed(start: int) -> Column:
+        return F.array_join(F.transform(F.slice("lines", start, 1 << 30), lambda x: F.concat(F.lit("- "), x)), "\n")
+
+    last = F.coalesce(F.try_element_at(F.col("lines"), F.lit(-1)), F.lit(""))
     desc = F.concat(_line(1), F.lit("\n\nInitial Detection: "), _line(2), F.lit("\nImmediate Impact: "),
-                    _line(3), F.lit("\nActions Taken: "), _line(4))
-    resolution = F.concat(F.lit("Immediate Response:\n- "), _line(5), F.lit("\n\nPermanent Fix: "), _line(6))
+                    _line(3), F.lit("\nActions Taken:\n"), listed(4))
+    resolution = F.concat(F.lit("Immediate Response:\n"), listed(5), F.lit("\n\nPermanent Fix: "), last)
     return d.select(
         F.concat(F.lit("INC-"), k.cast("string")).alias("id"),
         pick(C.INCIDENT_TITLES, F.floor(k / 3)).alias("incident_title"),
@@ -346,19 +384,20 @@ def incidents(t: Tables) -> DataFrame:
                 (F.pmod(F.floor(k / 3), F.lit(3)) + 1).cast("int")).alias("affected_systems"),
         resolution.alias("resolution"),
         ((F.pmod(k * 37, F.lit(716)) + 5) / 10.0).alias("resolution_time_hours"),
-        F.coalesce(F.try_element_at(F.col("lines"), F.lit(-1)), F.lit("")).alias("root_cause"),
+        last.alias("root_cause"),
         _line(1).alias("preventive_measures"),
         F.concat(F.lit("Reporter "), (F.pmod(k, F.lit(30)) + 1).cast("string")).alias("reported_by"),
         F.concat(F.lit("Engineer "), (F.pmod(k, F.lit(12)) + 1).cast("string")).alias("resolved_by"),
     )
 
 
-def proposals(t: Tables) -> DataFrame:
+def proposals(t: Tables, want: set | None = None) -> DataFrame:
     """B10 build_proposals: proposal documents joined to their customer."""
     n_cust = t.customer.select(F.count(F.lit(1))).scalar()
-    d = _doc_kind(t, 2).withColumn("cust_key", F.pmod(F.col("doc_id"), n_cust))
-    c = t.customer.select("c_custkey", "c_name")
-    j = d.join(c, F.col("cust_key") == F.col("c_custkey"))
+    j = _doc_kind(t, 2).withColumn("cust_key", F.try_mod(F.col("doc_id"), n_cust))
+    if _wants(want, "customer_name", "proposal_content", "executive_summary"):
+        c = t.customer.select("c_custkey", "c_name")
+        j = j.join(c, F.col("cust_key") == F.col("c_custkey"), "left")
     k = F.col("doc_id")
     q = F.floor(k / 3)
     pdate = F.date_add(F.lit(C.AS_OF_SALES), -F.pmod(k * 11, F.lit(365)).cast("int"))
@@ -367,17 +406,18 @@ def proposals(t: Tables) -> DataFrame:
                .when(age > 30, pick(["UNDER_REVIEW", "SENT"], q))
                .otherwise(pick(["DRAFT", "SENT"], q)))
     product = pick(C.PROPOSAL_PRODUCTS, k)
-    summary = F.concat(F.lit("Proposal for "), product, F.lit(" implementation at "), F.col("c_name"),
+    summary = F.concat(F.lit("Proposal for "), product, F.lit(" implementation at "), F.coalesce("c_name", F.lit("")),
                        F.lit(". "), _line(1))
     phases = F.transform(F.slice("lines", 4, 1 << 30),
                          lambda x, i: F.concat(F.lit("Phase "), (i + 1).cast("string"), F.lit(": "), x))
     content = F.concat(F.lit("EXECUTIVE SUMMARY:\n"), summary, F.lit("\n\nBUSINESS CASE:\n"), _line(2),
                        F.lit("\n\nPROPOSED SOLUTION:\n"), _line(3), F.lit("\n\nIMPLEMENTATION TIMELINE:\n"),
-                       F.array_join(phases, "\n"))
-    return j.select(
+                       F.array_join(phases, "\n"), F.lit("\n\nINVESTMENT SUMMARY:\n"),
+                       F.coalesce(F.try_element_at(F.col("lines"), F.lit(-1)), F.lit("")))
+    return _select(j, want, "sales_proposals", [
         F.concat(F.lit("PRP-"), k.cast("string")).alias("id"),
         F.format_string("PROP%06d", k).alias("proposal_id"),
-        F.format_string("CUST%05d", F.col("c_custkey") + 1).alias("customer_id"),
+        _id("CUST%05d", F.col("cust_key") + 1).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         pdate.alias("proposal_date"),
         content.alias("proposal_content"),
@@ -391,7 +431,7 @@ def proposals(t: Tables) -> DataFrame:
         F.when(status.isin("SENT", "UNDER_REVIEW"), (F.pmod(k, F.lit(81)) + 10) / 100.0).alias("win_probability"),
         F.when(F.pmod(q, F.lit(2)) == 0, F.concat(F.lit("Competitor "), F.pmod(k, F.lit(7)).cast("string"))).alias("competitor_info"),
         F.when(F.pmod(q, F.lit(10)) >= 7, _line(2)).alias("notes"),
-    )
+    ])
 
 
 BUILDERS = {

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..functions import sql_functions as K
 from ..operators import lookup as L
-from .q_scoring import usage
+from .q_scoring import churn_customers, usage
 from .queries import Ctx, query
 
 BULK_CATEGORIES = ["Fasteners", "Consumables"]
@@ -32,14 +32,18 @@ def part_terms(c: Ctx):
                     F.when(F.col("category").isin(*BULK_CATEGORIES), BULK_MIN_QTY).otherwise(1).alias("min_qty")))
 
 
+def delivery_columns(c: Ctx):
+    return c.only("shipments", "supplier_id", "status", "expected_delivery", "actual_delivery")
+
+
 @query("create_purchase_orders")
 def q_create_purchase_orders(spark, sf):
     c = Ctx(spark, sf)
-    return L.create_purchase_orders(order_requests(c), c.suppliers, part_terms(c), L.on_time_rate(c.shipments))
+    return L.create_purchase_orders(order_requests(c), c.suppliers, part_terms(c), L.on_time_rate(delivery_columns(c)))
 
 
 def customer_queries(c: Ctx):
-    q = c.tickets.where(F.col("status") == "ESCALATED").select(
+    q = c.only("tickets", "status", "customer_name").where(F.col("status") == "ESCALATED").select(
         F.regexp_extract("customer_name", r"([1-9][0-9]*)$", 1).alias("name_query"))
     return q.where(F.length("name_query") > 0).distinct()
 
@@ -62,7 +66,7 @@ def q_inventory_status(spark, sf):
 
 @query("track_shipments")
 def q_track_shipments(spark, sf):
-    return L.track_shipments(Ctx(spark, sf).shipments)
+    return L.track_shipments(Ctx(spark, sf).only("shipments", "shipment_date", "status"))
 
 
 @query("reorder_list")
@@ -78,7 +82,7 @@ def q_equipment_status(spark, sf):
 @query("churn_activity")
 def q_churn_activity(spark, sf):
     c = Ctx(spark, sf)
-    return L.churn_activity(c.transactions, c.tickets)
+    return L.churn_activity(c.only("transactions", "customer_id", "order_id", "transaction_date"), c.only("tickets", "customer_id", "created_date"))
 
 
 @query("safe_apply")
@@ -100,7 +104,7 @@ def q_register_sql_functions(spark, sf):
 
 @query("python_function_column")
 def q_python_function_column(spark, sf):
-    ch = S.predict_churn(Ctx(spark, sf).customers)
+    ch = S.predict_churn(churn_customers(Ctx(spark, sf)))
     udf_p = K.churn_probability_udf(F.col("days_since_last_purchase"), F.col("total_purchases"),
                                     F.col("avg_order_value"))
     return ch.select("customer_id", F.round(udf_p, 3).alias("churn_probability_py"),
@@ -113,7 +117,7 @@ def function_calls(c: Ctx):
         F.col("current_quantity").alias("quantity"), "usage_rate",
         F.lit(None).cast("int").alias("days"), F.lit(None).cast("int").alias("purchases"),
         F.lit(None).cast("double").alias("avg_value"))
-    ch = S.predict_churn(c.customers).select(
+    ch = S.predict_churn(churn_customers(c)).select(
         F.col("customer_id").alias("call_id"), F.lit("predict_churn").alias("function_name"),
         F.lit(None).cast("int").alias("quantity"), F.lit(None).cast("double").alias("usage_rate"),
         F.col("days_since_last_purchase").alias("days"), F.col("total_purchases").alias("purchases"),

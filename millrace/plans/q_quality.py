@@ -48,7 +48,7 @@ def q_dq_volumes(spark, sf):
 # ---- governance ------------------------------------------------------------------------------
 def entitlements(c: Ctx):
     """Each sales rep is entitled to two regions, chosen by rep number (a rule over reps in the data)."""
-    reps = c.transactions.select(F.col("sales_rep_id").alias("principal")).distinct()
+    reps = c.only("transactions", "sales_rep_id").select(F.col("sales_rep_id").alias("principal")).distinct()
     k = F.substring("principal", 3, 3).cast("int")
     e = reps.select("principal", F.explode(F.array(F.pmod(k, F.lit(5)), F.pmod(k + 1, F.lit(5)))).alias("rk"))
     # region is a fixed 5-row dimension
@@ -56,32 +56,30 @@ def entitlements(c: Ctx):
         "principal", F.col("r_name").alias("tenant_id"))
 
 
-def visible_transactions(c: Ctx):
-    rows = c.transactions.select("transaction_id", "region", "total_amount")
-    return I.tenant_rows(rows, entitlements(c), "region")
+PRINCIPAL = "SR001"
 
 
 @query("tenant_rows")
 def q_tenant_rows(spark, sf):
-    return visible_transactions(Ctx(spark, sf)).select("principal", "region", "transaction_id")
+    c = Ctx(spark, sf)
+    rows = c.only("transactions", "transaction_id", "region")
+    return I.tenant_rows(rows, entitlements(c), "region", PRINCIPAL).select(F.lit(PRINCIPAL).alias("principal"), "region", "transaction_id")
 
 
 @query("tenant_leaks")
 def q_tenant_leaks(spark, sf):
     c = Ctx(spark, sf)
-    return I.tenant_leaks(visible_transactions(c), entitlements(c), "region") \
+    handled = c.only("transactions", "transaction_id", "region", "sales_rep_id").withColumnRenamed("sales_rep_id", "principal")
+    return I.tenant_leaks(handled, entitlements(c), "region") \
         .select("principal", "region", "transaction_id")
 
 
-MASK_PRINCIPAL = "SR001"
-
-
 @query("mask_columns")
 def q_mask_columns(spark, sf):
     c = Ctx(spark, sf)
     geo = F.broadcast(c.nation.join(c.region, F.col("n_regionkey") == F.col("r_regionkey"))
                       .select(F.col("n_name").alias("country"), F.col("r_name").alias("cust_region")))
-    mine = F.broadcast(entitlements(c).where(F.col("principal") == MASK_PRINCIPAL)
+    mine = F.broadcast(entitlements(c).where(F.col("principal") == PRINCIPAL)
                        .select(F.col("tenant_id").alias("cust_region"), F.lit(True).alias("_e")))
     cu = c.customers.join(geo, "country", "left").join(mine, "cust_region", "left")
     return I.mask_columns(cu, F.coalesce(F.col("_e"), F.lit(False)))

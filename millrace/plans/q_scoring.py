@@ -10,7 +10,11 @@ DEMAND_FACTOR = 20.0
 
 
 def usage(c: Ctx):
-    return S.part_usage_rate(c.transactions, window_days=USAGE_WINDOW_DAYS, demand_factor=DEMAND_FACTOR)
+    return S.part_usage_rate(c.only("transactions", "transaction_date", "product_id", "quantity"), window_days=USAGE_WINDOW_DAYS, demand_factor=DEMAND_FACTOR)
+
+
+def churn_customers(c: Ctx):
+    return c.only("customers", "customer_id", "segment", "industry", "last_purchase_date", "total_orders", "total_spent")
 
 
 @query("part_usage_rate")
@@ -26,4 +30,4 @@ def q_predict_shortage(spark, sf):
 
 @query("predict_churn")
 def q_predict_churn(spark, sf):
-    return S.predict_churn(Ctx(spark, sf).customers)
+    return S.predict_churn(churn_customers(Ctx(spark, sf)))

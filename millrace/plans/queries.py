@@ -32,6 +32,10 @@ class Ctx:
         self.t = Tables(spark, sf_dir)
         self._built: dict[str, DataFrame] = {}
 
+    def only(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a domain table, built with only the joins that these need."""
+        return B.BUILDERS[name](self.t, want=set(columns)).select(*columns)
+
     def __getattr__(self, name):
         if name.startswith("_"):
             raise AttributeError(name)

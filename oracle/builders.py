@@ -62,7 +62,7 @@ SELECT printf('PART%05d', p_partkey + 1) || '-' || warehouse_id AS inventory_id,
   p_retailprice AS unit_cost,
   {ts(C.AS_OF_SHIPPING)} - to_hours(CAST((p_partkey * 7 + w_idx * 3) % 72 AS BIGINT)) AS last_updated,
   {pick(C.PART_CATEGORIES, 'p_partkey')} AS category,
-  printf('SUP%04d', (p_partkey * 31 + w_idx) % (SELECT count(*) FROM supplier) + 1) AS supplier_id
+  CASE WHEN (SELECT count(*) FROM supplier) > 0 THEN printf('SUP%04d', (p_partkey * 31 + w_idx) % (SELECT count(*) FROM supplier) + 1) ELSE 'DEFAULT_SUP' END AS supplier_id
 FROM part, ({_wh_rows}) w""")
 
 cte("shipments")(f"""
@@ -82,8 +82,8 @@ SELECT printf('SHP%d-%d', l_orderkey, l_linenumber) AS shipment_id,
   {pick(C.CARRIERS, 'l_orderkey + l_suppkey')} AS carrier,
   printf('TRK%010d', l_orderkey * 10 + l_linenumber) AS tracking_number,
   CAST(l_quantity * 10 + 50 AS DOUBLE) AS cost
-FROM lineitem JOIN part ON l_partkey = p_partkey
-  JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""")
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+  LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""")
 
 cte("customers")(f"""
 SELECT printf('CUST%05d', c_custkey + 1) AS customer_id, c_name AS customer_name,
@@ -109,7 +109,7 @@ LEFT JOIN nation ON c_nationkey = n_nationkey""")
 cte("transactions")(f"""
 SELECT printf('TXN%d-%d', l_orderkey, l_linenumber) AS transaction_id,
   printf('ORD%06d', l_orderkey) AS order_id,
-  printf('CUST%05d', c_custkey + 1) AS customer_id, c_name AS customer_name,
+  CASE WHEN o_custkey IS NOT NULL THEN printf('CUST%05d', o_custkey + 1) END AS customer_id, c_name AS customer_name,
   o_orderdate AS transaction_date,
   printf('PART%05d', l_partkey + 1) AS product_id, p_name AS product_name,
   CAST(l_quantity AS INTEGER) AS quantity, p_retailprice AS unit_price,
@@ -123,8 +123,8 @@ SELECT printf('TXN%d-%d', l_orderkey, l_linenumber) AS transaction_id,
   'Rep ' || CAST(l_orderkey % 20 + 1 AS VARCHAR) AS sales_rep_name,
   r_name AS region,
   CASE WHEN l_orderkey % 10 = 9 THEN 'PENDING' ELSE 'COMPLETED' END AS status
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-  JOIN part ON l_partkey = p_partkey
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+  LEFT JOIN part ON l_partkey = p_partkey
   LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey) g ON c_nationkey = g.n_nationkey""")
 
 cte("telemetry")(f"""
@@ -138,9 +138,9 @@ SELECT 'R' || CAST(event_id AS VARCHAR) AS reading_id,
   CASE WHEN user_id % 5 <> 0 THEN CAST((event_id * 13) % 400 + 800 AS DOUBLE) / 10.0 END AS pressure,
   CASE WHEN user_id % 5 >= 2 THEN CAST((event_id * 3) % 100 AS DOUBLE) / 10.0 END AS vibration,
   value AS power_consumption,
-  CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'NORMAL' END AS operational_status,
-  CASE WHEN event_type = 'error' THEN 'E' || CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) + 100 AS VARCHAR) END AS error_code,
-  (event_type = 'error' AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0) AS maintenance_required,
+  CASE WHEN event_type <> 'error' OR event_type IS NULL THEN 'NORMAL' WHEN event_id % 4 = 0 THEN 'WARNING' ELSE 'ERROR' END AS operational_status,
+  CASE WHEN event_type = 'error' THEN 'E' || CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) + 100 AS VARCHAR) END AS error_code,
+  (event_type = 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0) AS maintenance_required,
   CAST(ts AS DATE) AS reading_date
 FROM events""")
 
@@ -151,7 +151,7 @@ _tpl_case = "CASE " + " ".join(
 _old = f"({d(C.AS_OF_SALES)} - CAST(o_orderdate AS DATE) > 7)"
 cte("tickets")(f"""
 SELECT printf('TKT%08d', o_orderkey) AS ticket_id,
-  printf('CUST%05d', c_custkey + 1) AS customer_id, c_name AS customer_name,
+  CASE WHEN o_custkey IS NOT NULL THEN printf('CUST%05d', o_custkey + 1) END AS customer_id, c_name AS customer_name,
   o_orderdate AS created_date,
   {pick(C.TICKET_CATEGORIES, 'o_orderkey')} AS category,
   CASE WHEN starts_with(o_orderpriority, '1') THEN 'CRITICAL' WHEN starts_with(o_orderpriority, '2') THEN 'HIGH'
@@ -165,7 +165,7 @@ SELECT printf('TKT%08d', o_orderkey) AS ticket_id,
   CASE WHEN {_old} THEN CAST((o_orderkey * 17) % 168 + 1 AS DOUBLE) END AS resolution_time_hours,
   CASE WHEN {_old} THEN CAST({pick(C.SATISFACTION_SCORES, 'o_orderkey')} AS INTEGER) END AS satisfaction_score,
   list_slice({lst(C.TICKET_TAGS)}, o_orderkey % 3 + 1, o_orderkey % 3 + o_orderkey % 4) AS tags
-FROM orders JOIN customer ON o_custkey = c_custkey""")
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
 
 cte("support_tickets", ["tickets"])(f"""
 SELECT 'ST-' || ticket_id AS id, ticket_id, customer_id, customer_name,
@@ -192,6 +192,8 @@ SELECT 'SOP-' || CAST(doc_id AS VARCHAR) AS id,
     || array_to_string(list_transform(list_slice(lines, 2, 3), lambda x: '- ' || x), {NL})
     || {NL} || {NL} || 'Procedure Steps:' || {NL}
     || array_to_string(list_transform(list_slice(lines, 4, 2147483647), lambda x, i: CAST(i AS VARCHAR) || '. ' || x), {NL})
+    || {NL} || {NL} || 'Safety Considerations:' || {NL}
+    || array_to_string(list_transform(list_slice(lines, greatest(len(lines) - 1, 1), len(lines)), lambda x: '- ' || x), {NL})
     AS procedure_text,
   {pick(C.SOP_CATEGORIES, 'doc_id // 3')} AS category,
   {pick(C.SOP_DEPARTMENTS, 'doc_id // 7')} AS department,
@@ -207,13 +209,14 @@ cte("incident_reports")(f"""
 SELECT 'INC-' || CAST(doc_id AS VARCHAR) AS id,
   {pick(C.INCIDENT_TITLES, 'doc_id // 3')} AS incident_title,
   {_line(1)} || {NL} || {NL} || 'Initial Detection: ' || {_line(2)} || {NL} || 'Immediate Impact: ' || {_line(3)}
-    || {NL} || 'Actions Taken: ' || {_line(4)} AS incident_description,
+    || {NL} || 'Actions Taken:' || {NL} || array_to_string(list_transform(list_slice(lines, 4, 2147483647), lambda x: '- ' || x), {NL}) AS incident_description,
   {ts(C.AS_OF_SHIPPING)} - to_hours(CAST((doc_id * 7919) % 8760 + 24 AS BIGINT)) AS incident_date,
   CASE WHEN (doc_id // 3) % 10 < 4 THEN 'LOW' WHEN (doc_id // 3) % 10 < 7 THEN 'MEDIUM'
        WHEN (doc_id // 3) % 10 < 9 THEN 'HIGH' ELSE 'CRITICAL' END AS severity,
   {pick(C.INCIDENT_CATEGORIES, 'doc_id // 3')} AS category,
   list_slice({lst(C.AFFECTED_SYSTEMS)}, doc_id % 3 + 1, doc_id % 3 + (doc_id // 3) % 3 + 1) AS affected_systems,
-  'Immediate Response:' || {NL} || '- ' || {_line(5)} || {NL} || {NL} || 'Permanent Fix: ' || {_line(6)} AS resolution,
+  'Immediate Response:' || {NL} || array_to_string(list_transform(list_slice(lines, 5, 2147483647), lambda x: '- ' || x), {NL})
+    || {NL} || {NL} || 'Permanent Fix: ' || coalesce(lines[-1], '') AS resolution,
   CAST((doc_id * 37) % 716 + 5 AS DOUBLE) / 10.0 AS resolution_time_hours,
   coalesce(lines[-1], '') AS root_cause,
   {_line(1)} AS preventive_measures,
@@ -225,15 +228,16 @@ _age = "((doc_id * 11) % 365)"
 _status = (f"CASE WHEN {_age} > 60 THEN {pick(['WON', 'LOST', 'LOST'], 'doc_id // 3')} "
            f"WHEN {_age} > 30 THEN {pick(['UNDER_REVIEW', 'SENT'], 'doc_id // 3')} "
            f"ELSE {pick(['DRAFT', 'SENT'], 'doc_id // 3')} END")
-_summary = (f"'Proposal for ' || {pick(C.PROPOSAL_PRODUCTS, 'doc_id')} || ' implementation at ' || c_name"
+_summary = (f"'Proposal for ' || {pick(C.PROPOSAL_PRODUCTS, 'doc_id')} || ' implementation at ' || coalesce(c_name, '')"
             f" || '. ' || {_line(1)}")
 cte("sales_proposals")(f"""
 SELECT 'PRP-' || CAST(doc_id AS VARCHAR) AS id, printf('PROP%06d', doc_id) AS proposal_id,
-  printf('CUST%05d', c_custkey + 1) AS customer_id, c_name AS customer_name,
+  printf('CUST%05d', dd.doc_id % (SELECT count(*) FROM customer) + 1) AS customer_id, c_name AS customer_name,
   {d(C.AS_OF_SALES)} - CAST({_age} AS INTEGER) AS proposal_date,
   'EXECUTIVE SUMMARY:' || {NL} || {_summary} || {NL} || {NL} || 'BUSINESS CASE:' || {NL} || {_line(2)}
     || {NL} || {NL} || 'PROPOSED SOLUTION:' || {NL} || {_line(3)} || {NL} || {NL} || 'IMPLEMENTATION TIMELINE:' || {NL}
     || array_to_string(list_transform(list_slice(lines, 4, 2147483647), lambda x, i: 'Phase ' || CAST(i AS VARCHAR) || ': ' || x), {NL})
+    || {NL} || {NL} || 'INVESTMENT SUMMARY:' || {NL} || coalesce(lines[-1], '')
     AS proposal_content,
   {_summary} AS executive_summary,
   CAST((doc_id * 7907) % 1950000 + 50000 AS DOUBLE) AS proposal_value,
@@ -244,7 +248,7 @@ SELECT 'PRP-' || CAST(doc_id AS VARCHAR) AS id, printf('PROP%06d', doc_id) AS pr
   CASE WHEN {_status} IN ('SENT', 'UNDER_REVIEW') THEN CAST(doc_id % 81 + 10 AS DOUBLE) / 100.0 END AS win_probability,
   CASE WHEN (doc_id // 3) % 2 = 0 THEN 'Competitor ' || CAST(doc_id % 7 AS VARCHAR) END AS competitor_info,
   CASE WHEN (doc_id // 3) % 10 >= 7 THEN {_line(2)} END AS notes
-FROM {_docs(2)} dd JOIN customer ON dd.doc_id % (SELECT count(*) FROM customer) = c_custkey""")
+FROM {_docs(2)} dd LEFT JOIN customer ON dd.doc_id % (SELECT count(*) FROM customer) = c_custkey""")
 
 
 def with_ctes(body: str, *names: str) -> str:

@@ -47,14 +47,12 @@ SELECT region, sales_rep_id, strftime(transaction_date, '%Y-%m') AS month, count
 FROM transactions GROUP BY ROLLUP (region, sales_rep_id, strftime(transaction_date, '%Y-%m'))""", "transactions")
 
 ORACLE["kpi_trends"] = with_ctes(f"""
-, m AS (SELECT region, strftime(transaction_date, '%Y-%m') AS month, sum({_net}) AS rev
-        FROM transactions GROUP BY ALL)
-SELECT region, month, CAST(rev AS DOUBLE) AS revenue,
-  CASE WHEN lag(rev) OVER w IS NOT NULL AND CAST(lag(rev) OVER w AS DOUBLE) <> 0
-       THEN (CAST(rev AS DOUBLE) - CAST(lag(rev) OVER w AS DOUBLE)) * 100.0 / CAST(lag(rev) OVER w AS DOUBLE) END AS mom_change_pct,
-  CAST(sum(rev) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE)
-    / count(*) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_avg_3m
-FROM m WINDOW w AS (PARTITION BY region ORDER BY month)""", "transactions")
+, m AS (SELECT region, strftime(transaction_date, '%Y-%m') AS month, year(transaction_date) * 12 + month(transaction_date) AS i, sum({_net}) AS rev
+        FROM transactions GROUP BY ALL),
+p AS (SELECT a.region, a.month, CAST(a.rev AS DOUBLE) AS rev, CAST(b.rev AS DOUBLE) AS prev,
+        (SELECT CAST(sum(c.rev) AS DOUBLE) / count(*) FROM m c WHERE c.region IS NOT DISTINCT FROM a.region AND c.i BETWEEN a.i - 2 AND a.i) AS mov
+      FROM m a LEFT JOIN m b ON b.region IS NOT DISTINCT FROM a.region AND b.i = a.i - 1)
+SELECT region, month, rev AS revenue, CASE WHEN prev <> 0 THEN (rev - prev) * 100.0 / prev END AS mom_change_pct, mov AS moving_avg_3m FROM p""", "transactions")
 
 C360 = f"""SELECT c.customer_id, customer_name, segment, industry, status, total_orders, total_spent, last_purchase_date,
   coalesce(txn_lines, 0) AS txn_lines, coalesce(txn_revenue, 0.0) AS txn_revenue, last_transaction,
@@ -72,19 +70,17 @@ CTES["c360"] = C360
 DEPS["c360"] = ["customers", "transactions", "tickets", "sales_proposals"]
 ORACLE["customer_360"] = with_ctes("SELECT * FROM c360", "c360")
 
-_ind = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-ORACLE["churn_heatmap"] = with_ctes("SELECT segment, " + ", ".join(
-    f"CAST(sum(CAST(CAST(churn_probability * 1000 AS DECIMAL(10,0)) AS BIGINT)) FILTER (WHERE industry = '{i}') AS DOUBLE)"
-    f" / count(*) FILTER (WHERE industry = '{i}') / 1000.0 AS \"{i}\"" for i in _ind)
-    + " FROM churn GROUP BY segment", "churn")
+ORACLE["churn_heatmap"] = with_ctes("""
+SELECT segment, industry, CAST(sum(CAST(CAST(churn_probability * 1000 AS DECIMAL(10,0)) AS BIGINT)) AS DOUBLE) / count(*) / 1000.0 AS mean_churn_probability
+FROM churn GROUP BY segment, industry""", "churn")
 
 ORACLE["proposal_pipeline"] = with_ctes(f"""
 SELECT created_by, count(*) AS proposals, count_if(status = 'WON') AS won, count_if(status = 'LOST') AS lost,
   CASE WHEN count_if(status IN ('WON', 'LOST')) > 0 THEN count_if(status = 'WON') / count_if(status IN ('WON', 'LOST')) END AS win_rate,
   {MONEY(f"CASE WHEN status IN {OPEN_PR} THEN proposal_value END")} AS open_pipeline_value,
   CAST(sum(CASE WHEN status IN {OPEN_PR} THEN CAST(proposal_value AS DECIMAL(18,2)) * CAST(win_probability AS DECIMAL(4,2)) END) AS DOUBLE) AS weighted_pipeline,
-  max(CASE WHEN status IN {OPEN_PR} THEN win_probability * proposal_value / (SELECT max(proposal_value) FROM sales_proposals) END) AS best_lead_score
-FROM sales_proposals GROUP BY created_by""", "sales_proposals")
+  max(CASE WHEN status IN {OPEN_PR} THEN round(win_probability * value_rank, 9) END) AS best_lead_score
+FROM (SELECT *, percent_rank() OVER (ORDER BY proposal_value) AS value_rank FROM sales_proposals) GROUP BY created_by""", "sales_proposals")
 
 ORACLE["ticket_sla"] = with_ctes(f"""
 SELECT priority, count(*) AS tickets, count(resolved_date) AS resolved, avg(resolution_time_hours) AS mean_resolution_hours,
@@ -148,7 +144,8 @@ ORACLE["maintenance_tickets"] = with_ctes("""
 SELECT 'MT-' || device_id AS ticket_id, device_id,
   arg_max(reading_id, ("timestamp", reading_id)) AS reading_id, arg_max(error_code, ("timestamp", reading_id)) AS error_code,
   max("timestamp") AS fault_ts, arg_max(location_id, ("timestamp", reading_id)) AS location_id, 'HIGH' AS priority
-FROM telemetry WHERE maintenance_required AND 'MT-' || device_id NOT IN (SELECT ticket_id FROM tickets)
+FROM telemetry WHERE maintenance_required AND device_id NOT IN (
+  SELECT printf('DEV%04d', CAST(substr(ticket_id, 4) AS BIGINT) % 150 + 1) FROM tickets WHERE status IN ('OPEN', 'IN_PROGRESS', 'ESCALATED'))
 GROUP BY device_id""", "telemetry", "tickets")
 
 ORACLE["next_best_action"] = with_ctes("""

@@ -34,7 +34,7 @@ _days = f"greatest(1, s.lead_time_days + {_adj})"
 _ok = f"({_err}) IS NULL"
 ORACLE["create_purchase_orders"] = with_ctes(f"""
 SELECT r.request_id,
-  CASE WHEN {_ok} THEN 'PO-' || upper(substr(sha256(r.request_id), 1, 8)) END AS order_id,
+  CASE WHEN {_ok} THEN 'PO-' || upper(sha256(r.request_id)) END AS order_id,
   CASE WHEN {_ok} THEN 'PENDING' ELSE 'FAILED' END AS status,
   {_err} AS error,
   r.supplier_id, r.part_id, r.quantity, {_prio} AS priority,

@@ -51,11 +51,11 @@ ENT = """SELECT principal, r_name AS tenant_id FROM (
   FROM (SELECT DISTINCT sales_rep_id AS principal FROM transactions)) JOIN region ON rk = r_regionkey"""
 ORACLE["tenant_rows"] = with_ctes(f"""
 , ent AS ({ENT})
-SELECT e.principal, t.region, t.transaction_id FROM transactions t JOIN ent e ON t.region = e.tenant_id""", "transactions")
+SELECT e.principal, t.region, t.transaction_id FROM transactions t JOIN ent e ON t.region = e.tenant_id WHERE e.principal = 'SR001'""", "transactions")
 ORACLE["tenant_leaks"] = with_ctes(f"""
 , ent AS ({ENT})
-SELECT e.principal, t.region, t.transaction_id FROM transactions t JOIN ent e ON t.region = e.tenant_id
-WHERE false""", "transactions")
+SELECT sales_rep_id AS principal, region, transaction_id FROM transactions t
+WHERE NOT EXISTS (SELECT 1 FROM ent e WHERE e.principal = t.sales_rep_id AND e.tenant_id = t.region)""", "transactions")
 ORACLE["mask_columns"] = with_ctes(f"""
 , ent AS ({ENT}),
 cr AS (SELECT c.*, r_name AS cust_region FROM customers c LEFT JOIN nation ON c.country = n_name

@@ -12,6 +12,10 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def joins(df) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
 def test_track_shipments_pushes_the_date_filter_into_the_scan(spark):
     p = plan(Q["track_shipments"](spark, SF_CHECK))
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in p
@@ -23,6 +27,12 @@ def test_usage_prunes_columns_and_pushes_dates(spark):
     assert "GreaterThanOrEqual(o_orderdate" in p
 
 
+def test_builders_join_only_what_is_asked_for(spark):
+    assert joins(Q["part_usage_rate"](spark, SF_CHECK)) == 1  # lineitem and orders
+    assert joins(Q["supplier_scorecard"](spark, SF_CHECK)) == 2  # nation for the supplier's city; suppliers and their deliveries
+    assert joins(Q["upsell_score"](spark, SF_CHECK)) == 1
+
+
 def test_scoring_paths_have_no_python(spark):
     for k in ["predict_shortage", "predict_churn", "create_purchase_orders", "lookup_customer", "inventory_status",
               "track_shipments", "reorder_list", "sales_kpis", "customer_360"]:

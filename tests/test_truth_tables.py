@@ -80,7 +80,7 @@ def test_purchase_order_checks_in_order(spark):
         ("PENDING", 310.0, 62.0, 372.0, 20.0, 4)
     assert (out["r6"].rush_fee, out["r6"].estimated_days) == (31.0, 6)
     assert (out["r7"].priority, out["r7"].rush_fee, out["r7"].estimated_days) == ("NORMAL", 0.0, 7)
-    assert u.order_id.startswith("PO-") and len(u.order_id) == 11
+    assert u.order_id.startswith("PO-") and len(u.order_id) == 3 + 64
 
 
 @pytest.mark.parametrize("qty,level,status", [(100, 100, "REORDER REQUIRED"), (150, 100, "LOW STOCK"),
