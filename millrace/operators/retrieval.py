@@ -6,8 +6,8 @@
   paired with it (no query x corpus product).
 * Vectors: exact k-NN deals index and queries into blocks; every pair of blocks meets
   in one task and gives k candidates a query to the final ``row_number`` merge.
-* ANN: ``BucketedRandomProjectionLSH`` from pyspark.ml (hash-table equi-join),
-  then exact re-rank of the candidates.
+* ANN: equi-join on sign-random-projection codes of several tables with one-bit
+  probes, then exact re-rank of the candidates.
 """
 
 from __future__ import annotations
@@ -320,23 +320,30 @@ def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, exclude_self: b
     return top_k(cand, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
-def ann_search(index: DataFrame, queries: DataFrame, k: int = 10, threshold: float = 1.3,
-               bucket_length: float = 1.0, num_tables: int = 4, seed: int = 42,
-               exclude_self: bool = False) -> DataFrame:
-    """LSH candidates (hash-table equi-join inside pyspark.ml) re-ranked exactly."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
+#: Hash tables of the approximate search, and sign bits of a table's code.
+ANN_TABLES, ANN_BITS = 10, 6
 
-    a = index.select("id", array_to_vector("vector").alias("v"))
-    b = queries.select("query_id", array_to_vector("vector").alias("v"))
-    model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(a)
-    pairs = model.approxSimilarityJoin(b, a, threshold, distCol="dist").select(
-        F.col("datasetA.query_id").alias("query_id"), F.col("datasetB.id").alias("id"), "dist")
+
+def srp_codes(v: Column, tables: int, bits: int, dim: int) -> Column:
+    """array<int>: one sign-random-projection code a table, from fixed hyperplanes."""
+    planes = hyperplanes(tables * bits, dim)
+    return F.array(*[srp_bucket(v, planes[t * bits:(t + 1) * bits]) for t in range(tables)])
+
+
+def ann_search(index: DataFrame, queries: DataFrame, k: int = 10, tables: int = ANN_TABLES, bits: int = ANN_BITS,
+               dim: int = 64, exclude_self: bool = False) -> DataFrame:
+    """Candidates share a code with the query in some table, or differ from it in one bit (multi-probe);
+    they are re-ranked exactly. ``bits`` trades candidates for recall: a bit more halves the buckets."""
+    ix = index.select("id", F.posexplode(srp_codes(F.col("vector"), tables, bits, dim)).alias("t", "code"))
+    flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
+    qx = queries.select("query_id", F.posexplode(srp_codes(F.col("vector"), tables, bits, dim)).alias("t", "own")) \
+        .select("query_id", "t", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("code"))
+    pairs = qx.join(ix, ["t", "code"]).select("query_id", "id").distinct()
     if exclude_self:
         pairs = pairs.where(F.col("query_id") != F.col("id"))
-    s = pairs.select("query_id", "id", F.round(F.lit(1.0) - F.col("dist") * F.col("dist") / 2.0, 9).alias("score"))
-    return top_k(s, ["query_id"], [F.col("score").desc(), F.col("id")], k)
+    scored = pairs.join(queries.select("query_id", F.col("vector").alias("_q")), "query_id").join(index.select("id", F.col("vector").alias("_v")), "id")
+    dot = F.aggregate(F.zip_with("_q", "_v", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return top_k(scored.select("query_id", "id", F.round(dot, 9).alias("score")), ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, k: int) -> DataFrame:

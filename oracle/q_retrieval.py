@@ -1,5 +1,6 @@
 """Oracle SQL for D01–D14 (D05, D13 rows-only) and I04."""
 
+from millrace.operators import retrieval as D
 from millrace.operators.retrieval import hyperplanes
 
 from .builders import CTES, DEPS
@@ -58,6 +59,26 @@ QUALIFY rank <= 10""", "vix")
 ORACLE["knn_exact"] = knn()
 ORACLE["filtered_search"] = knn("AND q.label = i.label")
 
+_ann = hyperplanes(D.ANN_TABLES * D.ANN_BITS, 64)
+_codes = ", ".join("(" + " + ".join(
+    f"(CASE WHEN list_inner_product(vector, [{', '.join(repr(x) for x in _ann[t * D.ANN_BITS + j])}]::DOUBLE[]) >= 0 THEN {1 << j} ELSE 0 END)"
+    for j in range(D.ANN_BITS)) + ")" for t in range(D.ANN_TABLES))
+CTES["anncodes"] = f"SELECT id, vector, unnest([{_codes}]) AS code, generate_subscripts([{_codes}], 1) AS t FROM vix"
+DEPS["anncodes"] = ["vix"]
+CTES["anntop"] = """SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (
+  SELECT DISTINCT q.id AS query_id, i.id, round(list_inner_product(q.vector, i.vector), 9) AS score
+  FROM anncodes q JOIN anncodes i ON q.t = i.t AND bit_count(xor(q.code, i.code)) <= 1 AND q.id <> i.id) QUALIFY rank <= 10"""
+DEPS["anntop"] = ["anncodes"]
+ORACLE["ann_search"] = with_ctes("SELECT * FROM anntop", "anntop")
+CTES["exacttop"] = """SELECT q.id AS query_id, i.id,
+  row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS rank
+FROM vix q JOIN vix i ON q.id <> i.id QUALIFY rank <= 10"""
+DEPS["exacttop"] = ["vix"]
+ORACLE["ann_recall"] = with_ctes("""
+SELECT 10 AS k, count(*) AS queries, avg(r) AS recall_at_k FROM (
+  SELECT e.query_id, CAST(count(a.id) AS DOUBLE) / 10 AS r
+  FROM exacttop e LEFT JOIN anntop a ON a.query_id = e.query_id AND a.id = e.id GROUP BY e.query_id)""", "exacttop", "anntop")
+
 USER_Q = "SELECT conv_id || '-' || turn AS query_id, conv_id, text FROM conversations WHERE role = 'user'"
 
 

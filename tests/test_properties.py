@@ -98,13 +98,29 @@ def test_knn_exact_equals_numpy(spark, monkeypatch):
     assert {(r.query_id, r.id) for r in got.collect()} == want
 
 
+def test_ann_finds_clustered_neighbours_among_few_candidates(spark):
+    """On vectors with near neighbours: recall at least 0.9 with at most a fifth of all pairs as candidates."""
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((60, 32))
+    X = np.repeat(centres, 6, axis=0) + 0.15 * rng.standard_normal((360, 32))
+    X /= np.linalg.norm(X, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(360)], "id long, vector array<double>")
+    q = df.select(F.col("id").alias("query_id"), "vector")
+    ann = D.ann_search(df, q, k=5, tables=6, bits=10, dim=32, exclude_self=True)
+    assert D.recall_at_k(ann, D.knn_exact(df, q, k=5, exclude_self=True), 5).first().recall_at_k >= 0.9
+    codes = np.array(df.orderBy("id").select(D.srp_codes(F.col("vector"), 6, 10, 32)).collect())[:, 0, :]
+    differ = np.vectorize(lambda x: int(x).bit_count())(codes[:, None, :] ^ codes[None, :, :])
+    assert ((differ <= 1).any(axis=2)).mean() <= 0.2
+
+
 def test_ann_candidates_are_a_subset_of_exact_scores(spark):
     rng = np.random.default_rng(5)
     X = rng.standard_normal((80, 8))
     X /= np.linalg.norm(X, axis=1, keepdims=True)
     df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(80)], "id long, vector array<double>")
     q = df.select(F.col("id").alias("query_id"), "vector")
-    ann = D.ann_search(df, q, k=5, exclude_self=True).collect()
+    ann = D.ann_search(df, q, k=5, dim=8, exclude_self=True).collect()
+    assert ann
     for r in ann:
         assert abs(r.score - float(X[r.query_id] @ X[r.id])) < 1e-6
 
