@@ -303,9 +303,11 @@ def tickets(t: Tables, want: set | None = None) -> DataFrame:
     ])
 
 
-def support_tickets(t: Tables, tk: DataFrame | None = None) -> DataFrame:
+def support_tickets(t: Tables, want: set | None = None) -> DataFrame:
     """B11 build_support_tickets: search-ready projection of tickets."""
-    tk = tickets(t) if tk is None else tk
+    tk = tickets(t)
+    if want is not None and "customer_name" not in want:
+        tk = tickets(t, want=set(tk.columns) - {"customer_name"}).withColumn("customer_name", F.lit(None).cast("string"))
     return tk.select(
         F.concat(F.lit("ST-"), F.col("ticket_id")).alias("id"),
         "ticket_id", "customer_id", "customer_name",
@@ -434,6 +436,9 @@ def proposals(t: Tables, want: set | None = None) -> DataFrame:
     ])
 
 
+#: Builders that take the wanted columns; the others join nothing that could be left out.
+PRUNED = {"shipments", "customers", "transactions", "tickets", "support_tickets", "sales_proposals"}
+
 BUILDERS = {
     "suppliers": suppliers, "inventory": inventory, "shipments": shipments, "customers": customers,
     "transactions": transactions, "telemetry": telemetry, "tickets": tickets,

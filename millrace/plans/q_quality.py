@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import governance as I
 from ..operators import quality as J
+from ..sources.schemas import TABLES
 from .queries import Ctx, query
 
 ALL_TABLES = ["inventory", "shipments", "suppliers", "standard_operating_procedures", "incident_reports",
@@ -18,11 +19,29 @@ def tables(c: Ctx):
 
 for _key, _fn in [("dq_required_columns", J.required_columns), ("dq_id_format", J.id_format),
                   ("dq_enums", J.enums), ("dq_ranges", J.ranges), ("dq_types", J.types),
-                  ("dq_foreign_keys", J.foreign_keys), ("dq_content", J.content),
-                  ("dq_business_rules", J.business_rules), ("dq_unique_keys", J.unique_keys)]:
+                  ("dq_content", J.content), ("dq_business_rules", J.business_rules)]:
     query(_key)((lambda f: lambda spark, sf: f(tables(Ctx(spark, sf))))(_fn))
 
 
+def key_tables(c: Ctx, keys: dict):
+    """The tables with their key columns only, so no join is made for a column that no check reads."""
+    return {n: c.only(n, *sorted(cols)) for n, cols in keys.items()}
+
+
+@query("dq_foreign_keys")
+def q_dq_foreign_keys(spark, sf):
+    keys: dict = {}
+    for child, ck, parent, pk in J.FOREIGN_KEYS:
+        keys.setdefault(child, set()).add(ck)
+        keys.setdefault(parent, set()).add(pk)
+    return J.foreign_keys(key_tables(Ctx(spark, sf), keys))
+
+
+@query("dq_unique_keys")
+def q_dq_unique_keys(spark, sf):
+    return J.unique_keys(key_tables(Ctx(spark, sf), {n: {TABLES[n].key} for n in ALL_TABLES}))
+
+
 def expected_volumes(c: Ctx):
     t = c.t
     n = lambda df, name, mult=1: df.agg((F.count(F.lit(1)) * mult).alias("expected")).select(
@@ -42,7 +61,7 @@ def expected_volumes(c: Ctx):
 @query("dq_volumes")
 def q_dq_volumes(spark, sf):
     c = Ctx(spark, sf)
-    return J.volumes(tables(c), expected_volumes(c))
+    return J.volumes(key_tables(c, {n: {TABLES[n].key} for n in ALL_TABLES}), expected_volumes(c))
 
 
 # ---- governance ------------------------------------------------------------------------------

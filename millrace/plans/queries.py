@@ -34,7 +34,8 @@ class Ctx:
 
     def only(self, name: str, *columns: str) -> DataFrame:
         """Some columns of a domain table, built with only the joins that these need."""
-        return B.BUILDERS[name](self.t, want=set(columns)).select(*columns)
+        build = B.BUILDERS[name]
+        return (build(self.t, want=set(columns)) if name in B.PRUNED else build(self.t)).select(*columns)
 
     def __getattr__(self, name):
         if name.startswith("_"):

@@ -31,6 +31,7 @@ def test_builders_join_only_what_is_asked_for(spark):
     assert joins(Q["part_usage_rate"](spark, SF_CHECK)) == 1  # lineitem and orders
     assert joins(Q["supplier_scorecard"](spark, SF_CHECK)) == 2  # nation for the supplier's city; suppliers and their deliveries
     assert joins(Q["upsell_score"](spark, SF_CHECK)) == 1
+    assert joins(Q["dq_unique_keys"](spark, SF_CHECK)) == 1  # nation, in the supplier builder
 
 
 def test_scoring_paths_have_no_python(spark):
