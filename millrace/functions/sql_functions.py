@@ -36,12 +36,27 @@ RETURN CASE WHEN current_quantity <= reorder_level THEN 'REORDER REQUIRED'
             WHEN current_quantity <= reorder_level * 1.5 THEN 'LOW STOCK' ELSE 'ADEQUATE' END
 """
 
+_CHURN_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION churn_probability(
+  days_since_purchase INT COMMENT 'Days since the last purchase',
+  purchases INT DEFAULT 0 COMMENT 'Number of orders',
+  avg_value DOUBLE DEFAULT 0.0 COMMENT 'Mean order value')
+RETURNS DOUBLE
+RETURN least(1.0D, days_since_purchase / 90.0D) * 0.5D + greatest(0.0D, 1.0D - purchases / 20.0D) * 0.3D
+  + greatest(0.0D, 1.0D - avg_value / 1000.0D) * 0.2D
+"""
+_CHURN_LEVEL_SQL = """
+CREATE OR REPLACE TEMPORARY FUNCTION churn_level(probability DOUBLE COMMENT 'Churn probability 0-1')
+RETURNS STRING
+RETURN CASE WHEN probability > 0.7 THEN 'HIGH' WHEN probability > 0.4 THEN 'MEDIUM' ELSE 'LOW' END
+"""
+
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
-    """Register C01/C05 pieces as session SQL functions (with comments and defaults)."""
-    for ddl in (_SHORTAGE_SQL, _RISK_SQL, _LEVEL_SQL, _STOCK_SQL):
+    """Register C01, C02 and C05 as session SQL functions (with comments and defaults)."""
+    for ddl in (_SHORTAGE_SQL, _RISK_SQL, _LEVEL_SQL, _STOCK_SQL, _CHURN_SQL, _CHURN_LEVEL_SQL):
         spark.sql(ddl)
-    return ["shortage_days", "shortage_risk", "shortage_level", "stock_status"]
+    return ["shortage_days", "shortage_risk", "shortage_level", "stock_status", "churn_probability", "churn_level"]
 
 
 @F.pandas_udf(T.DoubleType())

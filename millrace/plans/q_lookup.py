@@ -95,11 +95,19 @@ def q_register_sql_functions(spark, sf):
     c = Ctx(spark, sf)
     K.register_sql_functions(spark)
     j = c.inventory.join(usage(c).select("part_id", "usage_rate"), "part_id", "left")
-    return j.selectExpr(
-        "inventory_id", "shortage_days(current_quantity, usage_rate) AS days_until_shortage",
+    shortage = j.selectExpr(
+        "inventory_id AS subject_id",
+        "shortage_days(usage_rate => usage_rate, current_inventory => current_quantity) AS days_until_shortage",
+        "shortage_days(current_quantity) AS days_at_default_usage",
         "round(shortage_risk(current_quantity, usage_rate), 3) AS risk_score",
         "shortage_level(shortage_risk(current_quantity, usage_rate)) AS risk_level",
         "stock_status(current_quantity, reorder_level) AS stock_status")
+    churn = S.predict_churn(churn_customers(c)).selectExpr(
+        "customer_id AS subject_id",
+        "churn_probability(days_since_last_purchase, avg_value => avg_order_value, purchases => total_purchases) AS p").selectExpr(
+        "subject_id", "CAST(NULL AS INT) AS days_until_shortage", "CAST(NULL AS INT) AS days_at_default_usage",
+        "round(p, 3) AS risk_score", "churn_level(p) AS risk_level", "CAST(NULL AS STRING) AS stock_status")
+    return shortage.unionByName(churn)
 
 
 @query("python_function_column")

@@ -128,9 +128,12 @@ SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
 FROM events"""
 
 ORACLE["register_sql_functions"] = with_ctes(f"""
-SELECT inventory_id, days_until_shortage, risk_score, risk_level,
-  {_st.format(q='current_quantity', l='reorder_level')} AS stock_status
-FROM shortage JOIN (SELECT inventory_id AS iid, reorder_level FROM inventory) ON inventory_id = iid""", "shortage", "inventory")
+SELECT inventory_id AS subject_id, days_until_shortage,
+  greatest(1, CAST(trunc(q / {C.MIN_DAILY_USAGE}) AS INTEGER)) AS days_at_default_usage, risk_score, risk_level,
+  {_st.format(q='q', l='reorder_level')} AS stock_status
+FROM shortage JOIN (SELECT inventory_id AS iid, reorder_level, current_quantity AS q FROM inventory) ON inventory_id = iid
+UNION ALL
+SELECT customer_id, CAST(NULL AS INTEGER), CAST(NULL AS INTEGER), churn_probability, risk_level, CAST(NULL AS VARCHAR) FROM churn""", "shortage", "inventory", "churn")
 
 ORACLE["python_function_column"] = with_ctes(
     "SELECT customer_id, churn_probability AS churn_probability_py, true AS agrees FROM churn", "churn")
