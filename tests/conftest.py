@@ -23,9 +23,10 @@ def spark():
     for k, v in REQUIRED_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
-    s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):  # tests only: no cluster folder is configured
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="millrace-test-ckpt-"))
+        s.stop()
+        s = b.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="millrace-test-ckpt-")).getOrCreate()
+    s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
 
