@@ -87,31 +87,35 @@ def bm25_query_side(idx: DataFrame, q_terms: DataFrame, stats) -> DataFrame:
 
 
 def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                   q_text: str, k: int = 10, doc_filter: DataFrame | None = None, idx: DataFrame | None = None) -> DataFrame:
-    """BM25 top-k documents per query. ``doc_filter`` (query_id, doc_id) pairs restrict
-    candidates before ranking (I04). ``idx`` reuses an index built by ``text_index``."""
+                   q_text: str, k: int = 10, doc_groups: DataFrame | None = None, query_groups: DataFrame | None = None,
+                   idx: DataFrame | None = None) -> DataFrame:
+    """BM25 top-k documents per query. With ``doc_groups`` (doc_id, group) and ``query_groups``
+    (query_id, group) a query meets documents of its groups only (I04): the group is part of the join key,
+    so other pairs are never scored. ``idx`` reuses an index built by ``text_index``."""
     idx = text_index(docs, id_col, text_col) if idx is None else idx
     dw, stats = bm25_doc_side(idx)
     qw = bm25_query_side(idx, query_terms(queries, qid_col, q_text), stats)
-    s = score_by_term(dw, "w", qw)
-    if doc_filter is not None:
-        s = s.join(doc_filter, ["query_id", "doc_id"], "left_semi")
+    on = ["term"]
+    if doc_groups is not None:
+        dw, qw, on = dw.join(doc_groups, "doc_id"), qw.join(query_groups.distinct(), "query_id"), ["term", "group"]
+    s = score_by_term(dw, "w", qw, on=on)
     s = s.select("query_id", "doc_id", F.round("s", 6).alias("score"))
     return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
 
 
-def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitioned: bool = True) -> DataFrame:
+def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitioned: bool = True, on: list | None = None) -> DataFrame:
     """sum over shared terms of q_weight x doc_weight per (query, doc).
 
     One plan for all sizes: the planner broadcasts the query terms when their measured bytes are
     below its threshold (the doc side then keeps its doc_id partitioning and the aggregate needs no
     shuffle), and joins on the term otherwise.
     """
-    qt = q_terms.select("query_id", "term", "qw")
-    dw = doc_w.select("doc_id", "term", F.col(w_col).alias("_w"))
+    on = on or ["term"]
+    qt = q_terms.select("query_id", *on, "qw")
+    dw = doc_w.select("doc_id", *on, F.col(w_col).alias("_w"))
     if not doc_partitioned:
         dw = dw.repartition(scoring_partitions(dw.sparkSession), "doc_id")
-    return dw.join(qt, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
+    return dw.join(qt, on).groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
 
 
 def tfidf_vectors(idx: DataFrame) -> DataFrame:
@@ -191,11 +195,12 @@ def project_results(results: DataFrame, docs: DataFrame, id_col: str, columns: l
     return results.join(docs.select(F.col(id_col).alias("doc_id"), *columns), "doc_id", "left")
 
 
-def no_result_queries(queries: DataFrame, qid_col: str, results: DataFrame) -> DataFrame:
-    """Queries without any hit."""
-    hits = results.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_results"))
-    q = queries.select(F.col(qid_col).alias("query_id")).distinct().join(hits, "query_id", "left")
-    return q.where(F.coalesce("n_results", F.lit(0)) == 0).select("query_id", F.lit(0).cast("bigint").alias("n_results"))
+def no_result_queries(queries: DataFrame, qid_col: str, q_text: str, docs: DataFrame, text_col: str) -> DataFrame:
+    """Queries without any hit, i.e. of whose terms none is in the corpus; nothing is scored."""
+    vocabulary = docs.select(F.explode(tokens(F.col(text_col))).alias("term")).distinct()
+    hits = query_terms(queries, qid_col, q_text).join(vocabulary, "term", "left_semi").select("query_id").distinct()
+    return (queries.select(F.col(qid_col).alias("query_id")).distinct().join(hits, "query_id", "left_anti")
+            .select("query_id", F.lit(0).cast("bigint").alias("n_results")))
 
 
 # ---------------------------------------------------------------- vector index ---------------

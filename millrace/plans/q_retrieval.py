@@ -141,20 +141,19 @@ def q_search_domain(spark, sf):
 @query("search_no_result")
 def q_search_no_result(spark, sf):
     c = Ctx(spark, sf)
-    return D.no_result_queries(user_queries(c), "query_id", kw(c))
+    return D.no_result_queries(user_queries(c), "query_id", "text", c.documents, "text")
 
 
-def permitted_pairs(c: Ctx):
+def permitted_sources(c: Ctx):
     """Entitlement rule: conversation n may read documents of sources src(n mod 20) and src((n+1) mod 20)."""
-    q = user_queries(c).select("query_id", "conv_id")
-    allowed = q.select("query_id", F.explode(F.array(
+    return user_queries(c).select("query_id", F.explode(F.array(
         F.concat(F.lit("src"), F.pmod("conv_id", F.lit(20)).cast("string")),
-        F.concat(F.lit("src"), F.pmod(F.col("conv_id") + 1, F.lit(20)).cast("string")))).alias("source"))
-    return allowed.join(c.documents.select("doc_id", "source"), "source").select("query_id", "doc_id")
+        F.concat(F.lit("src"), F.pmod(F.col("conv_id") + 1, F.lit(20)).cast("string")))).alias("group"))
 
 
 @query("permitted_search")
 def q_permitted_search(spark, sf):
     c = Ctx(spark, sf)
     return D.keyword_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K,
-                            doc_filter=permitted_pairs(c))
+                            doc_groups=c.documents.select("doc_id", F.col("source").alias("group")),
+                            query_groups=permitted_sources(c))
