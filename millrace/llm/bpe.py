@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import ship_code, text_or_empty
 from .lexicon import Lexicon, compile_lexicon
 
 #: At most this many frequent words are compiled (a size limit of the lexicon, not of the input).
@@ -333,6 +333,7 @@ def _encoder(shared) -> Encoder:
 
 def shared_lexicon(docs: DataFrame, tokenizer_path: str, text_col: str = "text", limit: int = LEXICON_WORDS):
     """Broadcast (tokenizer file, serialised transducer): both bounded, by the vocabulary and by ``limit``."""
+    ship_code(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         spec = f.read()
     t = Tokenizer(spec)
@@ -362,6 +363,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, text of (doc_id, ids)."""
+    ship_code(encoded.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         tokens = encoded.sparkSession.sparkContext.broadcast(Tokenizer(f.read()).tokens)
 

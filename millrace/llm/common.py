@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,10 +34,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once an application (what ``--py-files`` does), so that functions
+    found by name can be imported on executors that do not have the repository."""
+    sc = spark.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if sc.applicationId in _shipped or not package.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

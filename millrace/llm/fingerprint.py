@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_or_empty
+from .common import ship_code, text_or_empty
 
 #: Two primes below 2^31, so that products fit 64 bits, and a base for each.
 PRIMES = (2147483629, 2147483587)
@@ -191,6 +191,7 @@ def with_next(docs: DataFrame, run, schema: T.StructType, id_col: str = "doc_id"
     shuffle is enough and a task holds two texts at a time.
     """
     spark = docs.sparkSession
+    ship_code(spark)
     d = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = d.agg(F.min("doc_id").alias("low"), F.percentile_approx("doc_id", [k / n for k in range(1, n)]).alias("cuts"),

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import ship_code, text_or_empty, written
 
 WIDTH = 100
 ANCHOR = 32
@@ -328,6 +328,7 @@ def _resolve_large(around: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per document."""
+    ship_code(docs.sparkSession)
     text: Column = text_or_empty(text_col)
     d = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(MIN_LONG)).alias("doc"),
                     F.xxhash64(text).bitwiseAND(F.lit(0xFFFF)).alias("tag"), text.alias("text"))

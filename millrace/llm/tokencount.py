@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import fresh_path, text_or_empty, written
+from .common import fresh_path, ship_code, text_or_empty, written
 
 TOKEN = np.dtype("<u2")
 #: Bytes of a block; a multiple of the token size.
@@ -32,6 +32,7 @@ def write_token_files(docs: DataFrame, model_path: str, path: str, text_col: str
     row order. Spark's text sink writes them: a document's bytes are a line, the bytes of the
     end-of-document id (</s>) are the line separator, so task commits and retries are Spark's."""
     import sentencepiece
+    ship_code(docs.sparkSession)
     eod = sentencepiece.SentencePieceProcessor(model_file=model_path).eos_id()
     separator = np.array([eod], dtype=TOKEN).tobytes()
     if max(separator) > 127:
@@ -52,6 +53,7 @@ def write_token_files(docs: DataFrame, model_path: str, path: str, text_col: str
 def scan_blocks(spark: SparkSession, path: str, eod: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per block: path, offset, n_tokens, n_sep, head (tokens before the first separator), tail
     (after the last) and ``inner``, the lengths of the documents that lie between two separators."""
+    ship_code(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("length > 0")
     blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(block_bytes).cast("bigint"))).alias("offset"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
