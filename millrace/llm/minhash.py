@@ -2,15 +2,17 @@
 
 Every text becomes a set of 5-word shingles (64-bit hashes); texts with the same set form a class, and
 one representative goes on. Signatures are cut into bands; representatives with an equal band share
-a bucket. Within a bucket the smallest id is the pivot, and only (pivot, member) pairs are compared,
-so a bucket of m members costs m comparisons. Members that do not end up in their pivot's component
-are then compared with the bucket's other members, except where the pivot rules it out: Jaccard
-distance is a metric, so d(x, y) >= d(x, pivot) - d(y, pivot). Hence every pair of a bucket is
-linked, ruled out, or already connected.
-
-A comparison takes signature values in batches. After n values with m matches, the posterior of the
-similarity under a flat prior is Beta(m+1, n-m+1); a pair is dropped as soon as the probability of
-reaching the threshold falls below ``MISS``. Surviving pairs are verified exactly on full sets.
+a bucket. First every member is compared with one bucket's smallest id only, the one it shares most
+buckets with; then members outside the component of their bucket's smallest id are compared with the
+most similar of one random member a bucket. This connects the large groups of copies with a few
+pairs a member. After that, members still outside are compared with all others of
+the bucket that are in another component. Hence every pair of a bucket is compared or already
+connected, and no bucket is expanded into all of its pairs: the comparison is the condition of the
+join, so a pair leaves the join only if it passes, and only from the first band that the two share.
+
+A comparison takes 128 two-bit signature values, then 256, 512 and 1024. After n values with m matches, the posterior
+of the similarity under a flat prior decides: a pair is dropped as soon as the probability that it
+reaches the threshold is below ``MISS``. What passes all batches is verified exactly on full sets.
 
 A pair at the threshold shares no band with probability (1 - 0.75^6)^72 < 1e-6, and less above it.
 
@@ -30,19 +32,23 @@ from math import comb
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import ship_code, text_or_empty, written
 from .graph import components
 
 SHINGLE = 5
 THRESHOLD = 75  # percent
 BANDS, ROWS = 72, 6
-N_HASHES = BANDS * ROWS
-#: Signature values compared at a time, and the chosen miss probability of a pair at the threshold.
-BATCH = 36
-MISS = 1e-8
+#: 64-bit words of a signature, with 32 two-bit values each; words compared by each step of the test.
+WORDS = 32
+STEPS = (4, 8, 16, 32)
+N_HASHES = 32 * WORDS  # the first BANDS * ROWS of them also make the bands
+#: The chosen probability that a step drops a pair at the threshold.
+MISS = 1e-7
+#: Rounds that look for one link of a member before all of its buckets' pairs are compared.
+ROUNDS = 1
 
 _rng = np.random.default_rng(20240501)
 _MULT = (_rng.integers(0, 1 << 32, N_HASHES, dtype=np.uint64) | 1).astype(np.uint32)
@@ -82,10 +88,16 @@ def signature(s: np.ndarray) -> np.ndarray:
 def band_keys(sig: np.ndarray) -> np.ndarray:
     key = np.arange(BANDS, dtype=np.uint64)
     for j in range(ROWS):
-        key = _mix64(key * np.uint64(0x9E3779B97F4A7C15) + sig[j::ROWS].astype(np.uint64))
+        key = _mix64(key * np.uint64(0x9E3779B97F4A7C15) + sig[j:BANDS * ROWS:ROWS].astype(np.uint64))
     return key.view(np.int64)
 
 
+def two_bits(sig: np.ndarray) -> np.ndarray:
+    """Two well-mixed bits of each signature value, as ``WORDS`` 64-bit numbers."""
+    pairs = (_mix64(sig.astype(np.uint64) + np.uint64(1)) >> np.uint64(40)).astype(np.uint64) & np.uint64(3)
+    return (pairs.reshape(WORDS, 32) << (2 * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
@@ -93,7 +105,7 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             s = shingles(text)
             sig = signature(s)
             rows.append((doc_id, len(s), hashlib.md5(s.tobytes()).digest() if len(s) else None,
-                         sig.astype(np.uint8).tobytes() if len(s) else None, band_keys(sig) if len(s) else None))
+                         two_bits(sig) if len(s) else None, band_keys(sig) if len(s) else None))
         yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_id", "sig", "bands"])
 
 
@@ -104,100 +116,104 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"id": part["id"], "s": [shingles(t).view(np.int64) for t in part["text"]]})
 
 
-@lru_cache(maxsize=None)
-def tail(n: int, m: int, c: float) -> float:
-    """P(similarity >= c | m of n values match) under a flat prior: P(Bin(n + 1, c) <= m)."""
-    return float(sum(comb(n + 1, k) * c ** k * (1 - c) ** (n + 1 - k) for k in range(m + 1)))
-
-
-def _agree(similarity: float) -> float:
-    """Chance that two 8-bit signature values agree at a given similarity."""
-    return similarity + (1 - similarity) / 256
+def tail(n: int, m: int, agreement: float) -> float:
+    """P(the chance of agreement is at least ``agreement`` | m of n values agree), flat prior over [1/4, 1].
+    The posterior of a flat prior is Beta(m+1, n-m+1), and its tail at c is P(Bin(n+1, c) <= m)."""
+    def above(c: float) -> float:
+        return sum(comb(n + 1, k) * c ** k * (1 - c) ** (n + 1 - k) for k in range(m + 1))
+    return above(agreement) / max(above(0.25), 1e-300)
 
 
 @lru_cache(maxsize=None)
 def least_matches(n: int) -> int:
-    """The least number of matches among n values at which a pair stays."""
-    return next(m for m in range(n + 1) if tail(n, m, _agree(THRESHOLD / 100)) >= MISS)
-
-
-@lru_cache(maxsize=None)
-def upper_bound(n: int, m: int) -> float:
-    """Similarity that a pair with m of n matches exceeds with probability below ``MISS``."""
-    low, high = 0.0, THRESHOLD / 100
-    for _ in range(30):
-        mid = (low + high) / 2
-        low, high = (low, mid) if tail(n, m, _agree(mid)) < MISS else (mid, high)
-    return high
-
-
-def _screen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sequential comparison of signatures; ``bound`` is the posterior upper bound of a dropped pair."""
-    for b in batches:
-        x = np.frombuffer(b"".join(b["sig_a"]), dtype=np.uint8).reshape(len(b), N_HASHES)
-        y = np.frombuffer(b"".join(b["sig_b"]), dtype=np.uint8).reshape(len(b), N_HASHES)
-        alive, matches, bound = np.arange(len(b)), np.zeros(len(b), dtype=np.int64), np.ones(len(b))
-        for at in range(0, N_HASHES, BATCH):
-            matches[alive] += (x[alive, at:at + BATCH] == y[alive, at:at + BATCH]).sum(axis=1)
-            n = at + BATCH
-            out = matches[alive] < least_matches(n)
-            for k in alive[out]:
-                bound[k] = upper_bound(n, int(matches[k]))
-            alive = alive[~out]
-        yield pd.DataFrame({"a": b["a"], "b": b["b"], "bound": bound})
-
-
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b, linked, far) of ``pairs``: ``far`` is a lower bound of the Jaccard distance (exact where verified)."""
-    sig = reps.select("id", "sig")
-    screened = written(
-        pairs.join(sig.toDF("a", "sig_a"), "a").join(sig.toDF("b", "sig_b"), "b").select("a", "b", "sig_a", "sig_b")
-        .mapInPandas(_screen, "a bigint, b bigint, bound double"), "nd-screened")
-    alive = screened.where("bound = 1")
-    wanted = alive.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = written(docs.join(wanted, "id", "left_semi").mapInPandas(_sets, "id bigint, s array<bigint>").dropDuplicates(["id"]), "nd-sets")
-    met = (alive.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    """The least number of agreements among n two-bit values at which a pair stays. Two sets of similarity J
+    agree in two bits with chance J + (1 - J) / 4."""
+    j = THRESHOLD / 100
+    return next(m for m in range(n + 1) if tail(n, m, j + (1 - j) / 4) >= MISS)
+
+
+def differing(x: str, y: str, words: range) -> Column:
+    """How many of the two-bit values in these words differ."""
+    total = F.lit(0)
+    for k in words:
+        d = F.col(x)[k].bitwiseXOR(F.col(y)[k])
+        total = total + F.bit_count(d.bitwiseOR(F.shiftright(d, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return total
+
+
+def passes(x: str, y: str) -> Column:
+    """The sequential test on two signature columns; later steps are not evaluated once one fails."""
+    test = F.lit(True)
+    for upto in STEPS:
+        test = test & (32 * upto - differing(x, y, range(upto)) >= least_matches(32 * upto))
+    return test
+
+
+def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold. Sets are made again, for the documents in pairs only."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    sets = written(docs.join(wanted.hint("merge"), "id", "left_semi").mapInPandas(_sets, "id bigint, s array<bigint>").dropDuplicates(["id"]), "nd-sets")
+    met = (pairs.join(sets.toDF("a", "sa").hint("merge"), "a").join(sets.toDF("b", "sb").hint("merge"), "b")
            .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both")))
-    exact = met.select("a", "b", (100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).alias("linked"),
-                       (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("far"))
-    dropped = screened.where("bound < 1").select("a", "b", F.lit(False).alias("linked"), (1 - F.col("bound")).alias("far"))
-    return written(exact.unionByName(dropped), "nd-verified")
+    return written(met.where(100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "nd-links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept per document."""
+    ship_code(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    base = written(d.mapInPandas(_describe, "doc_id bigint, n_shingles bigint, set_id binary, sig binary, bands array<bigint>"), "nd-base")
+    base = written(d.mapInPandas(_describe, "doc_id bigint, n_shingles bigint, set_id binary, sig array<bigint>, bands array<bigint>"), "nd-base")
+    texts = d.withColumnRenamed("doc_id", "id")
 
     classes = written(base.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("id")), "nd-classes")
     # One row per class; rows that repeat an id with other text are told apart by the set.
-    reps = written(base.join(classes.withColumnRenamed("set_id", "_set"), (F.col("doc_id") == F.col("id")) & (F.col("set_id") == F.col("_set")))
-                   .select("id", "sig", "bands").dropDuplicates(["id"]), "nd-reps")
-    texts = d.withColumnRenamed("doc_id", "id")
+    reps = written(base.join(classes.withColumnRenamed("set_id", "_set").hint("merge"), (F.col("doc_id") == F.col("id")) & (F.col("set_id") == F.col("_set")))
+                   .select("id", F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["id"]), "nd-reps")
 
     banded = reps.select("id", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "pivot")
-    members = written(banded.join(buckets, "key").where("id != pivot"), "nd-members")
-    star = verify(members.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct(), reps, texts)
-    links = star.where("linked").select("a", "b")
-    found = components(links)
-
-    comp = found.select(F.col("node").alias("id"), "component")
-    placed = (members.join(star.select(F.col("a").alias("pivot"), F.col("b").alias("id"), "linked", "far"), ["pivot", "id"])
-              .join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
-              .join(comp.toDF("pivot", "pivot_component"), "pivot", "left")
-              .withColumn("pivot_component", F.coalesce("pivot_component", "pivot")))
-    placed = written(placed.select("key", "id", "component", "far", F.when(F.col("linked"), F.col("far")).otherwise(F.lit(1.0)).alias("near"),
-                                   (F.col("component") != F.col("pivot_component")).alias("outside")), "nd-placed")
-    outside = placed.where("outside").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("far").alias("fx"))
-    rest = (outside.join(placed, "key")
-            .where((F.col("x") != F.col("id")) & (F.col("cx") != F.col("component")) & (~F.col("outside") | (F.col("x") < F.col("id")))
-                   & (F.col("fx") - F.col("near") <= 1 - THRESHOLD / 100 + 1e-9))
-            .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
-    rest = written(rest, "nd-rest")
+    buckets = banded.groupBy("key").agg(F.min("id").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").select("key", "pivot")
+    members = written(banded.join(buckets.hint("merge"), "key"), "nd-members")
+
+    sig = reps.select("id", "sig")
+
+    def screened(pairs: DataFrame) -> DataFrame:  # (a, x, b): b is to be tested
+        tested = pairs.join(sig.toDF("b", "y").hint("merge"), "b").where(passes("x", "y"))
+        return written(tested.select("a", "b"), "nd-pairs")
+
+    # A member and the pivot that it shares most buckets with.
+    first = (members.where("id != pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("shared"))
+             .groupBy(F.col("id").alias("a")).agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("b")))
+    found = components(verify(screened(first.join(sig.toDF("a", "x"), "a")), texts))
+
+    def place() -> DataFrame:
+        """The rows of buckets that hold several components."""
+        comp = found.select(F.col("node").alias("id"), "component")
+        p = (members.join(comp, "id", "left").withColumn("component", F.coalesce("component", "id"))
+             .join(comp.toDF("pivot", "home"), "pivot", "left").withColumn("home", F.coalesce("home", "pivot")))
+        p = written(p.select("key", "id", "component", (F.col("component") != F.col("home")).alias("outside")), "nd-placed")
+        return p.join(p.where("outside").select("key").distinct(), "key")
+
+    for turn in range(ROUNDS):
+        mixed = written(place(), "nd-mixed")
+        mates = (mixed.where("not outside").groupBy("key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("b")))
+        best = (mixed.where("outside").join(mates, "key").select(F.col("id").alias("a"), "b").distinct()
+                .join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y").hint("merge"), "b")
+                .groupBy("a").agg(F.min_by("b", F.struct(differing("x", "y", range(WORDS)), "b")).alias("b")))
+        more = verify(screened(best.join(sig.toDF("a", "x"), "a")), texts)
+        if more.isEmpty():
+            break
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+
+    placed = written(place().join(reps, "id"), "nd-mixed")
+    out = placed.where("outside").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("sig").alias("sx"), F.col("bands").alias("bx"))
+    ratio = (100 * F.least("n", "nx") >= THRESHOLD * F.greatest("n", "nx"))  # the similarity is at most the ratio of sizes
+    once = F.array_intersect("bx", "bands")[0] == out["key"]  # a key belongs to one band, and bands are in order
+    rest = out.join(placed, (out["key"] == placed["key"]) & (F.col("cx") != F.col("component")) & (~F.col("outside") | (F.col("x") < F.col("id")))
+                    & ratio & passes("sx", "sig") & once)
+    rest = written(rest.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")), "nd-pairs")
     if not rest.isEmpty():
-        links = links.unionByName(verify(rest, reps, texts).where("linked").select("a", "b"))
-        found = components(links)
+        more = verify(rest, texts)
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     component = (classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left")
                  .select("set_id", F.coalesce("component", "id").alias("component")))

@@ -78,7 +78,7 @@ def test_near_duplicates(edited_copies):
 
 
 def test_sequential_test_keeps_pairs_at_the_threshold():
-    n = 32 * minhash.STEP
+    n = 32 * minhash.STEPS[0]
     chance = 0.75 + 0.25 / 4
     assert minhash.tail(n, minhash.least_matches(n), chance) >= minhash.MISS > minhash.tail(n, minhash.least_matches(n) - 1, chance)
     rng = np.random.default_rng(1)
