@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import ship_code, written
 
 # HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -187,8 +187,7 @@ def parse(html: str):
 
 
 _SCHEMA = ("page_id {id}, url string, host string, "
-           "blocks array<struct<text:string,leaf:bigint,content:bigint,branch:array<bigint>>>, "
-           "features array<struct<leaf:bigint,content:bigint,branch:array<bigint>>>, "
+           "blocks array<struct<text:string,leaf:bigint,content:bigint,branch:array<bigint>>>, "  # text NULL: outside the main text
            "styles array<struct<path:bigint,style:bigint>>, fixed array<bigint>")
 
 
@@ -207,17 +206,12 @@ def _parse_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part, rows = b.iloc[at:at + 200], []
             for page_id, url, host, html in zip(part["page_id"], part["url"], part["host"], part["html"]):
                 blocks, styles, fixed = parse(html)
-                kept, features = [], {}
+                found = []
                 for text, paths, noise in blocks:
                     branch = [key(p) for p in paths]
-                    leaf = branch[-1] if branch else 0
-                    content = _key(text)
-                    features[leaf, content] = branch
-                    if not noise:
-                        kept.append((text, leaf, content, branch))
-                rows.append((page_id, url, host, kept, [(leaf, content, branch) for (leaf, content), branch in features.items()],
-                             [(key(p), _key(s)) for p, s in styles.items()], [key(p) for p in fixed]))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "features", "styles", "fixed"])
+                    found.append((None if noise else text, branch[-1] if branch else 0, _key(text), branch))
+                rows.append((page_id, url, host, found, [(key(p), _key(s)) for p, s in styles.items()], [key(p) for p in fixed]))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "styles", "fixed"])
 
 
 def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -229,7 +223,8 @@ def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
               .groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.ln("n")).alias("nlogn")))
     # Entropy of the styles to the base of the number of pages; one page says nothing: importance 1.
     styles = written(styles.select("host", "path", "m", F.when(F.col("m") > 1, 1 - F.col("nlogn") / (F.col("m") * F.ln("m"))).otherwise(1.0).alias("presentation")), "html-styles")
-    features = (parsed.select("host", F.explode("features").alias("f")).groupBy("host", "f.leaf", "f.content")
+    on_page = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["leaf"].alias("leaf"), b["content"].alias("content"), b["branch"].alias("branch"))))
+    features = (parsed.select("host", F.explode(on_page).alias("f")).groupBy("host", "f.leaf", "f.content")
                 .agg(F.count(F.lit(1)).alias("k"), F.any_value("f.branch").alias("branch")))
     content = written(features.join(styles.select("host", F.col("path").alias("leaf"), "m"), ["host", "leaf"], "left")
                       .withColumn("m", F.coalesce("m", "k")).withColumn("importance", 1 - share(F.col("k"), F.col("m"))), "html-content")
@@ -242,6 +237,7 @@ def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text, n_chars of every page."""
+    ship_code(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html"))
     parsed = written(src.mapInPandas(_parse_pages, _SCHEMA.format(id=src.schema["page_id"].dataType.simpleString())), "html-pages")
@@ -249,13 +245,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # What a host drops stands on most of its pages, so these lists are bounded by the blocks of a page.
     low = (branches.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BRANCH)).select("host", "path", F.lit(None).cast("bigint").alias("content"))
            .unionByName(content.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BLOCK)).select("host", F.col("leaf").alias("path"), "content")))
-    low = low.groupBy("host").agg(
+    # Written first: the planner then knows its size and need not shuffle the pages to a short list.
+    low = written(low.groupBy("host").agg(
         F.collect_set(F.when(F.col("content").isNull(), F.col("path"))).alias("low_paths"),
-        F.collect_set(F.when(F.col("content").isNotNull(), F.struct("path", "content"))).alias("low_blocks"))
+        F.collect_set(F.when(F.col("content").isNotNull(), F.struct("path", "content"))).alias("low_blocks")), "html-low")
 
     paths = F.array_except(F.coalesce("low_paths", F.array().cast("array<bigint>")), F.col("fixed"))
     low_blocks = F.coalesce("low_blocks", F.array().cast("array<struct<path:bigint,content:bigint>>"))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["branch"], paths)
+    kept = F.filter("blocks", lambda b: b["text"].isNotNull() & ~F.arrays_overlap(b["branch"], paths)
                     & ~F.array_contains(low_blocks, F.struct(b["leaf"].alias("path"), b["content"].alias("content"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
     out = parsed.select("page_id", "url", "host", "blocks", "fixed").join(low, "host", "left").select("page_id", "url", text.alias("text"))
