@@ -20,8 +20,7 @@ REST = ("text", "lang", "n_chars")
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    judged = quality.judge(docs, carry=REST)
-    return judged.where("kept").select("doc_id", *[F.col(f"_carry_{c}").alias(c) for c in REST], F.col("host").alias("source")).select(*COLUMNS)
+    return quality.keep(docs, carry=REST).withColumnRenamed("host", "source").select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +43,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; the partial repetition at a source's edge holds the
     document's first words."""
     mixed = mixing.mix(docs, carry=("text", "lang", "source", "n_chars")).where("taken > 0")
-    whole = mixed.where("taken >= size").select(*COLUMNS, F.explode(F.sequence(F.lit(1), F.floor(F.col("taken") / F.col("size")).cast("int")))).select(*COLUMNS)
-    words = F.concat(F.lit(f"^(?:[{SPACE_CLASS}]*+[^{SPACE_CLASS}]++){{"), (F.col("taken") % F.col("size")).cast("string"), F.lit("}+"))
-    part = mixed.where("taken % size > 0").withColumn("_p", words).withColumn("text", F.expr("regexp_extract(text, _p, 0)"))
-    return whole.unionByName(part.withColumn("n_chars", F.length("text").cast("bigint")).select(*COLUMNS))
+    rest = F.col("taken") % F.col("size")
+    pattern = F.concat(F.lit(f"^(?:[{SPACE_CLASS}]*+[^{SPACE_CLASS}]++){{"), rest.cast("string"), F.lit("}+"))
+    first_words = F.when(rest > 0, F.regexp_extract_all("text", pattern, F.lit(0))[0])
+    # One entry a repetition: NULL for the whole text, else the first words of it.
+    copies = F.concat(F.array_repeat(F.lit(None).cast("string"), F.floor(F.col("taken") / F.col("size")).cast("int")),
+                      F.when(rest > 0, F.array(first_words)).otherwise(F.array().cast("array<string>")))
+    repeated = mixed.select(*COLUMNS, F.explode(copies).alias("_part"))
+    return repeated.withColumns({"text": F.coalesce("_part", "text"),
+                                 "n_chars": F.when(F.col("_part").isNull(), F.col("n_chars")).otherwise(F.length("_part").cast("bigint"))}).select(*COLUMNS)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ and, in a seeded order, the documents up to the remaining fraction once more; th
 the edge of that fraction is repeated in part, so a source misses its target by under one word.
 
 Defined cases: NULL or empty text has size 0 and is taken 0 words; a NULL source is a source of
-its own, ranked last; rows with equal ids are separate documents (identical rows are told apart by
-their position); an empty table gives an empty result; further columns of the input do not matter.
+its own, ranked last; rows with equal ids are separate documents (rows alike share the words left to
+them at the edge, rounded down); an empty table gives an empty result; further columns of the input do not matter.
 """
 
 from __future__ import annotations
@@ -73,33 +73,43 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """Per document: doc_id, size, source_size, target, taken and the ``carry`` columns.
 
     The seeded order is md5(doc_id:seed). Within a source the sizes are summed by key prefix first;
-    only the bucket in which the fraction ends is resolved document by document.
+    only the bucket in which the fraction ends is resolved document by document. The documents meet
+    two short tables, one row a source and one a document of such a bucket, and are not shuffled
+    unless these are long.
     """
     key = F.md5(F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(seed)).cast("binary"))
-    sized = written(docs.select(
+    sized = docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.size(words(text_or_empty(text_col))).cast("bigint").alias("size"), key.alias("_key"),
-        F.monotonically_increasing_id().alias("_row"),
-        *[F.col(c).alias(f"_carry_{c}") for c in carry]).withColumn("_b", F.substring("_key", 1, BUCKET_DIGITS)), "mix-docs")
+        *[F.col(c).alias(f"_carry_{c}") for c in carry]).withColumn("_b", F.substring("_key", 1, BUCKET_DIGITS))
+    keys = written(sized.select("doc_id", "source", "size", "_key", "_b"), "mix-keys")
 
-    buckets = sized.groupBy("source", "_b").agg(F.sum("size").alias("_n"))
+    buckets = keys.groupBy("source", "_b").agg(F.sum("size").alias("_n"))
     plan = water_fill(with_weights(buckets.groupBy("source").agg(F.sum("_n").alias("source_size")), weights),
                       budget, max_epochs)
     plan = plan.withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint"))
     # Words of the partial repetition: what the target holds beyond the whole ones.
-    plan = plan.withColumn("_part", F.round(F.col("target")).cast("bigint") - F.col("_whole") * F.col("source_size"))
+    plan = plan.withColumn("_part", F.round(F.col("target")).cast("bigint") - F.col("_whole") * F.col("source_size")).withColumnRenamed("source", "_s")
 
+    # The bucket in which the partial repetition ends: all buckets before it are taken once more.
     before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # 4,096 rows a source
-    edges = (buckets.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-             .join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-             .select(F.col("source").alias("_s"), F.col("_b").alias("_sb"), "_before", "_n", "source_size", "target", "_whole", "_part"))
-    d = sized.join(edges, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb"))).drop("_s", "_sb")
-
-    within = Window.partitionBy("source", "_b").orderBy("_key", "doc_id", "size", "_row").rowsBetween(Window.unboundedPreceding, -1)
-    is_edge = (F.col("_before") < F.col("_part")) & (F.col("_part") < F.col("_before") + F.col("_n"))
-    left = F.col("_part") - F.col("_before")
-    edge = d.where(is_edge).withColumn("_left", left - F.coalesce(F.sum("size").over(within), F.lit(0)))
-    rest = d.where(~is_edge).withColumn("_left", F.when(left > 0, F.col("size")).otherwise(0))
-    extra = F.greatest(F.least(F.col("size"), F.col("_left")), F.lit(0))
-    out = edge.unionByName(rest).withColumn("taken", (F.col("_whole") * F.col("size") + extra).cast("bigint"))
+    placed = (buckets.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+              .join(plan.select("_s", "_part"), F.col("source").eqNullSafe(F.col("_s"))))
+    ends = placed.where((F.col("_before") < F.col("_part")) & (F.col("_part") <= F.col("_before") + F.col("_n"))) \
+        .select("_s", F.col("_b").alias("_end"), (F.col("_part") - F.col("_before")).alias("_left"))
+    plan = written(plan.join(ends.withColumnRenamed("_s", "_e"), F.col("_s").eqNullSafe(F.col("_e")), "left").drop("_e"), "mix-plan")
+
+    # Inside those buckets, document by document; rows alike share what is left to them.
+    same = keys.join(plan.select("_s", "_end", "_left"), F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_end"))) \
+        .groupBy("source", "_key", "doc_id", "size", "_left").agg(F.count(F.lit(1)).alias("_m"))
+    within = Window.partitionBy("source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rest = F.col("_left") - F.coalesce(F.sum(F.col("_m") * F.col("size")).over(within), F.lit(0))
+    share = F.floor(F.greatest(F.least(F.col("_m") * F.col("size"), rest), F.lit(0)) / F.col("_m"))
+    edge = written(same.select(F.col("source").alias("_es"), F.col("_key").alias("_ek"), F.col("doc_id").alias("_ei"), F.col("size").alias("_ez"),
+                               share.cast("bigint").alias("_share")), "mix-edge")
+
+    d = sized.join(plan, F.col("source").eqNullSafe(F.col("_s"))).join(
+        edge, F.col("source").eqNullSafe(F.col("_es")) & (F.col("_key") == F.col("_ek")) & F.col("doc_id").eqNullSafe(F.col("_ei")) & (F.col("size") == F.col("_ez")), "left")
+    extra = F.when(F.col("_b") < F.col("_end"), F.col("size")).when(F.col("_b") == F.col("_end"), F.coalesce("_share", F.lit(0))).otherwise(0)
+    out = d.withColumn("taken", (F.col("_whole") * F.col("size") + extra).cast("bigint"))
     return out.select("doc_id", "size", "source_size", "target", "taken", *[F.col(f"_carry_{c}").alias(c) for c in carry])

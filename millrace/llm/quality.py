@@ -100,12 +100,30 @@ def host_rates(measured: DataFrame) -> DataFrame:
                     ((F.col("f") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("host_rate")))
 
 
+def suspects(measured: DataFrame, rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
+    """Hosts whose shrunken rate exceeds the limit."""
+    return host_rates(measured).where(F.col("host_rate") > rate_limit).select(F.col("host").alias("_host"), F.lit(True).alias("_suspect"))
+
+
+def verdict(measured: DataFrame, bad_hosts: DataFrame) -> DataFrame:
+    """Join the host verdicts back: ``host_suspect`` and ``kept``."""
+    out = measured.join(bad_hosts, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
+    out = out.withColumn("host_suspect", F.coalesce("_suspect", F.lit(False))).drop("_suspect")
+    return out.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_suspect") & F.col("soft_failed")))
+
+
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          carry: tuple[str, ...] = (), rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
-    """Measures, host rate and verdict per document. The measures are written once, because the
-    host aggregate and the join back both read them."""
-    m = written(measure(docs, id_col, text_col, host_col, carry), "quality")
-    suspect = host_rates(m).where(F.col("host_rate") > rate_limit).select(F.col("host").alias("_host"), "host_rate")
-    out = m.join(suspect, F.col("host").eqNullSafe(F.col("_host")), "left").drop("_host")
-    out = out.withColumn("host_suspect", F.col("host_rate").isNotNull())
-    return out.withColumn("kept", ~F.col("base_failed") & ~(F.col("host_suspect") & F.col("soft_failed"))).drop("host_rate")
+          rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
+    """Measures and verdict per document. The measures are written once, because the host aggregate
+    and the join back both read them."""
+    m = written(measure(docs, id_col, text_col, host_col), "quality")
+    return verdict(m, suspects(m, rate_limit))
+
+
+def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+         carry: tuple[str, ...] = (), rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
+    """The documents that ``judge`` keeps: doc_id, host and the ``carry`` columns. Texts are measured a second
+    time instead of being written with their measures."""
+    bad = written(suspects(measure(docs, id_col, text_col, host_col), rate_limit), "quality-hosts")
+    kept = verdict(measure(docs, id_col, text_col, host_col, carry), bad).where("kept")
+    return kept.select("doc_id", "host", *[F.col(f"_carry_{c}").alias(c) for c in carry])

@@ -52,16 +52,15 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per input row: doc_id, ``spans`` array<struct<start,kind,end,live>> (base spans and the
     opaque ones that look live, not overlapping a base span), and the ``carry`` columns.
 
-    The scan is written once (spans only, no texts); ownership and the join back read that table.
-    All shuffles carry candidate hashes, not documents; groups are counted by partial sums, and a
-    value that a third of the rows hold shrinks to one row per owner before it meets other rows.
+    Only rows with a candidate are written and joined; the others pass by without a shuffle, at the price of a
+    second scan. Candidate hashes are counted by partial sums, so a value that a third of the rows
+    hold shrinks to one row per owner before it meets other rows.
     """
-    proposed = written(docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("doc_id"), F.col(owner_col).alias("_owner"),
-        F.col(repo_col).cast("string").alias("_repo"), propose(text_or_empty(text_col)).alias("_spans"),
-        *[F.col(c).alias(f"_carry_{c}") for c in carry]), "secrets")
-    each = (proposed.where(F.size("_spans") > 0)
-            .select("_row", "_owner", "_repo", F.explode("_spans").alias("s"))
+    proposed = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(owner_col).alias("_owner"), F.col(repo_col).cast("string").alias("_repo"),
+        propose(text_or_empty(text_col)).alias("_spans"), *[F.col(c).alias(f"_carry_{c}") for c in carry])
+    some = written(proposed.where(F.size("_spans") > 0).withColumn("_row", F.monotonically_increasing_id()), "secrets")
+    each = (some.select("_row", "_owner", "_repo", F.explode("_spans").alias("s"))
             .select("_row", "_owner", "_repo", "s.start", "s.kind", "s.end", F.sha2(F.col("s.value").cast("binary"), 256).alias("_hash")))
     ownership = (each.groupBy("_hash", "_owner", "_repo").agg(F.count(F.lit(1)).alias("_n"))
                  .groupBy("_hash", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
@@ -79,9 +78,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ordered = F.transform(F.array_sort(F.transform(kept, lambda s: F.struct(
         s["start"].alias("start"), s["order"].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))),
         lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))
+    kept_columns = [F.col(f"_carry_{c}").alias(c) for c in carry]
     none = F.array().cast("array<struct<start:bigint,kind:string,end:bigint,live:boolean>>")
-    return (proposed.join(per_row.select("_row", ordered.alias("spans")), "_row", "left")
-            .select("doc_id", F.coalesce("spans", none).alias("spans"), *[F.col(f"_carry_{c}").alias(c) for c in carry]))
+    found = some.join(per_row.select("_row", ordered.alias("spans")), "_row").select("doc_id", "spans", *kept_columns)
+    return proposed.where(F.size("_spans") == 0).select("doc_id", none.alias("spans"), *kept_columns).unionByName(found)
 
 
 def _labels(spans: Column) -> Column:
