@@ -18,6 +18,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -228,9 +229,20 @@ class Encoder:
         """Ids of each text."""
         for block in self.blocks(texts):
             table = self.ids_of([w for parts in block for ws, _ in parts if ws for w in ws])
+            place = {w: k for k, w in enumerate(table)}
+            lengths = np.fromiter(map(len, table.values()), dtype=np.int64, count=len(table))
+            starts = np.cumsum(lengths) - lengths
+            flat = np.fromiter(chain.from_iterable(table.values()), dtype=np.int32, count=int(lengths.sum()))
             for parts in block:
-                ids = [i for ws, sp in parts for part in ([[sp]] if sp is not None else map(table.__getitem__, ws)) for i in part]
-                yield np.array(ids, dtype=np.int32)
+                out = [np.empty(0, dtype=np.int32)]
+                for ws, special in parts:
+                    if special is not None:
+                        out.append(np.array([special], dtype=np.int32))
+                    else:
+                        at = np.fromiter(map(place.__getitem__, ws), dtype=np.int64, count=len(ws))
+                        n = lengths[at]
+                        out.append(flat[np.repeat(starts[at] - np.cumsum(n) + n, n) + np.arange(n.sum())])
+                yield np.concatenate(out)
 
     def decode(self, ids) -> str:
         """The vocabulary's tokens, joined by blanks (the format has no decoder)."""
