@@ -5,7 +5,8 @@ with the smallest hash. Equal windows have equal anchors at equal offsets, so wi
 among occurrences of one anchor string, and a shuffle by that string brings them together.
 An occurrence ships as one row: the hash of its anchor, the hash of the bytes under all its windows,
 and its place. Of occurrences with the same bytes only the earliest can hold a new window; the others are
-covered at once. Where one anchor string has several different surroundings, the earliest of each are
+covered at once, in a block of documents before the shuffle (so a string that fills a third of the
+corpus ships once a block) and again after it. Where one anchor string has several different surroundings, the earliest of each are
 compared suffix by suffix: columns 1 and 2 modulo 3 (a difference cover) are the sample; sampled triples
 are sorted into names, names are combined by threes and sorted again (9, 27, 81 bytes), the
 remaining column is merged by its byte and the name to its right, and equal neighbours in the sorted
@@ -101,6 +102,21 @@ def unpack(place: np.ndarray):
     return place >> 47, (place >> 14) & ((1 << 33) - 1), ((place >> 7) & 127) + 1, place & 127
 
 
+def combine(gram: np.ndarray, around: np.ndarray, doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of occurrences with the same bytes, only the earliest can hold a new window. Gives (rows to compare, rows
+    that are covered); a row that is a second copy of the earliest place is in neither."""
+    key = around ^ _mix(gram)
+    order = np.argsort(key, kind="stable")
+    run = np.append(True, key[order][1:] != key[order][:-1])
+    alone = run & np.append(run[1:], True)
+    some = order[~alone]
+    some = some[np.lexsort((place[some], doc[some], key[some]))]
+    head = np.append(True, key[some][1:] != key[some][:-1]) if len(some) else np.empty(0, dtype=bool)
+    first = some[np.flatnonzero(head)[np.cumsum(head) - 1]] if len(some) else some
+    covered = some[~head & ((doc[some] != doc[first]) | (place[some] != place[first]))]
+    return np.concatenate([order[alone], some[head]]), covered
+
+
 def _emit_occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for at in range(0, len(b), 1000):
@@ -111,7 +127,12 @@ def _emit_occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
                     out.append((gram.view(np.int64), around.view(np.int64), np.full(len(gram), doc, dtype=np.int64), pack(int(tag), first, count, offset)))
             if out:
                 gram, around, doc, place = (np.concatenate(x) for x in zip(*out))
-                yield pd.DataFrame({"gram": gram, "around": around, "doc": doc, "place": place})
+                compare, covered = combine(gram.view(np.uint64), around.view(np.uint64), doc, place)
+                # What is covered already goes along under a key of its own, so hot strings do not gather.
+                spread = _mix(place[covered].view(np.uint64) + _mix(doc[covered].view(np.uint64))).view(np.int64)
+                yield pd.DataFrame({"gram": np.concatenate([gram[compare], spread]), "around": np.concatenate([around[compare], around[covered]]),
+                                    "doc": np.concatenate([doc[compare], doc[covered]]), "place": np.concatenate([place[compare], place[covered]]),
+                                    "covered": np.arange(len(compare) + len(covered)) >= len(compare)})
 
 
 def _classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -121,7 +142,10 @@ def _classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = None  # (gram, around, doc, place) of the first row of the last class
     held = None  # the same, if it is the only class of its gram so far
     for b in batches:
-        g, a, d, p = (b[c].to_numpy() for c in ("gram", "around", "doc", "place"))
+        done = b["covered"].to_numpy(dtype=bool)
+        if done.any():
+            yield pd.DataFrame({"kind": "covered", "gram": b["gram"][done], "doc": b["doc"][done], "place": b["place"][done]})
+        g, a, d, p = (b[c].to_numpy()[~done] for c in ("gram", "around", "doc", "place"))
         if not len(g):
             continue
         if last is not None:
@@ -286,7 +310,7 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def covered_windows(d: DataFrame) -> DataFrame:
     """(doc, tag, first, count): runs of windows that start earlier elsewhere, of keyed documents (doc, tag, text)."""
     n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = d.mapInPandas(_emit_occurrences, "gram bigint, around bigint, doc bigint, place bigint")
+    found = d.mapInPandas(_emit_occurrences, "gram bigint, around bigint, doc bigint, place bigint, covered boolean")
     classed = written(found.repartition(n, "gram").sortWithinPartitions("gram", "around", "doc", "place")
                       .mapInPandas(_classify, "kind string, gram bigint, doc bigint, place bigint"), "sub-classes")
 
