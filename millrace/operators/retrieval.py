@@ -166,6 +166,10 @@ def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: Dat
     qside = qw.where(F.col("df").isNotNull()).join(qn, "query_id").select(
         "query_id", "term", (F.col("w") / F.col("qnorm")).alias("q_cos"),
         F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("q_bm"))
+    # Written, so that the planner knows the bytes of the query side when it chooses the join.
+    q_path = scratch_path(spark, "hybrid_queries")
+    qside.write.parquet(q_path)
+    qside = spark.read.parquet(q_path)
     pairs = dside.repartition(scoring_partitions(spark), "doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
         F.round(F.sum(F.col("q_cos") * F.col("w_cos")), 6).alias("s_cos"),
         F.round(F.sum(F.col("q_bm") * F.col("w_bm")), 6).alias("s_bm"))
