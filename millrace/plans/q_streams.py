@@ -17,7 +17,7 @@ def _run(spark, df, name):
 
 
 def tel_stream(spark, sf):
-    return H.telemetry_stream(H.event_stream(spark, sf))
+    return H.telemetry_stream(H.event_stream(spark, sf, stored=True))
 
 
 @query("telemetry_tumbling")

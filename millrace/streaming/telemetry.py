@@ -24,18 +24,25 @@ from ..sources.tables import table_path
 WATERMARK = "10 minutes"
 
 
-#: Files that one micro-batch takes at most, so a backlog is worked off in bounded steps.
+#: Files that one micro-batch of a live feed takes at most, so a backlog is worked off in bounded steps.
 MAX_FILES_PER_TRIGGER = 200
 
 
-def event_stream(spark: SparkSession, folder: str, name: str = "events") -> DataFrame:
+def event_stream(spark: SparkSession, folder: str, name: str = "events", stored: bool = False) -> DataFrame:
     """Stream the Parquet files of table ``name`` in ``folder``, be it one file or a folder to which files are
     added (schema from the footers, never inferred from data); ``timestamp_ntz`` is cast to
-    ``timestamp`` for watermarks."""
+    ``timestamp`` for watermarks.
+
+    Files are taken in the order of their arrival. A live feed arrives in about the order of event time, so a file
+    limit holds. The files of a ``stored`` table may each span all of its time: a job that keeps a watermark or a
+    last reading takes what is there as one micro-batch, else rows of later batches would count as late."""
     path = table_path(folder, name)
     schema = spark.read.parquet(path).schema
     # As a glob, a path may name a single file, which a stream's plain path may not.
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER).parquet(path[:-1] + f"[{path[-1]}]")
+    reader = spark.readStream.schema(schema)
+    if not stored:
+        reader = reader.option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER)
+    s = reader.parquet(path[:-1] + f"[{path[-1]}]")
     return s.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType)
                       else F.col(f.name) for f in schema.fields])
 
@@ -124,7 +131,7 @@ def _status_processor():
             self.last = handle.getValueState("last", "timestamp timestamp, reading_id string, status string")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            # A device's rows of one micro-batch, which the source's file limit bounds.
+            # A device's rows of one micro-batch: bounded by the file limit of a live feed, else all that is stored.
             pdf = pd.concat(list(rows)).sort_values(["timestamp", "reading_id"])
             before = None
             if self.last.exists():
