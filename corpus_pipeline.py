@@ -26,8 +26,9 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id; of rows that repeat an id
     and a text, one row stays."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return (docs.join(kept.hint("merge"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    kept = minhash.near_duplicates(docs, with_text_key=True).where("kept").select(F.col("doc_id").alias("kept_id"), "text_key").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (minhash.text_key() == F.col("text_key"))
+    return (docs.join(kept.hint("merge"), same, "left_semi")
             .withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).select(*COLUMNS))
 
 

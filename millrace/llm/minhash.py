@@ -17,7 +17,8 @@ reaches the threshold is below ``MISS``. What passes all batches is verified exa
 A pair at the threshold shares no band with probability (1 - 0.75^6)^72 < 1e-6, and less above it.
 
 Defined cases: NULL, empty or blank text has an empty set and is linked with nothing; a text of fewer
-than five words has its whole sequence as its one shingle; repeated rows fall into one class; a NULL
+than five words has its whole sequence as its one shingle; repeated rows fall into one class; of
+different texts with one id each stands for itself, and where they are near-duplicates of each other one is kept; a NULL
 id is a document that no other links to by id (its component is that of its class); an empty table
 gives an empty result; further columns of the input do not matter.
 """
@@ -98,22 +99,27 @@ def two_bits(sig: np.ndarray) -> np.ndarray:
     return (pairs.reshape(WORDS, 32) << (2 * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def set_id(s: np.ndarray) -> bytes:
+    return hashlib.md5(s.tobytes()).digest()
+
+
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         rows = []
-        for doc_id, text in zip(b["doc_id"], b["text"]):
+        for doc_id, text, text_key in zip(b["doc_id"], b["text"], b["text_key"]):
             s = shingles(text)
             sig = signature(s)
-            rows.append((doc_id, len(s), hashlib.md5(s.tobytes()).digest() if len(s) else None,
+            rows.append((doc_id, text_key, len(s), set_id(s) if len(s) else None,
                          two_bits(sig) if len(s) else None, band_keys(sig) if len(s) else None))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_id", "sig", "bands"])
+        yield pd.DataFrame(rows, columns=["doc_id", "text_key", "n_shingles", "set_id", "sig", "bands"])
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for at in range(0, len(b), 200):
             part = b.iloc[at:at + 200]
-            yield pd.DataFrame({"id": part["id"], "s": [shingles(t).view(np.int64) for t in part["text"]]})
+            sets = [shingles(t) for t in part["text"]]
+            yield pd.DataFrame({"set_id": [set_id(s) for s in sets], "s": [s.view(np.int64) for s in sets]})
 
 
 def tail(n: int, m: int, agreement: float) -> float:
@@ -149,25 +155,36 @@ def passes(x: str, y: str) -> Column:
     return test
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Sets are made again, for the documents in pairs only."""
+def verify(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets reach the threshold. Sets are made again, for the documents that
+    carry the smallest id of a class in pairs only, and told apart by their hash: an id may occur with several texts."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = written(docs.join(wanted.hint("merge"), "id", "left_semi").mapInPandas(_sets, "id bigint, s array<bigint>").dropDuplicates(["id"]), "nd-sets")
+    wanted = written(classes.join(wanted.hint("merge"), "id").select("id", "doc_id", "set_id"), "nd-wanted")
+    made = docs.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").mapInPandas(_sets, "set_id binary, s array<bigint>")
+    sets = written(made.dropDuplicates(["set_id"]).join(wanted.select("set_id", "id").hint("merge"), "set_id").select("id", "s"), "nd-sets")
     met = (pairs.join(sets.toDF("a", "sa").hint("merge"), "a").join(sets.toDF("b", "sb").hint("merge"), "b")
            .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both")))
     return written(met.where(100 * F.col("both") >= THRESHOLD * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"), "nd-links")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept per document."""
+def text_key(text_col: str = "text") -> Column:
+    """Tells the rows of one id apart by their text."""
+    return F.xxhash64(text_or_empty(text_col))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text_key: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept per document; with ``with_text_key`` also the ``text_key`` of its text."""
     ship_code(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    base = written(d.mapInPandas(_describe, "doc_id bigint, n_shingles bigint, set_id binary, sig array<bigint>, bands array<bigint>"), "nd-base")
-    texts = d.withColumnRenamed("doc_id", "id")
-
-    classes = written(base.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("id")), "nd-classes")
-    # One row per class; rows that repeat an id with other text are told apart by the set.
-    reps = written(base.join(classes.withColumnRenamed("set_id", "_set").hint("merge"), (F.col("doc_id") == F.col("id")) & (F.col("set_id") == F.col("_set")))
+    base = written(d.withColumn("text_key", text_key()).mapInPandas(
+        _describe, "doc_id bigint, text_key bigint, n_shingles bigint, set_id binary, sig array<bigint>, bands array<bigint>"), "nd-base")
+
+    # A class goes by a number of its own up to the end, as several classes may have the same smallest document id.
+    # Numbers follow these ids, so the first member of a bucket is its oldest document, the likely source of copies.
+    classes = written(base.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id")).orderBy("doc_id", "set_id")
+                      .withColumn("id", F.monotonically_increasing_id()), "nd-classes")
+    # One row per class.
+    reps = written(base.join(classes.toDF("_set", "_doc", "id").hint("merge"), (F.col("doc_id") == F.col("_doc")) & (F.col("set_id") == F.col("_set")))
                    .select("id", F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["id"]), "nd-reps")
 
     banded = reps.select("id", F.explode("bands").alias("key"))
@@ -183,7 +200,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A member and the pivot that it shares most buckets with.
     first = (members.where("id != pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("shared"))
              .groupBy(F.col("id").alias("a")).agg(F.max_by("pivot", F.struct("shared", -F.col("pivot"))).alias("b")))
-    found = components(verify(screened(first.join(sig.toDF("a", "x"), "a")), texts))
+    found = components(verify(screened(first.join(sig.toDF("a", "x"), "a")), d, classes))
 
     def place() -> DataFrame:
         """The rows of buckets that hold several components."""
@@ -199,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         best = (mixed.where("outside").join(mates, "key").select(F.col("id").alias("a"), "b").distinct()
                 .join(sig.toDF("a", "x"), "a").join(sig.toDF("b", "y").hint("merge"), "b")
                 .groupBy("a").agg(F.min_by("b", F.struct(differing("x", "y", range(WORDS)), "b")).alias("b")))
-        more = verify(screened(best.join(sig.toDF("a", "x"), "a")), texts)
+        more = verify(screened(best.join(sig.toDF("a", "x"), "a")), d, classes)
         if more.isEmpty():
             break
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -212,11 +229,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     & ratio & passes("sx", "sig") & once)
     rest = written(rest.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")), "nd-pairs")
     if not rest.isEmpty():
-        more = verify(rest, texts)
+        more = verify(rest, d, classes)
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    component = (classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-                 .select("set_id", F.coalesce("component", "id").alias("component")))
-    out = base.select("doc_id", "n_shingles", "set_id").join(component, "set_id", "left")
+    # A component is named by its smallest document id. Of several classes with that id, one is its head.
+    linked = written(classes.join(found.select(F.col("node").alias("id"), "component").hint("merge"), "id").select("set_id", "doc_id", "component"), "nd-linked")
+    heads = written(linked.groupBy("component").agg(F.min(F.struct("doc_id", "set_id")).alias("head")), "nd-heads")
+    placed = linked.join(heads, "component").select("set_id", F.col("head.doc_id").alias("component"), (F.col("set_id") == F.col("head.set_id")).alias("leads"))
+    alone = classes.join(linked.select("set_id").hint("merge"), "set_id", "left_anti").select("set_id", F.col("doc_id").alias("component"), F.lit(True).alias("leads"))
+    out = base.select("doc_id", "text_key", "n_shingles", "set_id").join(placed.unionByName(alone), "set_id", "left")
     out = out.withColumn("component_id", F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.coalesce("leads", F.lit(True))
+    return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), *(["text_key"] if with_text_key else []))

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from millrace.llm import graph, minhash, substring
 
 SF = "/root/testdata/sf0.001"
@@ -77,6 +78,24 @@ def test_near_duplicates(edited_copies):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    rnd = random.Random(9)
+    a, b = ([f"{x}{rnd.randrange(900)}" for _ in range(80)] for x in "ab")
+    changed = lambda words: " ".join(words[:-1] + ["end"])
+    for first, second in ((a, b), (b, a)):  # whichever of the two a choice by id alone would take
+        rows = [(5, " ".join(first)), (5, " ".join(second)), (2, changed(first)), (9, " ".join(second)), (8, changed(second)),
+                (20, "x y " + " ".join(f"c{k}" for k in range(60))), (20, "x z " + " ".join(f"c{k}" for k in range(60)))]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+        key = {i: r.k for i, r in enumerate(docs.select(minhash.text_key().alias("k")).collect())}
+        got = {(r.doc_id, r.text_key): (r.component_id, r.kept) for r in minhash.near_duplicates(docs, with_text_key=True).collect()}
+        assert [got[i, key[k]] for k, (i, _) in enumerate(rows[:5])] == [(2, False), (5, True), (2, True), (5, False), (5, False)]
+        assert sorted(got[i, key[k]] for k, (i, _) in enumerate(rows) if i == 20) == [(20, False), (20, True)]
+
+        table = docs.selectExpr("*", "'en' lang", "'s' source", "1L n_chars")
+        left = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, table, "").collect()}
+        assert {x for x in left if x[0] < 20} == {rows[1], rows[2]} and len(left) == 3
+
+
 def test_sequential_test_keeps_pairs_at_the_threshold():
     n = 32 * minhash.STEPS[0]
     chance = 0.75 + 0.25 / 4
