@@ -6,11 +6,13 @@ over the host's pages; the importance of a block's content is one minus the entr
 the pages that have its path: what stands on every page tells nothing. A branch combines both over all
 content below it. Branches and blocks of low importance are removed from each page. Elements that
 HTML or their names declare as boilerplate are removed on every host, as a host with few pages says
-nothing about its branches. The page's main container and what encloses it are never branches to remove.
+nothing about its branches. Pages of a host with the same main text are copies and count as one page of the
+tree, else an article that a host repeats would look like boilerplate. Where a page declares its main
+container, no branch is removed from it, only blocks.
 
 Defined cases: NULL or empty html gives empty text; a page without host is of the host ''; broken markup
 is repaired as browsers do for paragraphs, list items and stray end tags; repeated rows each give a
-row and count as pages; an empty table gives an empty result; further columns of the input do not matter.
+row and count as one page of the tree; an empty table gives an empty result; further columns of the input do not matter.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ NOISE_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor
                         "related recommended comment comments disqus reply replies respond toolbar pagination pager widget widgets copyright".split())
 MAIN_NAMES = frozenset("content article post entry story main articlebody".split())
 
-#: A host's tree judges a path only when at least this many pages have it.
+#: A host's tree judges a path only when at least this many different pages have it.
 MIN_PAGES = 10
 #: Branches below this importance go; weight of content against presentation.
 LOW_BRANCH = 0.3
@@ -69,7 +71,7 @@ class PageParser(HTMLParser):
         self.stack = [_Element("", "", False, -1, False)]
         self.blocks: list[tuple[str, list[str], bool, int]] = []  # text, paths down to its element, noise, container
         self.styles: dict[str, list[str]] = {}
-        self.containers: list[tuple[int, int, str]] = []  # rank, number of the enclosing container, path
+        self.containers: list[tuple[int, int]] = []  # rank, number of the enclosing container
         self.buffer: list[str] = []
 
     def flush(self) -> None:
@@ -137,7 +139,7 @@ class PageParser(HTMLParser):
         if not noise:
             rank = 3 if tag == "article" else 2 if tag == "main" or role == "main" or item == "articlebody" else 1 if tag in BLOCK and words & MAIN_NAMES else 0
         if rank:
-            self.containers.append((rank, container, path))
+            self.containers.append((rank, container))
             container = len(self.containers) - 1
             in_main = in_main or rank > 1
         top.append(_Element(tag, path, noise, container, in_main))
@@ -157,8 +159,8 @@ class PageParser(HTMLParser):
         if self.stack[-1].tag not in ("script", "style"):
             self.buffer.append(data)
 
-    def finish(self) -> tuple[list[tuple[str, list[str], bool]], dict[str, str], list[str]]:
-        """Blocks (text, paths, noise or outside the main container), styles by path, paths never to remove."""
+    def finish(self) -> tuple[list[tuple[str, list[str], bool]], dict[str, str], bool]:
+        """Blocks (text, paths, noise or outside the main container), styles by path, whether there is a main container."""
         self.close()
         self.flush()
         self.pop_to(1)
@@ -175,9 +177,7 @@ class PageParser(HTMLParser):
             return main >= 0 and c != main
 
         blocks = [(text, paths, noise or outside(c)) for text, paths, noise, c in self.blocks]
-        path = self.containers[main][2] if main >= 0 else ""
-        steps = path.split(">")
-        return blocks, {p: "|".join(sorted(s)) for p, s in self.styles.items()}, [">".join(steps[:k + 1]) for k in range(1, len(steps))]
+        return blocks, {p: "|".join(sorted(s)) for p, s in self.styles.items()}, main >= 0
 
 
 def parse(html: str):
@@ -188,7 +188,7 @@ def parse(html: str):
 
 _SCHEMA = ("page_id {id}, url string, host string, "
            "blocks array<struct<text:string,leaf:bigint,content:bigint,branch:array<bigint>>>, "  # text NULL: outside the main text
-           "styles array<struct<path:bigint,style:bigint>>, fixed array<bigint>")
+           "styles array<struct<path:bigint,style:bigint>>, has_main boolean, body bigint")  # body: hash of the main text
 
 
 def _parse_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,13 +205,22 @@ def _parse_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for at in range(0, len(b), 200):
             part, rows = b.iloc[at:at + 200], []
             for page_id, url, host, html in zip(part["page_id"], part["url"], part["host"], part["html"]):
-                blocks, styles, fixed = parse(html)
+                blocks, styles, has_main = parse(html)
                 found = []
                 for text, paths, noise in blocks:
                     branch = [key(p) for p in paths]
                     found.append((None if noise else text, branch[-1] if branch else 0, _key(text), branch))
-                rows.append((page_id, url, host, found, [(key(p), _key(s)) for p, s in styles.items()], [key(p) for p in fixed]))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "styles", "fixed"])
+                body = _key("\n".join(text for text, _, noise in blocks if not noise))
+                rows.append((page_id, url, host, found, [(key(p), _key(s)) for p, s in styles.items()], has_main, body))
+            yield pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "styles", "has_main", "body"])
+
+
+def without_copies(parsed: DataFrame) -> DataFrame:
+    """One page of each main text of a host."""
+    texts = parsed.groupBy("host", "body").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
+    copied = written(texts.where("n > 1").select("host", "body", "first"), "html-copied")
+    copies = written(parsed.select("host", "body", "row").join(copied, ["host", "body"]).where("row != first").select("row"), "html-copies")
+    return parsed.join(copies, "row", "left_anti")
 
 
 def style_tree(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -240,8 +249,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ship_code(pages.sparkSession)
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), host.alias("host"), F.coalesce(html_col, F.lit("")).alias("html"))
-    parsed = written(src.mapInPandas(_parse_pages, _SCHEMA.format(id=src.schema["page_id"].dataType.simpleString())), "html-pages")
-    branches, content = style_tree(parsed)
+    parsed = src.mapInPandas(_parse_pages, _SCHEMA.format(id=src.schema["page_id"].dataType.simpleString()))
+    parsed = written(parsed.withColumn("row", F.monotonically_increasing_id()), "html-pages")
+    branches, content = style_tree(without_copies(parsed))
     # What a host drops stands on most of its pages, so these lists are bounded by the blocks of a page.
     low = (branches.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BRANCH)).select("host", "path", F.lit(None).cast("bigint").alias("content"))
            .unionByName(content.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BLOCK)).select("host", F.col("leaf").alias("path"), "content")))
@@ -250,10 +260,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         F.collect_set(F.when(F.col("content").isNull(), F.col("path"))).alias("low_paths"),
         F.collect_set(F.when(F.col("content").isNotNull(), F.struct("path", "content"))).alias("low_blocks")), "html-low")
 
-    paths = F.array_except(F.coalesce("low_paths", F.array().cast("array<bigint>")), F.col("fixed"))
+    # What lies outside the main container of a page that has one has no text here.
+    none = F.array().cast("array<bigint>")
+    paths = F.when(F.col("has_main"), none).otherwise(F.coalesce("low_paths", none))
     low_blocks = F.coalesce("low_blocks", F.array().cast("array<struct<path:bigint,content:bigint>>"))
     kept = F.filter("blocks", lambda b: b["text"].isNotNull() & ~F.arrays_overlap(b["branch"], paths)
                     & ~F.array_contains(low_blocks, F.struct(b["leaf"].alias("path"), b["content"].alias("content"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    out = parsed.select("page_id", "url", "host", "blocks", "fixed").join(low, "host", "left").select("page_id", "url", text.alias("text"))
+    out = parsed.select("page_id", "url", "host", "blocks", "has_main").join(low, "host", "left").select("page_id", "url", text.alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("bigint"))

@@ -43,6 +43,25 @@ def test_style_tree_removes_what_every_page_of_a_host_repeats(spark):
     assert "Choose a region" in got[99]  # one page says nothing about its host
 
 
+def test_copies_of_an_article_are_not_boilerplate(spark):
+    def article(k, n=4):
+        return "".join(f"<p>Paragraph {j} of story {k}.</p>" for j in range(n))
+    rows = []
+    for k in range(100):  # 90 copies of one page and 10 others
+        story = 0 if k < 90 else k
+        rows.append((k, "http://article.example/", f"<body><ul><li>{k} visitors</ul><article>{article(story)}</article><p>Foot"))
+        rows.append((1000 + k, "http://plain.example/", f"<body><div class=x1><p>Choose a region</p></div><div class=x2>{article(story)}</div>"))
+        # Copies that differ by a line: the paragraphs as a branch are mostly those of the one story.
+        rows.append((2000 + k, "http://line.example/", f"<body><article><h2>Seen {k} times</h2>{article(0 if k < 75 else k, 8 if k < 75 else 3)}</article>"))
+    got = {r.page_id: r.text for r in htmltree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+    def text(k, n=4):
+        return "\n".join(f"Paragraph {j} of story {k}." for j in range(n))
+    for k in range(100):
+        assert got[k] == text(0 if k < 90 else k) and got[1000 + k] == got[k]
+    assert all(got[2000 + k] == f"Seen {k} times\n{text(k, 3)}" for k in range(75, 100))
+
+
 def test_declared_boilerplate_and_broken_markup(spark):
     page = ("<!DOCTYPE html><title>t</title><header>Site</header><nav><ul><li>a<li>b</ul></nav><main><article><header><h1>A &amp; B</h1></header>"
             "<p>one\n <b>two<br>three<p>four &eacute;&#33;<div class='ad box'>buy</div><form>f</form><script>if (a</p>) x</script><!-- <p>no</p> -->"
