@@ -6,7 +6,8 @@ over the host's pages; the importance of a block's content is one minus the entr
 the pages that have its path: what stands on every page tells nothing. A branch combines both over all
 content below it. Branches and blocks of low importance are removed from each page. Elements that
 HTML or their names declare as boilerplate are removed on every host, as a host with few pages says
-nothing about its branches. Pages of a host with the same main text are copies and count as one page of the
+nothing about its branches. A name declares nothing where the elements that bear it hold most of the page's text
+outside links, or a main element with more text than is found beside named elements. Pages of a host with the same main text are copies and count as one page of the
 tree, else an article that a host repeats would look like boilerplate. Where a page declares its main
 container, no branch is removed from it, only blocks.
 
@@ -40,6 +41,7 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form
 NOISE_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu menus breadcrumb breadcrumbs "
                         "sidebar footer cookie cookies consent notice notices popup modal overlay newsletter subscribe signup login share sharing social "
                         "related recommended comment comments disqus reply replies respond toolbar pagination pager widget widgets copyright".split())
+TALK_NAMES = frozenset("comment comments reply replies related recommended".split())
 MAIN_NAMES = frozenset("content article post entry story main articlebody".split())
 
 #: A host's tree judges a path only when at least this many different pages have it.
@@ -56,10 +58,11 @@ def _key(s: str) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "children", "container", "in_main")
+    __slots__ = ("tag", "path", "noise", "names", "children", "container", "contained", "in_main", "in_link")
 
-    def __init__(self, tag, path, noise, container, in_main):
-        self.tag, self.path, self.noise, self.container, self.in_main = tag, path, noise, container, in_main
+    def __init__(self, tag, path, noise, names, container, contained, in_main, in_link):
+        self.tag, self.path, self.noise, self.names, self.container = tag, path, noise, names, container
+        self.contained, self.in_main, self.in_link = contained, in_main, in_link
         self.children: list[str] = []
 
 
@@ -68,20 +71,24 @@ class PageParser(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", "", False, -1, False)]
-        self.blocks: list[tuple[str, list[str], bool, int]] = []  # text, paths down to its element, noise, container
+        self.stack = [_Element("", "", False, frozenset(), -1, False, False, False)]
+        # Text, paths down to its element, noise, names of boilerplate around it, container, characters outside links.
+        self.blocks: list[tuple[str, list[str], bool, frozenset, int, int]] = []
         self.styles: dict[str, list[str]] = {}
-        self.containers: list[tuple[int, int]] = []  # rank, number of the enclosing container
+        self.containers: list[tuple[int, int, frozenset]] = []  # rank, number of the enclosing container, names around it
         self.buffer: list[str] = []
+        self.linked = 0
 
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
+            linked, self.linked = self.linked, 0
             self.buffer = []
             if text:
                 at = max(k for k, e in enumerate(self.stack) if e.tag in BLOCK or k == 0)
                 e = self.stack[at]
-                self.blocks.append((text, [x.path for x in self.stack[1:at + 1]], self.stack[-1].noise, e.container))
+                self.blocks.append((text, [x.path for x in self.stack[1:at + 1]], self.stack[-1].noise, self.stack[-1].names,
+                                    e.container, max(len(text) - linked, 0)))
 
     def pop_to(self, at: int) -> None:
         """Close the elements from place ``at`` on."""
@@ -127,22 +134,30 @@ class PageParser(HTMLParser):
                 item = (value or "").lower()
         words = set("".join(c if c.isalnum() else " " for c in names).split()) if names else frozenset()
         own = tag not in ("html", "body", "article", "main")
-        noise = parent.noise or hidden or tag in NOISE_TAGS or role in NOISE_ROLES or bool(
-            words & NOISE_NAMES and (own or words & {"comment", "comments", "reply", "replies", "related", "recommended"}))
-        if tag in ("article", "main") and parent.noise and parent.container < 0 and not words & NOISE_NAMES:
-            noise = hidden  # an unclosed box of boilerplate does not swallow the article
-        if not noise and not parent.in_main and (tag == "header" or own and "header" in words):
+        declared = tag in ("article", "main") or role == "main" or item == "articlebody"
+        noise = parent.noise or hidden or tag in NOISE_TAGS or role in NOISE_ROLES
+        around = parent.names
+        bad = words & (NOISE_NAMES if own else TALK_NAMES) if tag not in ("html", "body") else frozenset()
+        if own and "header" in words and not parent.in_main:
+            bad = bad | {"header"}
+        if bad:  # a name that is the word tells more than one that has it as a part
+            whole = bad & set(names.split())
+            around = around | {(frozenset(whole), frozenset(bad - whole))}
+        if declared and not bad and (parent.noise or parent.names) and not parent.contained and not words & NOISE_NAMES & set(names.split()):
+            noise, around = hidden, frozenset()  # an unclosed box of boilerplate does not swallow the article
+        if not parent.in_main and tag == "header":
             noise = True
         path = f"{parent.path}>{tag}.{'.'.join(sorted(words))}" if words else f"{parent.path}>{tag}"
-        container, in_main = parent.container, parent.in_main
+        container, contained, in_main = parent.container, parent.contained, parent.in_main
         rank = 0
         if not noise:
             rank = 3 if tag == "article" else 2 if tag == "main" or role == "main" or item == "articlebody" else 1 if tag in BLOCK and words & MAIN_NAMES else 0
         if rank:
-            self.containers.append((rank, container))
+            self.containers.append((rank, container, around))
             container = len(self.containers) - 1
+            contained = contained or not around
             in_main = in_main or rank > 1
-        top.append(_Element(tag, path, noise, container, in_main))
+        top.append(_Element(tag, path, noise, around, container, contained, in_main, parent.in_link or tag == "a"))
 
     def handle_endtag(self, tag):
         if tag == "br":
@@ -158,14 +173,39 @@ class PageParser(HTMLParser):
     def handle_data(self, data):
         if self.stack[-1].tag not in ("script", "style"):
             self.buffer.append(data)
+            if self.stack[-1].in_link:
+                self.linked += len(" ".join(data.split()))
+
+    def boilerplate(self) -> set:
+        """The names on this page that declare boilerplate."""
+        total = clean = 0
+        held: dict[tuple, int] = {}
+        in_main: dict[tuple, int] = {}
+        for _, _, noise, around, c, n in self.blocks:
+            if noise:
+                continue
+            total += n
+            clean += 0 if around else n
+            main = frozenset()
+            while c >= 0:  # names around a main element, not inside it
+                if self.containers[c][0] > 1:
+                    main = self.containers[c][2]
+                c = self.containers[c][1]
+            for name in around:
+                held[name] = held.get(name, 0) + n
+                if name in main:
+                    in_main[name] = in_main.get(name, 0) + n
+        return {name for name, n in held.items() if 2 * n <= total and (name[0] or name[1] & TALK_NAMES or in_main.get(name, 0) <= clean)}
 
     def finish(self) -> tuple[list[tuple[str, list[str], bool]], dict[str, str], bool]:
         """Blocks (text, paths, noise or outside the main container), styles by path, whether there is a main container."""
         self.close()
         self.flush()
         self.pop_to(1)
+        declared = self.boilerplate()
+        found = [(text, paths, noise or not declared.isdisjoint(around), c) for text, paths, noise, around, c, _ in self.blocks]
         sizes = [0] * len(self.containers)
-        for text, _, noise, c in self.blocks:
+        for text, _, noise, c in found:
             while c >= 0 and not noise:
                 sizes[c] += len(text)
                 c = self.containers[c][1]
@@ -176,7 +216,7 @@ class PageParser(HTMLParser):
                 c = self.containers[c][1]
             return main >= 0 and c != main
 
-        blocks = [(text, paths, noise or outside(c)) for text, paths, noise, c in self.blocks]
+        blocks = [(text, paths, noise or outside(c)) for text, paths, noise, c in found]
         return blocks, {p: "|".join(sorted(s)) for p, s in self.styles.items()}, main >= 0
 
 

@@ -62,6 +62,24 @@ def test_copies_of_an_article_are_not_boilerplate(spark):
     assert all(got[2000 + k] == f"Seen {k} times\n{text(k, 3)}" for k in range(75, 100))
 
 
+def test_names_do_not_take_the_main_text(spark):
+    long = "A sentence of the main text of the page. " * 4
+    page = {
+        1: f"<div class='elementor-widget widget-title'><div class=elementor-widget-container><h1>Title</h1></div></div>"
+           + "".join(f"<div class='elementor-widget e{k}'><div class=elementor-widget-container><p>{long}{k}</p></div></div>" for k in range(3))
+           + "<div class=sidebar><p>Side <a href=x>link</a></p></div>",
+        2: f"<div class=layout-with-sidebar><div><p>{long}</p></div><div class=sidebar><p>Side</p></div></div>",
+        3: f"<section class='post share-enabled'><p>{long}</p><div class=share><p>Share this</p></div></section>",
+        4: f"<div class=content><p>Intro</p><div class=layout-with-sidebar><article><p>{long}</p></article></div><div class=comments><p>{long}</p><p>{long}</p></div></div>",
+        5: f"<div class=content><p>{long}</p><div class=promo-box><article><p>Teaser</p></article></div></div>",
+        6: f"<div class=sidebar><p>{' '.join(f'<a href=x>{long}</a>' for _ in range(5))}</p></div><div><p>{long}</p></div>",
+    }
+    rows = [(k, f"http://names.example/{k}", h) for k, h in page.items()]
+    got = {r.page_id: r.text for r in htmltree.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    one = long.strip()
+    assert got == {1: "\n".join(["Title", *(f"{long}{k}" for k in range(3))]), 2: one, 3: one, 4: one, 5: one, 6: one}
+
+
 def test_declared_boilerplate_and_broken_markup(spark):
     page = ("<!DOCTYPE html><title>t</title><header>Site</header><nav><ul><li>a<li>b</ul></nav><main><article><header><h1>A &amp; B</h1></header>"
             "<p>one\n <b>two<br>three<p>four &eacute;&#33;<div class='ad box'>buy</div><form>f</form><script>if (a</p>) x</script><!-- <p>no</p> -->"
