@@ -1,8 +1,8 @@
 """Secret scan with corpus-wide ownership frequency.
 
 Patterns propose spans. Every proposed value is hashed, and the hashes are aggregated over the whole
-corpus by distinct repository and owner. A value that many owners hold is a widely copied example;
-a value that one owner holds looks live. The base kinds (assign, access, hex) always stay in
+corpus by distinct repository and owner. A value that many owners hold, or that stands in far more repositories
+than its few owners would put a secret of theirs in, is a widely copied example; another value looks live. The base kinds (assign, access, hex) always stay in
 the result; opaque tokens (mixed letters and digits) are added where they look live.
 
 Defined cases: NULL text counts as empty; a NULL owner is an owner of its own; spans are code
@@ -29,6 +29,8 @@ BASE = ("assign", "access", "hex")
 MIN_ASSIGN_CHARS = 6
 #: A value held by this many owners or more is a widely copied example.
 EXAMPLE_OWNERS = 3
+#: A value in this many repositories an owner or more is one as well.
+EXAMPLE_REPOS = 100
 
 
 def propose(text: Column) -> Column:
@@ -48,7 +50,7 @@ def propose(text: Column) -> Column:
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                 repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, carry: tuple[str, ...] = ()) -> DataFrame:
+                 repo_col: str = "doc_id", example_owners: int = EXAMPLE_OWNERS, example_repos: int = EXAMPLE_REPOS, carry: tuple[str, ...] = ()) -> DataFrame:
     """Per input row: doc_id, ``spans`` array<struct<start,kind,end,live>> (base spans and the
     opaque ones that look live, not overlapping a base span), and the ``carry`` columns.
 
@@ -65,7 +67,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ownership = (each.groupBy("_hash", "_owner", "_repo").agg(F.count(F.lit(1)).alias("_n"))
                  .groupBy("_hash", "_owner").agg(F.count(F.lit(1)).alias("_repos"))
                  .groupBy("_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("_repos").alias("n_repos")))
-    widely = ownership.where(F.col("n_owners") >= example_owners).select("_hash", F.lit(True).alias("_example"))
+    widely = ownership.where((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos * F.col("n_owners"))).select("_hash", F.lit(True).alias("_example"))
     rated = each.join(widely, "_hash", "left").withColumn("live", F.col("_example").isNull())
     per_row = rated.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
         "start", F.substring("kind", 2, 20).alias("kind"), "end", "live", F.substring("kind", 1, 1).alias("order")))).alias("all"))
