@@ -30,10 +30,9 @@ from .common import ship_code, text_or_empty
 #: Two primes below 2^31, so that products fit 64 bits, and a base for each.
 PRIMES = (2147483629, 2147483587)
 BASES = (1000003, 998244353)
-#: Span lengths: short spans for texts below LONG_FROM, long spans for texts from SHORT_UPTO down to
-#: half of it up; texts in between carry both, so lengths that differ little share a sketch.
+#: Span lengths: short spans for all texts, so that any two share a sketch, long spans for texts from LONG_FROM up.
 SHORT_SPAN, LONG_SPAN = 4, 16
-LONG_FROM, SHORT_BELOW = 150, 300
+LONG_FROM = 150
 SKETCH = 64
 BLOCKS = 16
 BLOCK = 1 << 20
@@ -124,7 +123,7 @@ class Fingerprint:
 
     def __init__(self, text: str):
         self.n = len(text)
-        spans = [k for k, use in ((SHORT_SPAN, self.n < SHORT_BELOW), (LONG_SPAN, self.n >= LONG_FROM)) if use]
+        spans = [SHORT_SPAN, LONG_SPAN] if self.n >= LONG_FROM else [SHORT_SPAN]
         best = {k: np.empty(0, dtype=np.uint32) for k in spans}
         whole = [0, 0]
         bounds = np.arange(min(BLOCKS, self.n) + 1) * self.n // max(min(BLOCKS, self.n), 1)

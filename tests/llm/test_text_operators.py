@@ -206,3 +206,10 @@ def test_same_results_for_any_number_of_ranges(spark, docs):
     got = {r.doc_id: r.common_next for r in fingerprint.fingerprints(few).collect()}
     rows = sorted((r.doc_id, r.text or "") for r in few.collect())
     assert got == {i: len(os.path.commonprefix((t, rows[(k + 1) % len(rows)][1]))) for k, (i, t) in enumerate(rows)}
+
+
+def test_short_and_long_texts_share_a_sketch():
+    rnd = random.Random(8)
+    short = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=149))
+    for long in (f"{short} {short}.", f"{short} {short}" + "".join(rnd.choices("ABC", k=20))):
+        assert fingerprint.Fingerprint(short).likeness(fingerprint.Fingerprint(long)) > 0.7
