@@ -123,10 +123,48 @@ SELECT doc_id, coalesce(n_assign, 0) n_assign, coalesce(n_access, 0) n_access, c
 FROM documents LEFT JOIN x USING (doc_id)
 """
 
+_CONTROL = r"<\\*\|(?:im_start|im_end|nl)\|>"
+
+CHAT = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') r, coalesce(text, '') t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok' UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e AS (SELECT *, CASE WHEN regexp_matches(t, '<\\\\*\\|im_(?:start|end)\\|>|<\\\\+\\|nl\\|>') OR regexp_matches(r, '{_CONTROL}|\\n')
+  THEN len(regexp_extract_all(t, '{_CONTROL}')) + len(regexp_extract_all(r, '{_CONTROL}')) + 5 * (length(r) - length(replace(r, chr(10), ''))) ELSE 0 END AS escapes FROM t)
+SELECT conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, r, t)) turns_sha256,
+       coalesce(sum(length(t)) FILTER (r = 'assistant'), 0)::BIGINT loss_chars, sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, t) FILTER (r = 'assistant'), '')) loss_sha256,
+       sum(length('<|im_start|>') + length(r) + 1 + length(t) + escapes + length('<|im_end|>') + 1)::BIGINT formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+HARD = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END l, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id a, b.vec_id b, a.l = b.l same, list_inner_product(a.v, b.v)::BIGINT s FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, s FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+SELECT p.a anchor_id, p.b positive_id, row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.s DESC, n.b)::INT AS rank, n.b negative_id, p.s positive_score, n.s negative_score
+FROM p JOIN s n ON n.a = p.a AND NOT n.same AND 80 * p.s <= 100 * n.s AND n.s <= p.s QUALIFY rank <= 5
+"""
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL = f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, {_TERMS} t FROM documents),
+c AS (SELECT count(*) FILTER (len(t) > 0) nn, sum(len(t))::BIGINT ll FROM d),
+f AS (SELECT r, term, count(*) tf FROM (SELECT r, unnest(t) term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT w FROM f, c GROUP BY term, nn),
+m AS (SELECT r, doc_id, 100 - 25 + (25 * len(t) * nn) // ll m FROM d, c WHERE len(t) > 0),
+i AS (SELECT item_id, unnest({_TERMS}) term FROM benchmark),
+s AS (SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT score FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s JOIN m USING (r) WHERE score > 0 QUALIFY rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
     "op1_near_dedup": NEAR,
     "op4_secret_scan": SECRETS,
     "op5_quality_rules": QUALITY,
     "op6_mix_sources": MIX,
     "op9_pii": PII,
+    "op11_chat_format": CHAT,
+    "op12_hard_negatives": HARD,
+    "op13_lexical_search": LEXICAL,
 }

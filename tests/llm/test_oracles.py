@@ -16,7 +16,7 @@ def con():
 
 def test_every_operator_is_registered():
     numbers = sorted(int(k[2:].split("_")[0]) for k in queries.all_queries() if k.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.all_queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.all_queries()
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
