@@ -1,9 +1,7 @@
 """Vector and keyword retrieval as Spark jobs.
 
-* Text: an inverted index (doc, term, tf) built with ``explode`` + ``groupBy``;
-  BM25 and TF-IDF cosine scores are sums over a join on ``term`` between query
-  terms and postings, so only documents sharing a term with a query are ever
-  paired with it (no query x corpus product).
+* Text: an index of whole texts, written once a corpus; BM25 and TF-IDF cosine lists
+  by block maxima with a running k-th score (``textsearch``), exact.
 * Vectors: exact k-NN deals index and queries into blocks; every pair of blocks meets
   in one task and gives k candidates a query to the final ``row_number`` merge.
 * ANN: equi-join on sign-random-projection codes of several tables with one-bit
@@ -21,166 +19,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import tokens, top_k
+from . import textsearch as TS
 
-BM25_K1 = 1.2
-BM25_B = 0.75
 RRF_K = 60
 
 
-# ---------------------------------------------------------------- text index -----------------
-def postings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, term, tf, dl) over whole texts.
+# ---------------------------------------------------------------- text -----------------------
+def keyword_search(index: TS.TextIndex, queries: DataFrame, qid_col: str, q_text: str, k: int = 10,
+                   query_groups: DataFrame | None = None, counters=None) -> DataFrame:
+    """BM25 top-k documents per query. With ``query_groups`` (query_id, group) a query meets documents of
+    its groups only (I04; the index carries each document's group): others are never scored."""
+    return TS.bm25_search(index, queries, qid_col, q_text, k, query_groups, counters)
 
-    Documents are hash-partitioned by doc_id first (one shuffle of the raw text),
-    so tokenising runs in parallel and every later per-document step needs no
-    further shuffle. The document length is the token count, taken before the
-    explode, so it needs no aggregate-and-join.
-    """
-    d = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")) \
-        .repartition("doc_id").select("doc_id", tokens(F.col("_text")).alias("_tk"))
-    return d.select("doc_id", F.size("_tk").cast("bigint").alias("dl"), F.explode("_tk").alias("term")) \
-        .groupBy("doc_id", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
-
-
-def text_index(docs: DataFrame, id_col: str, text_col: str, path: str | None = None) -> DataFrame:
-    """Inverted index (doc_id, term, tf, dl), written once as a Parquet table in the shared
-    checkpoint folder (lineage cut: executor loss re-reads files instead of re-tokenising)
-    and read back hash-partitioned by doc_id for the doc-side steps."""
-    from ..session import scratch_path
-    spark = docs.sparkSession
-    path = path or scratch_path(spark, "text_index")
-    postings(docs, id_col, text_col).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path).repartition(scoring_partitions(spark), "doc_id")
-
-
-def scoring_partitions(spark) -> int:
-    """Partitions for the doc side of scoring. The index is small in bytes but every row fans
-    out to all queries sharing its term, so AQE's byte-based coalescing would put that work on
-    a few tasks; an explicit count (not coalesced) keeps it spread over the cluster."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-
-
-def doc_lengths(idx: DataFrame) -> DataFrame:
-    return idx.groupBy("doc_id").agg(F.first("dl").alias("dl"))
-
-
-def doc_freq(idx: DataFrame) -> DataFrame:
-    return idx.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
-def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
-    return queries.select(F.col(qid_col).alias("query_id"), F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
-
-
-def bm25_doc_side(idx: DataFrame) -> DataFrame:
-    """Doc half of BM25: tf saturation and length normalisation (idf lives on the query side)."""
-    stats = doc_lengths(idx).select(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
-    norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / stats["avgdl"])
-    return idx.select("doc_id", "term", ((F.col("tf") * (BM25_K1 + 1)) / norm).alias("w")), stats
 
+def embed_text(index: TS.TextIndex) -> DataFrame:
+    """D01 embed_text: L2-normalised TF-IDF sparse vectors as (doc_id, term, weight) rows.
 
-def bm25_query_side(idx: DataFrame, q_terms: DataFrame, stats) -> DataFrame:
-    """Query half of BM25: idf = ln(1 + (N - df + 0.5) / (df + 0.5)) per query term present in the corpus."""
-    df = doc_freq(idx)
-    idf = F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    return q_terms.join(df, "term").select("query_id", "term", idf.alias("qw"))
-
-
-def keyword_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                   q_text: str, k: int = 10, doc_groups: DataFrame | None = None, query_groups: DataFrame | None = None,
-                   idx: DataFrame | None = None) -> DataFrame:
-    """BM25 top-k documents per query. With ``doc_groups`` (doc_id, group) and ``query_groups``
-    (query_id, group) a query meets documents of its groups only (I04): the group is part of the join key,
-    so other pairs are never scored. ``idx`` reuses an index built by ``text_index``."""
-    idx = text_index(docs, id_col, text_col) if idx is None else idx
-    dw, stats = bm25_doc_side(idx)
-    qw = bm25_query_side(idx, query_terms(queries, qid_col, q_text), stats)
-    on = ["term"]
-    if doc_groups is not None:
-        dw, qw, on = dw.join(doc_groups, "doc_id"), qw.join(query_groups.distinct(), "query_id"), ["term", "group"]
-    s = score_by_term(dw, "w", qw, on=on)
-    s = s.select("query_id", "doc_id", F.round("s", 6).alias("score"))
-    return top_k(s, ["query_id"], [F.col("score").desc(), F.col("doc_id")], k)
-
-
-def score_by_term(doc_w: DataFrame, w_col: str, q_terms: DataFrame, doc_partitioned: bool = True, on: list | None = None) -> DataFrame:
-    """sum over shared terms of q_weight x doc_weight per (query, doc).
-
-    One plan for all sizes: the planner broadcasts the query terms when their measured bytes are
-    below its threshold (the doc side then keeps its doc_id partitioning and the aggregate needs no
-    shuffle), and joins on the term otherwise.
+    idf = ln((1 + N) / (1 + df)) + 1 (smooth idf); the index carries each document's norm.
     """
-    on = on or ["term"]
-    qt = q_terms.select("query_id", *on, "qw")
-    dw = doc_w.select("doc_id", *on, F.col(w_col).alias("_w"))
-    if not doc_partitioned:
-        dw = dw.repartition(scoring_partitions(dw.sparkSession), "doc_id")
-    return dw.join(qt, on).groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("_w")).alias("s"))
-
+    each = index.docs.select("doc_id", "norm", F.explode(F.arrays_zip("terms", "counts")).alias("z")) \
+        .select("doc_id", "norm", F.col("z.terms").alias("term"), F.col("z.counts").alias("tf"))
+    return each.join(index.df, "term").select(
+        "doc_id", "term", (F.col("tf") * TS.smooth_idf(index.n, F.col("df")) / F.col("norm")).alias("weight"))
 
-def tfidf_vectors(idx: DataFrame) -> DataFrame:
-    """L2-normalised TF-IDF sparse vectors as (doc_id, term, weight) rows.
 
-    idf = ln((1 + N) / (1 + df)) + 1 (smooth idf); the per-document norm is an
-    aggregate joined back, so no document has to be held whole in one place.
-    """
-    n_docs = doc_lengths(idx).select(F.count(F.lit(1))).scalar()
-    df = doc_freq(idx)
-    wt = idx.join(df, "term").select("doc_id", "term",
-                                     (F.col("tf") * (F.log((F.lit(1.0) + n_docs) / (F.col("df") + 1.0)) + 1.0)).alias("w"))
-    nrm = wt.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return wt.join(nrm, "doc_id").select("doc_id", "term", (F.col("w") / F.col("norm")).alias("weight"))
-
-
-def embed_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """D01 embed_text: text column -> sparse TF-IDF vector rows."""
-    return tfidf_vectors(text_index(docs, id_col, text_col))
-
-
-def hybrid_text_search(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, qid_col: str,
-                       q_text: str, k: int = 10, idx: DataFrame | None = None) -> DataFrame:
-    """D07 over text: BM25 and TF-IDF cosine from ONE term join, fused by reciprocal rank.
-
-    Both scores are sums over the same shared terms, so one join of query-term
-    rows (idf for BM25, normalised TF-IDF weight for cosine) with the doc-side
-    rows produces both per (query, doc). The pair scores are written once to the
-    shared checkpoint folder; the two top-k lists are read from there.
-    """
-    from ..session import scratch_path
-    spark = docs.sparkSession
-    idx = text_index(docs, id_col, text_col) if idx is None else idx
-    stats = doc_lengths(idx).select(F.struct(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))).scalar()
-    df = doc_freq(idx)
-    smooth_idf = F.log((F.lit(1.0) + stats["n"]) / (F.col("df") + 1.0)) + 1.0
-    bm_norm = F.col("tf") + F.lit(BM25_K1) * (F.lit(1.0 - BM25_B) + F.lit(BM25_B) * F.col("dl") / stats["avgdl"])
-    d = idx.join(df, "term").select("doc_id", "term", ((F.col("tf") * (BM25_K1 + 1)) / bm_norm).alias("w_bm"),
-                                    (F.col("tf") * smooth_idf).alias("w_raw"))
-    nrm = d.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w_raw") * F.col("w_raw"))).alias("norm"))
-    dside = d.join(nrm, "doc_id").select("doc_id", "term", "w_bm", (F.col("w_raw") / F.col("norm")).alias("w_cos"))
-    qp = queries.select(F.col(qid_col).alias("query_id"), F.explode(tokens(F.col(q_text))).alias("term")) \
-        .groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    qw = qp.join(df, "term", "left").select(
-        "query_id", "term", "df",
-        (F.col("tf") * (F.log((F.lit(1.0) + stats["n"]) / (F.coalesce("df", F.lit(0)) + 1.0)) + 1.0)).alias("w"))
-    qn = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("qnorm"))
-    qside = qw.where(F.col("df").isNotNull()).join(qn, "query_id").select(
-        "query_id", "term", (F.col("w") / F.col("qnorm")).alias("q_cos"),
-        F.log(F.lit(1.0) + (stats["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("q_bm"))
-    # Written, so that the planner knows the bytes of the query side when it chooses the join.
-    q_path = scratch_path(spark, "hybrid_queries")
-    qside.write.parquet(q_path)
-    qside = spark.read.parquet(q_path)
-    pairs = dside.repartition(scoring_partitions(spark), "doc_id").join(qside, "term").groupBy("query_id", "doc_id").agg(
-        F.round(F.sum(F.col("q_cos") * F.col("w_cos")), 6).alias("s_cos"),
-        F.round(F.sum(F.col("q_bm") * F.col("w_bm")), 6).alias("s_bm"))
-    path = scratch_path(spark, "hybrid_pairs")
-    pairs.write.mode("overwrite").parquet(path)
-    pairs = spark.read.parquet(path)
-    sem = top_k(pairs.select("query_id", "doc_id", F.col("s_cos").alias("score")), ["query_id"],
-                [F.col("score").desc(), F.col("doc_id")], k)
-    key = top_k(pairs.select("query_id", "doc_id", F.col("s_bm").alias("score")), ["query_id"],
-                [F.col("score").desc(), F.col("doc_id")], k)
-    return hybrid_search(sem, key, k)
+def hybrid_text_search(index: TS.TextIndex, queries: DataFrame, qid_col: str, q_text: str, k: int = 10) -> DataFrame:
+    """D07 over text: the TF-IDF cosine list and the BM25 list of one index, fused by reciprocal rank."""
+    return hybrid_search(TS.cosine_search(index, queries, qid_col, q_text, k),
+                         TS.bm25_search(index, queries, qid_col, q_text, k), k)
 
 
 def hybrid_search(semantic: DataFrame, keyword: DataFrame, k: int = 10) -> DataFrame:
@@ -202,7 +68,7 @@ def project_results(results: DataFrame, docs: DataFrame, id_col: str, columns: l
 def no_result_queries(queries: DataFrame, qid_col: str, q_text: str, docs: DataFrame, text_col: str) -> DataFrame:
     """Queries without any hit, i.e. of whose terms none is in the corpus; nothing is scored."""
     vocabulary = docs.select(F.explode(tokens(F.col(text_col))).alias("term")).distinct()
-    hits = query_terms(queries, qid_col, q_text).join(vocabulary, "term", "left_semi").select("query_id").distinct()
+    hits = TS.query_terms(queries, qid_col, q_text).join(vocabulary, "term", "left_semi").select("query_id").distinct()
     return (queries.select(F.col(qid_col).alias("query_id")).distinct().join(hits, "query_id", "left_anti")
             .select("query_id", F.lit(0).cast("bigint").alias("n_results")))
 

@@ -33,7 +33,7 @@ def user_queries(c: Ctx):
 
 @query("embed_text")
 def q_embed_text(spark, sf):
-    return D.embed_text(Ctx(spark, sf).documents, "doc_id", "text")
+    return D.embed_text(Ctx(spark, sf).text_index("documents", "doc_id", "text", with_norm=True))
 
 
 @query("build_vector_index")
@@ -90,7 +90,7 @@ def q_ann_recall(spark, sf):
 
 
 def kw(c: Ctx, k=K):
-    return D.keyword_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", k)
+    return D.keyword_search(c.text_index("documents", "doc_id", "text"), user_queries(c), "query_id", "text", k)
 
 
 @query("keyword_search")
@@ -101,7 +101,7 @@ def q_keyword_search(spark, sf):
 @query("hybrid_search")
 def q_hybrid_search(spark, sf):
     c = Ctx(spark, sf)
-    return D.hybrid_text_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K)
+    return D.hybrid_text_search(c.text_index("documents", "doc_id", "text", with_norm=True), user_queries(c), "query_id", "text", K)
 
 
 @query("project_results")
@@ -115,7 +115,7 @@ def preset_results(c: Ctx, names=None):
     for name, table, id_col, text_col, k in PRESETS:
         if names and name not in names:
             continue
-        r = D.keyword_search(getattr(c, table), id_col, text_col, user_queries(c), "query_id", "text", k) \
+        r = D.keyword_search(c.text_index(table, id_col, text_col), user_queries(c), "query_id", "text", k) \
             .select(F.lit(name).alias("retriever"), "query_id", "rank", F.col("doc_id").alias("id"), "score")
         out = r if out is None else out.unionByName(r)
     return out
@@ -154,6 +154,5 @@ def permitted_sources(c: Ctx):
 @query("permitted_search")
 def q_permitted_search(spark, sf):
     c = Ctx(spark, sf)
-    return D.keyword_search(c.documents, "doc_id", "text", user_queries(c), "query_id", "text", K,
-                            doc_groups=c.documents.select("doc_id", F.col("source").alias("group")),
+    return D.keyword_search(c.text_index("documents", "doc_id", "text", group_col="source"), user_queries(c), "query_id", "text", K,
                             query_groups=permitted_sources(c))

@@ -36,7 +36,7 @@ def retriever_results(c: Ctx, q, names):
         if name not in names:
             continue
         qs = names[name](q) if callable(names.get(name)) else q
-        r = D.keyword_search(getattr(c, table), id_col, text_col, qs, "conv_id", "last_user_text", k) \
+        r = D.keyword_search(c.text_index(table, id_col, text_col), qs, "conv_id", "last_user_text", k) \
             .select(F.lit(name).alias("retriever"), "query_id", "rank", F.col("doc_id").alias("id"), "score")
         out = r if out is None else out.unionByName(r)
     return out
@@ -181,8 +181,8 @@ def relevant_docs(c: Ctx):
     ``contains`` on the whole text then decides.
     """
     b = c.benchmark.select(F.col("item_id").alias("query_id"), "text", tokens(F.col("text")).alias("tk"))
-    post = D.text_index(c.documents, "doc_id", "text")
-    df = D.doc_freq(post)
+    index = c.text_index("documents", "doc_id", "text")
+    post, df = index.docs.select("doc_id", F.explode("terms").alias("term")), index.df
     interior = F.slice("tk", 2, F.size("tk") - 2)
     bt = b.where(F.size("tk") >= 3).select("query_id", F.explode(F.array_distinct(interior)).alias("term"))
     rare = bt.join(df, "term").groupBy("query_id").agg(F.min(F.struct("df", "term")).alias("r")) \
@@ -205,7 +205,7 @@ def relevant_docs(c: Ctx):
 @query("retrieval_relevance")
 def q_f10(spark, sf):
     c = Ctx(spark, sf)
-    retrieved = D.keyword_search(c.documents, "doc_id", "text", c.benchmark, "item_id", "text", 10)
+    retrieved = D.keyword_search(c.text_index("documents", "doc_id", "text"), c.benchmark, "item_id", "text", 10)
     return EV.retrieval_relevance(retrieved, relevant_docs(c), 10)
 
 

@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.textsearch import TextIndex, shared_index
 from ..sources.tables import Tables
 from . import builders as B
 
@@ -37,6 +38,10 @@ class Ctx:
         build = B.BUILDERS[name]
         return (build(self.t, want=set(columns)) if name in B.PRUNED else build(self.t)).select(*columns)
 
+    def text_index(self, table: str, id_col: str, text_col: str, **options) -> TextIndex:
+        """The search index of a table's texts, shared by the queries of an application."""
+        return shared_index(getattr(self, table), id_col, text_col, name=f"{self.sf_dir}/{table}", **options)
+
     def __getattr__(self, name):
         if name.startswith("_"):
             raise AttributeError(name)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +56,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the shared checkpoint folder for a written intermediate table."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once an application (what ``--py-files`` does), so that functions
+    found by name can be imported on executors that do not have the repository. The archive lies with the driver,
+    Spark hands it to the executors."""
+    sc, package = spark.sparkContext, Path(__file__).resolve().parent
+    if sc.applicationId in _shipped or not package.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(path))
+    _shipped.add(sc.applicationId)
