@@ -1,46 +1,69 @@
-"""Exact substring join without a cross product.
-
-``contains_join(q, t)`` returns every (query, target) pair where the target text
-contains the query text. Each target is indexed by its distinct character
-n-grams (n = 1..3); each query is keyed by its *rarest* gram of length
-min(3, len(query)), so the equi-join on that gram yields a candidate superset
-that is then filtered with ``contains``. The candidate join is an ordinary
-shuffle join on the gram (AQE splits hot grams), never a nested loop.
+"""Exact substring join by one multi-pattern automaton over all queries.
+
+``contains_join(q, t)`` returns every (query, target) pair where the target text contains the query text. The distinct
+query texts are dealt into blocks of at most ``PATTERN_CHARS`` characters; a block is broadcast and compiled into one
+Aho-Corasick automaton, which reads each target text once, whatever the number of queries; targets are not shuffled.
+More queries are more passes. A NULL or empty query, or a NULL target, meets nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship_code
+
+#: Characters of the patterns that are broadcast and compiled at once.
+PATTERN_CHARS = 1 << 23
+
+
+def pattern_blocks(patterns: DataFrame, col: str) -> Iterator[list[str]]:
+    """The distinct non-empty patterns in lists of at most ``PATTERN_CHARS`` characters (or of one pattern)."""
+    p = patterns.where(F.length(col) > 0).select(F.col(col).alias("p")).distinct()
+    blocks = 1
+    while p.groupBy(F.pmod(F.xxhash64("p"), F.lit(blocks))).agg(F.sum(F.length("p")).alias("n"), F.count(F.lit(1)).alias("c")) \
+            .where((F.col("n") > PATTERN_CHARS) & (F.col("c") > 1)).limit(1).count():
+        blocks *= 2
+    for b in range(blocks):
+        yield [r.p for r in p.where(F.pmod(F.xxhash64("p"), F.lit(blocks)) == b).collect()]
+
 
-MAX_GRAM = 3
+def _matches(targets: DataFrame, t_text: str, patterns: list[str]) -> DataFrame:
+    """The target rows that hold a pattern, once for each pattern, with it as ``_q``."""
+    ship_code(targets.sparkSession)
+    shared = targets.sparkSession.sparkContext.broadcast(sorted(patterns))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+        automaton = ahocorasick.Automaton()
+        for k, p in enumerate(shared.value):
+            automaton.add_word(p, k)
+        automaton.make_automaton()
+        for b in batches:
+            rows, found = [], []
+            for k, text in enumerate(b.column(t_text).to_pylist()):
+                if text:
+                    hits = sorted({h for _, h in automaton.iter(text)})
+                    rows += [k] * len(hits)
+                    found += hits
+            if rows:
+                kept = b.take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([shared.value[h] for h in found], pa.string())], names=[*kept.schema.names, "_q"])
 
-def grams(s: Column, n: int) -> Column:
-    """Distinct substrings of length n (empty for shorter strings)."""
-    L = F.length(s)
-    return F.when(L >= n, F.array_distinct(
-        F.transform(F.sequence(F.lit(1), L - n + 1), lambda i: F.substr(s, i, F.lit(n))))
-    ).otherwise(F.array().cast("array<string>"))
+    return targets.mapInArrow(run, T.StructType([*targets.schema.fields, T.StructField("_q", T.StringType())]))
 
 
 def contains_join(queries: DataFrame, q_text: str, targets: DataFrame, t_text: str) -> DataFrame:
     """All (query row, target row) pairs with ``contains(target, query)``; query text non-empty."""
-    tq = F.col(t_text)
-    # The index holds a hash of the text and its grams; rows come back by the hash and are checked on the text.
-    t_idx = targets.select(tq, F.xxhash64(tq).alias("_id")).distinct().select(
-        "_id", F.explode(F.concat(*[grams(tq, n) for n in range(1, MAX_GRAM + 1)])).alias("_g"))
-    df = t_idx.groupBy("_g").agg(F.count(F.lit(1)).alias("_df"))
-    q = queries.where(F.length(q_text) > 0)
-    qn = F.least(F.length(q_text), F.lit(MAX_GRAM))
-    q_grams = q.select(F.col(q_text).alias("_q"), F.explode(
-        F.when(qn == 1, grams(F.col(q_text), 1)).when(qn == 2, grams(F.col(q_text), 2))
-         .otherwise(grams(F.col(q_text), 3))).alias("_g")).distinct()
-    # rarest gram per distinct query text; a gram absent from the index means no match at all
-    key = (q_grams.join(df, "_g", "left")
-                  .groupBy("_q").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("n"), F.col("_g").alias("g"))).alias("k"))
-                  .select("_q", F.col("k.g").alias("_g"), F.col("k.n").alias("_n"))
-                  .where(F.col("_n") > 0))
-    cand = key.join(t_idx, "_g").select("_q", "_id")
-    rows = targets.withColumn("_id", F.xxhash64(tq)).join(cand, "_id").where(tq.contains(F.col("_q"))).drop("_id")
-    return q.join(rows, q[q_text] == rows["_q"]).drop("_q")
+    found = None
+    for patterns in pattern_blocks(queries, q_text):
+        if patterns:
+            part = _matches(targets, t_text, patterns)
+            found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = targets.where("false").withColumn("_q", F.lit(None).cast("string"))
+    return queries.join(found, queries[q_text] == found["_q"]).drop("_q")

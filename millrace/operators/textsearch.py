@@ -9,10 +9,11 @@ most ``QUERY_POSTINGS`` (query, term) rows, which are broadcast; each block is a
 A task takes ``BLOCK_DOCS`` documents at a time:
 
 * documents whose weights for the queries' terms are equal are scored once (template texts, copies);
-* the others are put in order by a min-hash of their terms, so that neighbours share terms, and cut into nodes of 64 and
-  leaves of 8, each with the largest weight of every term in it;
-* each query keeps the score of its k-th best document so far. Its best node is scored first; a node, then a leaf, is
-  skipped where the sum of its largest weights cannot reach that score. What is left is scored exactly.
+* the others are put in order by a min-hash of their terms, so that neighbours share terms, and cut into nodes; a node
+  keeps the largest weight of every common term in it;
+* each query keeps the score of its k-th best document so far. The query's rare terms have few postings and are summed
+  exactly; a document is skipped where this sum plus the node's largest weights of the query's common terms cannot reach
+  the k-th score. Only the pairs that are left are scored in full.
 
 The result is that of scoring every pair: bounds are never below a score, ties of the k-th score are kept.
 """
@@ -29,13 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens, top_k
-from ..session import scratch_path, ship_code
+from ..session import scratch_path, ship_code, written
 
 BM25_K1, BM25_B = 1.2, 0.75
 #: (query, term) and (query, group) rows that are broadcast at once.
 QUERY_POSTINGS = 1 << 20
-#: Documents that a task orders and prunes together; documents of a leaf and of a node; queries scored at once.
-BLOCK_DOCS, LEAF, NODE, QUERY_STEP = 4096, 8, 64, 256
+#: Documents, and (document, term) rows, that a task orders and prunes together; documents of a node; queries at once.
+BLOCK_DOCS, BLOCK_POSTINGS, NODE, QUERY_STEP = 4096, 1 << 20, 16, 256
+#: A term is common in a block where more than one document in this many holds it; pairs completed at once.
+COMMON, PAIRS = 4, 1 << 17
 #: Scores are compared at six decimals.
 DECIMALS, SLACK = 6, 1e-6
 
@@ -163,7 +166,8 @@ class Heaps:
 
 
 class DocBlock:
-    """Some documents: postings by (term, place) with the largest weights of leaves and nodes above them."""
+    """Some documents: postings of rare terms by (term, place); common terms as a table, with the largest weight of
+    every node of ``NODE`` documents."""
 
     def __init__(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, group: np.ndarray, ids: np.ndarray, n_terms: int, k: int):
         order = np.lexsort((term, doc))
@@ -175,11 +179,12 @@ class DocBlock:
         for a, b, d in zip(start, end, first):
             classes.setdefault(term[a:b].tobytes() + weight[a:b].tobytes() + group[d].tobytes(), []).append(d)
         heads = np.array([c[0] for c in classes.values()])
-        self.members = [np.sort(ids[c])[:k] for c in classes.values()]
+        members = [np.sort(ids[c])[:k] for c in classes.values()]
+        self.members, self.size = np.concatenate(members), np.array([len(m) for m in members])
+        self.member_start = np.cumsum(self.size) - self.size
         at = np.searchsorted(first, heads)
         rank = (np.arange(n_terms, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)  # a fixed shuffle of the terms
-        least = np.minimum.reduceat(rank[term], start)[at]
-        mass = np.add.reduceat(weight, start)[at]
+        least, mass = np.minimum.reduceat(rank[term], start)[at], np.add.reduceat(weight, start)[at]
         placed = np.lexsort((mass, least, group[heads]))
         # Groups start a node of their own.
         g = group[heads[placed]]
@@ -188,22 +193,25 @@ class DocBlock:
         nodes = -(-length // NODE)
         place = np.arange(len(g)) - np.repeat(runs, length) + np.repeat((np.cumsum(nodes) - nodes) * NODE, length)
         self.n_nodes = int(nodes.sum())
+        self.places = self.n_nodes * NODE
         self.node_group = np.repeat(g[runs], nodes)
-        self.class_at = np.full(self.n_nodes * NODE, -1)
+        self.class_at = np.full(self.places, -1)
         self.class_at[place] = placed
         which, rows = _spread(start[at[placed]], end[at[placed]])
         t, p, w = term[rows], place[which], weight[rows]
-        order = np.lexsort((p, t))
-        self.place, self.weight, t = p[order], w[order], t[order]
-        leaf_key = t * (self.n_nodes * (NODE // LEAF)) + self.place // LEAF
-        self.leaf_start = np.flatnonzero(np.r_[True, leaf_key[1:] != leaf_key[:-1]])
-        self.leaf, self.leaf_most = self.place[self.leaf_start] // LEAF, np.maximum.reduceat(self.weight, self.leaf_start)
-        node_key = t[self.leaf_start] * self.n_nodes + self.leaf // (NODE // LEAF)
-        self.node_start = np.flatnonzero(np.r_[True, node_key[1:] != node_key[:-1]])
-        self.node, self.node_most = self.leaf[self.node_start] // (NODE // LEAF), np.maximum.reduceat(self.leaf_most, self.node_start)
-        node_term = t[self.leaf_start][self.node_start]
-        self.term_start = np.searchsorted(node_term, np.arange(n_terms + 1))
-        self.leaf_start, self.node_start = np.r_[self.leaf_start, len(t)], np.r_[self.node_start, len(self.leaf)]
+        df = np.bincount(t, minlength=n_terms)
+        #: Number of a common term, -1 for a rare one.
+        self.common = np.full(n_terms, -1)
+        many = np.flatnonzero(df > len(placed) / COMMON)
+        self.common[many] = np.arange(len(many))
+        often = self.common[t] >= 0
+        self.table = np.zeros((len(many), self.places))
+        self.table[self.common[t[often]], p[often]] = w[often]
+        self.most = self.table.reshape(len(many), self.n_nodes, NODE).max(axis=2)
+        t, p, w = t[~often], p[~often], w[~often]
+        order = np.argsort(t, kind="stable")
+        self.place, self.weight = p[order], w[order]
+        self.term_start = np.searchsorted(t[order], np.arange(n_terms + 1))
 
     def search(self, q: QueryBlock, heaps: Heaps) -> int:
         """Offer every document that can be among a query's best; how many (query, document) pairs were scored."""
@@ -212,48 +220,49 @@ class DocBlock:
             n = min(QUERY_STEP, len(q.ids) - lo)
             a, b = np.searchsorted(q.who, [lo, lo + n])
             who, term, weight = q.who[a:b] - lo, q.term[a:b], q.weight[a:b]
-            row, entry = _spread(self.term_start[term], self.term_start[term + 1])
-            cell = who[row] * self.n_nodes + self.node[entry]
-            most = np.bincount(cell, weight[row] * self.node_most[entry], n * self.n_nodes).reshape(n, self.n_nodes)
-            open_ = np.zeros((n, self.n_nodes), bool)
-            open_.ravel()[cell] = True
+            # Rare terms are summed exactly, from their few postings.
+            row, at = _spread(self.term_start[term], self.term_start[term + 1])
+            rare = np.bincount(who[row] * self.places + self.place[at], weight[row] * self.weight[at], n * self.places).astype(float).reshape(n, self.places)
+            often = self.common[term] >= 0
+            asked = np.zeros((n, len(self.table)))
+            asked[who[often], self.common[term[often]]] = weight[often]
+            # What common terms can add to them at most, a node at a time.
+            bound = (rare.reshape(n, self.n_nodes, NODE) + (asked @ self.most)[:, :, None]).reshape(n, self.places)
+            open_ = (bound > 0) & (self.class_at >= 0)
             if q.allowed is not None:
                 may = np.zeros((n, len(q.groups)), bool)
                 mine = (q.allowed[0] >= lo) & (q.allowed[0] < lo + n)
                 may[q.allowed[0][mine] - lo, q.allowed[1][mine]] = True
-                open_ &= may[:, self.node_group]
-            least = heaps.least[lo:lo + n]  # a view: rises as documents are offered
-            best = np.zeros_like(open_)
-            best[np.arange(n), np.where(open_, most, -np.inf).argmax(axis=1)] = True
-            for first in (True, False):
-                wanted = open_ & (best if first else ~best) & (most + SLACK >= least[:, None])
-                take = wanted.ravel()[cell]
-                scored += self._score(row[take], entry[take], who, weight, wanted, lo, n, q, heaps)
+                open_ &= np.repeat(may[:, self.node_group], NODE, axis=1)
+            new = np.flatnonzero(np.isneginf(heaps.least[lo:lo + n]))
+            if len(new):  # queries without a k-th score yet: first their most promising documents
+                few = min(2 * q.k, self.places)
+                top = np.argpartition(-np.where(open_[new], bound[new], -1.0), few - 1, axis=1)[:, :few]
+                first = np.zeros_like(open_)
+                first[new[:, None], top] = True
+                scored += self._offer(first & open_, rare, asked, lo, heaps)
+                open_ &= ~first
+            scored += self._offer(open_ & (bound + SLACK >= heaps.least[lo:lo + n, None]), rare, asked, lo, heaps)
         return scored
 
-    def _score(self, row, entry, who, weight, wanted, lo, n, q, heaps) -> int:
-        if not len(row):
-            return 0
-        n_leaves, places = self.n_nodes * (NODE // LEAF), self.n_nodes * NODE
-        up, leaf = _spread(self.node_start[entry], self.node_start[entry + 1])
-        row = row[up]
-        cell = who[row] * n_leaves + self.leaf[leaf]
-        most = np.bincount(cell, weight[row] * self.leaf_most[leaf], n * n_leaves)
-        take = (most + SLACK >= np.repeat(heaps.least[lo:lo + n], n_leaves))[cell]
-        row, leaf = row[take], leaf[take]
-        up, at = _spread(self.leaf_start[leaf], self.leaf_start[leaf + 1])
-        row = row[up]
-        cell = who[row] * places + self.place[at]
-        score = np.bincount(cell, weight[row] * self.weight[at], n * places)
-        seen = np.zeros(n * places, bool)
-        seen[cell] = True
-        hit = np.flatnonzero(seen & (np.round(score, DECIMALS) >= np.repeat(heaps.least[lo:lo + n], places)))
-        asker, where = np.divmod(hit, places)
-        members = [self.members[c] for c in self.class_at[where]]
-        size = np.array([len(m) for m in members], np.int64)
-        if len(members):
-            heaps.add(np.repeat(asker + lo, size), np.repeat(score[hit], size), np.concatenate(members))
-        return int(seen.sum())
+    def _offer(self, wanted: np.ndarray, rare: np.ndarray, asked: np.ndarray, lo: int, heaps: Heaps) -> int:
+        who, where = np.nonzero(wanted)
+        if len(who) > wanted.size / 32:
+            score = (rare + asked @ self.table)[who, where]
+        else:
+            score = rare[who, where]
+            held = [np.flatnonzero(a) for a in asked]
+            start = np.cumsum([0] + [len(h) for h in held])
+            held = np.concatenate(held)
+            for a in range(0, len(who), PAIRS):
+                w, p = who[a:a + PAIRS], where[a:a + PAIRS]
+                pair, at = _spread(start[w], start[w + 1])
+                score[a:a + PAIRS] += np.bincount(pair, asked[w[pair], held[at]] * self.table[held[at], p[pair]], len(w))
+        good = (score > 0) & (np.round(score, DECIMALS) >= heaps.least[lo + who])
+        kind = self.class_at[where[good]]
+        pair, at = _spread(self.member_start[kind], self.member_start[kind] + self.size[kind])
+        heaps.add(who[good][pair] + lo, score[good][pair], self.members[at])
+        return len(who)
 
 
 # ------------------------------------------------------------------ over the cluster
@@ -279,18 +288,22 @@ def _stream(docs: DataFrame, block: QueryBlock, weigh: Weigher, query_kind: str,
             group = np.zeros(len(b), np.int64)
             if grouped:
                 group = pc.index_in(b.column("group"), q.groups).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for at in range(0, len(b), BLOCK_DOCS):
-                part = b.slice(at, BLOCK_DOCS)
+            size = np.cumsum(b.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+            at = end = 0
+            while end < len(b):
+                at, held = end, size[end - 1] if end else 0
+                end = max(at + 1, min(at + BLOCK_DOCS, int(np.searchsorted(size, held + BLOCK_POSTINGS, "right"))))
+                part = b.slice(at, end - at)
                 lists = part.column("terms")
                 row = np.repeat(np.arange(len(part)), lists.value_lengths().to_numpy(zero_copy_only=False))
                 term = pc.index_in(lists.flatten(), q.vocabulary).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
                 counts = part.column("counts").flatten().to_numpy(zero_copy_only=False)
-                here = group[at:at + BLOCK_DOCS]
+                here = group[at:end]
                 known = (term >= 0) & (here[row] >= 0)
                 row, term, counts = row[known], term[known], counts[known]
                 pairs += len(part) * len(q.ids)
                 if len(row):
-                    docs_here = DocBlock(row, term, weigh(part, counts, term, row), here, ids[at:at + BLOCK_DOCS], len(q.vocabulary), q.k)
+                    docs_here = DocBlock(row, term, weigh(part, counts, term, row), here, ids[at:end], len(q.vocabulary), q.k)
                     scored += docs_here.search(q, heaps)
         if counters:
             counters[0].add(scored)
@@ -320,9 +333,7 @@ def best_documents(index: TextIndex, q_terms: DataFrame, weigher: Callable[[Quer
     """query_id, doc_id, score, rank: the ``k`` best documents of each query by (score at six decimals, smaller id).
     ``q_terms``: query_id, term, qw[, more columns of a term]; ``counters`` are two accumulators: scored and all pairs."""
     spark = q_terms.sparkSession
-    path = scratch_path(spark, "queries")
-    q_terms.write.parquet(path)
-    q_terms = spark.read.schema(q_terms.schema).parquet(path)
+    q_terms = written(q_terms, "queries")
     n_blocks, kind = _blocks(q_terms, q_groups), q_terms.schema["query_id"].dataType.simpleString()
     found = None
     for b in range(n_blocks):
