@@ -4,21 +4,21 @@
   by block maxima with a running k-th score (``textsearch``), exact.
 * Vectors: exact k-NN deals index and queries into blocks; every pair of blocks meets
   in one task and gives k candidates a query to the final ``row_number`` merge.
-* ANN: equi-join on sign-random-projection codes of several tables with one-bit
-  probes, then exact re-rank of the candidates.
+* ANN: a stored index of trained cells; a query meets the rows of its nearest cells.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import tokens, top_k
+from ..session import scratch_path, ship_code, written
 from . import textsearch as TS
 
 RRF_K = 60
@@ -81,42 +81,74 @@ def l2_normalize(v: Column) -> Column:
     return F.when(norm > 0, F.transform(vd, lambda x: F.try_divide(x, norm)))
 
 
-def hyperplanes(n_bits: int, dim: int, seed: int = 7) -> list:
-    """Deterministic random hyperplanes for sign-random-projection buckets (a parameter)."""
-    rng = np.random.default_rng(seed)
-    return [[float(round(x, 6)) for x in row] for row in rng.standard_normal((n_bits, dim))]
-
-
-def srp_bucket(v: Column, planes: list) -> Column:
-    """Bucket id = bits of sign(v . plane_j)."""
-    bits = None
-    for j, p in enumerate(planes):
-        dot = F.aggregate(F.zip_with(v, F.array(*[F.lit(x) for x in p]), lambda a, b: a * b), F.lit(0.0),
-                          lambda acc, x: acc + x)
-        b = F.when(dot >= 0, F.lit(1 << j)).otherwise(F.lit(0))
-        bits = b if bits is None else bits + b
-    return bits.cast("int")
-
-
 def content_hash(v: Column, *meta: Column) -> Column:
     ints = F.array_join(F.transform(v, lambda x: F.round(x * 1000000.0).cast("bigint").cast("string")), ",")
     return F.sha2(F.concat_ws("|", *[m.cast("string") for m in meta], ints), 256)
 
 
-def build_vector_index(vectors: DataFrame, id_col: str, vec_col: str, meta_cols: list, n_bits: int = 4,
-                       dim: int = 64, path: str | None = None) -> DataFrame:
-    """Normalised vectors with a sign-random-projection bucket and content hash (zero and NULL
-    vectors have no direction and are left out); when
-    ``path`` is given the index is written as Parquet partitioned by bucket and read back."""
-    planes = hyperplanes(n_bits, dim)
-    v = l2_normalize(F.col(vec_col))
-    idx = vectors.select(F.col(id_col).alias("id"), *meta_cols, v.alias("vector")).where(F.col("vector").isNotNull()) \
-        .withColumn("bucket", srp_bucket(F.col("vector"), planes)) \
+def unit_vectors(vectors: DataFrame, id_col: str, vec_col: str, meta_cols: list) -> DataFrame:
+    """id, meta, vector, content_hash: unit vectors; zero and NULL vectors have no direction and are left out."""
+    return vectors.select(F.col(id_col).alias("id"), *meta_cols, l2_normalize(F.col(vec_col)).alias("vector")) \
+        .where(F.col("vector").isNotNull()) \
         .withColumn("content_hash", content_hash(F.col("vector"), *[F.col(m) for m in meta_cols]))
-    if path is None:
-        return idx
-    idx.write.mode("overwrite").partitionBy("bucket").parquet(path)
-    return vectors.sparkSession.read.parquet(path)
+
+
+@dataclass
+class VectorIndex:
+    """``rows`` (id, meta, vector, content_hash, bucket), stored by bucket = the cell of the nearest centroid."""
+    rows: DataFrame
+    centroids: np.ndarray
+
+
+#: Cells of an index, cells that a search probes, rows that the cells are trained on, and rounds of training.
+CELLS, PROBES, TRAIN_ROWS, TRAIN_ROUNDS = 64, 38, 65536, 2
+
+
+def train_cells(vectors: DataFrame, cells: int = CELLS) -> np.ndarray:
+    """Centroids of ``cells`` cells, by Lloyd rounds on a sample of at most ``TRAIN_ROWS`` rows: those whose ids have
+    the smallest md5. The first ones are the start. Centroids are unit vectors at six decimals."""
+    sample = vectors.where("id IS NOT NULL").select("vector", F.md5(F.col("id").cast("string").cast("binary")).alias("m")) \
+        .orderBy("m").limit(TRAIN_ROWS).collect()
+    if not sample:
+        return np.zeros((0, 0))
+    x = np.array([r.vector for r in sample])
+    centroids = np.round(x[:cells], 6)
+    for _ in range(TRAIN_ROUNDS):
+        own = _nearest(x, centroids, 1)[:, 0]
+        for c in range(len(centroids)):
+            mean = x[own == c].mean(axis=0) if (own == c).any() else centroids[c]
+            norm = np.sqrt((mean * mean).sum())
+            centroids[c] = np.round(mean / norm, 6) if norm > 0 else centroids[c]
+    return centroids
+
+
+def _nearest(x: np.ndarray, centroids: np.ndarray, n: int) -> np.ndarray:
+    """The ``n`` nearest cells of each row, by (dot product at nine decimals, smaller number)."""
+    return np.argsort(-np.round(x @ centroids.T, 9), axis=1, kind="stable")[:, :n]
+
+
+def nearest_cells(vector: Column, centroids: np.ndarray, n: int) -> Column:
+    """array<int> of the ``n`` nearest cells; the centroids are ``CELLS`` rows at most."""
+    @F.pandas_udf("array<int>")
+    def cells(v: pd.Series) -> pd.Series:
+        return pd.Series(list(_nearest(np.stack(v.to_numpy()), centroids, n).astype(np.int32))) if len(v) else pd.Series([], dtype=object)
+    return cells(vector)
+
+
+def build_vector_index(vectors: DataFrame, id_col: str, vec_col: str, meta_cols: list, cells: int = CELLS, path: str | None = None) -> VectorIndex:
+    """Train the cells, give every row its cell and write the rows as Parquet partitioned by it (a hot cell is
+    spread over several files)."""
+    spark = vectors.sparkSession
+    ship_code(spark)
+    path = path or scratch_path(spark, "vector_index")
+    unit = unit_vectors(vectors, id_col, vec_col, meta_cols)
+    centroids = train_cells(unit, cells)
+    if not len(centroids):
+        return VectorIndex(written(unit.withColumn("bucket", F.lit(0)), "vector_index"), centroids)
+    rows = unit.withColumn("bucket", nearest_cells(F.col("vector"), centroids, 1)[0])
+    salt = F.pmod(F.xxhash64("id"), F.lit(spark.sparkContext.defaultParallelism))
+    rows.repartition("bucket", F.when(salt == 0, 1).otherwise(0)).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return VectorIndex(spark.read.schema(rows.schema).parquet(path), centroids)
 
 
 def upsert_vectors(base: DataFrame, updates: DataFrame) -> DataFrame:
@@ -182,6 +214,7 @@ def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, exclude_self: b
     other values are never scored (a NULL matches a NULL). The work is index x queries by nature.
     """
     spark = index.sparkSession
+    ship_code(spark)
     n_q = max(1, math.ceil(queries.count() / KNN_BLOCK))
     n_i = max(math.ceil(index.count() / KNN_BLOCK), math.ceil(spark.sparkContext.defaultParallelism / n_q), 1)
     match = [F.col(match_col).alias("match")] if match_col else []
@@ -195,30 +228,26 @@ def knn_exact(index: DataFrame, queries: DataFrame, k: int = 10, exclude_self: b
     return top_k(cand, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
-#: Hash tables of the approximate search, and sign bits of a table's code.
-ANN_TABLES, ANN_BITS = 10, 6
-
-
-def srp_codes(v: Column, tables: int, bits: int, dim: int) -> Column:
-    """array<int>: one sign-random-projection code a table, from fixed hyperplanes."""
-    planes = hyperplanes(tables * bits, dim)
-    return F.array(*[srp_bucket(v, planes[t * bits:(t + 1) * bits]) for t in range(tables)])
-
-
-def ann_search(index: DataFrame, queries: DataFrame, k: int = 10, tables: int = ANN_TABLES, bits: int = ANN_BITS,
-               dim: int = 64, exclude_self: bool = False) -> DataFrame:
-    """Candidates share a code with the query in some table, or differ from it in one bit (multi-probe);
-    they are re-ranked exactly. ``bits`` trades candidates for recall: a bit more halves the buckets."""
-    ix = index.select("id", F.posexplode(srp_codes(F.col("vector"), tables, bits, dim)).alias("t", "code"))
-    flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
-    qx = queries.select("query_id", F.posexplode(srp_codes(F.col("vector"), tables, bits, dim)).alias("t", "own")) \
-        .select("query_id", "t", F.explode(F.transform(flips, lambda f: F.col("own").bitwiseXOR(f))).alias("code"))
-    pairs = qx.join(ix, ["t", "code"]).select("query_id", "id").distinct()
-    if exclude_self:
-        pairs = pairs.where(F.col("query_id") != F.col("id"))
-    scored = pairs.join(queries.select("query_id", F.col("vector").alias("_q")), "query_id").join(index.select("id", F.col("vector").alias("_v")), "id")
-    dot = F.aggregate(F.zip_with("_q", "_v", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return top_k(scored.select("query_id", "id", F.round(dot, 9).alias("score")), ["query_id"], [F.col("score").desc(), F.col("id")], k)
+def ann_search(index: VectorIndex, queries: DataFrame, k: int = 10, probes: int = PROBES, exclude_self: bool = False) -> DataFrame:
+    """Exact top-k among the rows of the ``probes`` cells nearest to the query. Rows and queries meet by cell; a
+    cell with more rows or queries than a block is dealt into blocks, so a hot cell is spread. ``probes`` trades pairs
+    for recall: clustered vectors need few, directions at random most."""
+    ship_code(queries.sparkSession)
+    if not len(index.centroids):
+        return queries.select("query_id", F.lit(None).cast("bigint").alias("id"), F.lit(0.0).alias("score"), F.lit(1).alias("rank")).where("false")
+    ix = index.rows.select("id", "vector", F.col("bucket").alias("cell"))
+    qx = queries.select("query_id", "vector", F.explode(nearest_cells(F.col("vector"), index.centroids, probes)).alias("cell"))
+    # At most CELLS rows: blocks of rows and of queries in each cell.
+    blocks = F.ceil(F.count(F.lit(1)) / KNN_BLOCK).cast("int")
+    qx = written(qx, "probes")
+    sizes = ix.groupBy("cell").agg(blocks.alias("n_i")).join(qx.groupBy("cell").agg(blocks.alias("n_q")), "cell")
+    deal = lambda col, n: F.pmod(F.xxhash64(col), F.col(n)).cast("int")
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = ix.join(sizes, "cell").select("id", "vector", "cell", deal("id", "n_i").alias("_i"), copies("n_q").alias("_q"))
+    right = qx.join(sizes, "cell").select("query_id", "vector", "cell", deal("query_id", "n_q").alias("_q"), copies("n_i").alias("_i"))
+    key = ["cell", "_i", "_q"]
+    cand = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(_block_topk(k, exclude_self), "query_id long, id long, score double")
+    return top_k(cand, ["query_id"], [F.col("score").desc(), F.col("id")], k)
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, k: int) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens, top_k
-from ..session import scratch_path, ship_code, written
+from ..session import scratch_path, shared, ship_code, written
 
 BM25_K1, BM25_B = 1.2, 0.75
 #: (query, term) and (query, group) rows that are broadcast at once.
@@ -102,21 +102,9 @@ def build_index(docs: DataFrame, id_col: str, text_col: str, group_col: str | No
     return TextIndex(found, df, n, avgdl or 1.0)
 
 
-_shared: dict[tuple, TextIndex] = {}
-
-
 def shared_index(docs: DataFrame, id_col: str, text_col: str, group_col: str | None = None, with_norm: bool = False, name: str = "") -> TextIndex:
-    """The index of a corpus, built once an application. ``name`` says how ``docs`` comes from its files; an index is
-    used again only while path, length and time of each of these files stay the same."""
-    spark = docs.sparkSession
-    files = docs.inputFiles()
-    state = spark.read.format("binaryFile").load(files).agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0] if files else None
-    key = (spark.sparkContext.applicationId, name, id_col, text_col, group_col, with_norm, state)
-    if state is None or not name:
-        return build_index(docs, id_col, text_col, group_col, with_norm)
-    if key not in _shared:
-        _shared[key] = build_index(docs, id_col, text_col, group_col, with_norm)
-    return _shared[key]
+    """The index of a corpus, built once an application; ``name`` says how ``docs`` comes from its files."""
+    return shared(docs, ("text", name, id_col, text_col, group_col, with_norm), lambda: build_index(docs, id_col, text_col, group_col, with_norm))
 
 
 # ------------------------------------------------------------------ inside a task

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import retrieval as D
-from ..session import scratch_path
 from .queries import Ctx, query
 
 K = 10
@@ -18,7 +17,7 @@ DOMAIN_RETRIEVERS = {"supply_chain": ["sop", "incidents"]}
 
 
 def vindex(c: Ctx):
-    return D.build_vector_index(c.embeddings, "vec_id", "embedding", ["label"])
+    return D.unit_vectors(c.embeddings, "vec_id", "embedding", ["label"])
 
 
 def vqueries(ix):
@@ -39,8 +38,7 @@ def q_embed_text(spark, sf):
 @query("build_vector_index")
 def q_build_vector_index(spark, sf):
     c = Ctx(spark, sf)
-    ix = D.build_vector_index(c.embeddings, "vec_id", "embedding", ["label"], path=scratch_path(spark, "vector_index"))
-    return ix.select("id", "label", "bucket", "content_hash")
+    return c.vector_index("embeddings", "vec_id", "embedding", ["label"]).rows.select("id", "label", "bucket", "content_hash")
 
 
 def vector_updates(c: Ctx):
@@ -72,8 +70,8 @@ def q_knn_exact(spark, sf):
 
 @query("ann_search")
 def q_ann_search(spark, sf):
-    ix = vindex(Ctx(spark, sf))
-    return D.ann_search(ix, vqueries(ix), k=K, exclude_self=True)
+    c = Ctx(spark, sf)
+    return D.ann_search(c.vector_index("embeddings", "vec_id", "embedding", ["label"]), vqueries(vindex(c)), k=K, exclude_self=True)
 
 
 @query("filtered_search")
@@ -84,9 +82,10 @@ def q_filtered_search(spark, sf):
 
 @query("ann_recall")
 def q_ann_recall(spark, sf):
-    ix = vindex(Ctx(spark, sf))
-    q = vqueries(ix)
-    return D.recall_at_k(D.ann_search(ix, q, k=K, exclude_self=True), D.knn_exact(ix, q, k=K, exclude_self=True), K)
+    c = Ctx(spark, sf)
+    ix = vindex(c)
+    found = D.ann_search(c.vector_index("embeddings", "vec_id", "embedding", ["label"]), vqueries(ix), k=K, exclude_self=True)
+    return D.recall_at_k(found, D.knn_exact(ix, vqueries(ix), k=K, exclude_self=True), K)
 
 
 def kw(c: Ctx, k=K):

@@ -11,7 +11,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.retrieval import VectorIndex, build_vector_index
 from ..operators.textsearch import TextIndex, shared_index
+from ..session import shared
 from ..sources.tables import Tables
 from . import builders as B
 
@@ -42,6 +44,11 @@ class Ctx:
         """The search index of a table's texts, shared by the queries of an application."""
         return shared_index(getattr(self, table), id_col, text_col, name=f"{self.sf_dir}/{table}", **options)
 
+    def vector_index(self, table: str, id_col: str, vec_col: str, meta_cols: list) -> VectorIndex:
+        """The stored cell index of a table's vectors, shared by the queries of an application."""
+        df = getattr(self, table)
+        return shared(df, ("vectors", f"{self.sf_dir}/{table}", id_col, vec_col, *meta_cols), lambda: build_vector_index(df, id_col, vec_col, meta_cols))
+
     def __getattr__(self, name):
         if name.startswith("_"):
             raise AttributeError(name)

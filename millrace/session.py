@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings the library depends on for correct results (UTC timestamps) and for
 # scale (AQE re-planning, skew splitting, partition coalescing).
@@ -66,6 +67,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_shared: dict[tuple, object] = {}
+
+
+def shared(df: DataFrame, key: tuple, build):
+    """``build()`` once an application and ``key``. The result is used again only while path, length and time of
+    every file that ``df`` reads stay the same."""
+    spark, files = df.sparkSession, df.inputFiles()
+    if not files:
+        return build()
+    state = spark.read.format("binaryFile").load(files).agg(F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()[0]
+    full = (spark.sparkContext.applicationId, *key, state)
+    if full not in _shared:
+        _shared[full] = build()
+    return _shared[full]
+
+
 _shipped: set[str] = set()
 
 

@@ -1,7 +1,6 @@
 """Oracle SQL for D01–D14 (D05, D13 rows-only) and I04."""
 
 from millrace.operators import retrieval as D
-from millrace.operators.retrieval import hyperplanes
 
 from .builders import CTES, DEPS
 from .queries import ORACLE, with_ctes
@@ -20,60 +19,68 @@ def vhash(v, *meta):
     return "sha256(concat_ws('|', " + ", ".join([f"CAST({m} AS VARCHAR)" for m in meta] + [ints]) + "))"
 
 
-_planes = hyperplanes(4, 64)
-_bucket = " + ".join(
-    f"(CASE WHEN list_inner_product(vector, [{', '.join(repr(x) for x in p)}]::DOUBLE[]) >= 0 THEN {1 << j} ELSE 0 END)"
-    for j, p in enumerate(_planes))
 CTES["vix0"] = f"SELECT vec_id AS id, label, {norm_vec('embedding')} AS vector FROM embeddings"
 DEPS["vix0"] = []
-CTES["vix"] = f"SELECT id, label, vector, CAST({_bucket} AS INTEGER) AS bucket, {vhash('vector', 'label')} AS content_hash FROM vix0"
-DEPS["vix"] = ["vix0"]
+CTES["vixu"] = f"SELECT id, label, vector, {vhash('vector', 'label')} AS content_hash FROM vix0 WHERE NOT list_contains(list_transform(vector, lambda x: isnan(x)), true)"
+DEPS["vixu"] = ["vix0"]
+
+# Trained cells: the rows with the smallest md5 of their id are the start, then rounds of assignment and mean.
+_NEAR = "row_number() OVER (PARTITION BY s.id ORDER BY round(list_inner_product(s.vector, c.v), 9) DESC, c.cell)"
+CTES["cellsample"] = f"SELECT id, vector, row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR))) - 1 AS n FROM vixu QUALIFY n < {D.TRAIN_ROWS}"
+DEPS["cellsample"] = ["vixu"]
+CTES["cells0"] = f"SELECT n AS cell, list_transform(vector, lambda x: round(x, 6)) AS v FROM cellsample WHERE n < {D.CELLS}"
+DEPS["cells0"] = ["cellsample"]
+for _r in range(1, D.TRAIN_ROUNDS + 1):
+    CTES[f"cells{_r}"] = f"""
+SELECT c.cell, coalesce(m.v, c.v) AS v FROM cells{_r - 1} c LEFT JOIN (
+  SELECT cell, list_transform(list(a ORDER BY d), lambda x: round(x / sqrt(list_aggregate(list_transform(list(a ORDER BY d), lambda y: y * y), 'sum')), 6)) AS v
+  FROM (SELECT cell, d, avg(vector[d]) AS a FROM (
+    SELECT s.vector, c.cell FROM cellsample s, cells{_r - 1} c QUALIFY {_NEAR} = 1), range(1, 65) t(d) GROUP BY cell, d) GROUP BY cell) m USING (cell)"""
+    DEPS[f"cells{_r}"] = [f"cells{_r - 1}", "cellsample"]
+CTES["probed"] = f"SELECT s.id, c.cell, {_NEAR} AS p FROM vixu s, cells{D.TRAIN_ROUNDS} c QUALIFY p <= {D.PROBES}"
+DEPS["probed"] = ["vixu", f"cells{D.TRAIN_ROUNDS}"]
+CTES["vix"] = "SELECT id, label, vector, CAST(cell AS INTEGER) AS bucket, content_hash FROM vixu JOIN probed USING (id) WHERE p = 1"
+DEPS["vix"] = ["vixu", "probed"]
 ORACLE["build_vector_index"] = with_ctes("SELECT id, label, bucket, content_hash FROM vix", "vix")
 
 CTES["upserted"] = f"""
 SELECT id, l.label AS label, l.quality AS quality, l.version AS version, {vhash('l.vector', 'l.label', 'l.quality')} AS content_hash
 FROM (SELECT id, max({{'version': version, 'op': op, 'label': label, 'quality': quality, 'vector': vector}}) AS l FROM (
-  SELECT id, 1 AS version, 'upsert' AS op, label, CAST(NULL AS INTEGER) AS quality, vector FROM vix
+  SELECT id, 1 AS version, 'upsert' AS op, label, CAST(NULL AS INTEGER) AS quality, vector FROM vixu
   UNION ALL
   SELECT doc_id, 2, CASE WHEN toxic = 1 THEN 'delete' ELSE 'upsert' END, label, quality, {norm_vec('embedding')}
   FROM labels JOIN embeddings ON doc_id = vec_id) GROUP BY id)
 WHERE l.op <> 'delete'"""
-DEPS["upserted"] = ["vix"]
+DEPS["upserted"] = ["vixu"]
 ORACLE["upsert_vectors"] = with_ctes("SELECT * FROM upserted", "upserted")
 
 ORACLE["sync_index"] = with_ctes("""
 SELECT coalesce(p.id, c.id) AS id,
   CASE WHEN p.id IS NULL THEN 'insert' WHEN c.id IS NULL THEN 'delete' ELSE 'update' END AS change_type
-FROM vix p FULL OUTER JOIN upserted c ON p.id = c.id
-WHERE p.id IS NULL OR c.id IS NULL OR p.content_hash <> c.content_hash""", "vix", "upserted")
+FROM vixu p FULL OUTER JOIN upserted c ON p.id = c.id
+WHERE p.id IS NULL OR c.id IS NULL OR p.content_hash <> c.content_hash""", "vixu", "upserted")
 
 
 def knn(extra=""):
     return with_ctes(f"""
 SELECT q.id AS query_id, i.id, round(list_inner_product(q.vector, i.vector), 9) AS score,
   CAST(row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS INTEGER) AS rank
-FROM vix q JOIN vix i ON q.id <> i.id {extra}
-QUALIFY rank <= 10""", "vix")
+FROM vixu q JOIN vixu i ON q.id <> i.id {extra}
+QUALIFY rank <= 10""", "vixu")
 
 
 ORACLE["knn_exact"] = knn()
 ORACLE["filtered_search"] = knn("AND q.label = i.label")
 
-_ann = hyperplanes(D.ANN_TABLES * D.ANN_BITS, 64)
-_codes = ", ".join("(" + " + ".join(
-    f"(CASE WHEN list_inner_product(vector, [{', '.join(repr(x) for x in _ann[t * D.ANN_BITS + j])}]::DOUBLE[]) >= 0 THEN {1 << j} ELSE 0 END)"
-    for j in range(D.ANN_BITS)) + ")" for t in range(D.ANN_TABLES))
-CTES["anncodes"] = f"SELECT id, vector, unnest([{_codes}]) AS code, generate_subscripts([{_codes}], 1) AS t FROM vix"
-DEPS["anncodes"] = ["vix"]
-CTES["anntop"] = """SELECT query_id, id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM (
-  SELECT DISTINCT q.id AS query_id, i.id, round(list_inner_product(q.vector, i.vector), 9) AS score
-  FROM anncodes q JOIN anncodes i ON q.t = i.t AND bit_count(xor(q.code, i.code)) <= 1 AND q.id <> i.id) QUALIFY rank <= 10"""
-DEPS["anntop"] = ["anncodes"]
+CTES["anntop"] = """SELECT q.id AS query_id, i.id, round(list_inner_product(q.vector, i.vector), 9) AS score,
+  CAST(row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS INTEGER) AS rank
+FROM probed p JOIN vix q ON p.id = q.id JOIN vix i ON i.bucket = p.cell AND i.id <> q.id QUALIFY rank <= 10"""
+DEPS["anntop"] = ["vix", "probed"]
 ORACLE["ann_search"] = with_ctes("SELECT * FROM anntop", "anntop")
 CTES["exacttop"] = """SELECT q.id AS query_id, i.id,
   row_number() OVER (PARTITION BY q.id ORDER BY round(list_inner_product(q.vector, i.vector), 9) DESC, i.id) AS rank
-FROM vix q JOIN vix i ON q.id <> i.id QUALIFY rank <= 10"""
-DEPS["exacttop"] = ["vix"]
+FROM vixu q JOIN vixu i ON q.id <> i.id QUALIFY rank <= 10"""
+DEPS["exacttop"] = ["vixu"]
 ORACLE["ann_recall"] = with_ctes("""
 SELECT 10 AS k, count(*) AS queries, avg(r) AS recall_at_k FROM (
   SELECT e.query_id, CAST(count(a.id) AS DOUBLE) / 10 AS r

@@ -34,7 +34,7 @@ ORACLE["status_change_alerts"] = with_ctes("""
 SELECT device_id, "timestamp", reading_id, previous_status, new_status FROM l
 WHERE previous_status IS NOT NULL AND previous_status <> new_status""", "telemetry")
 
-ORACLE["stream_index_sync"] = with_ctes("SELECT id, label, content_hash FROM vix", "vix")
+ORACLE["stream_index_sync"] = with_ctes("SELECT id, label, content_hash FROM vixu", "vixu")
 
 ORACLE["stream_trace_scoring"] = """
 SELECT event_id AS span_id, 'T' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS trace_id, event_type AS endpoint,

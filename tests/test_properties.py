@@ -74,7 +74,7 @@ def test_tenant_rows_and_complement_cover_everything(spark):
 
 def test_knn_ties_go_to_the_smaller_id_and_zero_vectors_are_left_out(spark):
     rows = [(i, [1.0, 0.0], "a") for i in range(50)] + [(60, [0.0, 0.0], "a"), (61, None, "b"), (62, [0.0, 1.0], None), (63, [0.0, 2.0], None)]
-    ix = D.build_vector_index(spark.createDataFrame(rows, "vid long, v array<double>, label string"), "vid", "v", ["label"], dim=2)
+    ix = D.unit_vectors(spark.createDataFrame(rows, "vid long, v array<double>, label string"), "vid", "v", ["label"])
     q = ix.select(F.col("id").alias("query_id"), "vector", "label")
     got = {}
     for r in D.knn_exact(ix, q, k=3).collect():
@@ -98,33 +98,50 @@ def test_knn_exact_equals_numpy(spark, monkeypatch):
     assert {(r.query_id, r.id) for r in got.collect()} == want
 
 
-def test_ann_finds_clustered_neighbours_among_few_candidates(spark):
-    """On vectors with near neighbours: recall at least 0.9 with at most a fifth of all pairs as candidates."""
+def clustered(spark):
     rng = np.random.default_rng(6)
     centres = rng.standard_normal((60, 32))
     X = np.repeat(centres, 6, axis=0) + 0.15 * rng.standard_normal((360, 32))
     X /= np.linalg.norm(X, axis=1, keepdims=True)
-    df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(360)], "id long, vector array<double>")
-    q = df.select(F.col("id").alias("query_id"), "vector")
-    ann = D.ann_search(df, q, k=5, tables=6, bits=10, dim=32, exclude_self=True)
-    assert D.recall_at_k(ann, D.knn_exact(df, q, k=5, exclude_self=True), 5).first().recall_at_k >= 0.9
-    codes = np.array(df.orderBy("id").select(D.srp_codes(F.col("vector"), 6, 10, 32)).collect())[:, 0, :]
-    differ = np.vectorize(lambda x: int(x).bit_count())(codes[:, None, :] ^ codes[None, :, :])
-    assert ((differ <= 1).any(axis=2)).mean() <= 0.2
+    return X, spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(360)], "id long, vector array<double>")
 
 
-def test_ann_candidates_are_a_subset_of_exact_scores(spark):
-    rng = np.random.default_rng(5)
-    X = rng.standard_normal((80, 8))
-    X /= np.linalg.norm(X, axis=1, keepdims=True)
-    df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(80)], "id long, vector array<double>")
+def test_ann_finds_clustered_neighbours_among_few_candidates(spark):
+    """On vectors with near neighbours: recall at least 0.9 with at most a fifth of all pairs scored."""
+    X, df = clustered(spark)
     q = df.select(F.col("id").alias("query_id"), "vector")
-    ann = D.ann_search(df, q, k=5, dim=8, exclude_self=True).collect()
-    assert ann
-    for r in ann:
+    index = D.build_vector_index(df, "id", "vector", [], cells=40)
+    assert index.rows.count() == 360 and index.centroids.shape == (40, 32)
+    ann = D.ann_search(index, q, k=5, probes=3, exclude_self=True)
+    assert D.recall_at_k(ann, D.knn_exact(df, q, k=5, exclude_self=True), 5).first().recall_at_k >= 0.9
+    size = {r.bucket: r.n for r in index.rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pairs = sum(size.get(int(c), 0) for row in D._nearest(X, index.centroids, 3) for c in row)
+    assert pairs <= 0.2 * 360 * 360
+    for r in ann.collect():
         assert abs(r.score - float(X[r.query_id] @ X[r.id])) < 1e-6
 
 
+def test_ann_with_all_cells_is_exact_in_any_block_size(spark, monkeypatch):
+    """A hot cell (a third of the rows are copies) is dealt into blocks; ties go to the smaller id."""
+    X, df = clustered(spark)
+    copies = spark.range(1000, 1180).select("id", F.array(*[F.lit(float(x)) for x in X[0]]).alias("vector"))
+    df = df.unionByName(copies)
+    q = df.where("id % 3 = 0").select(F.col("id").alias("query_id"), "vector")
+    index = D.build_vector_index(df, "id", "vector", [], cells=8)
+    exact = sorted(map(tuple, D.knn_exact(df, q, k=5, exclude_self=True).collect()))
+    monkeypatch.setattr(D, "KNN_BLOCK", 50)
+    assert sorted(map(tuple, D.ann_search(index, q, k=5, probes=8, exclude_self=True).collect())) == exact
+
+
+def test_vector_index_of_no_rows_and_of_fewer_rows_than_cells(spark):
+    _, df = clustered(spark)
+    q = df.limit(3).select(F.col("id").alias("query_id"), "vector")
+    none = D.build_vector_index(df.where("false"), "id", "vector", [])
+    assert none.rows.count() == 0 and D.ann_search(none, q).collect() == []
+    few = D.build_vector_index(df.where("id < 5"), "id", "vector", [])
+    assert len(few.centroids) == 5 and D.ann_search(few, q, k=9).count() == 15
+
+
 @SETTINGS
 @given(st.lists(st.text(alphabet="abcxy", min_size=0, max_size=6), min_size=1, max_size=12),
        st.lists(st.text(alphabet="abcxy", min_size=0, max_size=12), min_size=1, max_size=20))
