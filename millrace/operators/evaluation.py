@@ -34,10 +34,10 @@ def spans_from_events(events: DataFrame) -> DataFrame:
         "start", "duration_ms", "error", "tokens", (F.col("tokens") * 2 / 1000.0).alias("cost"), "endpoint")
 
 
-def score_tool_calls(cases: DataFrame) -> DataFrame:
-    """expected vs called tools -> precision, recall, exact (set semantics)."""
+def score_tool_calls(cases: DataFrame, keep: list = ()) -> DataFrame:
+    """expected vs called tools -> precision, recall, exact (set semantics); ``keep`` are columns to carry."""
     inter = F.size(F.array_intersect("expected_tools", "called_tools"))
-    return cases.select("case_id", "expected_tools", "called_tools",
+    return cases.select("case_id", "expected_tools", "called_tools", *keep,
                         F.try_divide(inter, F.size("called_tools")).alias("precision"),
                         F.try_divide(inter, F.size("expected_tools")).alias("recall"),
                         (F.array_sort(F.array_distinct("expected_tools")) ==

@@ -58,16 +58,26 @@ def q_h06(spark, sf):
 
 @query("stream_trace_scoring")
 def q_h07(spark, sf):
-    return _run(spark, H.sample_and_score(H.event_stream(spark, sf)), "trace-scoring")
+    from .q_routing import EXPECTED_TOOLS
+    spans = lambda: H.sampled_traces(H.trace_spans(H.event_stream(spark, sf, stored=True)))
+    return _run(spark, H.trace_scoring(spans(), spans(), EXPECTED_TOOLS), "trace-scoring")
+
+
+#: Deliveries in which the events arrive: gateways, each of a quarter of the devices, hand in their readings in turn.
+ARRIVALS = 4
 
 
 @query("late_readings")
 def q_h08(spark, sf):
-    """Readings whose hourly window was not emitted by H01 (still open at the end, or late)."""
-    emitted = q_h01(spark, sf).select("device_id", "window_start")
+    """Readings that arrive after H01 has emitted their hourly window; the stream goes on from its checkpoint after
+    each delivery."""
     from ..sources.tables import Tables
-    tel = B.telemetry(Tables(spark, sf)).withColumn("window_start", F.date_trunc("hour", "timestamp"))
-    return tel.join(emitted, ["device_id", "window_start"], "left_anti").select("reading_id", "device_id", "timestamp")
+    base = scratch_path(spark, "stream-late")
+    events = Tables(spark, sf).events
+    for n in range(ARRIVALS):
+        events.where(F.pmod("user_id", F.lit(ARRIVALS)) == n).write.mode("append").parquet(f"{base}/feed/events.parquet")
+        out = H.run_late_readings(H.telemetry_stream(H.event_stream(spark, f"{base}/feed", stored=True)), f"{base}/out", f"{base}/checkpoint")
+    return out.select("reading_id", "device_id", "timestamp")
 
 
 def devices(spark, sf):

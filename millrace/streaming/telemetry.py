@@ -10,10 +10,10 @@ the sink as a batch DataFrame.
 
 from __future__ import annotations
 
+import json
 from typing import Iterator
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -120,33 +120,51 @@ STATUS_OUT = T.StructType([T.StructField("device_id", T.StringType()), T.StructF
                            T.StructField("new_status", T.StringType())])
 
 
+#: Readings of a device are put in order a slot at a time.
+SLOT_MS = 600_000
+
+
 def _status_processor():
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
     class StatusChange(StatefulProcessor):
-        """Keeps the last reading per device; emits a row only when the status changes. A reading older than
-        the last one seen tells nothing about the present and is passed over."""
+        """Readings wait in map state by time slot; the timer of a slot fires once the watermark has passed its end,
+        when nothing of it can arrive any more. Slots of a device expire in order, so its statuses are compared in
+        event time. In memory: one batch of rows, or one slot of one device."""
 
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.last = handle.getValueState("last", "timestamp timestamp, reading_id string, status string")
+            self.handle = handle
+            self.last = handle.getValueState("last", "status string")
+            self.slots = handle.getMapState("slots", "slot long", "readings string")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            # A device's rows of one micro-batch: bounded by the file limit of a live feed, else all that is stored.
-            pdf = pd.concat(list(rows)).sort_values(["timestamp", "reading_id"])
-            before = None
-            if self.last.exists():
-                ts, rid, before = self.last.get()
-                ts = pd.Timestamp(ts)
-                pdf = pdf[(pdf["timestamp"] > ts) | (pdf["timestamp"] == ts) & (pdf["reading_id"] > rid)]
-            previous = pdf["operational_status"].shift(1)
-            if len(pdf):
-                previous.iloc[0] = before
-                end = pdf.iloc[-1]
-                self.last.update((end["timestamp"].to_pydatetime(), end["reading_id"], end["operational_status"]))
-            changed = previous.notna() & (previous != pdf["operational_status"])
-            out = pdf[changed]
-            yield pd.DataFrame({"device_id": key[0], "timestamp": out["timestamp"], "reading_id": out["reading_id"],
-                                "previous_status": previous[changed], "new_status": out["operational_status"]})
+            for pdf in rows:
+                pdf = pdf[pdf["timestamp"].notna()]
+                us = pdf["timestamp"].to_numpy().astype("datetime64[us]").astype("int64")
+                new: dict[int, list[str]] = {}
+                for t, rid, status in zip(us.tolist(), pdf["reading_id"], pdf["operational_status"]):
+                    new.setdefault(t // (SLOT_MS * 1000), []).append(json.dumps([t, rid, status]))
+                for slot, lines in new.items():
+                    if self.slots.containsKey((slot,)):
+                        lines = [self.slots.getValue((slot,))[0], *lines]
+                    else:
+                        self.handle.registerTimer((slot + 1) * SLOT_MS)
+                    self.slots.updateValue((slot,), ("\n".join(lines),))
+            yield from ()
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            slot = expiredTimerInfo.getExpiryTimeInMs() // SLOT_MS - 1
+            readings = sorted((json.loads(line) for line in self.slots.getValue((slot,))[0].split("\n")), key=lambda r: (r[0], r[1] or ""))
+            self.slots.removeKey((slot,))
+            before, out = self.last.get()[0] if self.last.exists() else None, []
+            for t, rid, status in readings:
+                if before is not None and status is not None and status != before:
+                    out.append((key[0], pd.Timestamp(t, unit="us"), rid, before, status))
+                before = before if status is None else status
+            if before is not None:
+                self.last.update((before,))
+            if out:
+                yield pd.DataFrame(out, columns=["device_id", "timestamp", "reading_id", "previous_status", "new_status"])
 
         def close(self) -> None:
             pass
@@ -154,52 +172,120 @@ def _status_processor():
     return StatusChange()
 
 
-def status_change_alerts(tel: DataFrame) -> DataFrame:
-    """Emit only when a device's operational status changes (custom state per device).
+def status_change_alerts(tel: DataFrame, delay: str = WATERMARK) -> DataFrame:
+    """A row where a device's operational status changes, in event time (custom state per device).
 
-    Rows of one device inside a micro-batch are ordered by (timestamp, reading_id);
-    the state carries the last status across batches (RocksDB state store).
-    """
-    spark = tel.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return tel.select("device_id", "timestamp", "reading_id", "operational_status").groupBy("device_id") \
+    A reading is judged once the watermark has passed its ten-minute slot; what comes in any order within ``delay`` is
+    put in order, what comes later is late and left out. A reading without a status says nothing."""
+    return tel.withWatermark("timestamp", delay).select("device_id", "timestamp", "reading_id", "operational_status").groupBy("device_id") \
         .transformWithStateInPandas(statefulProcessor=_status_processor(), outputStructType=STATUS_OUT,
-                                    outputMode="Append", timeMode="None")
+                                    outputMode="Append", timeMode="EventTime")
 
 
-def index_sync_batch(index_root: str, id_col: str, vec_col: str, meta_cols: list):
-    """foreachBatch upsert of changed vectors (and deletes, by an ``op`` column) into a versioned index folder.
+# ------------------------------------------------------------------ H06
+#: Hash buckets of the index. A micro-batch rewrites the buckets of its ids, so there should be many more buckets
+#: than a micro-batch has ids, and few enough for a bucket to fill a file.
+INDEX_BUCKETS = 256
 
-    Batch ``n`` reads version ``n-1`` and writes version ``n`` (overwrite is
-    idempotent per batch id, so a replayed batch rewrites the same version).
-    """
+
+def index_schema(stream: DataFrame, id_col: str, meta_cols: list) -> T.StructType:
+    of = {f.name: f.dataType for f in stream.schema.fields}
+    return T.StructType([T.StructField("id", of[id_col]), T.StructField("version", T.LongType()), T.StructField("op", T.StringType()),
+                         *[T.StructField(m, of[m]) for m in meta_cols], T.StructField("vector", T.ArrayType(T.DoubleType())), T.StructField("bucket", T.IntegerType())])
+
+
+def index_sync_batch(index_root: str, id_col: str, vec_col: str, meta_cols: list, schema: T.StructType, buckets: int = INDEX_BUCKETS):
+    """foreachBatch upsert of changed vectors (and deletes, by an ``op`` column) into an index folder partitioned
+    by hash bucket of the id.
+
+    A batch reads and rewrites only the buckets of its own ids (dynamic partition overwrite). The newest version of an
+    id stays, the version being the batch; a delete stays as a row without a vector, so a bucket is never left unwritten
+    and a replayed batch, also one that was cut off between buckets, gives the same rows again."""
     from ..operators import retrieval as D
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         op = F.col("op") if "op" in batch.columns else F.lit("upsert")
-        new = batch.select(F.col(id_col).alias("id"), F.lit(batch_id + 1).alias("version"), op.alias("op"),
-                           *meta_cols, D.l2_normalize(F.col(vec_col)).alias("vector"))
-        new = new.where((F.col("op") == "delete") | F.col("vector").isNotNull())
-        # Every batch writes a version, so only the first has none before it; a failing read must fail the batch.
-        prev = spark.read.parquet(f"{index_root}/v{batch_id - 1}").select("id", "version", *meta_cols, "vector") if batch_id \
-            else new.where(F.lit(False)).drop("op")
-        merged = D.upsert_vectors(prev, new)
-        merged.write.mode("overwrite").parquet(f"{index_root}/v{batch_id}")
+        bucket = F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+        new = batch.select(F.col(id_col).alias("id"), F.lit(batch_id + 1).cast("long").alias("version"), op.alias("op"),
+                           *meta_cols, D.l2_normalize(F.col(vec_col)).alias("vector")).where("id IS NOT NULL")
+        new = new.where((F.col("op") == "delete") | F.col("vector").isNotNull()).withColumn("bucket", bucket).select(*schema.names)
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most ``buckets``
+        if not batch_id:  # an empty index, so that every later batch finds a folder
+            new.where("false").write.mode("append").partitionBy("bucket").parquet(index_root)
+        if not touched:
+            return
+        old = spark.read.schema(schema).parquet(index_root).where(F.col("bucket").isin(touched))
+        # Of the rows of one batch with one id, the greatest stays: deletes come before upserts.
+        cols = [c for c in schema.names if c not in ("id", "bucket")]
+        latest = old.unionByName(new).groupBy("bucket", "id").agg(F.max(F.struct(*cols)).alias("l"))
+        (latest.select("id", *[F.col(f"l.{c}").alias(c) for c in cols], "bucket").repartition("bucket")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(index_root))
     return run
 
 
 def run_index_sync(stream: DataFrame, index_root: str, checkpoint: str, id_col: str, vec_col: str,
-                   meta_cols: list) -> DataFrame:
-    q = (stream.writeStream.foreachBatch(index_sync_batch(index_root, id_col, vec_col, meta_cols))
+                   meta_cols: list, buckets: int = INDEX_BUCKETS) -> DataFrame:
+    schema = index_schema(stream, id_col, meta_cols)
+    q = (stream.writeStream.foreachBatch(index_sync_batch(index_root, id_col, vec_col, meta_cols, schema, buckets))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    spark = stream.sparkSession
-    for b in range(q.lastProgress["batchId"] if q.lastProgress else 0, -1, -1):
-        try:
-            return spark.read.parquet(f"{index_root}/v{b}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-    raise RuntimeError("index sync produced no version")
+    return stream.sparkSession.read.schema(schema).parquet(index_root).where("op <> 'delete'").drop("op", "bucket")
+
+
+# ------------------------------------------------------------------ H07
+def trace_spans(events: DataFrame) -> DataFrame:
+    """The events of a stream as spans: one trace a user and day."""
+    return events.select(
+        "event_id", "ts", "user_id", F.col("event_type").alias("endpoint"), F.round(F.col("value") * 100).cast("bigint").alias("duration_ms"),
+        F.concat(F.lit("T"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("trace_id"))
+
+
+def sampled_traces(spans: DataFrame, per_mille: int = 100) -> DataFrame:
+    """Whole traces, chosen by an arithmetic hash of user and day."""
+    h = F.pmod(F.pmod(F.col("user_id"), F.lit(2147483647)) * F.lit(2654435761) + F.unix_date(F.to_date("ts")).cast("bigint") * 97, F.lit(1000))
+    return spans.where(h < per_mille)
+
+
+def trace_scoring(called: DataFrame, planned: DataFrame, expected_tools: dict, slow_ms: int = 2000) -> DataFrame:
+    """Tool calls of the sampled traces scored as they close (F01 on a stream).
+
+    ``called`` and ``planned`` are span streams: the tools that a trace calls are gathered from the one, its entry
+    point, which says the expected tools, from the other. Both are closed by the watermark at the end of the trace's
+    day and met by a stream-stream join on trace and day."""
+    from ..operators import evaluation as EV
+    day = F.window("ts", "1 day")
+    a = called.withWatermark("ts", WATERMARK).groupBy("trace_id", day).agg(
+        F.array_sort(F.collect_set("endpoint")).alias("called_tools"), F.count(F.lit(1)).alias("spans"),
+        F.count_if(F.col("endpoint") == "error").alias("errors"), F.count_if(F.col("duration_ms") > slow_ms).alias("slow"))
+    entry = F.min(F.struct("ts", "event_id", "endpoint"))["endpoint"]
+    b = planned.withWatermark("ts", WATERMARK).groupBy("trace_id", day).agg(entry.alias("entry"))
+    plan = F.coalesce(*[F.when(F.col("entry") == k, F.array(*[F.lit(x) for x in v])) for k, v in expected_tools.items()])
+    joined = a.join(b, ["trace_id", "window"]).select(F.col("trace_id").alias("case_id"), plan.alias("expected_tools"), "called_tools", "spans", "errors", "slow")
+    return EV.score_tool_calls(joined, keep=["spans", "errors", "slow"])
+
+
+# ------------------------------------------------------------------ H08
+def late_rows_batch(root: str, size: str = "1 hour", delay: str = WATERMARK):
+    """foreachBatch side output of the readings behind the watermark.
+
+    The watermark of a batch is the greatest event time of the batches before it less ``delay``, as in H01; a reading is
+    late if its window had been emitted by then. A batch writes its late readings and its greatest event time under its
+    own id (overwritten by a replay) and reads the one before."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = None
+        if batch_id:
+            seen = spark.read.schema("seen timestamp").parquet(f"{root}/seen/batch={batch_id - 1}").agg(F.max("seen")).first()[0]
+        end = F.window("timestamp", size)["end"]
+        late = batch.where(end <= F.lit(seen).cast("timestamp") - F.expr(f"INTERVAL {delay}")) if seen else batch.where("false")
+        late.write.mode("overwrite").parquet(f"{root}/late/batch={batch_id}")
+        batch.agg(F.greatest(F.max("timestamp"), F.lit(seen).cast("timestamp")).alias("seen")).write.mode("overwrite").parquet(f"{root}/seen/batch={batch_id}")
+    return run
+
+
+def run_late_readings(tel: DataFrame, root: str, checkpoint: str) -> DataFrame:
+    """The late readings of all batches so far."""
+    q = (tel.writeStream.foreachBatch(late_rows_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return tel.sparkSession.read.schema(tel.schema).parquet(f"{root}/late").drop("batch")
