@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..session import written
 
 SLO_P95_MS = 2000
 FAST_MS = 500
@@ -139,27 +140,29 @@ def retrieval_relevance(retrieved: DataFrame, relevant: DataFrame, k: int) -> Da
                     (h / float(k)).alias("precision_at_k"), F.try_divide(h, F.col("n_relevant")).alias("recall_at_k"))
 
 
-def peak_concurrency(spans: DataFrame, bucket_us: int = 60_000_000) -> DataFrame:
-    """most spans in flight at once, exact, without a global sort of all events.
+def peak_concurrency(spans: DataFrame, ranges: int | None = None) -> DataFrame:
+    """most spans in flight at once, exact, by a prefix scan over ranges of time.
 
-    Start (+1) and end (-1) points are bucketed by minute. Within a bucket the
-    running sum (ends before starts at equal times) gives the bucket's net change
-    and its highest prefix; a running sum over the per-bucket nets (one row per
-    minute, bounded by the time range) gives each bucket's offset. The peak is
-    the best offset + in-bucket prefix.
+    Starts (+1) and ends (-1) are summed by instant, map side first (at equal times ends come before starts, so the
+    level behind an instant is its highest). The instants are dealt into ranges of equal size, however many fall into
+    one minute; each range gives its net change, the running sum over these (a row a range) its offset, and the running
+    sum inside a range the level at each instant. The peak is the greatest, at its first instant.
     """
+    spark = spans.sparkSession
     us = F.unix_micros("start")
-    pts = spans.select(us.alias("t"), F.lit(1).alias("d")).unionByName(
+    points = spans.select(us.alias("t"), F.lit(1).alias("d")).unionByName(
         spans.select((us + F.col("duration_ms") * 1000).alias("t"), F.lit(-1).alias("d")))
-    pts = pts.withColumn("b", F.floor(F.col("t") / bucket_us))
-    w = Window.partitionBy("b").orderBy("t", "d").rowsBetween(Window.unboundedPreceding, 0)
-    inb = pts.withColumn("rs", F.sum("d").over(w))
-    per_b = inb.groupBy("b").agg(F.sum("d").alias("net"),
-                                 F.max(F.struct(F.col("rs").alias("rs"), (-F.col("t")).alias("nt"))).alias("m"))
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)   # bounded: one row per minute
-    pb = per_b.withColumn("offset", F.coalesce(F.sum("net").over(wb), F.lit(0)))
-    cand = pb.select((F.col("offset") + F.col("m.rs")).alias("level"), F.col("m.nt").alias("nt"))
-    best = cand.agg(F.max(F.struct("level", "nt")).alias("x"))
+    n = ranges or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    # Written, as the number of a range must not change between its two uses.
+    dealt = written(points.where("t IS NOT NULL").groupBy("t").agg(F.sum("d").alias("net"))
+                    .repartitionByRange(n, "t").withColumn("part", F.spark_partition_id()), "concurrency")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = dealt.groupBy("part").agg(F.sum("net").alias("net")) \
+        .select("part", F.coalesce(F.sum("net").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("part").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    highest = dealt.withColumn("level", F.sum("net").over(inside)).groupBy("part") \
+        .agg(F.max(F.struct(F.col("level"), (-F.col("t")).alias("nt"))).alias("m"))
+    best = highest.join(offsets, "part").agg(F.max(F.struct((F.col("offset") + F.col("m.level")).alias("level"), F.col("m.nt").alias("nt"))).alias("x"))
     return best.select(F.col("x.level").alias("peak_concurrency"),
                        F.timestamp_micros(-F.col("x.nt")).alias("first_peak_at"),
                        (F.col("x.level") >= CONCURRENCY_TARGET).alias("meets_target"))

@@ -8,6 +8,8 @@ rule text can be reviewed, stored and evaluated by Spark.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,6 +67,15 @@ FOREIGN_KEYS = [
 ]
 
 
+def columns_of_rules(rules: list[tuple[str, str]]) -> dict[str, set]:
+    """The columns of each table that predicates (table, SQL text) name."""
+    out: dict[str, set] = {}
+    for table, text in rules:
+        words = set(re.findall(r"[A-Za-z_]+", re.sub(r"'[^']*'", "", text)))
+        out.setdefault(table, set()).update(words & set(TABLES[table].schema.names))
+    return out
+
+
 def _one_pass(table_name: str, df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """count_if of every (rule, failing-predicate) in one aggregation, unpivoted to rows."""
     if not rules:

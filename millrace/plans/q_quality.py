@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import governance as I
 from ..operators import quality as J
-from ..sources.schemas import TABLES
+from ..sources.schemas import ENUMS, ID_FORMATS, TABLES
 from .queries import Ctx, query
 
 ALL_TABLES = ["inventory", "shipments", "suppliers", "standard_operating_procedures", "incident_reports",
@@ -17,17 +17,27 @@ def tables(c: Ctx):
     return {n: getattr(c, n) for n in ALL_TABLES}
 
 
-for _key, _fn in [("dq_required_columns", J.required_columns), ("dq_id_format", J.id_format),
-                  ("dq_enums", J.enums), ("dq_ranges", J.ranges), ("dq_types", J.types),
-                  ("dq_content", J.content), ("dq_business_rules", J.business_rules)]:
-    query(_key)((lambda f: lambda spark, sf: f(tables(Ctx(spark, sf))))(_fn))
-
-
 def key_tables(c: Ctx, keys: dict):
-    """The tables with their key columns only, so no join is made for a column that no check reads."""
+    """Tables with some of their columns only, so no join is made for a column that no check reads."""
     return {n: c.only(n, *sorted(cols)) for n, cols in keys.items()}
 
 
+#: The columns that the rules of a check read, by table.
+for _key, _fn, _columns in [
+        ("dq_required_columns", J.required_columns, {n: set(TABLES[n].required) for n in ALL_TABLES}),
+        ("dq_id_format", J.id_format, J.columns_of_rules([(t, c) for t, c, _ in ID_FORMATS])),
+        ("dq_enums", J.enums, J.columns_of_rules(list(ENUMS))),
+        ("dq_ranges", J.ranges, J.columns_of_rules([(t, p) for t, _, p in J.RANGE_RULES])),
+        ("dq_content", J.content, J.columns_of_rules([(t, p) for t, _, p in J.CONTENT_RULES])),
+        ("dq_business_rules", J.business_rules, J.columns_of_rules([(t, p) for t, _, p in J.BUSINESS_RULES]))]:
+    query(_key)((lambda f, cols: lambda spark, sf: f(key_tables(Ctx(spark, sf), cols)))(_fn, _columns))
+
+
+@query("dq_types")
+def q_dq_types(spark, sf):
+    return J.types(tables(Ctx(spark, sf)))
+
+
 @query("dq_foreign_keys")
 def q_dq_foreign_keys(spark, sf):
     keys: dict = {}

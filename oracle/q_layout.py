@@ -22,15 +22,9 @@ UNION ALL
 SELECT s.*, o.on_time_rate FROM suppliers s LEFT JOIN on_time o ON s.supplier_id = o.supplier_id WHERE s.status = 'INACTIVE'""",
     "suppliers", "on_time")
 
-_bits, _cols = 31, ["part_no", "warehouse_no"]
-_scaled = {c: f"CAST(CASE WHEN (SELECT max({c}) FROM k) = (SELECT min({c}) FROM k) THEN 0 ELSE floor(({c} - (SELECT min({c}) FROM k)) * 2147483647 / "
-              f"((SELECT max({c}) FROM k) - (SELECT min({c}) FROM k))) END AS BIGINT)" for c in _cols}
-_z = " | ".join(f"(((({_scaled[c]}) >> {b}) & 1) << {b * len(_cols) + i})" for b in range(_bits) for i, c in enumerate(_cols))
-ORACLE["cluster_by_keys"] = with_ctes(f"""
-, k AS (SELECT *, CAST(substr(part_id, 5) AS BIGINT) AS part_no, CAST(substr(warehouse_id, 3) AS BIGINT) AS warehouse_no
-        FROM inventory)
+ORACLE["cluster_by_keys"] = with_ctes("""
 SELECT inventory_id, part_id, part_name, warehouse_id, warehouse_location, current_quantity, reorder_level, reorder_quantity,
-  unit_cost, last_updated, category, supplier_id, CAST({_z} AS BIGINT) AS z_value FROM k""", "inventory")
+  unit_cost, last_updated, category, supplier_id FROM inventory""", "inventory")
 
 
 def _po():

@@ -34,6 +34,12 @@ def test_builders_join_only_what_is_asked_for(spark):
     assert joins(Q["dq_unique_keys"](spark, SF_CHECK)) == 1  # nation, in the supplier builder
 
 
+def test_checks_join_only_what_their_rules_read(spark):
+    most = {"table_row_counts": 2, "dq_id_format": 1, "dq_enums": 2, "dq_ranges": 5, "dq_business_rules": 3}
+    got = {k: joins(Q[k](spark, SF_CHECK)) for k in most}
+    assert all(got[k] <= n for k, n in most.items()), got
+
+
 def test_scoring_paths_have_no_python(spark):
     for k in ["predict_shortage", "predict_churn", "create_purchase_orders", "lookup_customer", "inventory_status",
               "track_shipments", "reorder_list", "sales_kpis", "customer_360"]:

@@ -44,6 +44,12 @@ def test_layout_jobs_preserve_the_bag(spark):
     df = spark.createDataFrame(rows, "id int, a int, b int")
     z = A.cluster_by_keys(df, ["a", "b"], scratch_path(spark, "t-z"))
     assert sorted(z.select("id", "a", "b").collect()) == sorted(df.collect())
+    # One extreme value: a point lookup still overlaps few ranges of the order.
+    far = spark.createDataFrame([(i, i * 7919 % 1000, i * 104729 % 1000) for i in range(4000)] + [(4000, 2**30, 2**30), (4001, None, 5)], df.schema)
+    keyed = A.cluster_by_keys(far, ["a", "b"], scratch_path(spark, "t-far")).select("a", "b", "z_value").orderBy("z_value", "a", "b").collect()
+    files = [keyed[k:k + 63] for k in range(0, len(keyed), 63)]
+    hit = [sum(min(r.a or 0 for r in f) <= x <= max(r.a or 0 for r in f) for f in files) for x in (3, 250, 777)]
+    assert len(files) > 60 and max(hit) <= len(files) // 4
     from millrace.sources.sinks import compact_files
     c = compact_files(df.repartition(20), scratch_path(spark, "t-compact"), target_bytes=1 << 20)
     assert sorted(c.collect()) == sorted(df.collect())
@@ -172,7 +178,13 @@ def test_peak_concurrency_equals_brute_force(spark):
     base = dt.datetime(2024, 1, 1)
     spans = [(i, base + dt.timedelta(seconds=random.randint(0, 600)), random.randint(1, 120_000)) for i in range(200)]
     df = spark.createDataFrame(spans, "span_id int, start timestamp, duration_ms long")
-    r = EV.peak_concurrency(df, bucket_us=60_000_000).first()
+    # One instant holds a third of all starts, one minute most of the spans; ranges of a few instants each.
+    hot = [(1000 + i, base + dt.timedelta(seconds=300), 500) for i in range(100)] + [(2000, None, 5), (2001, base, None)]
+    df = df.unionByName(spark.createDataFrame(hot, df.schema))
+    spans += hot[:100] + [(2001, base, 10**12)]
+    r = EV.peak_concurrency(df, ranges=37).first()
+    assert EV.peak_concurrency(df, ranges=1).first() == r
+    assert EV.peak_concurrency(df.where("false")).first().peak_concurrency is None
     pts = []
     for _, s, d in spans:
         t = int((s - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
