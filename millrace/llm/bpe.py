@@ -17,16 +17,18 @@ import heapq
 import json
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_code, text_or_empty
+from .common import ship_code, text_or_empty, written
 from .lexicon import Lexicon, compile_lexicon
 
 #: At most this many frequent words are compiled (a size limit of the lexicon, not of the input).
@@ -202,7 +204,7 @@ class Encoder:
     def parts(self, text: str) -> Iterator[tuple[str | None, int | None]]:
         """(piece, None) and (None, special id) in text order."""
         t = self.tokenizer
-        spans = t.special_split.split(text) if t.special_split and "<" in text else [text]
+        spans = t.special_split.split(text) if t.special_split else [text]
         for s in spans:
             if s in t.special:
                 yield None, t.special[s]
@@ -309,35 +311,72 @@ class Encoder:
         return total, ids.hexdigest(), decoded.hexdigest()
 
 
+#: ASCII letters in lower case, bytes of other characters as they are; everything else separates words.
+_WORD_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256))
+#: Different words that a task counts before it passes them on.
+COUNTED_WORDS = 1 << 20
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word, n: partial counts of the words of all texts. A task passes its counts on whenever it holds
+    ``COUNTED_WORDS`` words, and at its end."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter = Counter()
+
+        def out() -> pa.RecordBatch:
+            words = [w for w in held if len(w) <= LONG_WORD]
+            batch = pa.RecordBatch.from_arrays([pa.array([w.decode() for w in words], pa.string()), pa.array([held[w] for w in words], pa.int64())], names=["word", "n"])
+            held.clear()
+            return batch
+
+        for b in batches:
+            for text in b.column(0):
+                raw = text.as_py().encode().translate(_WORD_BYTES)
+                for at, end in spans_at_blanks(raw):
+                    held.update(raw[at:end].split())
+                if len(held) > COUNTED_WORDS:
+                    yield out()
+        if held:
+            yield out()
+
+    return docs.select(text_or_empty(text_col).alias("text")).mapInArrow(count, "word string, n bigint")
+
+
+def spans_at_blanks(raw: bytes, size: int = PIECE_CHARS) -> Iterator[tuple[int, int]]:
+    """Pieces of at least ``size`` bytes, but for the last, that end before a blank."""
+    at = 0
+    while at < len(raw):
+        end = raw.find(b" ", at + size) if len(raw) - at > size else -1
+        end = len(raw) if end < 0 else end
+        yield at, end
+        at = end
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text", limit: int = LEXICON_WORDS) -> list[str]:
     """The frequent words of the whole corpus: all words whose count reaches the least count that
     at most ``limit`` words reach. Words are counted by partial sums; the driver gets the histogram of
     counts, bounded by its distinct values, and at most ``limit`` words."""
-    tokens = F.filter(F.split(F.lower(text_or_empty(text_col)), r"[^\p{L}]+"), lambda w: (w != "") & (F.length(w) <= LONG_WORD))
-    counts = docs.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.where("n > 1").persist()
-    try:
-        least, total = None, 0
-        # Counts are binned by powers of 2^(1/8), so the histogram stays short at any corpus size.
-        bins = counts.groupBy(F.floor(8 * F.log2("n")).alias("bin")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
-        for row in bins.orderBy(F.desc("bin")).collect():
-            total += row["words"]
-            if total > limit:
-                break
-            least = row["least"]
-        return [] if least is None else [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
-    finally:
-        counts.unpersist()
+    counts = word_counts(docs, text_col).groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(counts.where("n > 1"), "word-counts")
+    least, total = None, 0
+    # Counts are binned by powers of 2^(1/8), so the histogram stays short at any corpus size.
+    bins = counts.groupBy(F.floor(8 * F.log2("n")).alias("bin")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
+    for row in bins.orderBy(F.desc("bin")).collect():
+        total += row["words"]
+        if total > limit:
+            break
+        least = row["least"]
+    return [] if least is None else [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
 
 
-_loaded: dict[int, Encoder] = {}
+_loaded: dict[str, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
-    """One encoder per Python worker."""
-    key = id(shared)
+    """One encoder per Python worker, known by what it is made of."""
+    spec, blob = shared.value
+    key = hashlib.sha256(spec.encode() + blob).hexdigest()
     if key not in _loaded:
-        spec, blob = shared.value
         _loaded.clear()
         _loaded[key] = Encoder(Tokenizer(spec), Lexicon.mapped(blob))
     return _loaded[key]

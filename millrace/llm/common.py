@@ -2,33 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path, ship_code  # noqa: F401
+
 #: A word is a maximal run of anything but these six ASCII white-space characters.
 SPACE_CLASS = r"\x20\x09-\x0D"
 SPACES = " \t\n\x0b\x0c\r"
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where that setting is absent (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        if not _own_dir:
-            _own_dir.append(tempfile.mkdtemp(prefix="millrace-llm-"))
-        d = _own_dir[0]
-    return d.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"llm-{name}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -38,24 +22,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_shipped: set[str] = set()
-
-
-def ship_code(spark: SparkSession) -> None:
-    """Give the Python workers this package, once an application (what ``--py-files`` does), so that functions
-    found by name can be imported on executors that do not have the repository."""
-    sc = spark.sparkContext
-    package = Path(__file__).resolve().parents[1]
-    if sc.applicationId in _shipped or not package.is_dir():
-        return
-    path = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(package.rglob("*.py")):
-            z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(path))
-    _shipped.add(sc.applicationId)
-
-
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
@@ -77,29 +43,50 @@ def sha256_hex(text: Column) -> Column:
 SPAN = "struct<start:bigint,end:bigint,value:string,before:string,after:string>"
 
 
+#: Elements of a group of a running value, and levels of groups: groups of groups hold 64^4 elements.
+GROUP, LEVELS = 64, 3
+
+
+def running(values: Column, op, kind: str = "bigint", levels: int = LEVELS) -> Column:
+    """The running value of an associative ``op`` over an array of ``kind``: element k is op over elements 0 to k.
+
+    Growing an array element by element copies it each time, which is quadratic; so that is done within groups, and the
+    running value over the groups' ends, found in the same way, is added to each group."""
+    def grown(a: Column) -> Column:
+        none = F.array().cast(f"array<{kind}>")
+        return F.aggregate(a, none, lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(op(F.try_element_at(acc, F.size(acc)), x)))))
+
+    def either(a: Column) -> Column:
+        return F.when(F.size(a) <= GROUP, grown(a)).otherwise(let(
+            F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / GROUP).cast("int")), lambda g: grown(F.slice(a, g * GROUP + 1, GROUP))), joined))
+
+    def joined(groups: Column) -> Column:
+        return let(running(F.transform(groups, lambda g: F.element_at(g, -1)), op, kind, levels - 1), lambda ends: F.flatten(F.transform(
+            groups, lambda g, k: F.when(k == 0, g).otherwise(F.transform(g, lambda x: op(F.get(ends, k - 1), x))))))
+
+    return let(values, either if levels else grown)
+
+
 def regex_spans(text: Column, pattern: str, context: int = 0) -> Column:
     """array<SPAN>: the leftmost non-overlapping matches of ``pattern`` (which must not match
     the empty string), in code points, end exclusive. ``before`` and ``after`` hold up to
     ``context`` code points of the text between this match and its neighbours.
 
     The text is split at the matches; a running sum over the lengths of gaps and matches
-    gives the positions, so the work is linear in the text.
+    gives the positions: the work is linear in the text, with a factor log2 of the matches.
     """
     empty = F.array().cast(f"array<{SPAN}>")
 
     def build(found: Column) -> Column:
         def located(gaps: Column) -> Column:
-            def step(acc: Column, k: Column) -> Column:
-                start = acc["at"] + F.length(gaps[k])
-                end = start + F.length(found[k])
-                span = F.struct(
-                    start.alias("start"), end.alias("end"), found[k].alias("value"),
-                    (F.right(gaps[k], F.lit(context)) if context else F.lit("")).alias("before"),
-                    (F.left(gaps[k + 1], F.lit(context)) if context else F.lit("")).alias("after"))
-                return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+            sizes = F.transform(found, lambda m, k: F.length(gaps[k]).cast("bigint") + F.length(m))
 
-            first = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out"))
-            return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), first, step, lambda acc: acc["out"])
+            def spans(ends: Column) -> Column:
+                return F.transform(found, lambda m, k: F.struct(
+                    (ends[k] - F.length(m)).alias("start"), ends[k].alias("end"), m.alias("value"),
+                    (F.right(gaps[k], F.lit(context)) if context else F.lit("")).alias("before"),
+                    (F.left(gaps[k + 1], F.lit(context)) if context else F.lit("")).alias("after")))
+            return let(running(sizes, lambda x, y: x + y), spans)
 
         return F.when(F.size(found) == 0, empty).otherwise(let(F.split(text, pattern), located))
 

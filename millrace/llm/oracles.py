@@ -112,7 +112,8 @@ c AS (SELECT * FROM assign WHERE length(v) >= 6
   UNION ALL SELECT * FROM ({_spans(1, 'access', r'AKIA[A-Z0-9]{16,}')}) WHERE length(v) >= 20
   UNION ALL SELECT * FROM ({_spans(2, 'hex', r'[0-9a-f]{24,}')}) WHERE length(v) >= 24
   UNION ALL SELECT * FROM ({_spans(3, 'opaque', r'[A-Za-z0-9_-]{20,}')}) WHERE length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]')),
-o AS (SELECT v, count(DISTINCT source) + max((source IS NULL)::INT) < 3 live FROM c JOIN documents USING (doc_id) GROUP BY v),
+n AS (SELECT v, count(DISTINCT source) + max((source IS NULL)::INT) owners, count(DISTINCT {{'s': source, 'd': doc_id}}) repos FROM c JOIN documents USING (doc_id) GROUP BY v),
+o AS (SELECT v, owners < 3 AND repos < 100 * owners live FROM n),
 s AS (SELECT c.*, live FROM c JOIN o USING (v) WHERE k < 3 OR live AND NOT EXISTS (
       SELECT 1 FROM c b WHERE b.doc_id = c.doc_id AND b.k < 3 AND b.s < c.e AND c.s < b.e)),
 x AS (SELECT doc_id, count(*) FILTER (k = 0) n_assign, count(*) FILTER (k = 1) n_access, count(*) FILTER (k = 2) n_hex,

@@ -12,10 +12,10 @@ result; further columns of the input do not matter.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import regex_spans, sha256_hex, text_or_empty, written
+from .common import let, regex_spans, running, sha256_hex, text_or_empty, written
 
 # The stated patterns; possessive where a match cannot depend on giving characters back.
 ASSIGN = (r"(?:(?i:password|passwd|secret|token|api_?key))[\"']?\x20*+[:=]\x20*+[\"']?[A-Za-z0-9+/_.=-]++")
@@ -69,20 +69,23 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  .groupBy("_hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("_repos").alias("n_repos")))
     widely = ownership.where((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos * F.col("n_owners"))).select("_hash", F.lit(True).alias("_example"))
     rated = each.join(widely, "_hash", "left").withColumn("live", F.col("_example").isNull())
-    per_row = rated.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
-        "start", F.substring("kind", 2, 20).alias("kind"), "end", "live", F.substring("kind", 1, 1).alias("order")))).alias("all"))
-
-    base = F.filter("all", lambda s: s["kind"].isin(*BASE))
-
-    def free(s: Column) -> Column:
-        return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    kept = F.filter("all", lambda s: s["kind"].isin(*BASE) | (s["live"] & free(s)))
-    ordered = F.transform(F.array_sort(F.transform(kept, lambda s: F.struct(
-        s["start"].alias("start"), s["order"].alias("order"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))),
-        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["live"].alias("live")))
+    # An opaque span gives way to a base span that overlaps it: one that starts at or before it and ends in it or
+    # later, or one that starts at or behind its start and before its end. Running values, so linear in a text's spans.
+    is_base = F.col("kind").substr(1, 1) < "3"
+
+    def upto(order):
+        return Window.partitionBy("_row").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max(F.when(is_base, F.col("end"))).over(upto(F.col("start").asc()))
+    following = F.min(F.when(is_base, F.col("start"))).over(upto(F.col("start").desc()))
+    taken = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
+    kept = rated.withColumn("_taken", taken).where(is_base | (F.col("live") & ~F.col("_taken")))
+    # By start, then the kind as listed: the digit before the kind.
+    spans = F.transform(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))), lambda s: F.struct(
+        s["start"].alias("start"), F.substring(s["kind"], 2, 20).alias("kind"), s["end"].alias("end"), s["live"].alias("live")))
+    per_row = kept.groupBy("_row").agg(spans.alias("spans"))
     kept_columns = [F.col(f"_carry_{c}").alias(c) for c in carry]
     none = F.array().cast("array<struct<start:bigint,kind:string,end:bigint,live:boolean>>")
-    found = some.join(per_row.select("_row", ordered.alias("spans")), "_row").select("doc_id", "spans", *kept_columns)
+    found = some.join(per_row, "_row", "left").select("doc_id", F.coalesce("spans", none).alias("spans"), *kept_columns)
     return proposed.where(F.size("_spans") == 0).select("doc_id", none.alias("spans"), *kept_columns).unionByName(found)
 
 
@@ -104,16 +107,23 @@ def secret_digest(found: DataFrame) -> DataFrame:
 
 
 def redact(text: Column, spans: Column, mask: str = "[secret]") -> Column:
-    """``text`` with the union of the spans replaced by ``mask``. Cuts are made from the left, on
-    spans merged where they overlap."""
-    spans = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
-
-    def step(acc: Column, s: Column) -> Column:
-        inside = (s["start"] < acc["at"]) | ((s["start"] == acc["at"]) & (acc["at"] > 0))
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        out = F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], gap, F.lit(mask)))
-        return F.struct(out.alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, start, step, lambda acc: F.concat(
-        acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))))
+    """``text`` with the union of the spans replaced by ``mask``: the gaps between spans merged where they overlap or
+    touch, joined by it. Linear in the text and the spans; where the text is not ASCII, finding each place in UTF-8
+    costs a scan up to it."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+
+    def masked(cut) -> Column:
+        def pieces(found: Column, ends: Column) -> Column:
+            def piece(s: Column, k: Column) -> Column:
+                at = F.when(k == 0, F.lit(0).cast("bigint")).otherwise(F.get(ends, k - 1))
+                inside = (s["start"] < at) | ((s["start"] == at) & (at > 0))
+                return F.when(inside, F.lit("")).otherwise(F.concat(cut(at, s["start"] - at), F.lit(mask)))
+            last = F.element_at(ends, -1)
+            return F.concat(F.array_join(F.transform(found, piece), ""), cut(last, F.length(text) - last))
+        return let(ordered, lambda found: let(running(F.transform(found, lambda s: s["end"]), lambda x, y: F.greatest(x, y)), lambda ends: pieces(found, ends)))
+
+    def part(value: Column):
+        return lambda at, n: F.substring(value, (at + 1).cast("int"), n.cast("int")).cast("string")
+    ascii_only = F.length(text) == F.octet_length(text)  # places in bytes are places in code points
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.when(ascii_only, let(text.cast("binary"), lambda raw: masked(part(raw)))).otherwise(masked(part(text))))

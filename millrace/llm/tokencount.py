@@ -13,10 +13,12 @@ of the input do not matter.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,34 +29,52 @@ TOKEN = np.dtype("<u2")
 BLOCK_BYTES = 4 << 20
 
 
-def write_token_files(docs: DataFrame, model_path: str, path: str, text_col: str = "text") -> None:
-    """Encode each text with the SentencePiece model and write flat token files, one per partition, in
-    row order. Spark's text sink writes them: a document's bytes are a line, the bytes of the
-    end-of-document id (</s>) are the line separator, so task commits and retries are Spark's."""
+def write_token_files(docs: DataFrame, model_path: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Encode each text with the SentencePiece model and write flat token files, one per task, each document ended by
+    the end-of-document id (</s>). Returns file, ordinal, doc_id: the documents of each file in order, as the same task
+    lists them. Spark writes this list; a file is named by its task attempt and belongs to the result only if the list
+    names it, so a lost or repeated task leaves at most a file that nobody reads."""
     import sentencepiece
-    ship_code(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_code(spark)
     eod = sentencepiece.SentencePieceProcessor(model_file=model_path).eos_id()
-    separator = np.array([eod], dtype=TOKEN).tobytes()
-    if max(separator) > 127:
-        raise ValueError(f"the bytes of separator id {eod} are not a valid line separator")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
         model = sentencepiece.SentencePieceProcessor(model_file=model_path)
-        for b in batches:
-            for at in range(0, len(b), 500):  # bounds the ids held at once
-                ids = model.encode(b["text"].iloc[at:at + 500].tolist(), num_threads=1)
-                yield pd.DataFrame({"tokens": [np.array(x, dtype=TOKEN).tobytes() for x in ids]})
-
-    (docs.select(text_or_empty(text_col).alias("text")).mapInPandas(encode, "tokens binary")
-     .select(F.col("tokens").cast("string").alias("value"))
-     .write.option("lineSep", separator.decode("ascii")).text(path))
-
-
-def scan_blocks(spark: SparkSession, path: str, eod: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+        name, out, n = f"{uuid.uuid4().hex}.bin", None, 0
+        try:
+            for b in batches:
+                if out is None and len(b):
+                    store, folder = fs.FileSystem.from_uri(path)
+                    store.create_dir(folder, recursive=True)
+                    out = store.open_output_stream(f"{folder}/{name}")
+                texts = b.column("text").to_pylist()
+                for at in range(0, len(texts), 500):  # bounds the ids held at once
+                    for ids in model.encode(texts[at:at + 500], num_threads=1):
+                        if eod in ids:
+                            raise ValueError("a text holds the end-of-document id")
+                        out.write(np.array([*ids, eod], dtype=TOKEN).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(b), pa.string()), pa.array(np.arange(n, n + len(b))), b.column("doc_id")],
+                                                 names=["file", "ordinal", "doc_id"])
+                n += len(b)
+        finally:
+            if out is not None:
+                out.close()
+
+    listed = rows.mapInArrow(encode, f"file string, ordinal bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}")
+    return written(listed, "token-list")
+
+
+def scan_blocks(spark: SparkSession, path: str, eod: int, block_bytes: int = BLOCK_BYTES, listed: DataFrame | None = None) -> DataFrame:
     """Per block: path, offset, n_tokens, n_sep, head (tokens before the first separator), tail
-    (after the last) and ``inner``, the lengths of the documents that lie between two separators."""
+    (after the last) and ``inner``, the lengths of the documents that lie between two separators. Of the files under
+    ``path``; with ``listed`` only of those whose names it holds in ``file``."""
     ship_code(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length").where("length > 0")
+    if listed is not None:
+        files = files.join(listed.select("file").distinct(), F.substring_index("path", "/", -1) == F.col("file"), "left_semi")
     blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(block_bytes).cast("bigint"))).alias("offset"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -97,21 +117,24 @@ def stitch(blocks: DataFrame) -> DataFrame:
     return ended.unionByName(last.select("path", "ordinal", F.col("open").alias("n_tokens")))
 
 
-def count_tokens(spark: SparkSession, path: str, eod: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def count_tokens(spark: SparkSession, path: str, eod: int, block_bytes: int = BLOCK_BYTES, listed: DataFrame | None = None) -> DataFrame:
     """path, ordinal, n_tokens of every document in the token files under ``path``."""
-    return stitch(written(scan_blocks(spark, path, eod, block_bytes), "token-blocks"))
+    return stitch(written(scan_blocks(spark, path, eod, block_bytes, listed), "token-blocks"))
 
 
 def document_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_tokens: the texts as token files, scanned. The files hold no ids; the n-th document of
-    the k-th file is the n-th row of the k-th partition, as both come from the same scan."""
+    """doc_id, n_tokens: the texts as token files, scanned. The files hold no ids: the n-th document of a file has the
+    id that its writing task listed n-th. A listed document that the scan does not find, or the other way round, is an
+    error."""
     import sentencepiece
-    path = fresh_path(docs.sparkSession, "tokens")
-    write_token_files(docs, model_path, path, text_col)
-    counts = count_tokens(docs.sparkSession, path, sentencepiece.SentencePieceProcessor(model_file=model_path).eos_id(), block_bytes)
-    counts = counts.withColumn("part", F.regexp_extract("path", r"/part-(\d+)-[^/]*$", 1).cast("bigint"))
-    at = F.monotonically_increasing_id()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.shiftright(at, 33).alias("part"),
-                       at.bitwiseAND(F.lit((1 << 33) - 1)).alias("ordinal"))
-    return rows.join(counts, ["part", "ordinal"]).select("doc_id", "n_tokens")
+    spark = docs.sparkSession
+    path = fresh_path(spark, "tokens")
+    listed = write_token_files(docs, model_path, path, id_col, text_col)
+    if listed.isEmpty():
+        return listed.select("doc_id", F.lit(0).cast("bigint").alias("n_tokens"))
+    counts = count_tokens(spark, path, sentencepiece.SentencePieceProcessor(model_file=model_path).eos_id(), block_bytes, listed)
+    counts = counts.select(F.substring_index("path", "/", -1).alias("file"), "ordinal", "n_tokens", F.lit(True).alias("_scanned"))
+    both = listed.withColumn("_listed", F.lit(True)).join(counts, ["file", "ordinal"], "full")
+    lost = F.when(F.col("_scanned").isNull() | F.col("_listed").isNull(), F.raise_error(F.lit("token files and their list disagree")).cast("bigint"))
+    return both.select("doc_id", F.coalesce(lost, F.col("n_tokens")).alias("n_tokens"))
