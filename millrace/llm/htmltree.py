@@ -8,11 +8,12 @@ content below it. Branches and blocks of low importance are removed from each pa
 HTML or their names declare as boilerplate are removed on every host, as a host with few pages says
 nothing about its branches. A name declares nothing where the elements that bear it hold most of the page's text
 outside links, or a main element with more text than is found beside named elements. Pages of a host with the same main text are copies and count as one page of the
-tree, else an article that a host repeats would look like boilerplate. Where a page declares its main
-container, no branch is removed from it, only blocks.
+tree, else an article that a host repeats would look like boilerplate. Branches are removed from every page; inside
+the main container that a page declares, their importance counts double.
 
 Defined cases: NULL or empty html gives empty text; a page without host is of the host ''; broken markup
-is repaired as browsers do for paragraphs, list items and stray end tags; repeated rows each give a
+is repaired as browsers do for paragraphs, list items and stray end tags; elements nested beyond ``PATH_DEPTH`` keep
+their text and share a path; a page costs time and memory linear in its length; repeated rows each give a
 row and count as one page of the tree; an empty table gives an empty result; further columns of the input do not matter.
 """
 
@@ -44,11 +45,16 @@ NOISE_NAMES = frozenset("ad ads advert adverts advertisement advertising sponsor
 TALK_NAMES = frozenset("comment comments reply replies related recommended".split())
 MAIN_NAMES = frozenset("content article post entry story main articlebody".split())
 
+#: An element nested deeper than this is part of the path of its ancestor at this depth, so that the ancestors of all
+#: blocks stay linear in the page. Texts of any depth are kept.
+PATH_DEPTH = 128
 #: A host's tree judges a path only when at least this many different pages have it.
 MIN_PAGES = 10
 #: Branches below this importance go; weight of content against presentation.
 LOW_BRANCH = 0.3
 CONTENT_WEIGHT = 0.9
+#: The importance of a branch inside a declared main container counts this much more.
+MAIN_WEIGHT = 2
 #: Blocks below this content importance go: the same text on nearly all pages that have its path.
 LOW_BLOCK = 0.05
 
@@ -58,60 +64,75 @@ def _key(s: str) -> int:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "noise", "names", "children", "container", "contained", "in_main", "in_link")
+    """An open element; ``path`` is a hash of its tags and names from the root, ``up`` the chain of elements with a path of
+    their own, ``block`` the place of the nearest block element on the stack."""
+    __slots__ = ("tag", "path", "up", "depth", "block", "noise", "names", "children", "container", "contained", "in_main", "in_link")
 
-    def __init__(self, tag, path, noise, names, container, contained, in_main, in_link):
-        self.tag, self.path, self.noise, self.names, self.container = tag, path, noise, names, container
+    def __init__(self, tag, path, up, depth, block, noise, names, container, contained, in_main, in_link):
+        self.tag, self.path, self.up, self.depth, self.block = tag, path, up, depth, block
+        self.noise, self.names, self.container = noise, names, container
         self.contained, self.in_main, self.in_link = contained, in_main, in_link
         self.children: list[str] = []
 
 
 class PageParser(HTMLParser):
-    """Blocks and element styles of one page."""
+    """Blocks and element styles of one page. The work is linear in the page: open elements are found by their tag."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Element("", "", False, frozenset(), -1, False, False, False)]
+        self.stack = [_Element("", 0, None, 0, 0, False, frozenset(), -1, False, False, False)]
+        self.places: dict[str, list[int]] = {}  # tag -> places of its open elements on the stack
+        self.branches: dict[int, list[int]] = {0: []}  # path -> paths down to it
         # Text, paths down to its element, noise, names of boilerplate around it, container, characters outside links.
-        self.blocks: list[tuple[str, list[str], bool, frozenset, int, int]] = []
-        self.styles: dict[str, list[str]] = {}
+        self.blocks: list[tuple[str, list[int], bool, frozenset, int, int]] = []
+        self.styles: dict[int, list[str]] = {}
         self.containers: list[tuple[int, int, frozenset]] = []  # rank, number of the enclosing container, names around it
         self.buffer: list[str] = []
         self.linked = 0
 
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element of ``tags``; 0 where there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def branch(self, e: _Element) -> list[int]:
+        if e.path not in self.branches:
+            found, at = [], e
+            while at.up is not None:
+                found.append(at.path)
+                at = at.up
+            self.branches[e.path] = found[::-1]
+        return self.branches[e.path]
+
     def flush(self) -> None:
         if self.buffer:
             text = " ".join("".join(self.buffer).split())
             linked, self.linked = self.linked, 0
             self.buffer = []
             if text:
-                at = max(k for k, e in enumerate(self.stack) if e.tag in BLOCK or k == 0)
-                e = self.stack[at]
-                self.blocks.append((text, [x.path for x in self.stack[1:at + 1]], self.stack[-1].noise, self.stack[-1].names,
-                                    e.container, max(len(text) - linked, 0)))
+                top = self.stack[-1]
+                e = self.stack[top.block]
+                self.blocks.append((text, self.branch(e), top.noise, top.names, e.container, max(len(text) - linked, 0)))
 
     def pop_to(self, at: int) -> None:
         """Close the elements from place ``at`` on."""
-        if any(e.tag in BLOCK for e in self.stack[at:]):
+        if self.stack[-1].block >= max(at, 1):
             self.flush()
         for e in self.stack[at:]:
             self.styles.setdefault(e.path, []).append(" ".join(e.children))
+            self.places[e.tag].pop()
         del self.stack[at:]
 
     def handle_starttag(self, tag, attrs):
         top = self.stack
         if tag in CLOSES_P:
-            at = next((k for k in range(len(top) - 1, 0, -1) if top[k].tag == "p"), 0)
-            if at and not any(e.tag in ("td", "th", "table", "button") for e in top[at:]):
+            at = self.last("p")
+            if at and self.last("td", "th", "table", "button") < at:
                 self.pop_to(at)
         if tag in ENDS:
             ends, limit = ENDS[tag]
-            for k in range(len(top) - 1, 0, -1):
-                if top[k].tag in limit:
-                    break
-                if top[k].tag in ends:
-                    self.pop_to(k)
-                    break
+            at = self.last(*ends)
+            if at and self.last(*limit) < at:
+                self.pop_to(at)
         parent = top[-1]
         parent.children.append(tag)
         if tag in VOID:
@@ -147,7 +168,10 @@ class PageParser(HTMLParser):
             noise, around = hidden, frozenset()  # an unclosed box of boilerplate does not swallow the article
         if not parent.in_main and tag == "header":
             noise = True
-        path = f"{parent.path}>{tag}.{'.'.join(sorted(words))}" if words else f"{parent.path}>{tag}"
+        if parent.depth < PATH_DEPTH:
+            path, up, depth = _key(f"{parent.path}>{tag}.{'.'.join(sorted(words))}"), parent, parent.depth + 1
+        else:
+            path, up, depth = parent.path, parent.up, parent.depth
         container, contained, in_main = parent.container, parent.contained, parent.in_main
         rank = 0
         if not noise:
@@ -157,18 +181,16 @@ class PageParser(HTMLParser):
             container = len(self.containers) - 1
             contained = contained or not around
             in_main = in_main or rank > 1
-        top.append(_Element(tag, path, noise, around, container, contained, in_main, parent.in_link or tag == "a"))
+        self.places.setdefault(tag, []).append(len(top))
+        top.append(_Element(tag, path, up, depth, len(top) if tag in BLOCK else parent.block, noise, around, container, contained, in_main, parent.in_link or tag == "a"))
 
     def handle_endtag(self, tag):
         if tag == "br":
             self.buffer.append(" ")
             return
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                self.pop_to(k)
-                return
-            if tag not in BLOCK and self.stack[k].tag in BLOCK:
-                return
+        at = self.last(tag)
+        if at and (tag in BLOCK or at > self.stack[-1].block):
+            self.pop_to(at)
 
     def handle_data(self, data):
         if self.stack[-1].tag not in ("script", "style"):
@@ -181,23 +203,23 @@ class PageParser(HTMLParser):
         total = clean = 0
         held: dict[tuple, int] = {}
         in_main: dict[tuple, int] = {}
+        mains: list[frozenset | None] = []  # names around the outermost main element, not inside it
+        for rank, outer, names in self.containers:
+            known = mains[outer] if outer >= 0 else None
+            mains.append(known if known is not None else names if rank > 1 else None)
         for _, _, noise, around, c, n in self.blocks:
             if noise:
                 continue
             total += n
             clean += 0 if around else n
-            main = frozenset()
-            while c >= 0:  # names around a main element, not inside it
-                if self.containers[c][0] > 1:
-                    main = self.containers[c][2]
-                c = self.containers[c][1]
+            main = (mains[c] if c >= 0 else None) or frozenset()
             for name in around:
                 held[name] = held.get(name, 0) + n
                 if name in main:
                     in_main[name] = in_main.get(name, 0) + n
         return {name for name, n in held.items() if 2 * n <= total and (name[0] or name[1] & TALK_NAMES or in_main.get(name, 0) <= clean)}
 
-    def finish(self) -> tuple[list[tuple[str, list[str], bool]], dict[str, str], bool]:
+    def finish(self) -> tuple[list[tuple[str, list[int], bool]], dict[int, str], bool]:
         """Blocks (text, paths, noise or outside the main container), styles by path, whether there is a main container."""
         self.close()
         self.flush()
@@ -206,15 +228,18 @@ class PageParser(HTMLParser):
         found = [(text, paths, noise or not declared.isdisjoint(around), c) for text, paths, noise, around, c, _ in self.blocks]
         sizes = [0] * len(self.containers)
         for text, _, noise, c in found:
-            while c >= 0 and not noise:
+            if c >= 0 and not noise:
                 sizes[c] += len(text)
-                c = self.containers[c][1]
+        for k in range(len(sizes) - 1, -1, -1):  # an enclosing container comes before its contents
+            if self.containers[k][1] >= 0:
+                sizes[self.containers[k][1]] += sizes[k]
         main = max((k for k in range(len(sizes)) if sizes[k]), key=lambda k: (self.containers[k][0], sizes[k], -k), default=-1)
+        inside: list[bool] = []
+        for k, (_, outer, _) in enumerate(self.containers):
+            inside.append(k == main or outer >= 0 and inside[outer])
 
         def outside(c: int) -> bool:
-            while c >= 0 and c != main:
-                c = self.containers[c][1]
-            return main >= 0 and c != main
+            return main >= 0 and not (c >= 0 and inside[c])
 
         blocks = [(text, paths, noise or outside(c)) for text, paths, noise, c in found]
         return blocks, {p: "|".join(sorted(s)) for p, s in self.styles.items()}, main >= 0
@@ -232,26 +257,16 @@ _SCHEMA = ("page_id {id}, url string, host string, "
 
 
 def _parse_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    keys: dict[str, int] = {}
-
-    def key(path: str) -> int:
-        if path not in keys:
-            if len(keys) > 100_000:
-                keys.clear()
-            keys[path] = _key(path)
-        return keys[path]
-
     for b in batches:
         for at in range(0, len(b), 200):
             part, rows = b.iloc[at:at + 200], []
             for page_id, url, host, html in zip(part["page_id"], part["url"], part["host"], part["html"]):
                 blocks, styles, has_main = parse(html)
                 found = []
-                for text, paths, noise in blocks:
-                    branch = [key(p) for p in paths]
+                for text, branch, noise in blocks:
                     found.append((None if noise else text, branch[-1] if branch else 0, _key(text), branch))
                 body = _key("\n".join(text for text, _, noise in blocks if not noise))
-                rows.append((page_id, url, host, found, [(key(p), _key(s)) for p, s in styles.items()], has_main, body))
+                rows.append((page_id, url, host, found, [(p, _key(s)) for p, s in styles.items()], has_main, body))
             yield pd.DataFrame(rows, columns=["page_id", "url", "host", "blocks", "styles", "has_main", "body"])
 
 
@@ -293,16 +308,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     parsed = written(parsed.withColumn("row", F.monotonically_increasing_id()), "html-pages")
     branches, content = style_tree(without_copies(parsed))
     # What a host drops stands on most of its pages, so these lists are bounded by the blocks of a page.
-    low = (branches.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BRANCH)).select("host", "path", F.lit(None).cast("bigint").alias("content"))
-           .unionByName(content.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BLOCK)).select("host", F.col("leaf").alias("path"), "content")))
+    low = (branches.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BRANCH)).select("host", "path", "importance", F.lit(None).cast("bigint").alias("content"))
+           .unionByName(content.where((F.col("pages") >= MIN_PAGES) & (F.col("importance") < LOW_BLOCK)).select("host", F.col("leaf").alias("path"), "importance", "content")))
     # Written first: the planner then knows its size and need not shuffle the pages to a short list.
     low = written(low.groupBy("host").agg(
         F.collect_set(F.when(F.col("content").isNull(), F.col("path"))).alias("low_paths"),
+        F.collect_set(F.when(F.col("content").isNull() & (MAIN_WEIGHT * F.col("importance") < LOW_BRANCH), F.col("path"))).alias("low_main_paths"),
         F.collect_set(F.when(F.col("content").isNotNull(), F.struct("path", "content"))).alias("low_blocks")), "html-low")
 
     # What lies outside the main container of a page that has one has no text here.
     none = F.array().cast("array<bigint>")
-    paths = F.when(F.col("has_main"), none).otherwise(F.coalesce("low_paths", none))
+    paths = F.coalesce(F.when(F.col("has_main"), F.col("low_main_paths")).otherwise(F.col("low_paths")), none)
     low_blocks = F.coalesce("low_blocks", F.array().cast("array<struct<path:bigint,content:bigint>>"))
     kept = F.filter("blocks", lambda b: b["text"].isNotNull() & ~F.arrays_overlap(b["branch"], paths)
                     & ~F.array_contains(low_blocks, F.struct(b["leaf"].alias("path"), b["content"].alias("content"))))
