@@ -28,14 +28,17 @@ p AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
 r AS (SELECT doc_id, count(DISTINCT k) n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) k FROM p) GROUP BY doc_id),
 x AS (SELECT doc_id, source, len(w)::BIGINT n_words, word_chars, n_symbols, (len(l) - len(list_distinct(l)))::BIGINT n_dup_lines, len(l) n_lines,
       coalesce(n, 0)::BIGINT n_repeat_words FROM m LEFT JOIN r USING (doc_id)),
-f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words base_failed,
-      100 * n_symbols > 50 * n_words OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words soft_failed FROM x),
-h AS (SELECT source, count(*) n, count(*) FILTER (base_failed OR soft_failed) f FROM f GROUP BY source),
-q AS (SELECT avg(f / n) m, var_pop(f / n) - avg(f / n) * (1 - avg(f / n)) * avg(1.0 / n) v FROM h),
-s AS (SELECT source, (f + m * k) / (n + k) rate FROM h, (SELECT m, CASE WHEN v > 1e-9 THEN greatest(m * (1 - m) / v - 1, 0) ELSE 1e9 END k FROM q))
+b AS (SELECT *, [n_words < 50, 100 * n_repeat_words > 50 * n_words, 100 * n_symbols > 50 * n_words, 100 * n_dup_lines > 30 * n_lines,
+      word_chars < 2 * n_words OR word_chars > 15 * n_words] broken FROM x),
+h AS (SELECT source, k, count(*) n, count(*) FILTER (broken[k]) f FROM b, range(1, 6) t(k) GROUP BY source, k),
+q AS (SELECT k, avg(f / n) m, var_pop(f / n) - avg(f / n) * (1 - avg(f / n)) * avg(1.0 / n) v FROM h GROUP BY k),
+s AS (SELECT source, m, n + w weight, (f + m * w) / (n + w) rate
+      FROM h JOIN (SELECT k, m, CASE WHEN v > 1e-9 THEN greatest(m * (1 - m) / v - 1, 0) ELSE 1e9 END w FROM q) USING (k)),
+z AS (SELECT source, bool_or(rate > 1.5 * m AND rate > m + 2 * sqrt(rate * (1 - rate) / (weight + 1))) suspect FROM s GROUP BY source),
+f AS (SELECT *, broken[1] OR broken[2] base_failed, broken[3] OR broken[4] OR broken[5] soft_failed FROM b)
 SELECT doc_id, n_words, word_chars::BIGINT word_chars, n_symbols::BIGINT n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT (rate > 0.5 AND soft_failed) kept
-FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source
+       NOT base_failed AND NOT (suspect AND soft_failed) kept
+FROM f JOIN z ON f.source IS NOT DISTINCT FROM z.source
 """
 
 MIX = f"""

@@ -1,9 +1,10 @@
 """Quality rules with host-level verdicts (native DataFrame functions only).
 
-Each document is measured against rules. Rule failures are aggregated by host, a beta prior is
-fitted to the host rates by moments (empirical Bayes), every host's rate is shrunk towards it,
-and the host verdict is joined back to the documents: on a suspect host, a document that breaks a
-soft rule is rejected as well. A document that breaks no rule is kept on every host.
+Each document is measured against rules. The failures of every rule are aggregated by host, a beta
+prior a rule is fitted to the hosts' rates by moments (empirical Bayes) and every host's rate is shrunk
+towards it. A host is suspect by a rule where its posterior lies well above the rule's mean over hosts.
+The verdicts are joined back to the documents: on a host that any rule makes suspect, a document that
+breaks a soft rule is rejected as well. A document that breaks no rule is kept on every host.
 
 Defined cases: NULL or empty text has no words and fails; a NULL host is a host of its own;
 repeated rows are measured and counted once each; an empty table gives an empty result; further
@@ -25,8 +26,12 @@ SYMBOLS = "#*$%&|<>"
 MAX_SYMBOL_PERCENT = 50
 MAX_DUP_LINE_PERCENT = 30
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 15
-#: A host is suspect when the shrunken rate of documents breaking any rule exceeds this.
-HOST_RATE_LIMIT = 0.5
+#: Rules in the order of the column ``broken``; the first two are the base rules.
+RULES = ("few_words", "repeats", "symbols", "dup_lines", "word_length")
+#: A host is suspect by a rule where its shrunken rate exceeds the mean rate by this factor and by this many
+#: standard deviations of its posterior.
+RATE_FACTOR = 1.5
+RATE_DEVIATIONS = 2.0
 
 
 def repeat_words(w: Column) -> Column:
@@ -72,37 +77,42 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
     m = m.select("doc_id", "host", *[f"_carry_{c}" for c in carry], F.col("_w.n").alias("n_words"), "word_chars",
                  "n_symbols", F.col("_l.d").alias("n_dup_lines"), F.col("_l.n").alias("n_lines"),
                  F.col("_w.r").alias("n_repeat_words"))
-    return m.withColumns({
-        "base_failed": (F.col("n_words") < MIN_WORDS)
-        | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-        "soft_failed": (100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"))
-        | (100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"))
-        | (F.col("word_chars") < MIN_WORD_CHARS * F.col("n_words"))
-        | (F.col("word_chars") > MAX_WORD_CHARS * F.col("n_words"))})
+    broken = (F.col("n_words") < MIN_WORDS,
+              100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"),
+              100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * F.col("n_words"),
+              100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("n_lines"),
+              (F.col("word_chars") < MIN_WORD_CHARS * F.col("n_words")) | (F.col("word_chars") > MAX_WORD_CHARS * F.col("n_words")))
+    return m.withColumn("broken", F.array(*broken)).withColumns({
+        "base_failed": F.col("broken")[0] | F.col("broken")[1],
+        "soft_failed": F.col("broken")[2] | F.col("broken")[3] | F.col("broken")[4]})
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """Per host: documents ``n``, failures ``f``, and the rate shrunk by the fitted beta prior.
+    """Per host and rule: documents ``n``, failures ``f``, the rule's mean rate ``m`` over hosts, the rate shrunk by
+    the rule's fitted beta prior, and the posterior's standard deviation.
 
     Moments over hosts: mean m and variance v of f/n, less the mean binomial noise; the prior
     strength is m(1-m)/v - 1. With one host, or no spread beyond noise, all hosts share the mean.
     """
-    by_host = measured.groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("base_failed") | F.col("soft_failed")).alias("f"))
+    failures = F.array(*[F.struct(F.lit(rule).alias("rule"), F.count_if(F.col("broken")[k]).alias("f")) for k, rule in enumerate(RULES)])
+    # A few rows a host; written, as the prior and the rates read them.
+    by_host = written(measured.groupBy("host").agg(F.count(F.lit(1)).alias("n"), failures.alias("rules"))
+                      .select("host", "n", F.inline("rules")), "quality-rates")
     rate = F.col("f") / F.col("n")
-    prior = (by_host.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"),
-                         F.avg(1.0 / F.col("n")).alias("inv_n"))
-             .select("m", (F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("inv_n")).alias("v"))
-             .select("m", F.when(F.col("v") > 1e-9, F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(0.0)))
+    prior = (by_host.groupBy("rule").agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"), F.avg(1.0 / F.col("n")).alias("inv_n"))
+             .select("rule", "m", (F.col("v") - F.col("m") * (1 - F.col("m")) * F.col("inv_n")).alias("v"))
+             .select("rule", "m", F.when(F.col("v") > 1e-9, F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(0.0)))
                      .otherwise(F.lit(1e9)).alias("strength")))
-    return (by_host.join(F.broadcast(prior))  # one row
-            .select("host", "n", "f",
-                    ((F.col("f") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("host_rate")))
+    shrunk = by_host.join(F.broadcast(prior), "rule").select(  # a row a rule
+        "host", "rule", "n", "f", "m", (F.col("n") + F.col("strength")).alias("weight"),
+        ((F.col("f") + F.col("m") * F.col("strength")) / (F.col("n") + F.col("strength"))).alias("host_rate"))
+    return shrunk.withColumn("deviation", F.sqrt(F.col("host_rate") * (1 - F.col("host_rate")) / (F.col("weight") + 1)))
 
 
-def suspects(measured: DataFrame, rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
-    """Hosts whose shrunken rate exceeds the limit."""
-    return host_rates(measured).where(F.col("host_rate") > rate_limit).select(F.col("host").alias("_host"), F.lit(True).alias("_suspect"))
+def suspects(measured: DataFrame, factor: float = RATE_FACTOR, deviations: float = RATE_DEVIATIONS) -> DataFrame:
+    """Hosts that at least one rule makes suspect."""
+    above = (F.col("host_rate") > factor * F.col("m")) & (F.col("host_rate") > F.col("m") + deviations * F.col("deviation"))
+    return (host_rates(measured).groupBy(F.col("host").alias("_host")).agg(F.max(above).alias("_suspect")).where("_suspect"))
 
 
 def verdict(measured: DataFrame, bad_hosts: DataFrame) -> DataFrame:
@@ -113,17 +123,17 @@ def verdict(measured: DataFrame, bad_hosts: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
+          factor: float = RATE_FACTOR, deviations: float = RATE_DEVIATIONS) -> DataFrame:
     """Measures and verdict per document. The measures are written once, because the host aggregate
     and the join back both read them."""
     m = written(measure(docs, id_col, text_col, host_col), "quality")
-    return verdict(m, suspects(m, rate_limit))
+    return verdict(m, suspects(m, factor, deviations))
 
 
 def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-         carry: tuple[str, ...] = (), rate_limit: float = HOST_RATE_LIMIT) -> DataFrame:
+         carry: tuple[str, ...] = (), factor: float = RATE_FACTOR, deviations: float = RATE_DEVIATIONS) -> DataFrame:
     """The documents that ``judge`` keeps: doc_id, host and the ``carry`` columns. Texts are measured a second
     time instead of being written with their measures."""
-    bad = written(suspects(measure(docs, id_col, text_col, host_col), rate_limit), "quality-hosts")
+    bad = written(suspects(measure(docs, id_col, text_col, host_col), factor, deviations), "quality-hosts")
     kept = verdict(measure(docs, id_col, text_col, host_col, carry), bad).where("kept")
     return kept.select("doc_id", "host", *[F.col(f"_carry_{c}").alias(c) for c in carry])

@@ -104,6 +104,37 @@ def test_suspect_hosts_reject_rule_breakers_only(spark):
     assert got[62].kept and got[100].kept and got[200].kept
 
 
+def test_hosts_that_fail_alike_are_not_suspect(spark):
+    good = " ".join(f"word{k}" for k in range(80))
+    junk = " ".join(f"## {w}" for w in good.split())
+    rows = [(100 * h + k, junk if k % 2 else good, f"host{h}") for h in range(6) for k in range(40)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert len(got) == 240 and all(r.kept for r in got)
+
+
+def test_host_rates_equal_brute_force(spark):
+    """One prior a rule: the failures of one rule do not move another rule's rates."""
+    good = " ".join(f"word{k}" for k in range(80))
+    symbols, lines = " ".join(f"## {w}" for w in good.split()), "\n".join([good] * 3)
+    hosts = {h: [good] * (20 + h) + [symbols] * h + [lines] * (h % 3) + ["short"] * 2 for h in range(8)}
+    hosts[None] = [good] * 30 + [lines] * 25
+    rows = [(t, h) for h, texts in hosts.items() for t in texts]
+    measured = quality.measure(spark.createDataFrame([(k, t, h) for k, (t, h) in enumerate(rows)], "doc_id bigint, text string, source int"))
+    got = {(r.host, r.rule): r for r in quality.host_rates(measured).collect()}
+    assert len(got) == len(hosts) * len(quality.RULES)
+    failing = {"few_words": {"short"}, "repeats": {lines}, "symbols": {symbols}, "dup_lines": {lines}, "word_length": set()}
+    for rule, texts in failing.items():
+        rates = {h: sum(t in texts for t in held) / len(held) for h, held in hosts.items()}
+        mean = sum(rates.values()) / len(rates)
+        noise = mean * (1 - mean) * sum(1 / len(held) for held in hosts.values()) / len(hosts)
+        spread = sum((r - mean) ** 2 for r in rates.values()) / len(rates) - noise
+        strength = max(mean * (1 - mean) / spread - 1, 0) if spread > 1e-9 else 1e9
+        for h, held in hosts.items():
+            want = (rates[h] * len(held) + mean * strength) / (len(held) + strength)
+            assert got[h, rule].host_rate == pytest.approx(want) and got[h, rule].m == pytest.approx(mean)
+    assert [r._host for r in quality.suspects(measured).where("_host IS NULL").collect()] == [None]
+
+
 def test_repeat_words(spark):
     texts = ["a b c a b c", "a b c d", "a a a a", "x y", "a b c x a b c y a b c"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("w", F.split("text", " "))
