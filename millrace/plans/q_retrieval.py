@@ -35,6 +35,13 @@ def q_embed_text(spark, sf):
     return D.embed_text(Ctx(spark, sf).text_index("documents", "doc_id", "text", with_norm=True))
 
 
+@query("embed_dense")
+def q_embed_dense(spark, sf):
+    """D01 as dense vectors, a row a dimension."""
+    dense = D.embed_dense(Ctx(spark, sf).text_index("documents", "doc_id", "text", with_norm=True))
+    return dense.select("doc_id", F.posexplode("vector").alias("dim", "value"))
+
+
 @query("build_vector_index")
 def q_build_vector_index(spark, sf):
     c = Ctx(spark, sf)

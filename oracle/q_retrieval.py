@@ -143,6 +143,14 @@ _tf["tfv"] = ("SELECT doc_id, term, w / norm AS weight FROM tfw JOIN "
               "(SELECT doc_id, sqrt(sum(w * w)) AS norm FROM tfw GROUP BY doc_id) USING (doc_id)")
 ORACLE["embed_text"] = query_sql("SELECT * FROM tfv", _tf)
 
+_dense = dict(_tf)
+_dense["dterm"] = (f"SELECT term, d, sum(CASE WHEN substr(sha256(CAST(doc_id AS VARCHAR)), d, 1) >= '8' THEN weight ELSE -weight END) AS v "
+                   f"FROM tfv, range(1, {D.DENSE_DIMS + 1}) t(d) GROUP BY term, d")
+_dense["dunit"] = "SELECT term, d, v / sqrt(sum(v * v) OVER (PARTITION BY term)) AS v FROM dterm"
+_dense["ddoc"] = "SELECT doc_id, d, sum(weight * v) AS v FROM tfv JOIN dunit USING (term) GROUP BY doc_id, d"
+_dense["dround"] = "SELECT doc_id, CAST(d - 1 AS INTEGER) AS dim, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS value FROM ddoc"
+ORACLE["embed_dense"] = query_sql(f"SELECT doc_id, dim, CASE WHEN value = 0 THEN {DB(0.0)} ELSE value END AS value FROM dround", _dense)
+
 _sem = dict(_tf)
 _sem["sq"] = f"SELECT query_id, term, count(*) AS tf FROM (SELECT query_id, unnest({TOK('text')}) AS term FROM ({USER_Q})) GROUP BY ALL"
 _sem["sqw"] = (f"SELECT query_id, term, tf * (ln(({DB(1.0)} + n) / (coalesce(df, 0) + {DB(1.0)})) + {DB(1.0)}) AS w "
