@@ -43,33 +43,6 @@ def embed_text(index: TS.TextIndex) -> DataFrame:
         "doc_id", "term", (F.col("tf") * TS.smooth_idf(index.n, F.col("df")) / F.col("norm")).alias("weight"))
 
 
-#: Dimensions of dense text vectors: a hexadecimal digit of a SHA-256 gives the sign of each.
-DENSE_DIMS = 64
-
-
-def embed_dense(index: TS.TextIndex) -> DataFrame:
-    """D01 dense: (doc_id, vector), unit vectors of ``DENSE_DIMS`` dimensions at six decimals, by random indexing.
-
-    Every document has fixed random signs (the digits of the SHA-256 of its id). A term's vector is the unit vector of
-    the signs of its documents, weighted by TF-IDF; a document's vector is that of its terms' vectors, weighted again:
-    one step of a power iteration on the document-term matrix. Terms that occur in the same documents are close, so
-    texts without a shared word can meet, with a noise of about 1 / sqrt(dimensions) a pair. Both steps are sums with partial aggregation, so a term of all documents is
-    one row a task; the term vectors are as many as the vocabulary and are joined, not broadcast by hint. Documents
-    without a term have no vector.
-    """
-    weights = written(embed_text(index), "dense_weights")
-    digest = F.sha2(F.col("doc_id").cast("string").cast("binary"), 256)
-    signed = weights.select("term", "weight", digest.alias("digest"))
-    by_term = signed.groupBy("term").agg(F.array(*[
-        F.sum(F.when(F.substring("digest", d + 1, 1) >= "8", F.col("weight")).otherwise(-F.col("weight"))) for d in range(DENSE_DIMS)]).alias("v"))
-    terms = written(by_term.select("term", l2_normalize(F.col("v")).alias("v")).where("v IS NOT NULL"), "dense_terms")
-    docs = weights.join(terms, "term").groupBy("doc_id").agg(
-        F.array(*[F.sum(F.col("weight") * F.col("v")[d]) for d in range(DENSE_DIMS)]).alias("v"))
-    rounded = F.transform(l2_normalize(F.col("v")), lambda x: F.round(x, 6))
-    # No negative zeros.
-    return docs.select("doc_id", F.transform(rounded, lambda x: F.when(x == 0, 0.0).otherwise(x)).alias("vector")).where("vector IS NOT NULL")
-
-
 def hybrid_text_search(index: TS.TextIndex, queries: DataFrame, qid_col: str, q_text: str, k: int = 10) -> DataFrame:
     """D07 over text: the TF-IDF cosine list and the BM25 list of one index, fused by reciprocal rank."""
     return hybrid_search(TS.cosine_search(index, queries, qid_col, q_text, k),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import densetext as DT
 from ..operators import retrieval as D
 from .queries import Ctx, query
 
@@ -38,7 +39,7 @@ def q_embed_text(spark, sf):
 @query("embed_dense")
 def q_embed_dense(spark, sf):
     """D01 as dense vectors, a row a dimension."""
-    dense = D.embed_dense(Ctx(spark, sf).text_index("documents", "doc_id", "text", with_norm=True))
+    dense = DT.embed_dense(Ctx(spark, sf).text_index("documents", "doc_id", "text", with_norm=True))
     return dense.select("doc_id", F.posexplode("vector").alias("dim", "value"))
 
 

@@ -1,5 +1,6 @@
 """Oracle SQL for D01–D14 (D05, D13 rows-only) and I04."""
 
+from millrace.operators import densetext as DT
 from millrace.operators import retrieval as D
 
 from .builders import CTES, DEPS
@@ -145,7 +146,7 @@ ORACLE["embed_text"] = query_sql("SELECT * FROM tfv", _tf)
 
 _dense = dict(_tf)
 _dense["dterm"] = (f"SELECT term, d, sum(CASE WHEN substr(sha256(CAST(doc_id AS VARCHAR)), d, 1) >= '8' THEN weight ELSE -weight END) AS v "
-                   f"FROM tfv, range(1, {D.DENSE_DIMS + 1}) t(d) GROUP BY term, d")
+                   f"FROM tfv, range(1, {DT.DIMS + 1}) t(d) GROUP BY term, d")
 _dense["dunit"] = "SELECT term, d, v / sqrt(sum(v * v) OVER (PARTITION BY term)) AS v FROM dterm"
 _dense["ddoc"] = "SELECT doc_id, d, sum(weight * v) AS v FROM tfv JOIN dunit USING (term) GROUP BY doc_id, d"
 _dense["dround"] = "SELECT doc_id, CAST(d - 1 AS INTEGER) AS dim, round(v / sqrt(sum(v * v) OVER (PARTITION BY doc_id)), 6) AS value FROM ddoc"

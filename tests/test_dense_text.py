@@ -4,8 +4,10 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from millrace.operators import densetext as DT
 from millrace.operators import retrieval as D
 from millrace.operators import textsearch as TS
 
@@ -13,7 +15,7 @@ SCHEMA = "doc_id bigint, text string"
 
 
 def dense(spark, rows):
-    return D.embed_dense(TS.build_index(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", with_norm=True))
+    return DT.embed_dense(TS.build_index(spark.createDataFrame(rows, SCHEMA), "doc_id", "text", with_norm=True))
 
 
 def by_hand(rows):
@@ -68,3 +70,34 @@ def test_vectors_are_searched_by_the_index(spark):
 
 def test_empty_table_gives_no_vectors(spark):
     assert dense(spark, []).count() == 0
+
+
+def test_chunks_and_steps_do_not_change_the_sums(monkeypatch):
+    """Partial sums of small chunks, merged while terms cross batches, are those of one chunk."""
+    rng = np.random.default_rng(3)
+    docs = [sorted(rng.choice(40, rng.integers(1, 12), replace=False)) for _ in range(60)] + [list(range(40))]
+    rows = pa.table({"norm": rng.random(61) + 0.5, "terms": [[f"t{t:02}" for t in d] for d in docs],
+                     "counts": pa.array([[int(rng.integers(1, 5)) for _ in d] for d in docs], pa.list_(pa.int32())),
+                     "signs": rng.integers(-2 ** 63, 2 ** 63 - 1, 61)})
+
+    def merged(chunk, step, batch):
+        monkeypatch.setattr(DT, "CHUNK", chunk)
+        monkeypatch.setattr(DT, "STEP", step)
+        parts = pa.Table.from_batches(list(DT._chunk_terms(iter(rows.to_batches(max_chunksize=batch))))).sort_by("term")
+        sums = pa.Table.from_batches(list(DT._merge_terms(iter(parts.combine_chunks().to_batches(max_chunksize=batch)))))
+        assert sums["term"].to_pylist() == [f"t{t:02}" for t in range(40)]
+        return len(parts), np.array(sums["v"].to_pylist())
+
+    whole, want = merged(1 << 18, 1 << 15, 100)
+    assert whole == 40
+    for chunk, step, batch in ((1, 1, 1), (7, 3, 5), (50, 8, 100), (1000, 2, 7)):
+        parts, got = merged(chunk, step, batch)
+        assert got == pytest.approx(want) and (parts > 40 or chunk == 1000)
+
+
+def test_terms_that_cancel_out_give_no_vector():
+    docs = pa.table({"g": [0, 0], "doc_id": [1, 2], "terms": [["a", "b"], ["b"]], "counts": pa.array([[1, 1], [3]], pa.list_(pa.int32()))})
+    v = np.ones(DT.DIMS)
+    vectors = pa.table({"g": [0, 0], "term": ["a", "b"], "v": [list(v), list(-v)]})
+    assert DT._documents(docs, vectors)["doc_id"].to_pylist() == [2]
+    assert DT._documents(docs, vectors.slice(0, 0)).num_rows == 0
