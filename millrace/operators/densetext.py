@@ -99,8 +99,19 @@ def _chunk_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield summed(held)
 
 
+def _units(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and the rows that have a direction."""
+    norm = np.sqrt((sums * sums).sum(axis=1))
+    rows = np.flatnonzero(norm > 0)
+    return sums[rows] / norm[rows, None], rows
+
+
 def _merge_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of partial vectors that come sorted by term; the last term of a batch stays open."""
+    """Unit vectors of the sums of partial vectors that come sorted by term; the last term of a batch stays open."""
+    def closed(terms: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
+        unit, rows = _units(sums)
+        return pa.record_batch([terms.take(pa.array(rows)), _lists(unit)], schema=_TERM_VECTORS)
+
     open_term, open_sum = None, None
     for batch in batches:
         if not batch.num_rows:
@@ -114,12 +125,12 @@ def _merge_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if terms[0].as_py() == open_term:
                 sums[0] += open_sum
             else:
-                yield pa.record_batch([pa.array([open_term]), _lists(open_sum[None])], schema=_TERM_VECTORS)
+                yield closed(pa.array([open_term]), open_sum[None])
         open_term, open_sum = terms[-1].as_py(), sums[-1].copy()
         if len(ends) > 1:
-            yield pa.record_batch([terms.slice(0, len(ends) - 1), _lists(sums[:-1])], schema=_TERM_VECTORS)
+            yield closed(terms.slice(0, len(ends) - 1), sums[:-1])
     if open_term is not None:
-        yield pa.record_batch([pa.array([open_term]), _lists(open_sum[None])], schema=_TERM_VECTORS)
+        yield closed(pa.array([open_term]), open_sum[None])
 
 
 def _documents(docs: pa.Table, vectors: pa.Table) -> pa.Table:
@@ -129,24 +140,21 @@ def _documents(docs: pa.Table, vectors: pa.Table) -> pa.Table:
     place = place.fill_null(0).to_numpy()[found]
     which = np.repeat(np.arange(len(docs)), pc.list_value_length(docs["terms"]).to_numpy())[found]
     tf = _flat(docs["counts"]).to_numpy()[found]
-    m = _matrix(vectors["v"].combine_chunks()) if len(vectors) else np.zeros((0, DIMS))
+    m = _matrix(vectors["v"].combine_chunks()) * vectors["idf"].to_numpy()[:, None]
     sums = _sums(which, len(docs), lambda lo, hi: tf[lo:hi, None] * m[place[lo:hi]])
-    norm = np.sqrt((sums * sums).sum(axis=1))
-    rows = np.flatnonzero(norm > 0)
+    unit, rows = _units(sums)
     # Adding zero makes a negative zero positive.
-    unit = np.round(sums[rows] / norm[rows, None], DECIMALS) + 0.0
-    return pa.table({"doc_id": docs["doc_id"].take(pa.array(rows)), "vector": _lists(unit)})
+    return pa.table({"doc_id": docs["doc_id"].take(pa.array(rows)), "vector": _lists(np.round(unit, DECIMALS) + 0.0)})
 
 
 def term_vectors(index: TS.TextIndex) -> DataFrame:
-    """(term, v): the unit vector of each term, times its inverse document frequency."""
+    """(term, v, idf): the unit vector of each term and its inverse document frequency. A term whose documents cancel
+    out has none."""
     bits = F.translate(F.sha2(F.col("doc_id").cast("string").cast("binary"), 256), "0123456789abcdef", "0000000011111111")
     signed = index.docs.select("norm", "terms", "counts", F.conv(bits, 2, -10).cast("bigint").alias("signs"))
     parts = signed.mapInArrow(_chunk_terms, "term string, v array<double>")
-    sums = parts.repartition("term").sortWithinPartitions("term").mapInArrow(_merge_terms, "term string, v array<double>")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return sums.join(index.df, "term").withColumn("scale", TS.smooth_idf(index.n, F.col("df")) / norm).where(norm > 0) \
-        .select("term", F.transform("v", lambda x: x * F.col("scale")).alias("v"))
+    units = parts.repartition("term").sortWithinPartitions("term").mapInArrow(_merge_terms, "term string, v array<double>")
+    return units.join(index.df, "term").select("term", "v", TS.smooth_idf(index.n, F.col("df")).alias("idf"))
 
 
 def embed_dense(index: TS.TextIndex) -> DataFrame:
@@ -161,6 +169,6 @@ def embed_dense(index: TS.TextIndex) -> DataFrame:
     groups = int(postings // CHUNK) + 1
     docs = index.docs.select("doc_id", "terms", "counts", F.pmod(F.xxhash64("doc_id"), F.lit(groups)).cast("int").alias("g"))
     asked = docs.select("g", F.explode("terms").alias("term")).distinct()
-    vectors = asked.join(terms, "term").select(F.col("g").alias("asking"), "term", "v")
+    vectors = asked.join(terms, "term").select(F.col("g").alias("asking"), "term", "v", "idf")
     out = T.StructType([index.docs.schema["doc_id"], T.StructField("vector", T.ArrayType(T.DoubleType()))])
     return docs.groupBy("g").cogroup(vectors.groupBy("asking")).applyInArrow(_documents, out)

@@ -98,6 +98,6 @@ def test_chunks_and_steps_do_not_change_the_sums(monkeypatch):
 def test_terms_that_cancel_out_give_no_vector():
     docs = pa.table({"g": [0, 0], "doc_id": [1, 2], "terms": [["a", "b"], ["b"]], "counts": pa.array([[1, 1], [3]], pa.list_(pa.int32()))})
     v = np.ones(DT.DIMS)
-    vectors = pa.table({"g": [0, 0], "term": ["a", "b"], "v": [list(v), list(-v)]})
+    vectors = pa.table({"g": [0, 0], "term": ["a", "b"], "v": [list(v), list(-v)], "idf": [2.0, 2.0]})
     assert DT._documents(docs, vectors)["doc_id"].to_pylist() == [2]
     assert DT._documents(docs, vectors.slice(0, 0)).num_rows == 0
