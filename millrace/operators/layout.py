@@ -32,27 +32,21 @@ def conform_to_schema(df: DataFrame, target: T.StructType, lenient: bool = True)
     return df.select(*cols)
 
 
-#: Bits of a column's rank in a Z-value: 2^6 quantile ranges a column.
-Z_BITS = 6
-
-
-def z_value(df: DataFrame, cols: list, bits: int = Z_BITS) -> Column:
-    """Interleave the ranks of the columns (Morton code).
-
-    A value's rank is the number of the column's 2^bits - 1 quantiles below it. The quantiles come from mergeable
-    sketches in one aggregate over all columns, so a few extreme values move no other value into one cell, as scaling
-    between the smallest and the largest would. NULL ranks lowest.
-    """
-    n = 1 << bits
-    sketch = df.agg(*[F.percentile_approx(c, [i / n for i in range(1, n)], 100 * n).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+def z_value(df: DataFrame, cols: list) -> Column:
+    """Interleave the min-max scaled values of integer columns (Morton code), with as many bits a column as fit 62, so
+    that values stay apart beside a few extreme ones. All bounds come from one aggregate; NULL scales to 0. The scaling
+    is in doubles, which do not overflow."""
+    bits = 62 // len(cols)
+    bounds = df.agg(*[f(c).cast("double").alias(f"{n}_{i}") for i, c in enumerate(cols) for n, f in (("min", F.min), ("max", F.max))]).first()
     z = F.lit(0).cast("bigint")
     for i, c in enumerate(cols):
-        if not sketch[i]:
+        mn, mx = bounds[f"min_{i}"], bounds[f"max_{i}"]
+        if mn == mx:
             continue
-        quantiles = F.array(*[F.lit(q) for q in sorted(set(sketch[i]))])
-        rank = F.coalesce(F.size(F.filter(quantiles, lambda q: q < F.col(c))), F.lit(0)).cast("bigint")
+        s = F.floor((F.col(c).cast("double") - F.lit(mn)) * F.lit(float((1 << bits) - 1)) / F.lit(mx - mn))
+        s = F.coalesce(s.cast("bigint"), F.lit(0).cast("bigint"))
         for b in range(bits):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("bigint")), b * len(cols) + i))
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(s, b).bitwiseAND(F.lit(1).cast("bigint")), b * len(cols) + i))
     return z
 
 

@@ -62,3 +62,12 @@ def test_only_fixed_dimensions_are_hinted_for_broadcast(spark):
 def test_kpi_top1_is_an_aggregate_not_a_window(spark):
     p = plan(Q["equipment_status"](spark, SF_CHECK))
     assert "Window" not in p
+
+
+def test_clustering_returns_and_checks_its_z_value(spark):
+    import __spark_entry__ as E
+    assert "z_value" in E.oracle_sql()["cluster_by_keys"]
+    found = Q["cluster_by_keys"](spark, SF_CHECK)
+    assert found.columns[-1] == "z_value"
+    # 31 bits a column: every part and warehouse has a code of its own
+    assert found.select("z_value").distinct().count() == found.count()
