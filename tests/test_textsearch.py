@@ -105,3 +105,24 @@ def test_contains_join_in_several_passes(spark, monkeypatch):
     t = spark.createDataFrame([(1, "xabcab"), (2, ""), (3, None), (4, "b"), (5, "_é😀_")], "tid int, t string").withColumn("n", F.lit(1))
     got = sorted((r.qid, r.tid) for r in textmatch.contains_join(q, "q", t, "t").collect())
     assert got == [(1, 1), (2, 1), (2, 4), (3, 1), (6, 1), (7, 5)]
+
+
+def test_an_offer_costs_its_own_queries_only(monkeypatch):
+    import numpy as np
+
+    from millrace.operators import textsearch as TS
+    h, rng = TS.Heaps(5000, 3, np.dtype("<U2")), np.random.default_rng(1)
+    who, score = np.repeat(np.arange(5000), 8), rng.random(40000)
+    doc = np.array([f"d{i}" for i in range(40000)])  # longer ids than at first
+    h.add(who, score, doc)
+    sizes, sort = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sizes.append(len(keys[-1])) or sort(keys))
+    h.add(np.array([7, 7, 4999]), np.array([2.0, 2.0, 3.0]), np.array(["x2", "x1", "y"]))
+    assert max(sizes) <= 3 + 2 * 3  # the offers and the kept places of two queries, not those of all
+    found = {}
+    for q, d, s in zip(*h.best()):
+        found.setdefault(int(q), []).append((-round(float(s), 6), str(d)))
+    want = {}
+    for q, d, s in [*zip(who.tolist(), doc.tolist(), score.tolist()), (7, "x2", 2.0), (7, "x1", 2.0), (4999, "y", 3.0)]:
+        want.setdefault(q, []).append((-round(s, 6), d))
+    assert found == {q: sorted(v)[:3] for q, v in want.items()}
