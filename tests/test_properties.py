@@ -233,3 +233,16 @@ def test_quality_checks_report_exactly_the_seeded_faults(spark):
     assert ids["id_format:supplier_id"] == 3
     dup = {r.rule: r.failed_rows for r in J.unique_keys({"suppliers": good.unionByName(good.limit(2))}).collect()}
     assert dup["unique:supplier_id"] == 4
+
+
+def test_knn_in_steps_of_bounded_scores_equals_numpy(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    X = rng.standard_normal((150, 8))
+    X /= np.linalg.norm(X, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in X[i]]) for i in range(150)], "id long, vector array<double>")
+    assert D.KNN_BLOCK >= 1 << 16  # a row is shuffled once a block of the other side
+    monkeypatch.setattr(D, "KNN_SCORES", 64)
+    S = X @ X.T
+    np.fill_diagonal(S, -np.inf)
+    got = D.knn_exact(df, df.select(F.col("id").alias("query_id"), "vector"), k=4, exclude_self=True)
+    assert {(r.query_id, r.id) for r in got.collect()} == {(i, int(j)) for i in range(150) for j in np.argsort(-S[i])[:4]}
