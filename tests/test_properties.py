@@ -246,3 +246,16 @@ def test_knn_in_steps_of_bounded_scores_equals_numpy(spark, monkeypatch):
     np.fill_diagonal(S, -np.inf)
     got = D.knn_exact(df, df.select(F.col("id").alias("query_id"), "vector"), k=4, exclude_self=True)
     assert {(r.query_id, r.id) for r in got.collect()} == {(i, int(j)) for i in range(150) for j in np.argsort(-S[i])[:4]}
+
+
+def test_cells_sort_little_more_than_their_sample(spark, monkeypatch):
+    import hashlib
+    X, df = clustered(spark)
+    monkeypatch.setattr(D, "TRAIN_ROWS", 20)
+    monkeypatch.setattr(D, "TRAIN_ROUNDS", 0)
+    sorted_rows, limit = [], type(df).limit
+    monkeypatch.setattr(type(df), "limit", lambda self, n: sorted_rows.append(self.count()) or limit(self, n))
+    found = D.train_cells(df, 20)
+    first = sorted(range(360), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:20]
+    assert np.allclose(found, X[first], atol=1e-6)
+    assert 20 <= max(sorted_rows) <= 25
