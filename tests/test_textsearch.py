@@ -126,3 +126,23 @@ def test_an_offer_costs_its_own_queries_only(monkeypatch):
     for q, d, s in [*zip(who.tolist(), doc.tolist(), score.tolist()), (7, "x2", 2.0), (7, "x1", 2.0), (4999, "y", 3.0)]:
         want.setdefault(q, []).append((-round(s, 6), d))
     assert found == {q: sorted(v)[:3] for q, v in want.items()}
+
+
+@pytest.mark.parametrize("limit", [1 << 18, 9, 0])
+def test_only_rows_of_rare_terms_are_shuffled_to_their_frequencies(spark, monkeypatch, limit):
+    """The weights are the same wherever the cut is; rows of the most frequent terms meet a broadcast, a bounded one."""
+    monkeypatch.setattr(TS, "COMMON_TERMS", limit)
+    docs, _ = corpus(6)
+    index = TS.build_index(spark.createDataFrame(docs, "id string, text string, g string"), "id", "text", with_norm=True)
+    held = {d: Counter((t or "").split()) for d, t, _ in docs if d is not None and (t or "").split()}
+    df = Counter(t for c in held.values() for t in c)
+    w = {(d, t): f * (math.log((1 + len(held)) / (1 + df[t])) + 1) for d, c in held.items() for t, f in c.items()}
+    norm = {d: math.sqrt(sum(w[d, t] ** 2 for t in c)) for d, c in held.items()}
+    found = D.embed_text(index)
+    got = {(r.doc_id, r.term): r.weight for r in found.collect()}
+    assert found.count() == len(got) and got.keys() == w.keys()
+    assert all(got[d, t] == pytest.approx(w[d, t] / norm[d]) for d, t in got)
+    cut = index.frequent(limit)
+    assert sum(n >= cut for n in df.values()) <= limit and (cut == 1 or sum(n >= cut // 2 for n in df.values()) > limit or cut > max(df.values()))
+    logical = found._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" in logical and logical.count("Join ") == (1 if limit > len(df) else 3)
