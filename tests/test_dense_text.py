@@ -101,3 +101,34 @@ def test_terms_that_cancel_out_give_no_vector():
     vectors = pa.table({"g": [0, 0], "term": ["a", "b"], "v": [list(v), list(-v)], "idf": [2.0, 2.0]})
     assert DT._documents(docs, vectors)["doc_id"].to_pylist() == [2]
     assert DT._documents(docs, vectors.slice(0, 0)).num_rows == 0
+
+
+def test_terms_of_few_documents_travel_packed():
+    """Below ``PACKED`` documents a term moves as two numbers a document, also where its parts come from several chunks."""
+    rng = np.random.default_rng(5)
+    docs = [["all", f"one{i}"] + (["some"] if i % 5 == 0 else []) for i in range(100)]
+    rows = pa.table({"norm": rng.random(100) + 0.5, "terms": docs, "counts": pa.array([[1] * len(d) for d in docs], pa.list_(pa.int32())),
+                     "signs": rng.integers(-2 ** 63, 2 ** 63 - 1, 100)})
+    parts = pa.Table.from_batches(list(DT._chunk_terms(iter(rows.to_batches()))))
+    assert sum(len(v) for v in parts["v"].to_pylist()) == DT.DIMS  # of the word "all"
+    halves = [b for lo in (0, 50) for b in DT._chunk_terms(iter(rows.slice(lo, 50).to_batches()))]
+    for held in (parts, pa.Table.from_batches(halves)):
+        by_term = held.sort_by("term").combine_chunks()
+        dense = pa.Table.from_batches(list(DT._merge_terms(iter(by_term.to_batches(max_chunksize=9)))))
+        packed = pa.Table.from_batches(list(DT._merge_terms(iter(by_term.to_batches(max_chunksize=9)), packed=True)))
+        size = {t: (len(v), len(s)) for t, v, s in zip(*(packed[c].to_pylist() for c in ("term", "v", "signs")))}
+        assert size["all"] == (DT.DIMS, 0) and size["some"] == (0, 20) and size["one7"] == (0, 1) and len(size) == 102
+        sums = DT._unpacked(packed)
+        want = np.array(dense["v"].to_pylist())
+        assert packed["term"].to_pylist() == dense["term"].to_pylist()
+        assert sums / np.linalg.norm(sums, axis=1, keepdims=True) == pytest.approx(want)
+
+
+@pytest.mark.parametrize("hot, packed, group", [(1 << 15, 32, 1 << 20), (0, 32, 50), (20, 2, 50), (7, 1 << 30, 10)])
+def test_broadcast_and_packed_terms_do_not_change_the_vectors(spark, monkeypatch, hot, packed, group):
+    for name, v in (("HOT", hot), ("PACKED", packed), ("GROUP", group)):
+        monkeypatch.setattr(DT, name, v)
+    rows = topics() + [(1003, "ship1 " * 50 + "alone")]
+    got = {r.doc_id: np.array(r.vector) for r in dense(spark, rows).collect()}
+    want = by_hand(rows)
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i], abs=2e-6) for i in got)
