@@ -96,6 +96,105 @@ def test_status_changes_of_a_shuffled_folder_in_small_batches(spark, duck_small,
     assert r["ok"], r
 
 
+class Store:
+    """The state of one device, as the processor sees it; counts the calls, each of which is a round trip in a task."""
+
+    def __init__(self):
+        self.calls, self.timers, self.states = 0, set(), {}
+
+    def state(self, name, *_):
+        return State(self, self.states.setdefault(name, {}))
+
+    getValueState = getListState = getMapState = state
+
+    def registerTimer(self, ms):
+        self.calls += 1
+        self.timers.add(ms)
+
+    def deleteTimer(self, ms):
+        self.calls += 1
+        self.timers.discard(ms)
+
+
+class State:
+    def __init__(self, store, held):
+        self.store, self.held = store, held
+
+    def _call(self):
+        self.store.calls += 1
+        return self.held
+
+    def exists(self):
+        return "v" in self._call()
+
+    def get(self):
+        return self._call().get("v", [])
+
+    def update(self, v):
+        self._call()["v"] = v
+
+    put = update
+
+    def clear(self):
+        self._call().clear()
+
+    def appendValue(self, v):
+        self._call().setdefault("v", []).append(v)
+
+    def containsKey(self, k):
+        return k in self._call()
+
+    def getValue(self, k):
+        return self._call()[k]
+
+    def updateValue(self, k, v):
+        self._call()[k] = v
+
+    def removeKey(self, k):
+        del self._call()[k]
+
+    def keys(self):
+        return list(self._call())
+
+
+@pytest.mark.parametrize("waiting", [0, 90, 1000])
+def test_status_changes_take_few_calls_to_the_state_store(monkeypatch, waiting):
+    """Readings of many slots, in no order, wait in the list, by slot or in both; what is judged is that of a sort. In
+    the list a device's calls do not grow with its slots."""
+    import random
+    from types import SimpleNamespace
+    import pandas as pd
+    monkeypatch.setattr(H, "WAITING", waiting)
+    rng = random.Random(waiting)
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(10**6)), f"r{i}", rng.choice(["NORMAL", "ERROR", None])) for i in range(300)]
+    rows.sort(key=lambda r: r[0].timestamp() + rng.randrange(4000))  # disorder below the delay
+    p, store, got, judged = H._status_processor(), Store(), [], set()
+    p.init(store)
+    epoch = dt.datetime(1970, 1, 1)
+
+    def judge(watermark):
+        while due := [t for t in store.timers if t <= watermark]:
+            assert len(store.timers) == 1
+            store.timers.remove(due[0])
+            for pdf in p.handleExpiredTimer(("d",), SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark), SimpleNamespace(getExpiryTimeInMs=lambda: due[0])):
+                got.extend(tuple(r)[2:] for r in pdf.itertuples(index=False))
+
+    for lo in range(0, 300, 60):
+        part = rows[lo:lo + 60]
+        halves = [pd.DataFrame(h, columns=["timestamp", "reading_id", "operational_status"]) for h in (part[:30], part[30:])]
+        list(p.handleInputRows(("d",), iter(halves), None))
+        judge(int((max(t for t, _, _ in rows[:lo + 60]) - epoch).total_seconds() * 1000) - 5_000_000)
+    calls = store.calls
+    judge(10**15)
+    last, want = None, []
+    for t, rid, status in sorted(rows, key=lambda r: (r[0], r[1])):
+        if last is not None and status is not None and status != last:
+            want.append((rid, last, status))
+        last = status or last
+    assert got == want and not store.timers
+    assert waiting < 1000 or calls < 80  # 300 readings in about 250 slots
+
+
 VECTORS = "vec_id long, embedding array<double>, label string, op string"
 
 
