@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import written
 from .schemas import DOMAINS, TABLES, TableSpec
 
 
@@ -85,13 +86,18 @@ def partitioned_write(df: DataFrame, path: str, date_col: str, ts_col: str | Non
 
 
 def compact_files(df: DataFrame, path: str, target_bytes: int = 128 * 1024 * 1024) -> DataFrame:
-    """A10: fewer, larger files. A ``rebalance`` hint lets AQE cut the output into
-    partitions of about ``target_bytes`` (split skewed ones, merge small ones)."""
+    """A10: fewer, larger files, without a shuffle of the rows. The rows are written as they come, and the files read
+    back in splits of about ``target_bytes`` (small files together, large ones in parts), each of which is a new file."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    packing = {"spark.sql.files.maxPartitionBytes": str(target_bytes), "spark.sql.files.openCostInBytes": "0",
+               "spark.sql.files.minPartitionNum": "1"}
+    loose = written(df, "loose")
+    prev = {k: spark.conf.get(k, None) for k in packing}
     try:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        for k, v in packing.items():
+            spark.conf.set(k, v)
+        loose.write.mode("overwrite").parquet(path)
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+        for k, v in prev.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.parquet(path)

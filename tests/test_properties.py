@@ -55,6 +55,27 @@ def test_layout_jobs_preserve_the_bag(spark):
     assert sorted(c.collect()) == sorted(df.collect())
 
 
+def test_compaction_shuffles_no_rows(spark, monkeypatch):
+    """Many small files become few, and a large one several, of about the wanted size; the settings are as before."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from millrace.sources.sinks import compact_files
+    plans, save = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: (plans.append(w._df._jdf.queryExecution().executedPlan().toString()), save(w, *a, **k))[1])
+    spark.conf.set("parquet.block.size", str(1 << 18))
+    try:
+        big = spark.range(0, 400_000, 1, 1).select(F.col("id"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+        small = spark.range(400_000, 400_600, 1, 30).select(F.col("id"), F.lit("x").alias("h"))
+        conf = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")}
+        c = compact_files(big.union(small), scratch_path(spark, "t-packed"), target_bytes=4 << 20)
+    finally:
+        spark.conf.unset("parquet.block.size")
+    assert plans and not any("Exchange" in p or "RoundRobin" in p for p in plans)
+    assert c.count() == c.select("id").distinct().count() == 400_600
+    size = sum(f.stat().st_size for f in map(__import__("pathlib").Path, (f.removeprefix("file://") for f in c.inputFiles())))
+    assert size > 20 << 20 and size // (4 << 20) <= len(c.inputFiles()) <= 2 * size // (4 << 20) + 1
+    assert conf == {k: spark.conf.get(k, None) for k in conf}
+
+
 def test_upsert_is_idempotent(spark):
     base = spark.createDataFrame([(i, 1, "upsert", i % 3) for i in range(10)], "id int, version int, op string, v int") \
         .drop("op")
