@@ -79,9 +79,9 @@ def lookup_customer(queries: DataFrame, customers: DataFrame, q_col: str = "name
     """
     cu = customers.select("customer_id", "customer_name", "email", "total_orders", "total_spent",
                           "last_purchase_date", "status")
-    m = contains_join(queries.select(q_col).distinct(), q_col, cu, "customer_name")
     order_key = F.coalesce(-F.datediff(F.col("last_purchase_date"), F.lit(_dt.date(1970, 1, 1))), F.lit(1 << 30))
-    best = m.groupBy(q_col).agg(F.min(F.struct(order_key.alias("k"), "customer_id", "customer_name", "email",
+    m = contains_join(queries.select(q_col).distinct(), q_col, cu.withColumn("k", order_key), "customer_name", first_by=["k", "customer_id"])
+    best = m.groupBy(q_col).agg(F.min(F.struct("k", "customer_id", "customer_name", "email",
                                                "total_orders", "total_spent", "last_purchase_date", "status")).alias("b"))
     line = F.concat(F.lit("Customer ID: "), F.col("b.customer_id"), F.lit(", Email: "), F.col("b.email"),
                     F.lit(", Total Orders: "), F.col("b.total_orders").cast("string"),
@@ -101,7 +101,7 @@ def inventory_status(queries: DataFrame, inventory: DataFrame, q_col: str = "par
     """Per part-name query, the lowest-stock matching inventory row (ties: inventory_id)."""
     inv = inventory.select("inventory_id", "part_id", "part_name", "warehouse_id", "warehouse_location",
                            "current_quantity", "reorder_level")
-    m = contains_join(queries.select(q_col).distinct(), q_col, inv, "part_name")
+    m = contains_join(queries.select(q_col).distinct(), q_col, inv, "part_name", first_by=["current_quantity", "inventory_id"])
     best = m.groupBy(q_col).agg(F.min(F.struct("current_quantity", "inventory_id", "part_id", "part_name",
                                                "warehouse_id", "warehouse_location", "reorder_level")).alias("b"))
     st = stock_status(F.col("b.current_quantity"), F.col("b.reorder_level"))

@@ -55,6 +55,26 @@ def test_layout_jobs_preserve_the_bag(spark):
     assert sorted(c.collect()) == sorted(df.collect())
 
 
+def test_a_lookup_passes_on_the_first_rows_of_a_batch_only(spark):
+    """The lowest stock of a query, with ties, NULLs and repeated rows, is that of all pairs; few rows reach the sort."""
+    from millrace.operators import lookup as L
+    rng = random.Random(4)
+    rows = [(f"i{rng.randrange(900):03}", f"p{k % 7}", rng.choice(["red bolt", "red ring", "big bolt", None]), "w", "loc", rng.choice([None, *range(200)]), 50) for k in range(5000)]
+    names = ["inventory_id", "part_id", "part_name", "warehouse_id", "warehouse_location", "current_quantity", "reorder_level"]
+    kinds = ["string"] * 5 + ["int"] * 2
+    inv = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds))).coalesce(2)
+    for targets in (inv, inv.where("current_quantity IS NOT NULL")):
+        queries = spark.createDataFrame([("bolt",), ("red",), ("ring",), ("nut",)], "part_query string")
+        held = [r for r in rows if targets is inv or r[5] is not None]
+        got = {r.part_query: (r.inventory_id, r.part_id) for r in L.inventory_status(queries, targets).collect()}
+        low = lambda r: (r[5] is not None, r[5] or 0, r[0], r[1])
+        want = {q: min((r for r in held if q in (r[2] or "")), key=low, default=(None, None)) for q in ("bolt", "red", "ring", "nut")}
+        assert got == {q: (r[0], r[1]) for q, r in want.items()}
+        pairs = contains_join(queries, "part_query", targets, "part_name")
+        few = contains_join(queries, "part_query", targets, "part_name", first_by=["current_quantity", "inventory_id"])
+        assert pairs.count() > 5000 and few.count() < 100
+
+
 def test_compaction_shuffles_no_rows(spark, monkeypatch):
     """Many small files become few, and a large one several, of about the wanted size; the settings are as before."""
     from pyspark.sql.readwriter import DataFrameWriter
