@@ -146,3 +146,46 @@ def test_only_rows_of_rare_terms_are_shuffled_to_their_frequencies(spark, monkey
     assert sum(n >= cut for n in df.values()) <= limit and (cut == 1 or sum(n >= cut // 2 for n in df.values()) > limit or cut > max(df.values()))
     logical = found._jdf.queryExecution().logical().toString()
     assert "strategy=broadcast" in logical and logical.count("Join ") == (1 if limit > len(df) else 3)
+
+
+def test_a_block_meets_only_documents_that_can_be_among_the_best():
+    """Whole-number bounds are so near that little more than the best documents is scored, copies of one text once."""
+    import pyarrow as pa
+    rng = np.random.default_rng(4)
+    terms, k, n = 300, 5, 3000
+    rows = [np.sort(rng.choice(terms, 40, replace=False)) for _ in range(n)]
+    weights = [rng.random(40) + 0.1 for _ in range(n)]
+    ask = [(q, t) for q in range(30) for t in rng.choice(terms, 12, replace=False).tolist()]
+    unit = rng.random(terms) * 5 + 0.5
+    q = TS.QueryBlock(pa.table({"query_id": [a for a, _ in ask], "term": [f"t{t:03}" for _, t in ask], "qw": [unit[t] * (1 + a % 3) for a, t in ask],
+                                "unit": [unit[t] for _, t in ask]}), None, k)
+    code = {t: i for i, t in enumerate(q.vocabulary.to_pylist())}
+    found = TS.Classes(k)
+    for copy in range(20):  # each text twenty times
+        for i in range(n):
+            kept = [(code[f"t{t:03}"], w) for t, w in zip(rows[i].tolist(), weights[i].tolist()) if f"t{t:03}" in code]
+            found.add(np.zeros(len(kept), np.int64), np.array([t for t, _ in kept]), np.array([w for _, w in kept]), np.array([copy * n + i]))
+    assert len(found.members) == n and max(map(len, found.members)) <= 4 * k + 1
+    heaps = TS.Heaps(len(q.ids), k, np.dtype(np.int64))
+    scored = TS.DocBlock(found, q).search(q, heaps, np.arange(len(q.ids)))
+    assert scored <= 3 * k * len(q.ids)
+    table = np.zeros((n, terms))
+    for i in range(n):
+        table[i, rows[i]] = weights[i]
+    who, doc, score = heaps.best()
+    for a in range(30):
+        best = table[:, [t for x, t in ask if x == a]] @ np.array([unit[t] * (1 + a % 3) for x, t in ask if x == a])
+        want = [(-round(best[i], 6), c * n + i) for i in np.argsort(-best)[:k] for c in range(k)]
+        at = who == q.ids.to_pylist().index(a)
+        assert sorted(zip((-np.round(score[at], 6)).tolist(), doc[at].tolist())) == sorted(want)[:k]
+
+
+def test_rows_of_a_repeated_id_are_one_document(spark, monkeypatch):
+    """Also where they lie in different batches; the length is that of all of them."""
+    monkeypatch.setattr(TS, "TOKENS", 3)
+    rows = [(1, "b a B", "x"), (2, "", "x"), (1, "c a", "x"), (3, None, "y"), (1, "d", "y"), (4, "Z z z, y", None)]
+    index = TS.build_index(spark.createDataFrame(rows, "id long, body string, team string"), "id", "body", with_norm=True)
+    assert sorted((r.doc_id, r.dl, r.terms, r.counts) for r in index.docs.collect()) == [(1, 6, ["a", "b", "c", "d"], [2, 2, 1, 1]), (4, 4, ["y", "z"], [1, 3])]
+    assert {r.term: r.df for r in index.df.collect()} == dict.fromkeys("abcdyz", 1)
+    teams = TS.build_index(spark.createDataFrame(rows, "id long, body string, team string"), "id", "body", group_col="team")
+    assert sorted((r.doc_id, r.group, r.dl, r.terms) for r in teams.docs.collect() if r.doc_id == 1) == [(1, "x", 5, ["a", "b", "c"]), (1, "y", 1, ["d"])]
