@@ -300,3 +300,36 @@ def test_cells_sort_little_more_than_their_sample(spark, monkeypatch):
     first = sorted(range(360), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())[:20]
     assert np.allclose(found, X[first], atol=1e-6)
     assert 20 <= max(sorted_rows) <= 25
+
+
+def test_single_precision_only_rules_pairs_out(monkeypatch):
+    """Near ties, repeated ids and vectors of other lengths: the same rows as in double precision, few pairs of which are
+    scored twice."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(4000, 64))
+    x[2000:] = x[:2000] + rng.normal(size=(2000, 64)) * 1e-9  # further apart than nine decimals, nearer than floats
+    x /= np.sqrt((x * x).sum(axis=1))[:, None] / rng.choice([1.0, 3.0], 4000)[:, None]
+    ids = rng.permutation(4000).astype(np.int64)
+    ids[:20] = ids[20]  # a query has all rows of its id left out
+    lists = lambda m: pa.chunked_array([pa.ListArray.from_arrays(np.arange(len(m) + 1, dtype=np.int32) * 64, m.ravel())])
+    exact, counted = D._exact, []
+    monkeypatch.setattr(D, "_exact", lambda q, x, row, col: counted.append(len(row)) or exact(q, x, row, col))
+    got = D._block_topk(5, True)(pa.table({"id": ids, "vector": lists(x)}), pa.table({"query_id": ids[20:320], "vector": lists(x[20:320])}))
+    s = np.round(x[20:320] @ x.T, 9)
+    s[ids[20:320, None] == ids[None, :]] = -np.inf
+    want = [(int(ids[20 + i]), int(ids[j]), s[i, j]) for i in range(300) for j in np.lexsort((ids, -s[i]))[:5]]
+    rows = sorted(zip(got["query_id"].to_pylist(), got["id"].to_pylist(), got["score"].to_pylist()))
+    want.sort()
+    assert [r[0] for r in rows] == [w[0] for w in want]
+    assert sum(r[:2] == w[:2] for r, w in zip(rows, want)) >= 0.99 * len(want)  # the last decimal of a product may differ
+    assert max(abs(r[2] - w[2]) for r, w in zip(rows, want) if r[:2] == w[:2]) < 3e-9
+    assert sum(counted) < 0.02 * 300 * 4000
+
+
+def test_a_norm_is_computed_once_a_vector(spark):
+    """Zero, NULL, empty and float vectors; the norm stands outside the function that is called for every element."""
+    rows = [(1, [3.0, 4.0]), (2, [0.0, 0.0]), (3, None), (4, []), (5, [None, 1.0])]
+    df = spark.createDataFrame(rows, "id int, v array<float>").select("id", D.l2_normalize(F.col("v")).alias("u"))
+    assert {r.id: r.u for r in df.collect()} == {1: [0.6, 0.8], 2: None, 3: None, 4: None, 5: None}
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
